@@ -206,7 +206,7 @@ def queries() -> dict[str, Query]:
         "recommend_click_only": _on_both(
             lambda c, p: _double(recommend.recommend_click_only(c, p, ITEMS, TOP_K, nonnegative=True), "score")
         ),
-        "expected_profit": _on_both(lambda c, p: _rounded(_expected_profit(c, p), "expected_profit")),
+        "expected_profit": _on_both(lambda c, p: _double(_expected_profit(c, p), "expected_profit")),
         "pipeline_end_to_end": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
     }
 

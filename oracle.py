@@ -333,14 +333,20 @@ ORACLE_SQL = {
         "ranked",
         _TOP.format("ranked", 5) + " AND session_id NOT IN (SELECT session_id FROM purchases)",
     ),
+    # Each gain is an amount rounded half up to six places, in whole millionths.
     "expected_profit": _sql(
-        "clicked ranked chance high_items",
-        """SELECT session_id, round(sum(p * CAST(utility AS DOUBLE)), 6) AS expected_profit
-           FROM (SELECT r.session_id, r.item_id, max(probability) AS p
+        "clicked ranked cps high_items",
+        """SELECT session_id, CAST(sum(gain) AS DOUBLE) / 1000000 AS expected_profit
+           FROM (SELECT r.session_id, r.item_id, max(gain) AS gain
                  FROM ranked r JOIN clicked c ON c.session_id = r.session_id
-                 JOIN chance h ON h.click_item = c.click_item AND h.purchase_item = r.item_id
+                 JOIN gains h ON h.click_item = c.click_item AND h.purchase_item = r.item_id
                  WHERE rank <= 5 GROUP BY r.session_id, r.item_id)
-           JOIN high_items USING (item_id) GROUP BY session_id""",
+           GROUP BY session_id""",
+        gains="""
+            SELECT click_item, purchase_item,
+                   (CAST(utility * 100 AS HUGEINT) * cps * 20000 + n) // (2 * n) AS gain
+            FROM cps JOIN (SELECT click_item, count(*) AS n FROM clicked GROUP BY click_item) USING (click_item)
+            JOIN high_items ON purchase_item = item_id""",
     ),
     "pipeline_end_to_end": _sql("ranked", _TOP.format("ranked", 3)),
 }

@@ -24,10 +24,15 @@ def cps(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     )
 
 
+def _with_sessions(counts: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Add ``sessions``, the number of sessions that clicked the clicked item."""
+    sessions = session_items(clicks, "click_item").groupBy("click_item").agg(F.count("*").alias("sessions"))
+    return split_join(counts, sessions, ["click_item"], ["purchase_item"])
+
+
 def cps_probability(counts: DataFrame, clicks: DataFrame) -> DataFrame:
     """P(Buy|Click): of the sessions that clicked an item, the share that bought the other one."""
-    sessions = session_items(clicks, "click_item").groupBy("click_item").agg(F.count("*").alias("sessions"))
-    return split_join(counts, sessions, ["click_item"], ["purchase_item"]).select(
+    return _with_sessions(counts, clicks).select(
         "click_item", "purchase_item", "cps", (F.col("cps") / F.col("sessions")).alias("probability")
     )
 
@@ -70,11 +75,10 @@ def profit_edges(
 ) -> DataFrame:
     """WHUOM weight and expected gain, P(Buy|Click) times utility, of every weighted pair."""
     gainful = items.filter(F.col("utility") > 0)
-    return _weighted(cps_probability(counts, clicks), gainful, "inner", max_items).select(
-        "click_item",
-        "purchase_item",
-        (F.col("cps") * F.col("utility")).alias("weight"),
-        (F.col("probability") * F.col("utility").cast("double")).alias("gain"),
+    # An amount of money: divided as a decimal, to six places.
+    gain = (F.col("cps") * F.col("utility") / F.col("sessions")).cast("decimal(28,6)")
+    return _weighted(_with_sessions(counts, clicks), gainful, "inner", max_items).select(
+        "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight"), gain.alias("gain")
     )
 
 

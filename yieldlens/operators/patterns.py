@@ -9,90 +9,115 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import HOT_FLOOR, ordered, running_max, split_join
+from yieldlens.operators.skew import HOT_FLOOR, ordered, running_max, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
-PATTERN = "array<array<bigint>>"
+# One bit of a long per item.
+MAX_LENGTH = 60
+AMOUNT = "decimal(28,2)"
+
+
+def _columns(length: int) -> list[str]:
+    """The columns that hold a pattern of ``length`` items while it grows.
+
+    ``i1`` .. ``iN`` are its items in order; bit n of ``shape`` says that item n+1 opens an itemset.
+    Numbers group, join and sort much faster than nested arrays.
+    """
+    return ["shape", *[f"i{n}" for n in range(1, length + 1)]]
+
+
+def _as_arrays(length: int) -> Column:
+    pattern = F.array(F.array("i1"))
+    for n in range(2, length + 1):
+        item = F.array(F.col(f"i{n}"))
+        widened = F.concat(
+            F.slice(pattern, 1, F.size(pattern) - 1), F.array(F.concat(F.element_at(pattern, -1), item))
+        )
+        opens = F.col("shape").bitwiseAND(F.lit(1 << (n - 1)).cast("bigint")) != 0
+        pattern = F.when(opens, F.concat(pattern, F.array(item))).otherwise(widened)
+    return pattern
 
 
 def _pattern_events(
-    purchases: DataFrame, min_utility: MinUtility, order: Sequence[str], singletons: bool, floor: int
+    purchases: DataFrame, least: MinUtility, order: Sequence[str], singletons: bool, floor: int
 ) -> DataFrame:
     """Purchases of promising items with their place and what the session still holds behind them."""
     instant = list(order) if singletons else [order[0]]
+    places = [c for c in instant if c != "item_id"]
     amount = F.when(F.col("utility") < 0, F.raise_error(F.lit("negative utility"))).otherwise(F.col("utility"))
     # Several purchases of an item at one place are one event.
-    events = purchases.groupBy("session_id", "item_id", *[c for c in instant if c != "item_id"]).agg(
-        F.sum(amount).alias("u")
-    )
-    promising = promising_items(purchases, min_utility).select("item_id")
-    spread = ["session_id", *[c for c in instant if c != "item_id"]]
-    kept = split_join(events, promising, ["item_id"], spread, floor=floor)
+    events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum(amount).alias("u"))
+    promising = promising_items(purchases, least).select("item_id").checkpoint()
+    kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
     full_order = instant if "item_id" in instant else [*instant, "item_id"]
     return ordered(kept, "session_id", instant, full_order, "u", floor).select(
         "session_id", "block", "pos", "item_id", "u", "rest"
     )
 
 
-def _worth(state: DataFrame) -> DataFrame:
+def _worth(state: DataFrame, pattern: list[str]) -> DataFrame:
     """Utility of each pattern, and the most that any of its extensions can reach.
 
     A match can only gain what lies behind it; one with nothing behind it has no extension.
     """
     reachable = F.when(F.col("rest") > 0, F.col("best") + F.col("rest")).otherwise(F.lit(0))
-    per_session = state.groupBy("pattern", "session_id").agg(
+    per_session = state.groupBy(*pattern, "session_id").agg(
         F.max("best").alias("best"), F.max(reachable).alias("bound")
     )
-    return per_session.groupBy("pattern").agg(F.sum("best").alias("utility"), F.sum("bound").alias("bound"))
+    return per_session.groupBy(*pattern).agg(F.sum("best").alias("utility"), F.sum("bound").alias("bound"))
 
 
-def _append_itemset(state: DataFrame, events: DataFrame, split: bool, floor: int) -> DataFrame:
+def _append_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
     """Each pattern followed by one more itemset of a single item.
 
     For every later event only the best match before it counts, a running maximum over the
     session, so places are never paired with each other.
     """
-    starts = state.groupBy("pattern", "session_id").agg(F.min("pos").alias("start"))
-    later = (
+    pattern = _columns(length)
+    starts = state.groupBy(*pattern, "session_id").agg(F.min("pos").alias("start"))
+    joined = (
         split_join(events, starts, ["session_id"], ["pos", "item_id"], floor=floor)
-        .filter(F.col("pos") > F.col("start"))
-        .select("pattern", "session_id", "block", "pos", "item_id", "u", "rest")
+        if split
+        else events.join(starts, "session_id")
     )
-    matches = state.select("pattern", "session_id", "block", "pos", "best", F.lit(1).alias("kind"))
+    later = joined.filter(F.col("pos") > F.col("start")).drop("start")
+    matches = state.select(*pattern, "session_id", "block", "pos", "best")
     # At one place events sort before matches: a match does not reach events of its own itemset.
-    both = later.withColumn("kind", F.lit(0)).unionByName(matches, allowMissingColumns=True)
-    reached = running_max(both, ["pattern", "session_id"], ["pos", "kind"], "best", split)
-    return reached.filter(F.col("kind") == 0).select(
-        F.concat("pattern", F.array(F.array("item_id"))).alias("pattern"),
+    both = later.withColumn("match", F.lit(False)).unionByName(
+        matches.withColumn("match", F.lit(True)), allowMissingColumns=True
+    )
+    reached = running_max(both, [*pattern, "session_id"], ["pos", "match"], "best", split)
+    return reached.filter(~F.col("match")).select(
+        F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint")).alias("shape"),
+        *pattern[1:],
+        F.col("item_id").alias(f"i{length + 1}"),
         "session_id",
         "block",
         "pos",
-        F.col("item_id").alias("last_item"),
-        (F.col("reach") + F.col("u")).alias("best"),
+        (F.col("reach") + F.col("u")).cast(AMOUNT).alias("best"),
         "rest",
     )
 
 
-def _widen_itemset(state: DataFrame, events: DataFrame, floor: int) -> DataFrame:
-    """Each pattern with one more item in its last itemset; items of an itemset ascend."""
-    here = events.select("session_id", "pos", "item_id", "u", F.col("rest").alias("rest_here"))
-    joined = split_join(state, here, ["session_id", "pos"], ["pattern"], floor=floor).filter(
-        F.col("item_id") > F.col("last_item")
-    )
-    last = F.concat(F.element_at("pattern", -1), F.array("item_id"))
-    return joined.select(
-        F.concat(F.slice("pattern", 1, F.size("pattern") - 1), F.array(last)).alias("pattern"),
+def _widen_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
+    """Each pattern with one more item in its last itemset; the items of an itemset ascend."""
+    here = events.drop("block")
+    place = ["session_id", "pos"]
+    matches = state.drop("rest")
+    joined = split_join(matches, here, place, _columns(length), floor=floor) if split else matches.join(here, place)
+    return joined.filter(F.col("item_id") > F.col(f"i{length}")).select(
+        *_columns(length),
+        F.col("item_id").alias(f"i{length + 1}"),
         "session_id",
         "block",
         "pos",
-        F.col("item_id").alias("last_item"),
-        (F.col("best") + F.col("u")).alias("best"),
-        F.col("rest_here").alias("rest"),
+        (F.col("best") + F.col("u")).cast(AMOUNT).alias("best"),
+        "rest",
     )
 
 
@@ -109,39 +134,43 @@ def high_utility_sequences(
     With ``singletons`` every purchase is an itemset of its own, ordered by all ``order`` columns;
     otherwise purchases at the same time, the first of them, form one itemset. Patterns grow level
     by level; one is extended only while the bound on its extensions reaches the threshold, which
-    loses nothing. Each level is checkpointed, and the loop fetches no data but flags.
+    loses nothing. Levels are checkpointed, and the loop fetches row counts but no rows.
     """
+    if not 1 <= max_length <= MAX_LENGTH:
+        raise ValueError(f"max_length must lie between 1 and {MAX_LENGTH}")
     use_checkpoints(purchases.sparkSession)
-    needed = list(dict.fromkeys(["session_id", "item_id", *order, "utility"]))
-    purchases = purchases.select(*needed)
+    purchases = purchases.select(*dict.fromkeys(["session_id", "item_id", *order, "utility"]))
     if min_utility.share is not None:
         total = purchases.agg(F.sum("utility")).first()[0] or 0
         min_utility = MinUtility.of_amount(total * min_utility.share)
     least = F.lit(min_utility.amount)
 
     events = _pattern_events(purchases, min_utility, order, singletons, floor).checkpoint()
+    # Without a hot session nothing has to be spread.
     split = not events.filter(F.col("block").isNotNull()).isEmpty()
     state = events.select(
-        F.array(F.array("item_id")).cast(PATTERN).alias("pattern"),
+        F.lit(1).cast("bigint").alias("shape"),
+        F.col("item_id").alias("i1"),
         "session_id",
         "block",
         "pos",
-        F.col("item_id").alias("last_item"),
-        F.col("u").alias("best"),
+        F.col("u").cast(AMOUNT).alias("best"),
         "rest",
     )
     found = []
     for length in range(1, max_length + 1):
-        worth = _worth(state).checkpoint()
-        found.append(worth.filter(F.col("utility") >= least).select("pattern", "utility"))
-        live = worth.filter(F.col("bound") >= least).select("pattern")
-        if length == max_length or live.isEmpty():
+        pattern = _columns(length)
+        worth = _worth(state, pattern).checkpoint()
+        found.append(worth.filter(F.col("utility") >= least).select(_as_arrays(length).alias("pattern"), "utility"))
+        live = worth.filter(F.col("bound") >= least).select(*pattern)
+        if length == max_length or not (size := live.count()):
             break
-        state = split_join(state, live, ["pattern"], ["session_id", "pos"], floor=floor)
-        longer = _append_itemset(state, events, split, floor)
+        state = semi_join(state, pattern, live, size, ["session_id", "pos"])
+        longer = _append_itemset(state, events, length, split, floor)
         if not singletons:
-            longer = longer.unionByName(_widen_itemset(state, events, floor))
-        state = longer.checkpoint()
+            longer = longer.unionByName(_widen_itemset(state, events, length, split, floor))
+        # The last level is read once, for its worth.
+        state = longer if length + 1 == max_length else longer.checkpoint()
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

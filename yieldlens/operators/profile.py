@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 
 from yieldlens.functions.columns import equal_width_bin
 
-SLICES = 256
+SLICES = 64
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -47,7 +47,8 @@ def quantile_of_counts(counts: DataFrame, fraction: str) -> DataFrame:
     # The cuts only balance the slices; any cuts give the same quantile.
     fractions = [i / SLICES for i in range(1, SLICES)]
     cuts = counts.agg(F.percentile_approx("value", fractions).alias("cuts")).scalar()
-    sliced = counts.withColumn("slice", F.size(F.filter(cuts, lambda cut: cut < F.col("value"))))
+    slice_of = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    sliced = counts.withColumn("cuts", cuts).withColumn("slice", slice_of).drop("cuts")
 
     # At most SLICES rows from here on, so one task may order them.
     ends = W.orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)

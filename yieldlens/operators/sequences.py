@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.columns import singletons
-from yieldlens.operators.skew import HOT_FLOOR, hot_keys, ordered, split_join
+from yieldlens.operators.skew import HOT_FLOOR, hot_keys, ordered, semi_join, split_join
 from yieldlens.plans.checkpoints import use_checkpoints
 
 PART_ROWS = 100_000
@@ -95,25 +95,30 @@ def frequent_sequences(
         return state.groupBy("sequence").agg(F.count("*").alias("freq")).filter(F.col("freq") >= least)
 
     items = present.groupBy("item_id").agg(F.count("*").alias("freq")).filter(F.col("freq") >= least)
-    usable = ordered(
-        split_join(events.select("session_id", "item_id", *order), items.select("item_id"), ["item_id"], order),
-        "session_id",
-        order,
-        floor=floor,
-    ).select("session_id", "item_id", "pos").checkpoint()
+    items = items.select("item_id").checkpoint()
+    rows = events.select("session_id", "item_id", *order)
+    kept = semi_join(rows, ["item_id"], items, items.count(), order)
+    usable = ordered(kept, "session_id", order, floor=floor).select("session_id", "item_id", "pos", "block").checkpoint()
+    # Without a hot session nothing has to be spread.
+    split = not usable.filter(F.col("block").isNotNull()).isEmpty()
+    usable = usable.drop("block")
     state = usable.groupBy("session_id", F.array(F.array("item_id")).alias("sequence")).agg(F.min("pos").alias("done"))
     found = [frequent(state).checkpoint()]
-    for _ in range(1, max_pattern_length):
-        if found[-1].isEmpty():
+    for length in range(2, max_pattern_length + 1):
+        if not (size := found[-1].count()):
             break
-        kept = split_join(state, found[-1].select("sequence"), ["sequence"], ["session_id"])
-        longer = split_join(usable, kept, ["session_id"], ["pos"], floor=floor).filter(F.col("pos") > F.col("done"))
+        kept = semi_join(state, ["sequence"], found[-1].select("sequence"), size, ["session_id"])
+        pairs = (
+            split_join(usable, kept, ["session_id"], ["pos"], floor=floor) if split else usable.join(kept, "session_id")
+        )
         state = (
-            longer.groupBy("session_id", "sequence", "item_id")
+            pairs.filter(F.col("pos") > F.col("done"))
+            .groupBy("session_id", "sequence", "item_id")
             .agg(F.min("pos").alias("done"))
             .select("session_id", F.concat("sequence", F.array(F.array("item_id"))).alias("sequence"), "done")
-            .checkpoint()
         )
+        # The last level is read once, for its counts.
+        state = state if length == max_pattern_length else state.checkpoint()
         found.append(frequent(state).checkpoint())
     out = found[0]
     for more in found[1:]:

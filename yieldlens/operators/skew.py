@@ -16,7 +16,7 @@ from pyspark.sql.window import Window as W
 HOT_FLOOR = 100_000
 HOT_SHARE = 1e-6
 MAX_PARTS = 4_096
-# Broadcasts are used only for tables proven to have no more rows than this.
+# Broadcasts are used only for tables proven or counted to have no more rows than this.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -63,6 +63,15 @@ def split_join(
     return salted.drop("hot_parts").join(copies.drop("hot_parts"), [*keys, "salt"], how).drop("salt")
 
 
+def semi_join(
+    rows: DataFrame, keys: Sequence[str], wanted: DataFrame, size: int, spread_by: Sequence[str]
+) -> DataFrame:
+    """Rows whose key is in ``wanted``, a distinct list that was counted to have ``size`` rows."""
+    if size <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(wanted), list(keys), "left_semi")
+    return split_join(rows, wanted, keys, spread_by)
+
+
 def time_blocks(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> DataFrame:
     """Add ``block``: NULL in ordinary groups, the number of the time slice in a hot group.
 

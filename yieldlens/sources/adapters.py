@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldlens.functions.columns import MONEY
-from yieldlens.operators.skew import split_join
-from yieldlens.sources.tables import with_utility
+from yieldlens.sources.tables import CLICK_KEYS, PURCHASE_KEYS, drop_incomplete, with_utility
 
 FIRST_DAY = "2024-01-01"
 CLICK_TYPES = ("click", "view")
@@ -34,26 +33,27 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per user and day; clicks and views count as clicks."""
-    return (
-        _events(spark, sf_dir)
-        .filter(F.col("event_type").isin(*CLICK_TYPES))
-        .select("session_id", "ts", "event_id", "item_id", F.col("event_type").alias("category"))
+    clicks = _events(spark, sf_dir).filter(F.col("event_type").isin(*CLICK_TYPES))
+    return drop_incomplete(
+        clicks.select("session_id", "ts", "event_id", "item_id", F.col("event_type").alias("category")), CLICK_KEYS
     )
 
 
 def event_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events at quantity one."""
-    return with_utility(
-        _events(spark, sf_dir)
-        .filter(F.col("event_type") == PURCHASE_TYPE)
-        .select(
-            "session_id",
-            "ts",
-            "event_id",
-            "item_id",
-            F.col("value").cast(MONEY).alias("price"),
-            F.lit(1).cast("bigint").alias("quantity"),
-        )
+    purchases = _events(spark, sf_dir).filter(F.col("event_type") == PURCHASE_TYPE)
+    return drop_incomplete(
+        with_utility(
+            purchases.select(
+                "session_id",
+                "ts",
+                "event_id",
+                "item_id",
+                F.col("value").cast(MONEY).alias("price"),
+                F.lit(1).cast("bigint").alias("quantity"),
+            )
+        ),
+        PURCHASE_KEYS,
     )
 
 
@@ -88,7 +88,8 @@ def order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("p_brand", r"(\d+)$", 1).cast("bigint").alias("brand"),
         F.col("p_retailprice").cast(MONEY).alias("price"),
     )
-    return with_utility(split_join(lines, parts, ["item_id"], ["session_id", "line"]))
+    # Spark broadcasts the parts while they are small; beyond that it splits a part with many lines.
+    return drop_incomplete(with_utility(lines.join(parts, "item_id")), PURCHASE_KEYS)
 
 
 def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
