@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import HOT_FLOOR, ordered, running_max, semi_join, split_join
+from yieldlens.operators.skew import HOT_FLOOR, hot_spans, ordered, running_max, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
@@ -44,20 +44,29 @@ def _as_arrays(length: int) -> Column:
 
 
 def _pattern_events(
-    purchases: DataFrame, least: MinUtility, order: Sequence[str], singletons: bool, floor: int
-) -> DataFrame:
-    """Purchases of promising items with their place and what the session still holds behind them."""
+    purchases: DataFrame, min_utility: MinUtility, order: Sequence[str], singletons: bool, floor: int
+) -> tuple[DataFrame, Column, bool]:
+    """Purchases of promising items with their place and what the session still holds behind them.
+
+    Also the threshold as a number, and whether there is a hot session.
+    """
     instant = list(order) if singletons else [order[0]]
     places = [c for c in instant if c != "item_id"]
     amount = F.when(F.col("utility") < 0, F.raise_error(F.lit("negative utility"))).otherwise(F.col("utility"))
     # Several purchases of an item at one place are one event.
-    events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum(amount).alias("u"))
-    promising = promising_items(purchases, least).select("item_id").checkpoint()
+    events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum(amount).alias("u")).checkpoint()
+    if min_utility.share is not None:
+        total = events.agg(F.sum("u")).first()[0] or 0
+        min_utility = MinUtility.of_amount(total * min_utility.share)
+    promising = promising_items(events.withColumnRenamed("u", "utility"), min_utility).select("item_id").checkpoint()
     kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
+    hot = hot_spans(kept, "session_id", instant[0], floor).checkpoint()
+    split = not hot.isEmpty()
     full_order = instant if "item_id" in instant else [*instant, "item_id"]
-    return ordered(kept, "session_id", instant, full_order, "u", floor).select(
+    placed = ordered(kept, "session_id", instant, hot if split else None, full_order, "u").select(
         "session_id", "block", "pos", "item_id", "u", "rest"
     )
+    return placed.checkpoint(), F.lit(min_utility.amount), split
 
 
 def _worth(state: DataFrame, pattern: list[str]) -> DataFrame:
@@ -140,14 +149,7 @@ def high_utility_sequences(
         raise ValueError(f"max_length must lie between 1 and {MAX_LENGTH}")
     use_checkpoints(purchases.sparkSession)
     purchases = purchases.select(*dict.fromkeys(["session_id", "item_id", *order, "utility"]))
-    if min_utility.share is not None:
-        total = purchases.agg(F.sum("utility")).first()[0] or 0
-        min_utility = MinUtility.of_amount(total * min_utility.share)
-    least = F.lit(min_utility.amount)
-
-    events = _pattern_events(purchases, min_utility, order, singletons, floor).checkpoint()
-    # Without a hot session nothing has to be spread.
-    split = not events.filter(F.col("block").isNotNull()).isEmpty()
+    events, least, split = _pattern_events(purchases, min_utility, order, singletons, floor)
     state = events.select(
         F.lit(1).cast("bigint").alias("shape"),
         F.col("item_id").alias("i1"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.columns import singletons
-from yieldlens.operators.skew import HOT_FLOOR, hot_keys, ordered, semi_join, split_join
+from yieldlens.operators.skew import HOT_FLOOR, hot_spans, ordered, semi_join, split_join
 from yieldlens.plans.checkpoints import use_checkpoints
 
 PART_ROWS = 100_000
@@ -34,9 +34,10 @@ def session_lists(
     """
     columns = list(dict.fromkeys([*order, *payload]))
     events = events.select("session_id", *columns)
-    hot = F.broadcast(hot_keys(events, ["session_id"], floor=floor).select("session_id"))
-    whole = _lists(events.join(hot, "session_id", "left_anti"), ["session_id"], order, payload)
-    placed = ordered(events.join(hot, "session_id", "left_semi"), "session_id", order, floor=floor)
+    hot = hot_spans(events, "session_id", order[0], floor)
+    listed = F.broadcast(hot.select("session_id"))
+    whole = _lists(events.join(listed, "session_id", "left_anti"), ["session_id"], order, payload)
+    placed = ordered(events.join(listed, "session_id", "left_semi"), "session_id", order, hot)
     part = F.floor((F.col("pos") - 1) / F.lit(part_rows)).cast("bigint")
     pieces = _lists(placed.withColumn("part", part), ["session_id", "part"], ["pos"], payload)
     return whole.select("session_id", F.lit(0).cast("bigint").alias("part"), "entries").unionByName(pieces)
@@ -91,36 +92,42 @@ def frequent_sequences(
     # The library's own rounding: the smallest whole number of sessions not below the share.
     least = math.ceil(min_support * present.select("session_id").distinct().count())
 
-    def frequent(state: DataFrame) -> DataFrame:
-        return state.groupBy("sequence").agg(F.count("*").alias("freq")).filter(F.col("freq") >= least)
+    # While it grows a sequence is a row of item columns, which group and join faster than arrays.
+    def columns(length: int) -> list[str]:
+        return [f"i{n}" for n in range(1, length + 1)]
+
+    def frequent(state: DataFrame, length: int) -> DataFrame:
+        counted = state.groupBy(*columns(length)).agg(F.count("*").alias("freq"))
+        return counted.filter(F.col("freq") >= least).checkpoint()
 
     items = present.groupBy("item_id").agg(F.count("*").alias("freq")).filter(F.col("freq") >= least)
     items = items.select("item_id").checkpoint()
     rows = events.select("session_id", "item_id", *order)
     kept = semi_join(rows, ["item_id"], items, items.count(), order)
-    usable = ordered(kept, "session_id", order, floor=floor).select("session_id", "item_id", "pos", "block").checkpoint()
-    # Without a hot session nothing has to be spread.
-    split = not usable.filter(F.col("block").isNotNull()).isEmpty()
-    usable = usable.drop("block")
-    state = usable.groupBy("session_id", F.array(F.array("item_id")).alias("sequence")).agg(F.min("pos").alias("done"))
-    found = [frequent(state).checkpoint()]
+    hot = hot_spans(kept, "session_id", order[0], floor).checkpoint()
+    split = not hot.isEmpty()
+    # The places count frequent items only, which leaves their order as it is.
+    usable = ordered(kept, "session_id", order, hot if split else None).select("session_id", "item_id", "pos").checkpoint()
+    state = usable.groupBy("session_id", F.col("item_id").alias("i1")).agg(F.min("pos").alias("done"))
+    found = [frequent(state, 1)]
     for length in range(2, max_pattern_length + 1):
+        before = columns(length - 1)
         if not (size := found[-1].count()):
             break
-        kept = semi_join(state, ["sequence"], found[-1].select("sequence"), size, ["session_id"])
+        kept = semi_join(state, before, found[-1].select(*before), size, ["session_id"])
         pairs = (
             split_join(usable, kept, ["session_id"], ["pos"], floor=floor) if split else usable.join(kept, "session_id")
         )
         state = (
             pairs.filter(F.col("pos") > F.col("done"))
-            .groupBy("session_id", "sequence", "item_id")
+            .groupBy("session_id", *before, F.col("item_id").alias(f"i{length}"))
             .agg(F.min("pos").alias("done"))
-            .select("session_id", F.concat("sequence", F.array(F.array("item_id"))).alias("sequence"), "done")
         )
         # The last level is read once, for its counts.
         state = state if length == max_pattern_length else state.checkpoint()
-        found.append(frequent(state).checkpoint())
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
+        found.append(frequent(state, length))
+    out = None
+    for length, level in enumerate(found, start=1):
+        named = level.select(F.array(*[F.array(c) for c in columns(length)]).alias("sequence"), "freq")
+        out = named if out is None else out.unionAll(named)
     return out

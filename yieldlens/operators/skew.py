@@ -25,9 +25,13 @@ def bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(df) if max_rows is not None and max_rows <= BROADCAST_ROWS else df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *extra: Column, floor: int = HOT_FLOOR) -> DataFrame:
-    """The hot keys with ``hot_parts``, the number of parts to cut each into, and ``extra`` aggregates."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("hot_rows"), *extra)
+def key_counts(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """Rows per key as ``hot_rows``, with ``extra`` aggregates."""
+    return df.groupBy(*keys).agg(F.count("*").alias("hot_rows"), *extra)
+
+
+def hot_keys(counts: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+    """The hot ones of ``key_counts`` with ``hot_parts``, the number of parts to cut each into."""
     limit = counts.agg(
         F.greatest(F.lit(floor), F.ceil(F.coalesce(F.sum("hot_rows"), F.lit(0)) * F.lit(HOT_SHARE))).alias("limit")
     ).scalar()
@@ -43,24 +47,24 @@ def split_join(
     few: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    how: str = "inner",
     floor: int = HOT_FLOOR,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot keys on the ``many`` side are spread over several tasks.
+    """Inner equi-join whose hot keys on the ``many`` side are spread over several tasks.
 
     The rows of a hot key are divided by a hash of ``spread_by``, and the matching rows of ``few``
     repeated once per part; every other key is joined as it is. The result is that of a plain join.
+    ``counts`` are the key counts of ``many`` if the caller has them.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("only inner and left joins can be split")
-    hot = F.broadcast(hot_keys(many, keys, floor=floor))
+    counts = key_counts(many, keys) if counts is None else counts
+    hot = F.broadcast(hot_keys(counts.select(*keys, "hot_rows"), floor))
     salted = many.join(hot, list(keys), "left").withColumn(
         "salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("hot_parts")).cast("int"), F.lit(0))
     )
     copies = few.join(hot, list(keys), "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("hot_parts"), F.lit(1)) - 1))
     )
-    return salted.drop("hot_parts").join(copies.drop("hot_parts"), [*keys, "salt"], how).drop("salt")
+    return salted.drop("hot_parts").join(copies.drop("hot_parts"), [*keys, "salt"]).drop("salt")
 
 
 def semi_join(
@@ -72,18 +76,25 @@ def semi_join(
     return split_join(rows, wanted, keys, spread_by)
 
 
-def time_blocks(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> DataFrame:
+def hot_spans(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> DataFrame:
+    """The hot values of ``key`` with the first and last ``time`` of each, for ``ordered``."""
+    micros = F.unix_micros(time)
+    spans = key_counts(df, [key], F.min(micros).alias("hot_first"), F.max(micros).alias("hot_last"))
+    return hot_keys(spans, floor)
+
+
+def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> DataFrame:
     """Add ``block``: NULL in ordinary groups, the number of the time slice in a hot group.
 
     Slices follow each other in time and rows of one instant share a slice.
     """
-    micros = F.unix_micros(time)
-    hot = F.broadcast(
-        hot_keys(df, [key], F.min(micros).alias("hot_first"), F.max(micros).alias("hot_last"), floor=floor)
-    )
-    place = (micros - F.col("hot_first")).cast("double") / (F.col("hot_last") - F.col("hot_first") + 1)
-    return df.join(hot, key, "left").withColumn("block", F.floor(place * F.col("hot_parts")).cast("int")).drop(
-        "hot_first", "hot_last", "hot_parts"
+    if hot is None:
+        return df.withColumn("block", F.lit(None).cast("int"))
+    place = (F.unix_micros(time) - F.col("hot_first")).cast("double") / (F.col("hot_last") - F.col("hot_first") + 1)
+    return (
+        df.join(F.broadcast(hot), key, "left")
+        .withColumn("block", F.floor(place * F.col("hot_parts")).cast("int"))
+        .drop("hot_first", "hot_last", "hot_parts")
     )
 
 
@@ -91,22 +102,28 @@ def ordered(
     df: DataFrame,
     key: str,
     instant: Sequence[str],
+    hot: DataFrame | None,
     order: Sequence[str] | None = None,
     amount: str | None = None,
-    floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Add ``block`` and ``pos``, the place of a row in its group, and ``rest``, the ``amount`` after it.
 
     Rows that agree on all ``instant`` columns, the first of which is a timestamp, get the same
-    place. ``rest`` adds up the rows behind by ``order`` (default: ``instant``). Hot groups are
-    worked slice by slice; what lies in other slices comes from one small row per slice.
+    place. ``rest`` adds up the rows behind by ``order`` (default: ``instant``). Hot groups, given
+    by ``hot_spans``, are worked slice by slice; what lies in other slices comes from one small row
+    per slice. ``hot`` is None where it is known that no group is hot.
     """
     order = list(order or instant)
-    rows = time_blocks(df, key, instant[0], floor)
+    rows = _with_blocks(df, key, instant[0], hot)
     part = W.partitionBy(key, "block")
-    value = F.lit(0) if amount is None else F.col(amount)
+    placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
+    if amount is not None:
+        upto = F.sum(amount).over(part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
+        placed = placed.withColumn("rest", F.sum(amount).over(part) - upto)
+    if hot is None:
+        return placed
     slices = rows.filter(F.col("block").isNotNull()).groupBy(key, "block").agg(
-        F.count("*").alias("slice_rows"), F.sum(value).alias("slice_sum")
+        F.count("*").alias("slice_rows"), F.sum(F.lit(0) if amount is None else F.col(amount)).alias("slice_sum")
     )
     along = W.partitionBy(key).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     back = W.partitionBy(key).orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -119,10 +136,6 @@ def ordered(
             F.sum("slice_sum").over(back).alias("sum_after"),
         )
     )
-    placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
-    if amount is not None:
-        upto = F.sum(amount).over(part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
-        placed = placed.withColumn("rest", F.sum(amount).over(part) - upto)
     placed = placed.join(outside, [key, "block"], "left").withColumn(
         "pos", F.col("pos") + F.coalesce("rows_before", F.lit(0))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import split_join
+from yieldlens.operators.skew import key_counts, split_join
 
 
 def session_utility(purchases: DataFrame) -> DataFrame:
@@ -19,21 +19,28 @@ def item_utility(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy("item_id").agg(F.sum("utility").alias("utility"))
 
 
-def _session_weights(purchases: DataFrame) -> DataFrame:
-    """One row per session and item: the session's total beside what the item took of it."""
+def _session_weights(purchases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per session and item what was spent on it, beside the session's total; and the totals alone."""
+    # Sums of utilities always exist. Testing them, here and below, keeps Spark from pruning them in
+    # some of the uses of a table, so that all uses stay alike and the table is computed once.
     own = purchases.groupBy("session_id", "item_id").agg(F.sum("utility").alias("own"))
-    totals = own.groupBy("session_id").agg(F.sum("own").alias("total"))
-    return split_join(own, totals, ["session_id"], ["item_id"])
+    own = own.filter(F.col("own").isNotNull())
+    totals = key_counts(own, ["session_id"], F.sum("own").alias("total")).filter(F.col("total").isNotNull())
+    weights = split_join(own, totals.drop("hot_rows"), ["session_id"], ["item_id"], counts=totals)
+    return weights, totals
 
 
 def swu(purchases: DataFrame) -> DataFrame:
     """Sequence-weighted utility of an item: the totals of the sessions that hold it, each once."""
-    return _session_weights(purchases).groupBy("item_id").agg(F.sum("total").alias("swu"))
+    weights, _ = _session_weights(purchases)
+    return weights.groupBy("item_id").agg(F.sum("total").alias("swu"))
 
 
 def promising_items(purchases: DataFrame, min_utility: MinUtility) -> DataFrame:
     """Items that may appear in a high-utility pattern: SWU at or above the threshold."""
-    return swu(purchases).filter(F.col("swu") >= min_utility.column(purchases))
+    weights, totals = _session_weights(purchases)
+    items = weights.groupBy("item_id").agg(F.sum("total").alias("swu"))
+    return items.filter(F.col("swu") >= min_utility.column(totals, "total"))
 
 
 def _reject_negative(amount: Column, lowest: Column) -> Column:
@@ -49,9 +56,12 @@ def high_utility_items(purchases: DataFrame, min_utility: MinUtility, nonnegativ
     """
     if not nonnegative:
         return high_utility_items_by_shard(purchases, min_utility, shards=1)
-    items = purchases.groupBy("item_id").agg(
-        F.sum("utility").alias("utility"), F.min("utility").alias("lowest")
-    ).select("item_id", _reject_negative(F.col("utility"), F.col("lowest")).alias("utility"))
+    # The lowest first, as in the test below: aggregates in one order let Spark share the shuffle.
+    items = (
+        purchases.groupBy("item_id")
+        .agg(F.min("utility").alias("lowest"), F.sum("utility").alias("utility"))
+        .select("item_id", _reject_negative(F.col("utility"), F.col("lowest")).alias("utility"))
+    )
     return items.filter(F.col("utility") >= min_utility.column(items))
 
 
@@ -64,13 +74,12 @@ def high_utility_items_by_shard(
     shard only, so an item can be lost that reaches the threshold overall; one shard is exact.
     """
     merges = {"max": F.max, "sum": F.sum}
+    weights, totals = _session_weights(purchases)
     local = (
-        _session_weights(purchases)
-        .groupBy(F.pmod("session_id", F.lit(shards)).alias("shard"), "item_id")
+        weights.groupBy(F.pmod("session_id", F.lit(shards)).alias("shard"), "item_id")
         .agg(F.sum("total").alias("swu"), F.sum("own").alias("utility"))
     )
-    # The local utilities add up to the grand total, so a relative threshold needs no second scan.
-    threshold = min_utility.column(local)
+    threshold = min_utility.column(totals, "total")
     return (
         local.filter((F.col("swu") >= threshold) & (F.col("utility") >= threshold))
         .groupBy("item_id")
