@@ -1,0 +1,96 @@
+"""Reading and storing files, and the batch job from files to files."""
+
+from __future__ import annotations
+
+import datetime
+from decimal import Decimal
+
+from yieldlens.functions.threshold import MinUtility
+from yieldlens.plans.checkpoints import use_checkpoints
+from yieldlens.plans.pipeline import Settings, pipeline_counts, run_batch, serve
+from yieldlens.sources import tables
+
+PURCHASES = """Session ID,Timestamp,Item ID,Price,Quantity
+1,2014-04-03T10:44:35.672Z,70,1147,4
+,2014-04-03T10:44:36Z,70,1147,4
+2,2014-04-03T10:44:37Z,,1147,4
+3,2014-04-03T10:44:38Z,71,,4
+4,2014-04-03T10:44:39Z,72,10,many
+5,not a time,3000000000,10.5,2
+"""
+CLICKS = """1,2014-04-03T10:44:30.100Z,70,S
+1,2014-04-03T10:44:31Z,71,0
+5,2014-04-03T10:44:32Z,70,
+,2014-04-03T10:44:33Z,70,3
+6,2014-04-03T10:44:34Z,x,3
+"""
+
+
+def write(tmp_path, name, text):
+    path = tmp_path / name
+    path.write_text(text)
+    return str(path)
+
+
+def test_headers_and_incomplete_rows_drop_out(spark, tmp_path):
+    df = tables.load_purchases(spark, write(tmp_path, "buys.dat", PURCHASES))
+    found = {r.session_id: r for r in df.collect()}
+    assert set(found) == {1, 5}
+    assert found[1].utility == Decimal("4588.00")
+    assert found[1].ts == datetime.datetime(2014, 4, 3, 10, 44, 35, 672000)
+    assert found[5].item_id == 3_000_000_000 and found[5].ts is None and found[5].utility == Decimal("21.00")
+
+
+def test_clicks_keep_their_category(spark, tmp_path):
+    df = tables.load_clicks(spark, write(tmp_path, "clicks.dat", CLICKS))
+    assert sorted((r.session_id, r.item_id, r.category) for r in df.collect()) == [
+        (1, 70, "S"), (1, 71, "0"), (5, 70, None)
+    ] or sorted((r.session_id, r.item_id, r.category or "") for r in df.collect()) == [
+        (1, 70, "S"), (1, 71, "0"), (5, 70, "")
+    ]
+    assert dict(df.dtypes) == {"session_id": "bigint", "ts": "timestamp", "item_id": "bigint", "category": "string"}
+
+
+def test_strict_casts(spark):
+    raw = spark.createDataFrame([("1", "t", "2", "1.5", "3"), ("a", "t", "b", "c", "d")], "session_id string, ts string, item_id string, price string, quantity string")
+    typed = tables.typed_purchases(raw).collect()
+    assert tuple(typed[0])[2:] == (2, Decimal("1.50"), 3) and typed[1].price is None and typed[1].session_id is None
+
+
+def test_first_rows_and_preview(spark):
+    df = spark.range(100).selectExpr("100 - id AS k")
+    assert sorted(r.k for r in tables.first_rows(df, ["k"], 3).collect()) == [1, 2, 3]
+    assert tables.first_rows(df, ["k"], None) is df
+    assert tables.preview(df).count() == 5
+
+
+def test_matrix_survives_storage(spark, tmp_path):
+    matrix = spark.createDataFrame([(1, 2, Decimal("3.50")), (4, 5, Decimal("6.00"))], "click_item long, purchase_item long, weight decimal(38,2)")
+    tables.save_matrix(matrix, str(tmp_path / "m"))
+    back = tables.load_matrix(spark, str(tmp_path / "m"))
+    assert back.dtypes == matrix.dtypes and sorted(back.collect()) == sorted(matrix.collect())
+    path = write(tmp_path, "m.csv", "Click_Item,Purchase_Item,WHUOM_Weight\n1,2,3.5\n")
+    assert [tuple(r) for r in tables.load_matrix(spark, path, "csv").collect()] == [(1, 2, 3.5)]
+
+
+def test_batch_job(spark, tmp_path):
+    clicks = write(tmp_path, "clicks.dat", CLICKS)
+    buys = write(tmp_path, "buys.dat", PURCHASES)
+    settings = Settings(MinUtility.of_amount(1000), top_k=3)
+    out = str(tmp_path / "out")
+    run_batch(spark, clicks, buys, out, settings)
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/items").collect()] == [(70, Decimal("4588.00"))]
+    lists = {r.session_id: r["items"] for r in spark.read.parquet(f"{out}/recommendations").collect()}
+    assert lists == {1: [70], 5: [70]}
+    again = serve(spark, f"{out}/matrix", tables.load_clicks(spark, clicks), 1)
+    assert {r.session_id: r["items"] for r in again.collect()} == lists
+    run_batch(spark, clicks, buys, str(tmp_path / "capped"), settings, rows=1)
+    assert spark.read.parquet(f"{tmp_path}/capped/recommendations").count() == 1
+    counted = pipeline_counts(tables.load_clicks(spark, clicks), tables.load_purchases(spark, buys), settings)
+    assert {r.stage: r["rows"] for r in counted.collect()} == {
+        "clicks": 3, "purchases": 2, "items": 1, "pairs": 3, "weights": 2
+    }
+
+
+def test_checkpoints_go_where_the_session_says(spark):
+    assert spark.conf.get("spark.checkpoint.dir") in use_checkpoints(spark)

@@ -66,7 +66,7 @@ def test_places_and_rest_across_slices(skewed, instant):
     plain = skewed.select(
         "session_id", "event_id",
         F.rank().over(whole.orderBy(*instant)).cast("bigint").alias("pos"),
-        F.coalesce(F.sum("utility").over(later), F.lit(0)).cast("decimal(28,2)").alias("rest"),
+        F.sum("utility").over(later).cast("decimal(28,2)").alias("rest"),
     )
     hot = hot_spans(skewed, "session_id", "ts", FLOOR)
     for spans in (hot, None):

@@ -72,11 +72,11 @@ def _pattern_events(
 def _worth(state: DataFrame, pattern: list[str]) -> DataFrame:
     """Utility of each pattern, and the most that any of its extensions can reach.
 
-    A match can only gain what lies behind it; one with nothing behind it has no extension.
+    A match can only gain what lies behind it. One with nothing behind, where ``rest`` is NULL, has
+    no extension and adds nothing to the bound.
     """
-    reachable = F.when(F.col("rest") > 0, F.col("best") + F.col("rest")).otherwise(F.lit(0))
     per_session = state.groupBy(*pattern, "session_id").agg(
-        F.max("best").alias("best"), F.max(reachable).alias("bound")
+        F.max("best").alias("best"), F.max(F.col("best") + F.col("rest")).alias("bound")
     )
     return per_session.groupBy(*pattern).agg(F.sum("best").alias("utility"), F.sum("bound").alias("bound"))
 

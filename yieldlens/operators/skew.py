@@ -109,7 +109,8 @@ def ordered(
     """Add ``block`` and ``pos``, the place of a row in its group, and ``rest``, the ``amount`` after it.
 
     Rows that agree on all ``instant`` columns, the first of which is a timestamp, get the same
-    place. ``rest`` adds up the rows behind by ``order`` (default: ``instant``). Hot groups, given
+    place. ``rest`` adds up the rows behind by ``order`` (default: ``instant``), which has to be
+    total; it is NULL for the last row, as distinct from zero. Hot groups, given
     by ``hot_spans``, are worked slice by slice; what lies in other slices comes from one small row
     per slice. ``hot`` is None where it is known that no group is hot.
     """
@@ -118,8 +119,9 @@ def ordered(
     part = W.partitionBy(key, "block")
     placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
     if amount is not None:
-        upto = F.sum(amount).over(part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
-        placed = placed.withColumn("rest", F.sum(amount).over(part) - upto)
+        upto = part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        behind = F.count("*").over(part) > F.count("*").over(upto)
+        placed = placed.withColumn("rest", F.when(behind, F.sum(amount).over(part) - F.sum(amount).over(upto)))
     if hot is None:
         return placed
     slices = rows.filter(F.col("block").isNotNull()).groupBy(key, "block").agg(
@@ -140,7 +142,8 @@ def ordered(
         "pos", F.col("pos") + F.coalesce("rows_before", F.lit(0))
     )
     if amount is not None:
-        placed = placed.withColumn("rest", F.col("rest") + F.coalesce("sum_after", F.lit(0)))
+        both = F.coalesce("rest", F.lit(0)) + F.coalesce("sum_after", F.lit(0))
+        placed = placed.withColumn("rest", F.when(F.coalesce("rest", "sum_after").isNotNull(), both))
     return placed.drop("rows_before", "sum_after")
 
 
