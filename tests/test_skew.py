@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 from yieldlens.functions.columns import sequence_text
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators import patterns, sequences
-from yieldlens.operators.skew import BROADCAST_ROWS, bounded, hot_keys, hot_spans, key_counts, ordered, running_max, semi_join, split_join
+from yieldlens.operators.skew import BROADCAST_ROWS, bounded, earlier_max, hot_keys, hot_spans, key_counts, ordered, semi_join, split_join
 
 FLOOR = 5
 
@@ -76,16 +76,13 @@ def test_places_and_rest_across_slices(skewed, instant):
     assert blocks.select("session_id").distinct().count() == 1 and blocks.select("block").distinct().count() > 20
 
 
-def test_running_max_across_slices(skewed):
-    plain = skewed.select(
-        "session_id", "event_id",
-        F.max("utility").over(
-            W.partitionBy("session_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-        ).alias("reach"),
-    )
+def test_earlier_max_across_slices(skewed):
+    before = W.partitionBy("session_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, -1)
+    plain = skewed.select("session_id", "event_id", F.max("utility").over(before).alias("earlier"))
     sliced = ordered(skewed, "session_id", ["ts", "event_id"], hot_spans(skewed, "session_id", "ts", FLOOR))
-    got = running_max(sliced, ["session_id"], ["pos"], "utility", split=True)
-    assert rows(got.select("session_id", "event_id", "reach")) == rows(plain)
+    for split in (True, False):
+        got = earlier_max(sliced, ["session_id"], "pos", "utility", split)
+        assert rows(got.select("session_id", "event_id", "earlier")) == rows(plain)
 
 
 def test_long_sessions_continue_over_parts(skewed):

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import HOT_FLOOR, hot_spans, ordered, running_max, semi_join, split_join
+from yieldlens.operators.skew import HOT_FLOOR, earlier_max, hot_spans, ordered, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
@@ -69,55 +70,63 @@ def _pattern_events(
     return placed.checkpoint(), F.lit(min_utility.amount), split
 
 
-def _worth(state: DataFrame, pattern: list[str]) -> DataFrame:
+def _worth(matches: DataFrame, pattern: list[str]) -> DataFrame:
     """Utility of each pattern, and the most that any of its extensions can reach.
 
     A match can only gain what lies behind it. One with nothing behind, where ``rest`` is NULL, has
     no extension and adds nothing to the bound.
     """
-    per_session = state.groupBy(*pattern, "session_id").agg(
+    per_session = matches.groupBy(*pattern, "session_id").agg(
         F.max("best").alias("best"), F.max(F.col("best") + F.col("rest")).alias("bound")
     )
     return per_session.groupBy(*pattern).agg(F.sum("best").alias("utility"), F.sum("bound").alias("bound"))
 
 
-def _append_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
+def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool) -> DataFrame:
+    """The matches that extensions can build on, with ``record`` true where a later itemset can.
+
+    A match that ends no earlier than another of the same pattern and session, and is worth no
+    more, never leads to a better match by a later itemset, so only records of the running maximum
+    count there. Widening the last itemset needs every match.
+    """
+    marked = earlier_max(matches.drop("rest"), [*pattern, "session_id"], "pos", "best", split)
+    marked = marked.withColumn("record", F.coalesce(F.col("best") > F.col("earlier"), F.lit(True))).drop("earlier")
+    return marked.filter("record") if singletons else marked
+
+
+def _later_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
     """Each pattern followed by one more itemset of a single item.
 
-    For every later event only the best match before it counts, a running maximum over the
-    session, so places are never paired with each other.
+    An event continues the best match before it, which is the last record before it: each record
+    serves the events up to the next one.
     """
     pattern = _columns(length)
-    starts = state.groupBy(*pattern, "session_id").agg(F.min("pos").alias("start"))
+    along = W.partitionBy(*pattern, "session_id").orderBy("pos")
+    records = state.filter("record").select(
+        *pattern, "session_id", F.col("pos").alias("since"), F.lead("pos").over(along).alias("until"), "best"
+    )
     joined = (
-        split_join(events, starts, ["session_id"], ["pos", "item_id"], floor=floor)
+        split_join(events, records, ["session_id"], ["pos", "item_id"], floor=floor)
         if split
-        else events.join(starts, "session_id")
-    )
-    later = joined.filter(F.col("pos") > F.col("start")).drop("start")
-    matches = state.select(*pattern, "session_id", "block", "pos", "best")
-    # At one place events sort before matches: a match does not reach events of its own itemset.
-    both = later.withColumn("match", F.lit(False)).unionByName(
-        matches.withColumn("match", F.lit(True)), allowMissingColumns=True
+        else events.join(records, "session_id")
     )
-    reached = running_max(both, [*pattern, "session_id"], ["pos", "match"], "best", split)
-    return reached.filter(~F.col("match")).select(
+    reached = (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
+    return joined.filter(reached).select(
         F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint")).alias("shape"),
         *pattern[1:],
         F.col("item_id").alias(f"i{length + 1}"),
         "session_id",
         "block",
         "pos",
-        (F.col("reach") + F.col("u")).cast(AMOUNT).alias("best"),
+        (F.col("best") + F.col("u")).cast(AMOUNT).alias("best"),
         "rest",
     )
 
 
-def _widen_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
+def _wider_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
     """Each pattern with one more item in its last itemset; the items of an itemset ascend."""
-    here = events.drop("block")
     place = ["session_id", "pos"]
-    matches = state.drop("rest")
+    here, matches = events.drop("block"), state.drop("record")
     joined = split_join(matches, here, place, _columns(length), floor=floor) if split else matches.join(here, place)
     return joined.filter(F.col("item_id") > F.col(f"i{length}")).select(
         *_columns(length),
@@ -141,16 +150,19 @@ def high_utility_sequences(
     """All patterns of up to ``max_length`` items whose utility reaches the threshold.
 
     With ``singletons`` every purchase is an itemset of its own, ordered by all ``order`` columns;
-    otherwise purchases at the same time, the first of them, form one itemset. Patterns grow level
-    by level; one is extended only while the bound on its extensions reaches the threshold, which
-    loses nothing. Levels are checkpointed, and the loop fetches row counts but no rows.
+    otherwise purchases at the same time, the first of them, form one itemset.
+
+    Patterns grow level by level. The matches of the longer patterns are first only aggregated, to
+    find which are valuable and which are worth extending: those whose bound reaches the threshold,
+    which loses nothing. Only matches of the latter are stored, as a checkpoint, for the next level.
+    The loop fetches row counts but no rows.
     """
     if not 1 <= max_length <= MAX_LENGTH:
         raise ValueError(f"max_length must lie between 1 and {MAX_LENGTH}")
     use_checkpoints(purchases.sparkSession)
     purchases = purchases.select(*dict.fromkeys(["session_id", "item_id", *order, "utility"]))
     events, least, split = _pattern_events(purchases, min_utility, order, singletons, floor)
-    state = events.select(
+    matches = events.select(
         F.lit(1).cast("bigint").alias("shape"),
         F.col("item_id").alias("i1"),
         "session_id",
@@ -162,17 +174,16 @@ def high_utility_sequences(
     found = []
     for length in range(1, max_length + 1):
         pattern = _columns(length)
-        worth = _worth(state, pattern).checkpoint()
+        worth = _worth(matches, pattern).checkpoint()
         found.append(worth.filter(F.col("utility") >= least).select(_as_arrays(length).alias("pattern"), "utility"))
         live = worth.filter(F.col("bound") >= least).select(*pattern)
         if length == max_length or not (size := live.count()):
             break
-        state = semi_join(state, pattern, live, size, ["session_id", "pos"])
-        longer = _append_itemset(state, events, length, split, floor)
+        kept = semi_join(matches, pattern, live, size, ["session_id", "pos"])
+        state = _state(kept, pattern, singletons, split).checkpoint()
+        matches = _later_itemset(state, events, length, split, floor)
         if not singletons:
-            longer = longer.unionByName(_widen_itemset(state, events, length, split, floor))
-        # The last level is read once, for its worth.
-        state = longer if length + 1 == max_length else longer.checkpoint()
+            matches = matches.unionByName(_wider_itemset(state, events, length, split, floor))
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

@@ -147,26 +147,25 @@ def ordered(
     return placed.drop("rows_before", "sum_after")
 
 
-def running_max(rows: DataFrame, group: Sequence[str], order: Sequence[str], value: str, split: bool) -> DataFrame:
-    """Add ``reach``: the largest ``value`` so far in the group, by ``order``, across its ``block`` slices.
+def earlier_max(rows: DataFrame, group: Sequence[str], order: str, value: str, split: bool) -> DataFrame:
+    """Add ``earlier``: the largest ``value`` before this row in its group, across ``block`` slices.
 
-    ``split`` says whether any row has a slice number; without one the second pass is left out.
+    ``split`` says whether any row has a slice number; without one no slices are told apart.
     """
-    inside = F.max(value).over(
-        W.partitionBy(*group, "block").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    out = rows.withColumn("reach", inside)
+    before = (W.unboundedPreceding, -1)
     if not split:
-        return out
-    along = W.partitionBy(*group).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    earlier = (
+        return rows.withColumn("earlier", F.max(value).over(W.partitionBy(*group).orderBy(order).rowsBetween(*before)))
+    inside = F.max(value).over(W.partitionBy(*group, "block").orderBy(order).rowsBetween(*before))
+    outside = (
         rows.filter(F.col("block").isNotNull())
         .groupBy(*group, "block")
         .agg(F.max(value).alias("slice_max"))
-        .select(*group, "block", F.max("slice_max").over(along).alias("reach_before"))
+        .withColumn("outside", F.max("slice_max").over(W.partitionBy(*group).orderBy("block").rowsBetween(*before)))
+        .drop("slice_max")
     )
     return (
-        out.join(earlier, [*group, "block"], "left")
-        .withColumn("reach", F.greatest("reach", "reach_before"))
-        .drop("reach_before")
+        rows.withColumn("inside", inside)
+        .join(outside, [*group, "block"], "left")
+        .withColumn("earlier", F.greatest("inside", "outside"))
+        .drop("inside", "outside")
     )
