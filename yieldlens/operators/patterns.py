@@ -83,36 +83,48 @@ def _worth(matches: DataFrame, pattern: list[str]) -> DataFrame:
 
 
 def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool) -> DataFrame:
-    """The matches that extensions can build on, with ``record`` true where a later itemset can.
+    """The matches that extensions can build on, with the places ``since`` .. ``until`` they serve.
 
     A match that ends no earlier than another of the same pattern and session, and is worth no
-    more, never leads to a better match by a later itemset, so only records of the running maximum
-    count there. Widening the last itemset needs every match.
+    more, never leads to a better match by a later itemset. So only records of the running maximum
+    are kept for that, each serving the places up to the next record. Widening the last itemset
+    needs every match, at its own place.
     """
-    marked = earlier_max(matches.drop("rest"), [*pattern, "session_id"], "pos", "best", split)
-    marked = marked.withColumn("record", F.coalesce(F.col("best") > F.col("earlier"), F.lit(True))).drop("earlier")
-    return marked.filter("record") if singletons else marked
+    group = [*pattern, "session_id"]
+    marked = earlier_max(matches, group, "pos", "best", split)
+    records = marked.filter(F.col("earlier").isNull() | (F.col("best") > F.col("earlier")))
+    following = F.lead("pos").over(W.partitionBy(*group).orderBy("pos"))
+    later = records.select(
+        *group, F.col("pos").alias("since"), following.alias("until"), "best", F.lit(False).alias("widen")
+    )
+    if singletons:
+        return later
+    own = F.col("pos")
+    return later.unionByName(matches.select(*group, own.alias("since"), own.alias("until"), "best", F.lit(True).alias("widen")))
 
 
-def _later_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
-    """Each pattern followed by one more itemset of a single item.
+def _extended(
+    state: DataFrame, events: DataFrame, length: int, singletons: bool, split: bool, floor: int
+) -> DataFrame:
+    """Matches of all patterns longer by one item: in a later itemset, or in the last one.
 
-    An event continues the best match before it, which is the last record before it: each record
-    serves the events up to the next one.
+    Without a hot session one join by session does both, and what follows groups by session and
+    more, so the matches need not be shuffled again.
     """
     pattern = _columns(length)
-    along = W.partitionBy(*pattern, "session_id").orderBy("pos")
-    records = state.filter("record").select(
-        *pattern, "session_id", F.col("pos").alias("since"), F.lead("pos").over(along).alias("until"), "best"
-    )
-    joined = (
-        split_join(events, records, ["session_id"], ["pos", "item_id"], floor=floor)
-        if split
-        else events.join(records, "session_id")
-    )
-    reached = (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
-    return joined.filter(reached).select(
-        F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint")).alias("shape"),
+    last = F.col(f"i{length}")
+    if not split:
+        joined = events.join(state, "session_id")
+    else:
+        joined = split_join(events, state.filter(~F.col("widen")), ["session_id"], ["pos", "item_id"], floor=floor)
+        if not singletons:
+            here = state.filter("widen").withColumn("pos", F.col("since"))
+            joined = joined.unionByName(split_join(here, events, ["session_id", "pos"], pattern, floor=floor))
+    later = ~F.col("widen") & (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
+    wider = F.col("widen") & (F.col("pos") == F.col("since")) & (F.col("item_id") > last)
+    opened = F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint"))
+    return joined.filter(later if singletons else later | wider).select(
+        F.when(F.col("widen"), F.col("shape")).otherwise(opened).alias("shape"),
         *pattern[1:],
         F.col("item_id").alias(f"i{length + 1}"),
         "session_id",
@@ -123,22 +135,6 @@ def _later_itemset(state: DataFrame, events: DataFrame, length: int, split: bool
     )
 
 
-def _wider_itemset(state: DataFrame, events: DataFrame, length: int, split: bool, floor: int) -> DataFrame:
-    """Each pattern with one more item in its last itemset; the items of an itemset ascend."""
-    place = ["session_id", "pos"]
-    here, matches = events.drop("block"), state.drop("record")
-    joined = split_join(matches, here, place, _columns(length), floor=floor) if split else matches.join(here, place)
-    return joined.filter(F.col("item_id") > F.col(f"i{length}")).select(
-        *_columns(length),
-        F.col("item_id").alias(f"i{length + 1}"),
-        "session_id",
-        "block",
-        "pos",
-        (F.col("best") + F.col("u")).cast(AMOUNT).alias("best"),
-        "rest",
-    )
-
-
 def high_utility_sequences(
     purchases: DataFrame,
     min_utility: MinUtility,
@@ -181,9 +177,7 @@ def high_utility_sequences(
             break
         kept = semi_join(matches, pattern, live, size, ["session_id", "pos"])
         state = _state(kept, pattern, singletons, split).checkpoint()
-        matches = _later_itemset(state, events, length, split, floor)
-        if not singletons:
-            matches = matches.unionByName(_wider_itemset(state, events, length, split, floor))
+        matches = _extended(state, events, length, singletons, split, floor)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

@@ -80,7 +80,8 @@ def hot_spans(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> Dat
     """The hot values of ``key`` with the first and last ``time`` of each, for ``ordered``."""
     micros = F.unix_micros(time)
     spans = key_counts(df, [key], F.min(micros).alias("hot_first"), F.max(micros).alias("hot_last"))
-    return hot_keys(spans, floor)
+    # True wherever there is a time at all. Both uses of the counts so need all columns and share them.
+    return hot_keys(spans.filter(F.col("hot_first") <= F.col("hot_last")), floor)
 
 
 def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> DataFrame:
@@ -116,7 +117,7 @@ def ordered(
     """
     order = list(order or instant)
     rows = _with_blocks(df, key, instant[0], hot)
-    part = W.partitionBy(key, "block")
+    part = W.partitionBy(key) if hot is None else W.partitionBy(key, "block")
     placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
     if amount is not None:
         upto = part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
