@@ -83,24 +83,30 @@ def _worth(matches: DataFrame, pattern: list[str]) -> DataFrame:
 
 
 def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool) -> DataFrame:
-    """The matches that extensions can build on, with the places ``since`` .. ``until`` they serve.
+    """The matches that extensions can build on; ``record`` says which of them a later itemset can.
 
     A match that ends no earlier than another of the same pattern and session, and is worth no
     more, never leads to a better match by a later itemset. So only records of the running maximum
-    are kept for that, each serving the places up to the next record. Widening the last itemset
-    needs every match, at its own place.
+    serve for that, each for the places behind it up to ``until``, where the next record is.
+    Widening the last itemset needs every match, at its own place ``since``.
     """
     group = [*pattern, "session_id"]
-    marked = earlier_max(matches, group, "pos", "best", split)
-    records = marked.filter(F.col("earlier").isNull() | (F.col("best") > F.col("earlier")))
-    following = F.lead("pos").over(W.partitionBy(*group).orderBy("pos"))
-    later = records.select(
-        *group, F.col("pos").alias("since"), following.alias("until"), "best", F.lit(False).alias("widen")
+    whole = W.partitionBy(*group)
+    marked = (
+        earlier_max(matches.drop("rest"), group, "pos", "best", split)
+        .withColumn("record", F.col("earlier").isNull() | (F.col("best") > F.col("earlier")))
+        .drop("earlier", "block")
     )
     if singletons:
-        return later
-    own = F.col("pos")
-    return later.unionByName(matches.select(*group, own.alias("since"), own.alias("until"), "best", F.lit(True).alias("widen")))
+        marked = marked.filter("record").withColumn("until", F.lead("pos").over(whole.orderBy("pos")))
+    elif split:
+        # Records are few even in a hot session.
+        ends = marked.filter("record").select(*group, "pos", F.lead("pos").over(whole.orderBy("pos")).alias("until"))
+        marked = marked.join(ends, [*group, "pos"], "left")
+    else:
+        back = whole.orderBy(F.col("pos").desc()).rowsBetween(W.unboundedPreceding, -1)
+        marked = marked.withColumn("until", F.min(F.when(F.col("record"), F.col("pos"))).over(back))
+    return marked.withColumnRenamed("pos", "since")
 
 
 def _extended(
@@ -112,19 +118,20 @@ def _extended(
     more, so the matches need not be shuffled again.
     """
     pattern = _columns(length)
-    last = F.col(f"i{length}")
+    later = F.col("record") & (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
+    wider = (F.col("pos") == F.col("since")) & (F.col("item_id") > F.col(f"i{length}"))
     if not split:
-        joined = events.join(state, "session_id")
+        joined = events.join(state, "session_id").filter(later if singletons else later | wider)
     else:
-        joined = split_join(events, state.filter(~F.col("widen")), ["session_id"], ["pos", "item_id"], floor=floor)
+        records = state.filter("record")
+        joined = split_join(events, records, ["session_id"], ["pos", "item_id"], floor=floor).filter(later)
         if not singletons:
-            here = state.filter("widen").withColumn("pos", F.col("since"))
-            joined = joined.unionByName(split_join(here, events, ["session_id", "pos"], pattern, floor=floor))
-    later = ~F.col("widen") & (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
-    wider = F.col("widen") & (F.col("pos") == F.col("since")) & (F.col("item_id") > last)
+            here = state.withColumn("pos", F.col("since"))
+            beside = split_join(here, events, ["session_id", "pos"], pattern, floor=floor).filter(wider)
+            joined = joined.unionByName(beside)
     opened = F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint"))
-    return joined.filter(later if singletons else later | wider).select(
-        F.when(F.col("widen"), F.col("shape")).otherwise(opened).alias("shape"),
+    return joined.select(
+        F.when(F.col("pos") > F.col("since"), opened).otherwise(F.col("shape")).alias("shape"),
         *pattern[1:],
         F.col("item_id").alias(f"i{length + 1}"),
         "session_id",
