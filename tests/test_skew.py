@@ -67,11 +67,12 @@ def test_places_and_rest_across_slices(skewed, instant):
         "session_id", "event_id",
         F.rank().over(whole.orderBy(*instant)).cast("bigint").alias("pos"),
         F.sum("utility").over(later).cast("decimal(28,2)").alias("rest"),
+        F.max("utility").over(later).alias("peak"),
     )
     hot = hot_spans(skewed, "session_id", "ts", FLOOR)
     for spans in (hot, None):
         got = ordered(skewed, "session_id", instant, spans, order, "utility")
-        assert rows(got.select("session_id", "event_id", "pos", F.col("rest").cast("decimal(28,2)"))) == rows(plain)
+        assert rows(got.select("session_id", "event_id", "pos", F.col("rest").cast("decimal(28,2)"), "peak")) == rows(plain)
     blocks = ordered(skewed, "session_id", instant, hot).filter("block IS NOT NULL")
     assert blocks.select("session_id").distinct().count() == 1 and blocks.select("block").distinct().count() > 20
 

@@ -65,19 +65,39 @@ def _pattern_events(
     split = not hot.isEmpty()
     full_order = instant if "item_id" in instant else [*instant, "item_id"]
     placed = ordered(kept, "session_id", instant, hot if split else None, full_order, "u").select(
-        "session_id", "block", "pos", "item_id", "u", "rest"
+        "session_id", "block", "pos", "item_id", "u", "rest", "peak"
     )
     return placed.checkpoint(), F.lit(min_utility.amount), split
 
 
+def _gain(more: int) -> Column:
+    """The most that ``more`` further items can add to a match; NULL where nothing lies behind it.
+
+    They cannot add more than all that lies behind, nor more than so many times the largest of it.
+    The latter keeps the bound tight in long sessions.
+    """
+    return F.least(F.col("rest"), F.col("peak") * F.lit(more)).cast(AMOUNT)
+
+
+def _latest_best(events: DataFrame) -> DataFrame:
+    """Events worth more than every later one of the same item in the session.
+
+    At the end of a pattern no other event of an item can be in the best match.
+    """
+    turned = events.withColumns({"back": -F.col("pos"), "block": -F.col("block")})
+    marked = earlier_max(turned, ["session_id", "item_id"], "back", "u", split=True)
+    best = marked.filter(F.col("earlier").isNull() | (F.col("u") > F.col("earlier")))
+    return best.withColumn("block", -F.col("block")).select(events.columns)
+
+
 def _worth(matches: DataFrame, pattern: list[str]) -> DataFrame:
     """Utility of each pattern, and the most that any of its extensions can reach.
 
-    A match can only gain what lies behind it. One with nothing behind, where ``rest`` is NULL, has
-    no extension and adds nothing to the bound.
+    A match with nothing behind it, where ``gain`` is NULL, has no extension and adds nothing to the
+    bound.
     """
     per_session = matches.groupBy(*pattern, "session_id").agg(
-        F.max("best").alias("best"), F.max(F.col("best") + F.col("rest")).alias("bound")
+        F.max("best").alias("best"), F.max(F.col("best") + F.col("gain")).alias("bound")
     )
     return per_session.groupBy(*pattern).agg(F.sum("best").alias("utility"), F.sum("bound").alias("bound"))
 
@@ -93,7 +113,7 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
     group = [*pattern, "session_id"]
     whole = W.partitionBy(*group)
     marked = (
-        earlier_max(matches.drop("rest"), group, "pos", "best", split)
+        earlier_max(matches.drop("gain"), group, "pos", "best", split)
         .withColumn("record", F.col("earlier").isNull() | (F.col("best") > F.col("earlier")))
         .drop("earlier", "block")
     )
@@ -110,11 +130,11 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
 
 
 def _extended(
-    state: DataFrame, events: DataFrame, length: int, singletons: bool, split: bool, floor: int
+    state: DataFrame, events: DataFrame, length: int, more: int, singletons: bool, split: bool, floor: int
 ) -> DataFrame:
     """Matches of all patterns longer by one item: in a later itemset, or in the last one.
 
-    Without a hot session one join by session does both, and what follows groups by session and
+    ``more`` is the number of items that may still follow. Without a hot session one join by session does both, and what follows groups by session and
     more, so the matches need not be shuffled again.
     """
     pattern = _columns(length)
@@ -124,7 +144,8 @@ def _extended(
         joined = events.join(state, "session_id").filter(later if singletons else later | wider)
     else:
         records = state.filter("record")
-        joined = split_join(events, records, ["session_id"], ["pos", "item_id"], floor=floor).filter(later)
+        useful = events if more else _latest_best(events)
+        joined = split_join(useful, records, ["session_id"], ["pos", "item_id"], floor=floor).filter(later)
         if not singletons:
             here = state.withColumn("pos", F.col("since"))
             beside = split_join(here, events, ["session_id", "pos"], pattern, floor=floor).filter(wider)
@@ -138,7 +159,7 @@ def _extended(
         "block",
         "pos",
         (F.col("best") + F.col("u")).cast(AMOUNT).alias("best"),
-        "rest",
+        _gain(more).alias("gain"),
     )
 
 
@@ -172,7 +193,7 @@ def high_utility_sequences(
         "block",
         "pos",
         F.col("u").cast(AMOUNT).alias("best"),
-        "rest",
+        _gain(max_length - 1).alias("gain"),
     )
     found = []
     for length in range(1, max_length + 1):
@@ -184,7 +205,7 @@ def high_utility_sequences(
             break
         kept = semi_join(matches, pattern, live, size, ["session_id", "pos"])
         state = _state(kept, pattern, singletons, split).checkpoint()
-        matches = _extended(state, events, length, singletons, split, floor)
+        matches = _extended(state, events, length, max_length - length - 1, singletons, split, floor)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

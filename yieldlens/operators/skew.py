@@ -107,26 +107,25 @@ def ordered(
     order: Sequence[str] | None = None,
     amount: str | None = None,
 ) -> DataFrame:
-    """Add ``block`` and ``pos``, the place of a row in its group, and ``rest``, the ``amount`` after it.
+    """Add ``block`` and ``pos``, the place of a row in its group, and what lies behind it.
 
     Rows that agree on all ``instant`` columns, the first of which is a timestamp, get the same
-    place. ``rest`` adds up the rows behind by ``order`` (default: ``instant``), which has to be
-    total; it is NULL for the last row, as distinct from zero. Hot groups, given
-    by ``hot_spans``, are worked slice by slice; what lies in other slices comes from one small row
-    per slice. ``hot`` is None where it is known that no group is hot.
+    place. Given an ``amount``, ``rest`` is its sum and ``peak`` its maximum over the rows behind by
+    ``order`` (default: ``instant``), which has to be total; both are NULL for the last row. Hot
+    groups, given by ``hot_spans``, are worked slice by slice; what lies in other slices comes from
+    one small row per slice. ``hot`` is None where it is known that no group is hot.
     """
-    order = list(order or instant)
     rows = _with_blocks(df, key, instant[0], hot)
     part = W.partitionBy(key) if hot is None else W.partitionBy(key, "block")
     placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
     if amount is not None:
-        upto = part.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        behind = F.count("*").over(part) > F.count("*").over(upto)
-        placed = placed.withColumn("rest", F.when(behind, F.sum(amount).over(part) - F.sum(amount).over(upto)))
+        behind = part.orderBy(*[F.col(c).desc() for c in order or instant]).rowsBetween(W.unboundedPreceding, -1)
+        placed = placed.withColumns({"rest": F.sum(amount).over(behind), "peak": F.max(amount).over(behind)})
     if hot is None:
         return placed
+    value = F.lit(0) if amount is None else F.col(amount)
     slices = rows.filter(F.col("block").isNotNull()).groupBy(key, "block").agg(
-        F.count("*").alias("slice_rows"), F.sum(F.lit(0) if amount is None else F.col(amount)).alias("slice_sum")
+        F.count("*").alias("slice_rows"), F.sum(value).alias("slice_sum"), F.max(value).alias("slice_max")
     )
     along = W.partitionBy(key).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     back = W.partitionBy(key).orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -137,6 +136,7 @@ def ordered(
             "block",
             F.sum("slice_rows").over(along).alias("rows_before"),
             F.sum("slice_sum").over(back).alias("sum_after"),
+            F.max("slice_max").over(back).alias("max_after"),
         )
     )
     placed = placed.join(outside, [key, "block"], "left").withColumn(
@@ -144,8 +144,13 @@ def ordered(
     )
     if amount is not None:
         both = F.coalesce("rest", F.lit(0)) + F.coalesce("sum_after", F.lit(0))
-        placed = placed.withColumn("rest", F.when(F.coalesce("rest", "sum_after").isNotNull(), both))
-    return placed.drop("rows_before", "sum_after")
+        placed = placed.withColumns(
+            {
+                "rest": F.when(F.coalesce("rest", "sum_after").isNotNull(), both),
+                "peak": F.greatest("peak", "max_after"),
+            }
+        )
+    return placed.drop("rows_before", "sum_after", "max_after")
 
 
 def earlier_max(rows: DataFrame, group: Sequence[str], order: str, value: str, split: bool) -> DataFrame:
