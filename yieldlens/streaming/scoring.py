@@ -2,17 +2,19 @@
 
 A session's clicks arrive over several micro-batches, and every answer needs all of them. Each
 batch therefore stores its clicks, and the sessions it touched are scored again over their stored
-clicks. Both tables lie in a folder shared by all executors, in one subfolder per batch that a
+clicks. Both tables lie in a folder shared by all executors, in subfolders per batch that a
 retried batch overwrites, so a failure at any point leaves neither gaps nor duplicates.
 
-    <store>/clicks/batch_id=N/day=YYYY-MM-DD    the clicks of batch N
+    <store>/clicks/day=YYYY-MM-DD/batch_id=N    the clicks of batch N
     <store>/answers/batch_id=N                  lists for the sessions touched by batch N
+
+With a time to live a batch looks into the days around its own clicks only, however old the stream.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,13 @@ from pyspark.sql.streaming import StreamingQuery
 from yieldlens.operators.matrix import session_items
 from yieldlens.operators.recommend import as_lists, recommend
 
-STORED_CLICK = "session_id bigint, ts timestamp, item_id bigint"
+STORED_CLICK = "session_id bigint, ts timestamp, item_id bigint, day date, batch_id bigint"
+UNDATED = date(1970, 1, 1)
 
 
 @dataclass(frozen=True)
 class ClickScorer:
-    """``session_ttl`` forgets clicks that are older than this when a batch arrives, by event time."""
+    """``session_ttl`` limits a session to the clicks within this time of a batch's newest click."""
 
     matrix: DataFrame
     store: str
@@ -43,33 +46,43 @@ class ClickScorer:
         )
 
     def score_batch(self, clicks: DataFrame, batch_id: int) -> None:
-        spark = clicks.sparkSession
-        folder = f"{self.store}/clicks/batch_id={batch_id}"
-        (
-            clicks.select("session_id", "ts", "item_id")
-            .withColumn("day", F.coalesce(F.to_date("ts"), F.to_date(F.lit("1970-01-01"))))
-            .write.mode("overwrite").partitionBy("day").parquet(folder)
-        )
-        batch = spark.read.schema(f"{STORED_CLICK}, day date").parquet(folder)
-        # A session ends up with an answer, possibly none, in the newest batch that touched it.
-        touched = batch.select("session_id").distinct()
-        mine = self._history(spark, batch, batch_id).join(touched, "session_id", "left_semi")
-        lists = as_lists(recommend(session_items(mine, "click_item"), self.matrix, self.top_k))
-        touched.join(lists, "session_id", "left").write.mode("overwrite").parquet(
-            f"{self.store}/answers/batch_id={batch_id}"
-        )
+        batch = clicks.select("session_id", "ts", "item_id").persist()
+        try:
+            dated = batch.withColumns(
+                {"day": F.coalesce(F.to_date("ts"), F.lit(UNDATED)), "batch_id": F.lit(batch_id)}
+            )
+            (
+                dated.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("day", "batch_id")
+                .parquet(f"{self.store}/clicks")
+            )
+            touched = batch.select("session_id").distinct()
+            mine = self._history(batch, batch_id).join(touched, "session_id", "left_semi")
+            lists = as_lists(recommend(session_items(mine, "click_item"), self.matrix, self.top_k))
+            # A touched session without a recommendation is stored too, so that no older list survives.
+            touched.join(lists, "session_id", "left").write.mode("overwrite").parquet(
+                f"{self.store}/answers/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
-    def _history(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> DataFrame:
-        stored = (
-            spark.read.schema(f"{STORED_CLICK}, batch_id bigint, day date")
-            .parquet(f"{self.store}/clicks")
-            .filter(F.col("batch_id") <= batch_id)
-        )
+    def _history(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        root = f"{self.store}/clicks"
+        reader = batch.sparkSession.read.schema(STORED_CLICK).option("basePath", root)
         if self.session_ttl is None:
-            return stored
-        newest = batch.agg((F.max("ts") - F.lit(self.session_ttl)).alias("oldest_kept")).scalar()
-        # The condition on the day is implied; it lets Spark skip whole folders.
-        return stored.filter((F.col("day") >= F.to_date(newest)) & (F.col("ts") >= newest))
+            return reader.parquet(root).filter(F.col("batch_id") <= batch_id)
+        newest = batch.agg(F.max("ts")).first()[0]
+        if newest is None:
+            return batch
+        first, last = newest - self.session_ttl, newest + self.session_ttl
+        # Only the folders of these days are listed and read; a day more on either side, as the
+        # session may count days in another time zone than this process.
+        days = [first.date() + timedelta(days=n) for n in range(-1, (last.date() - first.date()).days + 2)]
+        folders = ",".join(f"day={day.isoformat()}" for day in days)
+        return reader.parquet(f"{root}/{{{folders}}}").filter(
+            (F.col("batch_id") <= batch_id) & F.col("ts").between(first, last)
+        )
 
 
 def latest_answers(spark: SparkSession, store: str) -> DataFrame:
