@@ -17,6 +17,7 @@ from yieldlens.functions.threshold import MinUtility  # noqa: E402
 from yieldlens.operators import matrix as mx  # noqa: E402
 from yieldlens.operators import patterns, profile, recommend, sequences, utility  # noqa: E402
 from yieldlens.plans import pipeline  # noqa: E402
+from yieldlens.plans.checkpoints import stored  # noqa: E402
 from yieldlens.sources import adapters as src  # noqa: E402
 from yieldlens.sources import tables  # noqa: E402
 
@@ -76,6 +77,14 @@ def _matrix(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     return pipeline.matrix_from_events(clicks, purchases, PIPELINE)
 
 
+def _scores(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
+    return recommend.score(_clicked(clicks), *stored(_matrix(clicks, purchases)))
+
+
+def _top(scores: DataFrame) -> DataFrame:
+    return recommend.top_items(scores, TOP_K)
+
+
 def _drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
     raw = src.event_rows_with_gaps(spark, sf)
     return tables.drop_incomplete(raw, tables.CLICK_KEYS)
@@ -88,23 +97,23 @@ def _purchase_sequences(purchases: DataFrame) -> DataFrame:
 
 
 def _recommend_lists(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
-    lists = recommend.as_lists(recommend.recommend(_clicked(clicks), _matrix(clicks, purchases), TOP_K))
+    lists = recommend.as_lists(_top(_scores(clicks, purchases)))
     money = F.transform("scores", lambda s: s.cast("decimal(18,2)").cast("string"))
     return lists.select(
         "session_id", F.array_join("items", ">").alias("items"), F.array_join(money, ">").alias("scores")
     )
 
 
-def _recommend_unseen(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
-    scores = recommend.score(_clicked(clicks), _matrix(clicks, purchases))
-    return recommend.top_items(recommend.without_bought(scores, purchases), TOP_K)
+def _recommend_click_only(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
+    matrix, rows = stored(_matrix(clicks, purchases))
+    return recommend.recommend(recommend.click_only(clicks, purchases), matrix, TOP_K, rows)
 
 
 def _expected_profit(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     items = _items(purchases)
     kept = mx.purchases_of(purchases, items, PIPELINE.max_items)
-    edges = mx.profit_edges(mx.cps(clicks, kept), clicks, items, PIPELINE.max_items)
-    return recommend.expected_profit(_clicked(clicks), edges, TOP_K)
+    edges, rows = stored(mx.profit_edges(mx.cps(clicks, kept), clicks, items, PIPELINE.max_items))
+    return recommend.expected_profit(_clicked(clicks), edges, TOP_K, rows)
 
 
 def _frequent(df: DataFrame, support: float, length: int, order: list[str]) -> DataFrame:
@@ -196,16 +205,14 @@ def queries() -> dict[str, Query]:
             lambda c, p: _rounded(mx.whuom_log(mx.cps(c, p), _items(p), PIPELINE.max_items), "weight")
         ),
         # Recommendations
-        "recommend_scores": _on_both(lambda c, p: _double(recommend.score(_clicked(c), _matrix(c, p)), "score")),
-        "recommend_topk": _on_both(
-            lambda c, p: _double(recommend.recommend(_clicked(c), _matrix(c, p), TOP_K), "score")
-        ),
+        "recommend_scores": _on_both(lambda c, p: _double(_scores(c, p), "score")),
+        "recommend_topk": _on_both(lambda c, p: _double(_top(_scores(c, p)), "score")),
         "recommend_lists": _on_both(_recommend_lists),
-        "recommend_unseen": _on_both(lambda c, p: _double(_recommend_unseen(c, p), "score")),
-        "recommend_holdout": _on_both(lambda c, p: _double(recommend.recommend_held_out(c, p, ITEMS), "score")),
-        "recommend_click_only": _on_both(
-            lambda c, p: _double(recommend.recommend_click_only(c, p, ITEMS, TOP_K, nonnegative=True), "score")
+        "recommend_unseen": _on_both(
+            lambda c, p: _double(_top(recommend.without_bought(_scores(c, p), p)), "score")
         ),
+        "recommend_holdout": _on_both(lambda c, p: _double(recommend.recommend_held_out(c, p, ITEMS), "score")),
+        "recommend_click_only": _on_both(lambda c, p: _double(_recommend_click_only(c, p), "score")),
         "expected_profit": _on_both(lambda c, p: _double(_expected_profit(c, p), "expected_profit")),
         "pipeline_end_to_end": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
     }

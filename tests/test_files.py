@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from decimal import Decimal
 
+from yieldlens.__main__ import main
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.plans.checkpoints import use_checkpoints
 from yieldlens.plans.pipeline import Settings, pipeline_counts, run_batch, serve
@@ -92,5 +93,13 @@ def test_batch_job(spark, tmp_path):
     }
 
 
+def test_command_line(spark, tmp_path):
+    clicks = write(tmp_path, "clicks.dat", CLICKS)
+    buys = write(tmp_path, "buys.dat", PURCHASES)
+    main(["mine", clicks, buys, str(tmp_path / "out"), "--min-share", "0.5", "--nonnegative"])
+    main(["recommend", str(tmp_path / "out" / "matrix"), clicks, str(tmp_path / "lists"), "--top-k", "1"])
+    assert {r.session_id: r["items"] for r in spark.read.parquet(str(tmp_path / "lists")).collect()} == {1: [70], 5: [70]}
+
+
 def test_checkpoints_go_where_the_session_says(spark):
     assert spark.conf.get("spark.checkpoint.dir") in use_checkpoints(spark)

@@ -10,8 +10,6 @@ import __spark_entry__ as registry
 from check import TABLES, plain
 from tests.conftest import SMALL
 
-EAGER = {"prefixspan", "prefixspan_orders", "huspm_len2", "huspm_patterns", "huspm_itemsets"}
-
 
 @pytest.fixture(scope="module")
 def db():

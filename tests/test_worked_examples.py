@@ -13,6 +13,7 @@ from yieldlens.functions.columns import category_kind, sequence_text, utility
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators import matrix, patterns, recommend, sequences
 from yieldlens.operators import utility as ut
+from yieldlens.operators.skew import BROADCAST_ROWS
 
 A, B = 214536502, 214536500
 CLICKS = [(11, 1, A), (11, 2, B), (12, 1, A)]
@@ -175,11 +176,19 @@ def test_threshold_bounds():
 
 
 def test_click_only_sessions_learn_from_buyers(tables):
-    clicks = tables.clicks([*CLICKS, (13, 1, B)])
-    found = recommend.recommend_click_only(clicks, tables.purchases(BUYS), AMOUNT(1000))
+    clicks, buys = tables.clicks([*CLICKS, (13, 1, B)]), tables.purchases(BUYS)
+    weights = matrix.utility_matrix(clicks, buys, ut.high_utility_items(buys, AMOUNT(1000)))
+    found = recommend.recommend(recommend.click_only(clicks, buys), weights)
     assert [(r.session_id, r.item_id, int(r.score)) for r in found.collect()] == [(13, A, 4500)]
 
 
+@pytest.mark.parametrize("rows", [None, 2, BROADCAST_ROWS + 1])
+def test_scores_do_not_depend_on_the_way_of_joining(tables, rows):
+    clicks, buys = tables.clicks(CLICKS), tables.purchases(BUYS)
+    weights = matrix.utility_matrix(clicks, buys, ut.high_utility_items(buys, AMOUNT(1000)))
+    assert pairs(recommend.score(clicked(clicks), weights, rows), "session_id", "score") == {11: 13500, 12: 9000}
+
+
 def test_held_out_sessions_do_not_teach_themselves(tables):
     clicks, buys = tables.clicks(CLICKS), tables.purchases(BUYS)
     found = recommend.recommend_held_out(clicks, buys, MinUtility.of_share("0.01"), folds=2)

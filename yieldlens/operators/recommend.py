@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.matrix import session_items, utility_matrix
-from yieldlens.operators.skew import split_join
-from yieldlens.operators.utility import high_utility_items
+from yieldlens.operators.matrix import session_items
+from yieldlens.operators.skew import BROADCAST_ROWS, split_join
+from yieldlens.plans.checkpoints import stored
 
 
-def score(clicks: DataFrame, matrix: DataFrame) -> DataFrame:
+def _scored(
+    clicks: DataFrame, edges: DataFrame, keys: list[str], edge_rows: int | None, *aggregates: Column
+) -> DataFrame:
+    """Join clicks with the edges of their items and aggregate per session and purchasable item.
+
+    A click meets as many edges as its item has, so the joined rows far outnumber the clicks. If
+    the edges are counted and few, the clicks are brought together by session before they multiply:
+    the sums, and later the ranking, then need no shuffle, and no session can multiply to more rows
+    than there are edges. Else both sides are shuffled by item, with hot items spread.
+    """
+    if edge_rows is not None and edge_rows <= BROADCAST_ROWS:
+        # A fixed number of partitions: merged by their size before the join they would be too few.
+        partitions = int(clicks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        joined = clicks.repartition(partitions, "session_id").join(F.broadcast(edges), keys)
+    else:
+        joined = split_join(clicks, edges, keys, ["session_id"])
+    return joined.groupBy("session_id", F.col("purchase_item").alias("item_id")).agg(*aggregates)
+
+
+def score(clicks: DataFrame, matrix: DataFrame, matrix_rows: int | None = None) -> DataFrame:
     """Sum of weights per session and purchasable item.
 
     ``clicks`` has session_id and click_item and is taken as it is: an item given twice counts
-    twice. Sessions whose clicks have no weight do not appear.
+    twice. Sessions whose clicks have no weight do not appear. ``matrix_rows`` is the number of rows
+    of the matrix where it has been counted.
     """
-    return (
-        split_join(clicks, matrix, ["click_item"], ["session_id"])
-        .groupBy("session_id", F.col("purchase_item").alias("item_id"))
-        .agg(F.sum("weight").alias("score"))
-    )
+    return _scored(clicks, matrix, ["click_item"], matrix_rows, F.sum("weight").alias("score"))
 
 
 def without_bought(scores: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -50,56 +66,40 @@ def as_lists(ranked: DataFrame) -> DataFrame:
     )
 
 
-def recommend(clicks: DataFrame, matrix: DataFrame, top_k: int = 5) -> DataFrame:
+def recommend(
+    clicks: DataFrame, matrix: DataFrame, top_k: int = 5, matrix_rows: int | None = None
+) -> DataFrame:
     """The ``top_k`` items for each session of ``clicks`` (session_id, click_item)."""
-    return top_items(score(clicks, matrix), top_k)
+    return top_items(score(clicks, matrix, matrix_rows), top_k)
 
 
-def expected_profit(clicks: DataFrame, edges: DataFrame, top_k: int = 5) -> DataFrame:
+def expected_profit(clicks: DataFrame, edges: DataFrame, top_k: int = 5, edge_rows: int | None = None) -> DataFrame:
     """Per session: sum over its recommended items of P(Buy|Click) times utility.
 
     ``edges`` comes from ``profit_edges``. Where several clicked items lead to one recommended item
     the largest probability counts.
     """
-    scores = (
-        split_join(clicks, edges, ["click_item"], ["session_id"])
-        .groupBy("session_id", F.col("purchase_item").alias("item_id"))
-        .agg(F.sum("weight").alias("score"), F.max("gain").alias("gain"))
+    scores = _scored(
+        clicks, edges, ["click_item"], edge_rows, F.sum("weight").alias("score"), F.max("gain").alias("gain")
     )
     best = W.partitionBy("session_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     chosen = scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
     return chosen.groupBy("session_id").agg(F.sum("gain").alias("expected_profit"))
 
 
-def recommend_click_only(
-    clicks: DataFrame, purchases: DataFrame, min_utility: MinUtility, top_k: int = 5, nonnegative: bool = False
-) -> DataFrame:
-    """Items for the sessions that clicked but bought nothing, learned from those that bought."""
-    items = high_utility_items(purchases, min_utility, nonnegative)
-    matrix = utility_matrix(clicks, purchases, items, min_utility.max_items if nonnegative else None)
-    unseen = session_items(clicks, "click_item").join(
-        purchases.select("session_id").distinct(), "session_id", "left_anti"
-    )
-    return recommend(unseen, matrix, top_k)
+def click_only(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The clicked items of sessions that bought nothing."""
+    buyers = purchases.select("session_id").distinct()
+    return session_items(clicks, "click_item").join(buyers, "session_id", "left_anti")
 
 
-def recommend_held_out(
-    clicks: DataFrame, purchases: DataFrame, share: MinUtility, folds: int = 5, top_k: int = 5
-) -> DataFrame:
-    """Items for every session, from a matrix that was built without that session's fold.
-
-    A session is in fold ``session_id mod folds``. Counts and utilities are aggregated per fold
-    first, and only those aggregates are handed to the other folds' models; ``share`` must be a
-    relative threshold and applies to what each model has seen.
-    """
-    if share.share is None:
-        raise ValueError("held-out scoring needs a relative threshold")
-    fold = F.pmod("session_id", F.lit(folds)).cast("int")
+def _held_out_matrix(clicked: DataFrame, purchases: DataFrame, share: MinUtility, folds: int) -> DataFrame:
+    """One matrix per fold, column ``model``, built from the sessions of all other folds."""
+    fold = F.pmod("session_id", F.lit(folds)).cast("int").alias("fold")
     # A row of fold g takes part in the models of all folds but g.
     models = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(folds - 1)), F.col("fold"))).alias("model")
-
     items = (
-        purchases.groupBy(fold.alias("fold"), "item_id").agg(F.sum("utility").alias("utility"))
+        purchases.groupBy(fold, "item_id").agg(F.sum("utility").alias("utility"))
         .select(models, "item_id", "utility")
         .groupBy("model", "item_id").agg(F.sum("utility").alias("utility"))
     )
@@ -108,20 +108,29 @@ def recommend_held_out(
     items = items.join(totals, "model").filter(
         (F.col("utility") > 0) & (F.col("utility") >= F.col("total") * F.lit(share.share))
     ).select("model", F.col("item_id").alias("purchase_item"), "utility")
-
-    clicked = session_items(clicks, "click_item")
     pairs = (
         split_join(clicked, session_items(purchases, "purchase_item"), ["session_id"], ["click_item"])
-        .groupBy(fold.alias("fold"), "click_item", "purchase_item").agg(F.count("*").alias("cps"))
+        .groupBy(fold, "click_item", "purchase_item").agg(F.count("*").alias("cps"))
         .select(models, "click_item", "purchase_item", "cps")
         .groupBy("model", "click_item", "purchase_item").agg(F.sum("cps").alias("cps"))
     )
-    matrix = pairs.join(items, ["model", "purchase_item"]).select(
+    return pairs.join(items, ["model", "purchase_item"]).select(
         "model", "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight")
     )
-    scores = (
-        split_join(clicked.withColumn("model", fold), matrix, ["model", "click_item"], ["session_id"])
-        .groupBy("session_id", F.col("purchase_item").alias("item_id"))
-        .agg(F.sum("weight").alias("score"))
-    )
-    return top_items(scores, top_k)
+
+
+def recommend_held_out(
+    clicks: DataFrame, purchases: DataFrame, share: MinUtility, folds: int = 5, top_k: int = 5
+) -> DataFrame:
+    """Items for every session, from a matrix that was built without that session's fold.
+
+    A session is in fold ``session_id mod folds``. Counts and utilities are aggregated per fold
+    first, and only those aggregates are handed to the other folds' models; ``share`` must be a
+    relative threshold and applies to what each model has seen. The matrices are computed on call.
+    """
+    if share.share is None:
+        raise ValueError("held-out scoring needs a relative threshold")
+    clicked = session_items(clicks, "click_item")
+    matrix, rows = stored(_held_out_matrix(clicked, purchases, share, folds))
+    asked = clicked.withColumn("model", F.pmod("session_id", F.lit(folds)).cast("int"))
+    return top_items(_scored(asked, matrix, ["model", "click_item"], rows, F.sum("weight").alias("score")), top_k)

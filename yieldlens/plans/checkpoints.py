@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_checkpoints(spark: SparkSession) -> str:
@@ -24,3 +24,10 @@ def use_checkpoints(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="checkpoints-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """The table computed once and for all, with the number of its rows."""
+    use_checkpoints(df.sparkSession)
+    kept = df.checkpoint()
+    return kept, kept.count()

@@ -11,6 +11,7 @@ from yieldlens.operators.matrix import cps, session_items, utility_matrix, whuom
 from yieldlens.operators.profile import row_counts
 from yieldlens.operators.recommend import as_lists, recommend
 from yieldlens.operators.utility import high_utility_items
+from yieldlens.plans.checkpoints import stored
 from yieldlens.sources.tables import first_rows, load_clicks, load_matrix, load_purchases, save_matrix
 
 
@@ -36,9 +37,12 @@ def matrix_from_events(clicks: DataFrame, purchases: DataFrame, settings: Settin
 
 
 def mine_and_recommend(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
-    """Mine items, weigh pairs and recommend to every clicking session, in one plan without a stop."""
-    matrix = matrix_from_events(clicks, purchases, settings)
-    return recommend(session_items(clicks, "click_item"), matrix, settings.top_k)
+    """Mine items, weigh pairs and recommend to every clicking session.
+
+    The matrix is computed on call: its size decides how the sessions are scored.
+    """
+    matrix, rows = stored(matrix_from_events(clicks, purchases, settings))
+    return recommend(session_items(clicks, "click_item"), matrix, settings.top_k, rows)
 
 
 def pipeline_counts(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
@@ -82,4 +86,5 @@ def run_batch(
 
 def serve(spark: SparkSession, matrix_path: str, clicks: DataFrame, top_k: int = 5) -> DataFrame:
     """Recommendation lists for a table of clicks from a stored matrix."""
-    return as_lists(recommend(session_items(clicks, "click_item"), load_matrix(spark, matrix_path), top_k))
+    matrix = load_matrix(spark, matrix_path)
+    return as_lists(recommend(session_items(clicks, "click_item"), matrix, top_k, matrix.count()))

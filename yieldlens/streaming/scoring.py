@@ -29,11 +29,15 @@ UNDATED = date(1970, 1, 1)
 
 @dataclass(frozen=True)
 class ClickScorer:
-    """``session_ttl`` limits a session to the clicks within this time of a batch's newest click."""
+    """``session_ttl`` limits a session to the clicks within this time of a batch's newest click.
+
+    ``matrix_rows`` is the size of the matrix where it has been counted.
+    """
 
     matrix: DataFrame
     store: str
     top_k: int = 5
+    matrix_rows: int | None = None
     session_ttl: timedelta | None = None
 
     def start(self, clicks: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
@@ -59,7 +63,7 @@ class ClickScorer:
             )
             touched = batch.select("session_id").distinct()
             mine = self._history(batch, batch_id).join(touched, "session_id", "left_semi")
-            lists = as_lists(recommend(session_items(mine, "click_item"), self.matrix, self.top_k))
+            lists = as_lists(recommend(session_items(mine, "click_item"), self.matrix, self.top_k, self.matrix_rows))
             # A touched session without a recommendation is stored too, so that no older list survives.
             touched.join(lists, "session_id", "left").write.mode("overwrite").parquet(
                 f"{self.store}/answers/batch_id={batch_id}"
