@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as registry
 from check import TABLES, plain
 from tests.conftest import SMALL
+from yieldlens.operators.recommend import recommend
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +45,15 @@ def test_scans_read_few_columns_and_push_filters_down(spark):
     assert "event_id" not in plan
 
 
-def test_top_k_is_cut_before_the_shuffle(spark):
+def test_scores_need_no_shuffle_after_the_clicks_have_multiplied(spark):
     plan = registry.queries()["recommend_topk"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    after, before = plan.split("BroadcastHashJoin", 1)
+    assert "Exchange" not in after and "WindowGroupLimit" in after
+    assert "Exchange hashpartitioning(session_id" in before
+
+
+def test_without_a_count_top_k_is_cut_before_the_shuffle(spark):
+    edges = spark.range(9).selectExpr("id AS click_item", "id % 3 AS purchase_item", "id AS weight")
+    clicks = spark.range(50).selectExpr("id % 7 AS session_id", "id % 9 AS click_item")
+    plan = recommend(clicks, edges, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan and "salt" in plan
