@@ -87,7 +87,8 @@ def hot_spans(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> Dat
 def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> DataFrame:
     """Add ``block``: NULL in ordinary groups, the number of the time slice in a hot group.
 
-    Slices follow each other in time and rows of one instant share a slice.
+    Slices follow each other in time and rows of one instant share a slice. Rows without a time sort
+    first and have slice -1.
     """
     if hot is None:
         return df.withColumn("block", F.lit(None).cast("int"))
@@ -95,6 +96,7 @@ def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> D
     return (
         df.join(F.broadcast(hot), key, "left")
         .withColumn("block", F.floor(place * F.col("hot_parts")).cast("int"))
+        .withColumn("block", F.when(F.col("hot_parts").isNotNull(), F.coalesce("block", F.lit(-1))))
         .drop("hot_first", "hot_last", "hot_parts")
     )
 
