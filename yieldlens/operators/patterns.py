@@ -33,15 +33,17 @@ def _columns(length: int) -> list[str]:
 
 
 def _as_arrays(length: int) -> Column:
-    pattern = F.array(F.array("i1"))
-    for n in range(2, length + 1):
-        item = F.array(F.col(f"i{n}"))
-        widened = F.concat(
-            F.slice(pattern, 1, F.size(pattern) - 1), F.array(F.concat(F.element_at(pattern, -1), item))
-        )
-        opens = F.col("shape").bitwiseAND(F.lit(1 << (n - 1)).cast("bigint")) != 0
-        pattern = F.when(opens, F.concat(pattern, F.array(item))).otherwise(widened)
-    return pattern
+    """A pattern's columns as an array of itemsets: the items cut where ``shape`` says one opens."""
+    places = range(1, length + 1)
+    items = F.array(*[f"i{n}" for n in places])
+    opened = [F.when(F.col("shape").bitwiseAND(F.lit(1 << (n - 1)).cast("bigint")) != 0, F.lit(n)) for n in places]
+    opens = F.array_compact(F.array(*opened))
+
+    def itemset(place: Column, number: Column) -> Column:
+        end = F.coalesce(F.get(opens, number + 1), F.lit(length + 1))
+        return F.slice(items, place, end - place)
+
+    return F.transform(opens, itemset)
 
 
 def _pattern_events(
