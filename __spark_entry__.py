@@ -26,7 +26,7 @@ ITEMS = MinUtility.of_share("0.01")
 SHARDED = MinUtility.of_share("0.003")
 LONGER = MinUtility.of_share("0.0003")
 ITEMSETS = MinUtility.of_share("0.004")
-ORDER_ITEMS = MinUtility.of_share("0.0001")
+ORDER_ITEMS = MinUtility.of_share("0.00005")
 SHARDS = 4
 TOP_K = 5
 FIRST_ROWS = 10_000

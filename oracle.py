@@ -266,7 +266,7 @@ ORACLE_SQL = {
         "lines",
         """SELECT item_id, CAST(utility AS DOUBLE) AS utility
            FROM (SELECT item_id, CAST(sum(utility) AS DECIMAL(18,2)) AS utility FROM lines GROUP BY item_id)
-           WHERE utility >= 0.0001 * (SELECT CAST(sum(utility) AS DECIMAL(18,2)) FROM lines)""",
+           WHERE utility >= 0.00005 * (SELECT CAST(sum(utility) AS DECIMAL(18,2)) FROM lines)""",
     ),
     "huspm_len2": _valuable("spent", "0.0003", range(2, 3), itemsets=False),
     "huspm_patterns": _valuable("spent", "0.0003", range(1, 4), itemsets=False),

@@ -96,6 +96,8 @@ def test_shards_and_bounds(tables, rows):
     spent = pairs(ut.item_utility(buys), "item_id", "utility")
     weighted = pairs(ut.swu(buys), "item_id", "swu")
     assert all(spent[i] <= weighted[i] for i in spent)
+    assert weighted == pairs(ut.promising_items(buys, AMOUNT(0)), "item_id", "swu")
+    assert weighted == pairs(ut.promising_items(buys, AMOUNT(0), hot=False), "item_id", "swu")
     total = sum(spent.values())
     exact = pairs(ut.high_utility_items(buys, AMOUNT(20)), "item_id", "utility")
     assert exact == {i: u for i, u in spent.items() if u >= 20}

@@ -61,10 +61,11 @@ def _pattern_events(
     if min_utility.share is not None:
         total = events.agg(F.sum("u")).first()[0] or 0
         min_utility = MinUtility.of_amount(total * min_utility.share)
-    promising = promising_items(events.withColumnRenamed("u", "utility"), min_utility).select("item_id").checkpoint()
-    kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
-    hot = hot_spans(kept, "session_id", instant[0], floor).checkpoint()
+    hot = hot_spans(events, "session_id", instant[0], floor).checkpoint()
     split = not hot.isEmpty()
+    spent = events.withColumnRenamed("u", "utility")
+    promising = promising_items(spent, min_utility, hot=split).select("item_id").checkpoint()
+    kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
     full_order = instant if "item_id" in instant else [*instant, "item_id"]
     placed = ordered(kept, "session_id", instant, hot if split else None, full_order, "u").select(
         "session_id", "block", "pos", "item_id", "u", "rest", "peak"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators.skew import key_counts, split_join
@@ -19,14 +20,20 @@ def item_utility(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy("item_id").agg(F.sum("utility").alias("utility"))
 
 
-def _session_weights(purchases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per session and item what was spent on it, beside the session's total; and the totals alone."""
+def _session_weights(purchases: DataFrame, hot: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Per session and item what was spent on it, beside the session's total; and the totals alone.
+
+    ``hot`` says whether some session may be hot; if none is, a window over the session will do.
+    """
     # Sums of utilities always exist. Testing them, here and below, keeps Spark from pruning them in
     # some of the uses of a table, so that all uses stay alike and the table is computed once.
     own = purchases.groupBy("session_id", "item_id").agg(F.sum("utility").alias("own"))
     own = own.filter(F.col("own").isNotNull())
     totals = key_counts(own, ["session_id"], F.sum("own").alias("total")).filter(F.col("total").isNotNull())
-    weights = split_join(own, totals.drop("hot_rows"), ["session_id"], ["item_id"], counts=totals)
+    if hot:
+        weights = split_join(own, totals.drop("hot_rows"), ["session_id"], ["item_id"], counts=totals)
+    else:
+        weights = own.withColumn("total", F.sum("own").over(W.partitionBy("session_id")))
     return weights, totals
 
 
@@ -36,9 +43,9 @@ def swu(purchases: DataFrame) -> DataFrame:
     return weights.groupBy("item_id").agg(F.sum("total").alias("swu"))
 
 
-def promising_items(purchases: DataFrame, min_utility: MinUtility) -> DataFrame:
+def promising_items(purchases: DataFrame, min_utility: MinUtility, hot: bool = True) -> DataFrame:
     """Items that may appear in a high-utility pattern: SWU at or above the threshold."""
-    weights, totals = _session_weights(purchases)
+    weights, totals = _session_weights(purchases, hot)
     items = weights.groupBy("item_id").agg(F.sum("total").alias("swu"))
     return items.filter(F.col("swu") >= min_utility.column(totals, "total"))
 
