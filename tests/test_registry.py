@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as registry
 from check import TABLES, plain
 from tests.conftest import SMALL
+from yieldlens.operators import skew
 from yieldlens.operators.recommend import recommend
 
 
@@ -24,8 +25,11 @@ def test_every_query_has_its_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
 
 
+@pytest.mark.parametrize("hot_floor", [skew.HOT_FLOOR, 1])
 @pytest.mark.parametrize("name", sorted(registry.queries()))
-def test_query_matches_sql(spark, db, name):
+def test_query_matches_sql(spark, db, name, hot_floor, monkeypatch):
+    """As it is, and with every key of more than one row taken for hot."""
+    monkeypatch.setattr(skew, "HOT_FLOOR", hot_floor)
     df = registry.queries()[name](spark, SMALL)
     mine, theirs = plain(df.toPandas()), plain(db.execute(registry.oracle_sql()[name]).df())
     pd.testing.assert_frame_equal(mine, theirs, check_exact=True, check_dtype=False)

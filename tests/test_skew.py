@@ -10,10 +10,15 @@ from pyspark.sql.window import Window as W
 
 from yieldlens.functions.columns import sequence_text
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators import patterns, sequences
+from yieldlens.operators import patterns, sequences, skew
 from yieldlens.operators.skew import BROADCAST_ROWS, bounded, earlier_max, hot_keys, hot_spans, key_counts, ordered, semi_join, split_join
 
-FLOOR = 5
+
+
+@pytest.fixture
+def low(monkeypatch):
+    """Make keys hot from a few rows on."""
+    monkeypatch.setattr(skew, "HOT_FLOOR", 5)
 
 
 def rows(df):
@@ -29,23 +34,22 @@ def skewed(spark):
     return df.selectExpr("session_id", "timestamp_seconds(nullif(s, 200)) AS ts", "event_id", "item_id", "CAST(u AS DECIMAL(18,2)) AS utility")
 
 
-def test_only_large_keys_are_hot(skewed):
-    found = hot_keys(key_counts(skewed, ["session_id"]), FLOOR).collect()
-    assert [(r.session_id, r.hot_parts) for r in found] == [(7, 60)]
-    assert hot_keys(key_counts(skewed, ["session_id"])).count() == 0
+def test_only_large_keys_are_hot(skewed, monkeypatch):
+    counts = key_counts(skewed, ["session_id"])
+    assert hot_keys(counts).count() == 0
+    monkeypatch.setattr(skew, "HOT_FLOOR", 5)
+    assert [(r.session_id, r.hot_parts) for r in hot_keys(counts).collect()] == [(7, 60)]
 
 
-def test_split_join_is_a_join(spark, skewed):
+def test_split_join_is_a_join(spark, skewed, low):
     few = spark.createDataFrame([(7, "a"), (7, "b"), (1001, "c"), (5, "d")], "session_id bigint, name string")
     plain = skewed.join(few, "session_id")
-    split = split_join(skewed, few, ["session_id"], ["event_id"], floor=FLOOR)
-    assert rows(split.select(plain.columns)) == rows(plain)
-    parts = split_join(skewed, few, ["session_id"], ["event_id"], floor=FLOOR)
-    assert parts.columns == plain.columns
+    split = split_join(skewed, few, ["session_id"], ["event_id"])
+    assert split.columns == plain.columns and rows(split) == rows(plain)
 
 
 @pytest.mark.parametrize("size", [3, BROADCAST_ROWS + 1])
-def test_semi_join_by_either_way(spark, skewed, size):
+def test_semi_join_by_either_way(spark, skewed, size, low):
     wanted = spark.createDataFrame([(0,), (3,), (77,)], "item_id bigint")
     got = semi_join(skewed, ["item_id"], wanted, size, ["event_id"])
     assert rows(got.select(skewed.columns)) == rows(skewed.filter(F.col("item_id").isin(0, 3)))
@@ -53,13 +57,12 @@ def test_semi_join_by_either_way(spark, skewed, size):
 
 def test_broadcast_only_below_the_bound(spark):
     df = spark.range(3)
-    assert "isBroadcastable" not in str(df) and bounded(df, None) is df and bounded(df, BROADCAST_ROWS + 1) is df
-    plan = bounded(df, 3)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan
+    assert bounded(df, None) is df and bounded(df, BROADCAST_ROWS + 1) is df
+    assert "broadcast" in bounded(df, 3)._jdf.queryExecution().analyzed().toString()
 
 
 @pytest.mark.parametrize("instant", [["ts", "event_id"], ["ts"]])
-def test_places_and_rest_across_slices(skewed, instant):
+def test_places_and_rest_across_slices(skewed, instant, low):
     order = ["ts", "event_id"]
     whole = W.partitionBy("session_id")
     later = whole.orderBy(F.col("ts").desc(), F.col("event_id").desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -69,26 +72,29 @@ def test_places_and_rest_across_slices(skewed, instant):
         F.sum("utility").over(later).cast("decimal(28,2)").alias("rest"),
         F.max("utility").over(later).alias("peak"),
     )
-    hot = hot_spans(skewed, "session_id", "ts", FLOOR)
+    hot = hot_spans(skewed, "session_id", "ts")
     for spans in (hot, None):
         got = ordered(skewed, "session_id", instant, spans, order, "utility")
-        assert rows(got.select("session_id", "event_id", "pos", F.col("rest").cast("decimal(28,2)"), "peak")) == rows(plain)
+        assert rows(
+            got.select("session_id", "event_id", "pos", F.col("rest").cast("decimal(28,2)"), "peak")
+        ) == rows(plain)
     blocks = ordered(skewed, "session_id", instant, hot).filter("block IS NOT NULL")
     assert blocks.select("session_id").distinct().count() == 1 and blocks.select("block").distinct().count() > 20
 
 
-def test_earlier_max_across_slices(skewed):
+def test_earlier_max_across_slices(skewed, low):
     before = W.partitionBy("session_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, -1)
     plain = skewed.select("session_id", "event_id", F.max("utility").over(before).alias("earlier"))
-    sliced = ordered(skewed, "session_id", ["ts", "event_id"], hot_spans(skewed, "session_id", "ts", FLOOR))
+    sliced = ordered(skewed, "session_id", ["ts", "event_id"], hot_spans(skewed, "session_id", "ts"))
     for split in (True, False):
         got = earlier_max(sliced, ["session_id"], "pos", "utility", split)
         assert rows(got.select("session_id", "event_id", "earlier")) == rows(plain)
 
 
-def test_long_sessions_continue_over_parts(skewed):
+def test_long_sessions_continue_over_parts(skewed, monkeypatch):
     whole = {r.session_id: r["items"] for r in sequences.click_sequences(skewed).collect()}
-    parted = sequences.click_sequences(skewed, floor=FLOOR, part_rows=16)
+    monkeypatch.setattr(skew, "HOT_FLOOR", 5)
+    parted = sequences.click_sequences(skewed, part_rows=16)
     joined: dict[int, list[int]] = {}
     for r in parted.orderBy("session_id", "part").collect():
         assert len(r["items"]) <= 16
@@ -96,20 +102,22 @@ def test_long_sessions_continue_over_parts(skewed):
     assert joined == whole and parted.filter("part > 0").count() > 10
 
 
-def test_frequent_sequences_of_a_hot_session(skewed):
-    def mined(**how):
-        found = sequences.frequent_sequences(skewed, 0.02, 3, **how)
+def test_frequent_sequences_of_a_hot_session(skewed, monkeypatch):
+    def mined():
+        found = sequences.frequent_sequences(skewed, 0.02, 3)
         return rows(found.select(sequence_text("sequence"), "freq"))
 
-    assert mined(floor=FLOOR) == mined() and len(mined()) > 20
+    plain = mined()
+    monkeypatch.setattr(skew, "HOT_FLOOR", 5)
+    assert mined() == plain and len(plain) > 20
 
 
 @pytest.mark.parametrize("singletons", [True, False])
-def test_valuable_patterns_of_a_hot_session(skewed, singletons):
-    def mined(**how):
-        found = patterns.high_utility_sequences(
-            skewed, MinUtility.of_share("0.02"), 3, singletons=singletons, **how
-        )
+def test_valuable_patterns_of_a_hot_session(skewed, singletons, monkeypatch):
+    def mined():
+        found = patterns.high_utility_sequences(skewed, MinUtility.of_share("0.02"), 3, singletons=singletons)
         return rows(found.select(sequence_text("pattern"), "utility"))
 
-    assert mined(floor=FLOOR) == mined() and len(mined()) > 20
+    plain = mined()
+    monkeypatch.setattr(skew, "HOT_FLOOR", 5)
+    assert mined() == plain and len(plain) > 20

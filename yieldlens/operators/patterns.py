@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import HOT_FLOOR, earlier_max, hot_spans, ordered, semi_join, split_join
+from yieldlens.operators.skew import earlier_max, hot_spans, ordered, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
@@ -47,7 +47,7 @@ def _as_arrays(length: int) -> Column:
 
 
 def _pattern_events(
-    purchases: DataFrame, min_utility: MinUtility, order: Sequence[str], singletons: bool, floor: int
+    purchases: DataFrame, min_utility: MinUtility, order: Sequence[str], singletons: bool
 ) -> tuple[DataFrame, Column, bool]:
     """Purchases of promising items with their place and what the session still holds behind them.
 
@@ -61,7 +61,7 @@ def _pattern_events(
     if min_utility.share is not None:
         total = events.agg(F.sum("u")).first()[0] or 0
         min_utility = MinUtility.of_amount(total * min_utility.share)
-    hot = hot_spans(events, "session_id", instant[0], floor).checkpoint()
+    hot = hot_spans(events, "session_id", instant[0]).checkpoint()
     split = not hot.isEmpty()
     spent = events.withColumnRenamed("u", "utility")
     promising = promising_items(spent, min_utility, hot=split).select("item_id").checkpoint()
@@ -133,7 +133,7 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
 
 
 def _extended(
-    state: DataFrame, events: DataFrame, length: int, more: int, singletons: bool, split: bool, floor: int
+    state: DataFrame, events: DataFrame, length: int, more: int, singletons: bool, split: bool
 ) -> DataFrame:
     """Matches of all patterns longer by one item: in a later itemset, or in the last one.
 
@@ -148,10 +148,10 @@ def _extended(
     else:
         records = state.filter("record")
         useful = events if more else _latest_best(events)
-        joined = split_join(useful, records, ["session_id"], ["pos", "item_id"], floor=floor).filter(later)
+        joined = split_join(useful, records, ["session_id"], ["pos", "item_id"]).filter(later)
         if not singletons:
             here = state.withColumn("pos", F.col("since"))
-            beside = split_join(here, events, ["session_id", "pos"], pattern, floor=floor).filter(wider)
+            beside = split_join(here, events, ["session_id", "pos"], pattern).filter(wider)
             joined = joined.unionByName(beside)
     opened = F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint"))
     return joined.select(
@@ -172,7 +172,6 @@ def high_utility_sequences(
     max_length: int = 3,
     order: Sequence[str] = ("ts", "event_id"),
     singletons: bool = True,
-    floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """All patterns of up to ``max_length`` items whose utility reaches the threshold.
 
@@ -188,7 +187,7 @@ def high_utility_sequences(
         raise ValueError(f"max_length must lie between 1 and {MAX_LENGTH}")
     use_checkpoints(purchases.sparkSession)
     purchases = purchases.select(*dict.fromkeys(["session_id", "item_id", *order, "utility"]))
-    events, least, split = _pattern_events(purchases, min_utility, order, singletons, floor)
+    events, least, split = _pattern_events(purchases, min_utility, order, singletons)
     matches = events.select(
         F.lit(1).cast("bigint").alias("shape"),
         F.col("item_id").alias("i1"),
@@ -208,7 +207,7 @@ def high_utility_sequences(
             break
         kept = semi_join(matches, pattern, live, size, ["session_id", "pos"])
         state = _state(kept, pattern, singletons, split).checkpoint()
-        matches = _extended(state, events, length, max_length - length - 1, singletons, split, floor)
+        matches = _extended(state, events, length, max_length - length - 1, singletons, split)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldlens.functions.columns import singletons
-from yieldlens.operators.skew import HOT_FLOOR, hot_spans, ordered, semi_join, split_join
+from yieldlens.operators.skew import hot_spans, ordered, semi_join, split_join
 from yieldlens.plans.checkpoints import use_checkpoints
 
 PART_ROWS = 100_000
@@ -24,7 +24,7 @@ def _lists(rows: DataFrame, keys: list[str], order: Sequence[str], payload: Sequ
 
 
 def session_lists(
-    events: DataFrame, order: Sequence[str], payload: Sequence[str], floor: int = HOT_FLOOR, part_rows: int = PART_ROWS
+    events: DataFrame, order: Sequence[str], payload: Sequence[str], part_rows: int = PART_ROWS
 ) -> DataFrame:
     """The events of a session in order, as an array of structs of the ``payload`` columns.
 
@@ -34,7 +34,7 @@ def session_lists(
     """
     columns = list(dict.fromkeys([*order, *payload]))
     events = events.select("session_id", *columns)
-    hot = hot_spans(events, "session_id", order[0], floor)
+    hot = hot_spans(events, "session_id", order[0])
     listed = F.broadcast(hot.select("session_id"))
     whole = _lists(events.join(listed, "session_id", "left_anti"), ["session_id"], order, payload)
     placed = ordered(events.join(listed, "session_id", "left_semi"), "session_id", order, hot)
@@ -43,17 +43,21 @@ def session_lists(
     return whole.select("session_id", F.lit(0).cast("bigint").alias("part"), "entries").unionByName(pieces)
 
 
-def click_sequences(clicks: DataFrame, order: Sequence[str] = ("ts", "event_id"), **sizes: int) -> DataFrame:
+def click_sequences(
+    clicks: DataFrame, order: Sequence[str] = ("ts", "event_id"), part_rows: int = PART_ROWS
+) -> DataFrame:
     """Clicked items of a session in order, plain and as a sequence of one-item itemsets."""
     items = F.col("entries.item_id")
-    return session_lists(clicks, order, ["item_id"], **sizes).select(
+    return session_lists(clicks, order, ["item_id"], part_rows).select(
         "session_id", "part", items.alias("items"), singletons(items).alias("sequence")
     )
 
 
-def purchase_sequences(purchases: DataFrame, order: Sequence[str] = ("ts", "event_id"), **sizes: int) -> DataFrame:
+def purchase_sequences(
+    purchases: DataFrame, order: Sequence[str] = ("ts", "event_id"), part_rows: int = PART_ROWS
+) -> DataFrame:
     """Purchases of a session in order, as (item, utility) pairs."""
-    return session_lists(purchases, order, ["item_id", "utility"], **sizes).withColumnRenamed("entries", "purchases")
+    return session_lists(purchases, order, ["item_id", "utility"], part_rows).withColumnRenamed("entries", "purchases")
 
 
 def run_prefixspan(
@@ -77,7 +81,6 @@ def frequent_sequences(
     min_support: float = 0.1,
     max_pattern_length: int = 5,
     order: Sequence[str] = ("ts", "event_id"),
-    floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Item sequences found in at least ``min_support`` of the sessions, with the number of those.
 
@@ -104,7 +107,7 @@ def frequent_sequences(
     items = items.select("item_id").checkpoint()
     rows = events.select("session_id", "item_id", *order)
     kept = semi_join(rows, ["item_id"], items, items.count(), order)
-    hot = hot_spans(kept, "session_id", order[0], floor).checkpoint()
+    hot = hot_spans(kept, "session_id", order[0]).checkpoint()
     split = not hot.isEmpty()
     # The places count frequent items only, which leaves their order as it is.
     usable = ordered(kept, "session_id", order, hot if split else None).select("session_id", "item_id", "pos").checkpoint()
@@ -116,7 +119,7 @@ def frequent_sequences(
             break
         kept = semi_join(state, before, found[-1].select(*before), size, ["session_id"])
         pairs = (
-            split_join(usable, kept, ["session_id"], ["pos"], floor=floor) if split else usable.join(kept, "session_id")
+            split_join(usable, kept, ["session_id"], ["pos"]) if split else usable.join(kept, "session_id")
         )
         state = (
             pairs.filter(F.col("pos") > F.col("done"))

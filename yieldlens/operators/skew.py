@@ -30,10 +30,10 @@ def key_counts(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("hot_rows"), *extra)
 
 
-def hot_keys(counts: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+def hot_keys(counts: DataFrame) -> DataFrame:
     """The hot ones of ``key_counts`` with ``hot_parts``, the number of parts to cut each into."""
     limit = counts.agg(
-        F.greatest(F.lit(floor), F.ceil(F.coalesce(F.sum("hot_rows"), F.lit(0)) * F.lit(HOT_SHARE))).alias("limit")
+        F.greatest(F.lit(HOT_FLOOR), F.ceil(F.coalesce(F.sum("hot_rows"), F.lit(0)) * F.lit(HOT_SHARE))).alias("limit")
     ).scalar()
     return (
         counts.filter(F.col("hot_rows") > limit)
@@ -47,7 +47,6 @@ def split_join(
     few: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    floor: int = HOT_FLOOR,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join whose hot keys on the ``many`` side are spread over several tasks.
@@ -57,7 +56,7 @@ def split_join(
     ``counts`` are the key counts of ``many`` if the caller has them.
     """
     counts = key_counts(many, keys) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts.select(*keys, "hot_rows"), floor))
+    hot = F.broadcast(hot_keys(counts.select(*keys, "hot_rows")))
     salted = many.join(hot, list(keys), "left").withColumn(
         "salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("hot_parts")).cast("int"), F.lit(0))
     )
@@ -76,12 +75,12 @@ def semi_join(
     return split_join(rows, wanted, keys, spread_by)
 
 
-def hot_spans(df: DataFrame, key: str, time: str, floor: int = HOT_FLOOR) -> DataFrame:
+def hot_spans(df: DataFrame, key: str, time: str) -> DataFrame:
     """The hot values of ``key`` with the first and last ``time`` of each, for ``ordered``."""
     micros = F.unix_micros(time)
     spans = key_counts(df, [key], F.min(micros).alias("hot_first"), F.max(micros).alias("hot_last"))
     # True wherever there is a time at all. Both uses of the counts so need all columns and share them.
-    return hot_keys(spans.filter(F.col("hot_first") <= F.col("hot_last")), floor)
+    return hot_keys(spans.filter(F.col("hot_first") <= F.col("hot_last")))
 
 
 def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> DataFrame:
