@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 from yieldlens.functions.columns import sequence_text
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators import patterns, sequences, skew
-from yieldlens.operators.skew import BROADCAST_ROWS, bounded, earlier_max, hot_keys, hot_spans, key_counts, ordered, semi_join, split_join
+from yieldlens.operators.skew import BROADCAST_ROWS, earlier_max, hot_keys, hot_spans, is_small, key_counts, ordered, semi_join, split_join
 
 
 
@@ -55,10 +55,9 @@ def test_semi_join_by_either_way(spark, skewed, size, low):
     assert rows(got.select(skewed.columns)) == rows(skewed.filter(F.col("item_id").isin(0, 3)))
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(3)
-    assert bounded(df, None) is df and bounded(df, BROADCAST_ROWS + 1) is df
-    assert "broadcast" in bounded(df, 3)._jdf.queryExecution().analyzed().toString()
+def test_broadcast_only_below_the_bound():
+    assert is_small(0) and is_small(BROADCAST_ROWS)
+    assert not is_small(BROADCAST_ROWS + 1) and not is_small(None)
 
 
 @pytest.mark.parametrize("instant", [["ts", "event_id"], ["ts"]])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yieldlens.operators.skew import bounded, split_join
+from yieldlens.operators.skew import is_small, split_join
 
 
 def session_items(events: DataFrame, name: str = "item_id") -> DataFrame:
@@ -37,9 +37,12 @@ def cps_probability(counts: DataFrame, clicks: DataFrame) -> DataFrame:
     )
 
 
-def _weighted(counts: DataFrame, items: DataFrame, how: str, max_items: int | None) -> DataFrame:
-    sold = items.select(F.col("item_id").alias("purchase_item"), "utility")
-    return counts.join(bounded(sold, max_items), "purchase_item", how)
+def _weighted(counts: DataFrame, items: DataFrame, max_items: int | None) -> DataFrame:
+    """Counts of pairs with the utility of the bought item, where it is positive."""
+    sold = items.filter(F.col("utility") > 0).select(F.col("item_id").alias("purchase_item"), "utility")
+    if is_small(max_items):
+        return counts.join(F.broadcast(sold), "purchase_item")
+    return split_join(counts, sold, ["purchase_item"], ["click_item"])
 
 
 def whuom(counts: DataFrame, items: DataFrame, max_items: int | None = None) -> DataFrame:
@@ -47,15 +50,15 @@ def whuom(counts: DataFrame, items: DataFrame, max_items: int | None = None) ->
 
     ``max_items`` is a proven bound on the rows of ``items``, if there is one.
     """
-    gainful = items.filter(F.col("utility") > 0)
-    return _weighted(counts, gainful, "inner", max_items).select(
+    return _weighted(counts, items, max_items).select(
         "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight")
     )
 
 
 def whuom_left(counts: DataFrame, items: DataFrame) -> DataFrame:
     """The same matrix in its outer form: items without a utility count as zero and drop out after."""
-    filled = _weighted(counts, items, "left", None).withColumn("utility", F.coalesce("utility", F.lit(0)))
+    sold = items.select(F.col("item_id").alias("purchase_item"), "utility")
+    filled = counts.join(sold, "purchase_item", "left").withColumn("utility", F.coalesce("utility", F.lit(0)))
     return filled.select(
         "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight")
     ).filter(F.col("weight") > 0)
@@ -63,9 +66,7 @@ def whuom_left(counts: DataFrame, items: DataFrame) -> DataFrame:
 
 def whuom_log(counts: DataFrame, items: DataFrame, max_items: int | None = None) -> DataFrame:
     """Damped form ln(CPS) x utility; a pair seen in one session has weight zero and drops out."""
-    often = counts.filter(F.col("cps") > 1)
-    gainful = items.filter(F.col("utility") > 0)
-    return _weighted(often, gainful, "inner", max_items).select(
+    return _weighted(counts.filter(F.col("cps") > 1), items, max_items).select(
         "click_item", "purchase_item", (F.log("cps") * F.col("utility").cast("double")).alias("weight")
     )
 
@@ -74,17 +75,19 @@ def profit_edges(
     counts: DataFrame, clicks: DataFrame, items: DataFrame, max_items: int | None = None
 ) -> DataFrame:
     """WHUOM weight and expected gain, P(Buy|Click) times utility, of every weighted pair."""
-    gainful = items.filter(F.col("utility") > 0)
     # An amount of money: divided as a decimal, to six places.
     gain = (F.col("cps") * F.col("utility") / F.col("sessions")).cast("decimal(28,6)")
-    return _weighted(_with_sessions(counts, clicks), gainful, "inner", max_items).select(
+    return _weighted(_with_sessions(counts, clicks), items, max_items).select(
         "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight"), gain.alias("gain")
     )
 
 
 def purchases_of(purchases: DataFrame, items: DataFrame, max_items: int | None = None) -> DataFrame:
-    """The purchases of the given items."""
-    return purchases.join(bounded(items.select("item_id"), max_items), "item_id", "left_semi")
+    """The purchases of the given items, of which each is listed once."""
+    wanted = items.select("item_id")
+    if is_small(max_items):
+        return purchases.join(F.broadcast(wanted), "item_id", "left_semi")
+    return split_join(purchases, wanted, ["item_id"], ["session_id"])
 
 
 def utility_matrix(clicks: DataFrame, purchases: DataFrame, items: DataFrame, max_items: int | None = None) -> DataFrame:

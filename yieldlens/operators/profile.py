@@ -34,8 +34,13 @@ def top_items_by_count(events: DataFrame, n: int = 10) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Each value with its number of rows. What follows works on this, usually far smaller, table."""
-    return df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    """Each value with its number of rows. What follows works on this, usually far smaller, table.
+
+    The test on the count is always true; it keeps the count in every use, so that all uses share
+    one scan and one shuffle.
+    """
+    values = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("value"))
+    return values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") > 0)
 
 
 def quantile_of_counts(counts: DataFrame, fraction: str) -> DataFrame:
@@ -47,7 +52,8 @@ def quantile_of_counts(counts: DataFrame, fraction: str) -> DataFrame:
     # The cuts only balance the slices; any cuts give the same quantile, so a small sketch will do.
     fractions = [i / SLICES for i in range(1, SLICES)]
     cuts = counts.agg(F.percentile_approx("value", fractions, 10 * SLICES).alias("cuts")).scalar()
-    slice_of = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    # Never NULL, which spares the join below a test that would move into the shared scan.
+    slice_of = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
     sliced = counts.withColumn("cuts", cuts).withColumn("slice", slice_of).drop("cuts")
 
     # At most SLICES rows from here on, so one task may order them.
@@ -91,7 +97,9 @@ def histogram(df: DataFrame, column: str = "price", bins: int = 20, fraction: st
     """Rows per equal-width bin, right-closed, over the values left by the trim; empty bins included."""
     counts = value_counts(df, column)
     if fraction is not None:
-        counts = counts.filter(F.col("value") < quantile_of_counts(counts, fraction).scalar())
+        # Tied to the count, the condition stays above the shared scan.
+        below = F.col("value") < quantile_of_counts(counts, fraction).scalar()
+        counts = counts.filter(F.when(F.col("n") > 0, below))
     low = counts.agg(F.min("value").alias("low")).scalar()
     high = counts.agg(F.max("value").alias("high")).scalar()
     filled = counts.groupBy(equal_width_bin(F.col("value"), low, high, bins).alias("bin")).agg(F.sum("n").alias("rows"))

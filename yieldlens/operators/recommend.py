@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators.matrix import session_items
-from yieldlens.operators.skew import BROADCAST_ROWS, split_join
+from yieldlens.operators.skew import is_small, split_join
 from yieldlens.plans.checkpoints import stored
 
 
@@ -22,7 +22,7 @@ def _scored(
     the sums, and later the ranking, then need no shuffle, and no session can multiply to more rows
     than there are edges. Else both sides are shuffled by item, with hot items spread.
     """
-    if edge_rows is not None and edge_rows <= BROADCAST_ROWS:
+    if is_small(edge_rows):
         # A fixed number of partitions: merged by their size before the join they would be too few.
         partitions = int(clicks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         joined = clicks.repartition(partitions, "session_id").join(F.broadcast(edges), keys)

@@ -20,9 +20,9 @@ MAX_PARTS = 4_096
 BROADCAST_ROWS = 1_000_000
 
 
-def bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Mark ``df`` for broadcast if it provably has few rows, else leave the choice to Spark."""
-    return F.broadcast(df) if max_rows is not None and max_rows <= BROADCAST_ROWS else df
+def is_small(max_rows: int | None) -> bool:
+    """Whether a table with this proven or counted bound on its rows may be broadcast."""
+    return max_rows is not None and max_rows <= BROADCAST_ROWS
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
@@ -70,7 +70,7 @@ def semi_join(
     rows: DataFrame, keys: Sequence[str], wanted: DataFrame, size: int, spread_by: Sequence[str]
 ) -> DataFrame:
     """Rows whose key is in ``wanted``, a distinct list that was counted to have ``size`` rows."""
-    if size <= BROADCAST_ROWS:
+    if is_small(size):
         return rows.join(F.broadcast(wanted), list(keys), "left_semi")
     return split_join(rows, wanted, keys, spread_by)
 

@@ -33,7 +33,11 @@ def mined_items(purchases: DataFrame, settings: Settings) -> DataFrame:
 
 
 def matrix_from_events(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
-    return utility_matrix(clicks, purchases, mined_items(purchases, settings), settings.max_items)
+    """The weights of all pairs. Items whose number has no bound beforehand are computed and counted on call."""
+    items, size = mined_items(purchases, settings), settings.max_items
+    if size is None:
+        items, size = stored(items)
+    return utility_matrix(clicks, purchases, items, size)
 
 
 def mine_and_recommend(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
@@ -78,7 +82,7 @@ def run_batch(
     purchases = first_rows(load_purchases(spark, purchase_path, fmt), ["session_id", "ts", "item_id", "price"], rows)
     mined_items(purchases, settings).write.mode("overwrite").parquet(f"{out_dir}/items")
     items = spark.read.parquet(f"{out_dir}/items")
-    save_matrix(utility_matrix(clicks, purchases, items, settings.max_items), f"{out_dir}/matrix")
+    save_matrix(utility_matrix(clicks, purchases, items, items.count()), f"{out_dir}/matrix")
     serve(spark, f"{out_dir}/matrix", clicks, settings.top_k).write.mode("overwrite").parquet(
         f"{out_dir}/recommendations"
     )
