@@ -135,7 +135,7 @@ def _brands_by_year(spark: SparkSession, sf: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Which items of high value should each clicking session see? From events to ranked items."""
-    return queries()["pipeline_end_to_end"](spark, "/root/testdata/sf0.001")
+    return queries()["mine_and_recommend"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -163,7 +163,7 @@ def queries() -> dict[str, Query]:
             lambda c, p: _rounded(profile.conversion(c, p), "buy_click_ratio", "buying_session_ratio")
         ),
         "popularity_share": _on_clicks(lambda c: _rounded(profile.popularity_share(c), "top_share")),
-        "pipeline_counts": _on_both(lambda c, p: pipeline.pipeline_counts(c, p, PIPELINE)),
+        "stage_counts": _on_both(lambda c, p: pipeline.stage_counts(c, p, PIPELINE)),
         # Sequences
         "distinct_session_items": _on_clicks(mx.session_items),
         "click_sequences": _on_clicks(
@@ -214,7 +214,7 @@ def queries() -> dict[str, Query]:
         "recommend_holdout": _on_both(lambda c, p: _double(recommend.recommend_held_out(c, p, ITEMS), "score")),
         "recommend_click_only": _on_both(lambda c, p: _double(_recommend_click_only(c, p), "score")),
         "expected_profit": _on_both(lambda c, p: _double(_expected_profit(c, p), "expected_profit")),
-        "pipeline_end_to_end": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
+        "mine_and_recommend": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
     }
 
 

@@ -216,7 +216,7 @@ ORACLE_SQL = {
            FROM (SELECT events, row_number() OVER (ORDER BY events DESC, item_id) AS place, count(*) OVER () AS n
                  FROM (SELECT item_id, count(*) AS events FROM clicks GROUP BY item_id))""",
     ),
-    "pipeline_counts": _sql(
+    "stage_counts": _sql(
         "clicks matrix",
         """SELECT 'clicks' AS stage, count(*) AS rows FROM clicks
            UNION ALL SELECT 'purchases', count(*) FROM purchases
@@ -348,5 +348,5 @@ ORACLE_SQL = {
             FROM cps JOIN (SELECT click_item, count(*) AS n FROM clicked GROUP BY click_item) USING (click_item)
             JOIN high_items ON purchase_item = item_id""",
     ),
-    "pipeline_end_to_end": _sql("ranked", _TOP.format("ranked", 3)),
+    "mine_and_recommend": _sql("ranked", _TOP.format("ranked", 3)),
 }

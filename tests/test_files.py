@@ -8,7 +8,7 @@ from decimal import Decimal
 from yieldlens.__main__ import main
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.plans.checkpoints import use_checkpoints
-from yieldlens.plans.pipeline import Settings, pipeline_counts, run_batch, serve
+from yieldlens.plans.pipeline import Settings, mine_and_recommend, run_batch, serve, stage_counts
 from yieldlens.sources import tables
 
 PURCHASES = """Session ID,Timestamp,Item ID,Price,Quantity
@@ -85,9 +85,13 @@ def test_batch_job(spark, tmp_path):
     assert lists == {1: [70], 5: [70]}
     again = serve(spark, f"{out}/matrix", tables.load_clicks(spark, clicks), 1)
     assert {r.session_id: r["items"] for r in again.collect()} == lists
+    tables_read = tables.load_clicks(spark, clicks), tables.load_purchases(spark, buys)
+    for chosen in (settings, Settings(MinUtility.of_share("0.5"), top_k=3, nonnegative=True)):
+        ranked = mine_and_recommend(*tables_read, chosen)
+        assert {(r.session_id, r["rank"], r.item_id) for r in ranked.collect()} == {(1, 1, 70), (5, 1, 70)}
     run_batch(spark, clicks, buys, str(tmp_path / "capped"), settings, rows=1)
     assert spark.read.parquet(f"{tmp_path}/capped/recommendations").count() == 1
-    counted = pipeline_counts(tables.load_clicks(spark, clicks), tables.load_purchases(spark, buys), settings)
+    counted = stage_counts(tables.load_clicks(spark, clicks), tables.load_purchases(spark, buys), settings)
     assert {r.stage: r["rows"] for r in counted.collect()} == {
         "clicks": 3, "purchases": 2, "items": 1, "pairs": 3, "weights": 2
     }

@@ -49,7 +49,7 @@ def mine_and_recommend(clicks: DataFrame, purchases: DataFrame, settings: Settin
     return recommend(session_items(clicks, "click_item"), matrix, settings.top_k, rows)
 
 
-def pipeline_counts(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
+def stage_counts(clicks: DataFrame, purchases: DataFrame, settings: Settings) -> DataFrame:
     """How many rows each step of the pipeline has."""
     items = mined_items(purchases, settings)
     counts = cps(clicks, purchases)
