@@ -13,7 +13,7 @@ With a time to live a batch looks into the days around its own clicks only, howe
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +31,7 @@ UNDATED = date(1970, 1, 1)
 class ClickScorer:
     """``session_ttl`` limits a session to the clicks within this time of a batch's newest click.
 
-    ``matrix_rows`` is the size of the matrix where it has been counted.
+    ``matrix_rows`` is the size of the matrix; ``start`` counts it where it is not given.
     """
 
     matrix: DataFrame
@@ -42,8 +42,9 @@ class ClickScorer:
 
     def start(self, clicks: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Score ``clicks``, a streaming table; the default trigger works off what is there and stops."""
+        scorer = self if self.matrix_rows is not None else replace(self, matrix_rows=self.matrix.count())
         return (
-            clicks.writeStream.foreachBatch(self.score_batch)
+            clicks.writeStream.foreachBatch(scorer.score_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()
