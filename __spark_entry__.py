@@ -91,8 +91,10 @@ def _drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _purchase_sequences(purchases: DataFrame) -> DataFrame:
-    listed = sequences.purchase_sequences(purchases)
-    entry = F.transform("purchases", lambda p: F.concat_ws(":", p["item_id"].cast("string"), p["utility"].cast("string")))
+    listed = sequences.purchase_sequences(purchases, src.EVENT_ORDER)
+    entry = F.transform(
+        "purchases", lambda p: F.concat_ws(":", p["item_id"].cast("string"), p["utility"].cast("string"))
+    )
     return listed.select("session_id", "part", F.array_join(entry, ">").alias("purchases"))
 
 
@@ -124,7 +126,7 @@ def _frequent(df: DataFrame, support: float, length: int, order: list[str]) -> D
 def _valuable(df: DataFrame, least: MinUtility, length: int, shortest: int = 1, **how: object) -> DataFrame:
     found = patterns.high_utility_sequences(df, least, length, **how)
     long_enough = found.filter(F.size(F.flatten("pattern")) >= shortest)
-    return long_enough.select(sequence_text("pattern").alias("pattern"), F.col("utility").cast("double").alias("utility"))
+    return _double(long_enough.select(sequence_text("pattern").alias("pattern"), "utility"), "utility")
 
 
 def _brands_by_year(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +169,7 @@ def queries() -> dict[str, Query]:
         # Sequences
         "distinct_session_items": _on_clicks(mx.session_items),
         "click_sequences": _on_clicks(
-            lambda c: sequences.click_sequences(c).select(
+            lambda c: sequences.click_sequences(c, src.EVENT_ORDER).select(
                 "session_id",
                 "part",
                 F.array_join("items", ">").alias("items"),
@@ -191,8 +193,8 @@ def queries() -> dict[str, Query]:
         ),
         "swu_orders": _on_orders(lambda o: _double(utility.swu(o), "swu")),
         "huspm_orders": _on_orders(lambda o: _double(utility.high_utility_items(o, ORDER_ITEMS), "utility")),
-        "huspm_len2": _on_purchases(lambda p: _valuable(p, LONGER, 2, shortest=2)),
-        "huspm_patterns": _on_purchases(lambda p: _valuable(p, LONGER, 3)),
+        "huspm_len2": _on_purchases(lambda p: _valuable(p, LONGER, 2, shortest=2, order=src.EVENT_ORDER)),
+        "huspm_patterns": _on_purchases(lambda p: _valuable(p, LONGER, 3, order=src.EVENT_ORDER)),
         "huspm_itemsets": lambda spark, sf: _valuable(
             _brands_by_year(spark, sf), ITEMSETS, 3, order=["ts"], singletons=False
         ),

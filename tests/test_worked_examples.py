@@ -207,6 +207,16 @@ def test_sequences_follow_time(tables):
     assert [(p.item_id, int(p.utility)) for p in first.purchases] == [(6, 8), (5, 7)]
 
 
+def test_equal_events_stay_apart(tables):
+    buys = tables.purchases([(1, 1, 4, 3), (1, 1, 4, 3), (1, 1, 2, 1)])
+    assert mined(buys, 1, 3) == {"2": 1, "4": 3, "2>4": 4, "4>4": 6, "2>4>4": 7}
+    clicks = buys.drop("utility", "event_id")
+    found = sequences.frequent_sequences(clicks, 0.5, 3)
+    shown = {r.s: r.freq for r in found.select(sequence_text("sequence").alias("s"), "freq").collect()}
+    assert shown == {"2": 1, "4": 1, "2>4": 1, "4>4": 1, "2>4>4": 1}
+    assert sequences.click_sequences(clicks).first()["items"] == [2, 4, 4]
+
+
 def test_library_miner_agrees_with_the_distributed_one(tables):
     clicks = tables.clicks([(s, i, (s * i * 7) % 5) for s in range(1, 30) for i in range(1, 3 + s % 5)])
     ours = sequences.frequent_sequences(clicks, 0.1, 4)

@@ -90,7 +90,9 @@ def purchases_of(purchases: DataFrame, items: DataFrame, max_items: int | None =
     return split_join(purchases, wanted, ["item_id"], ["session_id"])
 
 
-def utility_matrix(clicks: DataFrame, purchases: DataFrame, items: DataFrame, max_items: int | None = None) -> DataFrame:
+def utility_matrix(
+    clicks: DataFrame, purchases: DataFrame, items: DataFrame, max_items: int | None = None
+) -> DataFrame:
     """WHUOM straight from the events.
 
     Only purchases of ``items`` can get a weight, so the others are left out before the sessions

@@ -53,21 +53,29 @@ def _pattern_events(
 
     Also the threshold as a number, and whether there is a hot session.
     """
-    instant = list(order) if singletons else [order[0]]
-    places = [c for c in instant if c != "item_id"]
+    places = [c for c in (order if singletons else order[:1]) if c != "item_id"]
     amount = F.when(F.col("utility") < 0, F.raise_error(F.lit("negative utility"))).otherwise(F.col("utility"))
-    # Several purchases of an item at one place are one event.
-    events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum(amount).alias("u")).checkpoint()
+    purchases = purchases.select("session_id", "item_id", *places, amount.alias("u"))
+    if singletons:
+        # Purchases alike in everything stay apart, as numbered copies.
+        alike = purchases.groupBy("session_id", "item_id", *places, "u").agg(F.count("*").alias("copies"))
+        events = alike.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
+        total_order = [*dict.fromkeys([*order, "item_id"]), "u", "copy"]
+    else:
+        # Several purchases of an item in an itemset are one event.
+        events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum("u").alias("u"))
+        total_order = [*places, "item_id"]
+    events = events.checkpoint()
     if min_utility.share is not None:
         total = events.agg(F.sum("u")).first()[0] or 0
         min_utility = MinUtility.of_amount(total * min_utility.share)
-    hot = hot_spans(events, "session_id", instant[0]).checkpoint()
+    hot = hot_spans(events, "session_id", order[0]).checkpoint()
     split = not hot.isEmpty()
     spent = events.withColumnRenamed("u", "utility")
     promising = promising_items(spent, min_utility, hot=split).select("item_id").checkpoint()
     kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
-    full_order = instant if "item_id" in instant else [*instant, "item_id"]
-    placed = ordered(kept, "session_id", instant, hot if split else None, full_order, "u").select(
+    instant = None if singletons else places
+    placed = ordered(kept, "session_id", total_order, hot if split else None, "u", instant).select(
         "session_id", "block", "pos", "item_id", "u", "rest", "peak"
     )
     return placed.checkpoint(), F.lit(min_utility.amount), split
@@ -124,7 +132,8 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
         marked = marked.filter("record").withColumn("until", F.lead("pos").over(whole.orderBy("pos")))
     elif split:
         # Records are few even in a hot session.
-        ends = marked.filter("record").select(*group, "pos", F.lead("pos").over(whole.orderBy("pos")).alias("until"))
+        following = F.lead("pos").over(whole.orderBy("pos"))
+        ends = marked.filter("record").select(*group, "pos", following.alias("until"))
         marked = marked.join(ends, [*group, "pos"], "left")
     else:
         back = whole.orderBy(F.col("pos").desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -141,7 +150,8 @@ def _extended(
     more, so the matches need not be shuffled again.
     """
     pattern = _columns(length)
-    later = F.col("record") & (F.col("pos") > F.col("since")) & (F.col("until").isNull() | (F.col("pos") <= F.col("until")))
+    serves = F.col("until").isNull() | (F.col("pos") <= F.col("until"))
+    later = F.col("record") & (F.col("pos") > F.col("since")) & serves
     wider = (F.col("pos") == F.col("since")) & (F.col("item_id") > F.col(f"i{length}"))
     if not split:
         joined = events.join(state, "session_id").filter(later if singletons else later | wider)
@@ -170,13 +180,13 @@ def high_utility_sequences(
     purchases: DataFrame,
     min_utility: MinUtility,
     max_length: int = 3,
-    order: Sequence[str] = ("ts", "event_id"),
+    order: Sequence[str] = ("ts", "item_id"),
     singletons: bool = True,
 ) -> DataFrame:
     """All patterns of up to ``max_length`` items whose utility reaches the threshold.
 
-    With ``singletons`` every purchase is an itemset of its own, ordered by all ``order`` columns;
-    otherwise purchases at the same time, the first of them, form one itemset.
+    With ``singletons`` every purchase is an itemset of its own, ordered by the ``order`` columns and
+    then by item; otherwise purchases at the same time, the first of them, form one itemset.
 
     Patterns grow level by level. The matches of the longer patterns are first only aggregated, to
     find which are valuable and which are worth extending: those whose bound reaches the threshold,

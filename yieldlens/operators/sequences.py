@@ -13,6 +13,8 @@ from yieldlens.functions.columns import singletons
 from yieldlens.operators.skew import hot_spans, ordered, semi_join, split_join
 from yieldlens.plans.checkpoints import use_checkpoints
 
+# Loaded clicks and purchases have nothing finer than time to order them by; the item breaks ties.
+ORDER = ("ts", "item_id")
 PART_ROWS = 100_000
 # Fixed value: the library's limit on a projected database that one task mines.
 LOCAL_DATABASE = 32_000_000
@@ -30,21 +32,21 @@ def session_lists(
 
     An ordinary session is one row with ``part`` 0. A hot session continues over several parts of
     at most ``part_rows`` entries each, numbered in order, so that no array grows without bound.
-    The first ``order`` column is a timestamp; together they must identify an event in its session.
+    The first ``order`` column is a timestamp. Events that agree on all of them follow by payload.
     """
     columns = list(dict.fromkeys([*order, *payload]))
     events = events.select("session_id", *columns)
     hot = hot_spans(events, "session_id", order[0])
     listed = F.broadcast(hot.select("session_id"))
     whole = _lists(events.join(listed, "session_id", "left_anti"), ["session_id"], order, payload)
-    placed = ordered(events.join(listed, "session_id", "left_semi"), "session_id", order, hot)
+    placed = ordered(events.join(listed, "session_id", "left_semi"), "session_id", columns, hot)
     part = F.floor((F.col("pos") - 1) / F.lit(part_rows)).cast("bigint")
     pieces = _lists(placed.withColumn("part", part), ["session_id", "part"], ["pos"], payload)
     return whole.select("session_id", F.lit(0).cast("bigint").alias("part"), "entries").unionByName(pieces)
 
 
 def click_sequences(
-    clicks: DataFrame, order: Sequence[str] = ("ts", "event_id"), part_rows: int = PART_ROWS
+    clicks: DataFrame, order: Sequence[str] = ORDER, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """Clicked items of a session in order, plain and as a sequence of one-item itemsets."""
     items = F.col("entries.item_id")
@@ -54,7 +56,7 @@ def click_sequences(
 
 
 def purchase_sequences(
-    purchases: DataFrame, order: Sequence[str] = ("ts", "event_id"), part_rows: int = PART_ROWS
+    purchases: DataFrame, order: Sequence[str] = ORDER, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """Purchases of a session in order, as (item, utility) pairs."""
     return session_lists(purchases, order, ["item_id", "utility"], part_rows).withColumnRenamed("entries", "purchases")
@@ -80,7 +82,7 @@ def frequent_sequences(
     events: DataFrame,
     min_support: float = 0.1,
     max_pattern_length: int = 5,
-    order: Sequence[str] = ("ts", "event_id"),
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Item sequences found in at least ``min_support`` of the sessions, with the number of those.
 
@@ -91,6 +93,7 @@ def frequent_sequences(
     shuffle. A hot session's events are spread over tasks. The loop fetches one flag per level.
     """
     use_checkpoints(events.sparkSession)
+    order = list(dict.fromkeys([*order, "item_id"]))
     present = events.select("session_id", "item_id").distinct()
     # The library's own rounding: the smallest whole number of sessions not below the share.
     least = math.ceil(min_support * present.select("session_id").distinct().count())
@@ -105,12 +108,13 @@ def frequent_sequences(
 
     items = present.groupBy("item_id").agg(F.count("*").alias("freq")).filter(F.col("freq") >= least)
     items = items.select("item_id").checkpoint()
-    rows = events.select("session_id", "item_id", *order)
+    rows = events.select("session_id", *order)
     kept = semi_join(rows, ["item_id"], items, items.count(), order)
     hot = hot_spans(kept, "session_id", order[0]).checkpoint()
     split = not hot.isEmpty()
     # The places count frequent items only, which leaves their order as it is.
-    usable = ordered(kept, "session_id", order, hot if split else None).select("session_id", "item_id", "pos").checkpoint()
+    placed = ordered(kept, "session_id", order, hot if split else None)
+    usable = placed.select("session_id", "item_id", "pos").checkpoint()
     state = usable.groupBy("session_id", F.col("item_id").alias("i1")).agg(F.min("pos").alias("done"))
     found = [frequent(state, 1)]
     for length in range(2, max_pattern_length + 1):

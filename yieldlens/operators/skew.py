@@ -103,24 +103,26 @@ def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> D
 def ordered(
     df: DataFrame,
     key: str,
-    instant: Sequence[str],
+    order: Sequence[str],
     hot: DataFrame | None,
-    order: Sequence[str] | None = None,
     amount: str | None = None,
+    instant: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``block`` and ``pos``, the place of a row in its group, and what lies behind it.
 
-    Rows that agree on all ``instant`` columns, the first of which is a timestamp, get the same
-    place. Given an ``amount``, ``rest`` is its sum and ``peak`` its maximum over the rows behind by
-    ``order`` (default: ``instant``), which has to be total; both are NULL for the last row. Hot
-    groups, given by ``hot_spans``, are worked slice by slice; what lies in other slices comes from
-    one small row per slice. ``hot`` is None where it is known that no group is hot.
+    Rows follow each other by ``order``, whose first column is a timestamp. Every row has a place of
+    its own, or shares it with the rows that agree on the ``instant`` columns, a first part of the
+    order. Given an ``amount``, ``rest`` is its sum and ``peak`` its maximum over the rows behind, for
+    which the order has to be total; both are NULL for the last row. Hot groups, given by
+    ``hot_spans``, are worked slice by slice; what lies in other slices comes from one small row per
+    slice. ``hot`` is None where it is known that no group is hot.
     """
-    rows = _with_blocks(df, key, instant[0], hot)
+    rows = _with_blocks(df, key, order[0], hot)
     part = W.partitionBy(key) if hot is None else W.partitionBy(key, "block")
-    placed = rows.withColumn("pos", F.rank().over(part.orderBy(*instant)).cast("bigint"))
+    place = F.row_number().over(part.orderBy(*order)) if instant is None else F.rank().over(part.orderBy(*instant))
+    placed = rows.withColumn("pos", place.cast("bigint"))
     if amount is not None:
-        behind = part.orderBy(*[F.col(c).desc() for c in order or instant]).rowsBetween(W.unboundedPreceding, -1)
+        behind = part.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(W.unboundedPreceding, -1)
         placed = placed.withColumns({"rest": F.sum(amount).over(behind), "peak": F.max(amount).over(behind)})
     if hot is None:
         return placed
