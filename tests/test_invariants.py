@@ -137,9 +137,10 @@ def test_both_matrix_forms_agree(tables, rows):
     clicks = tables.clicks([(s, t, 1 + (item * 3 + t) % 5) for s, t, item, _ in unique_times(rows)])
     items = ut.high_utility_items(buys, AMOUNT(15))
     counts = matrix.cps(clicks, buys)
+    built = matrix.whuom(counts, items), matrix.whuom_left(counts, items), matrix.utility_matrix(clicks, buys, items)
     forms = [
         sorted(map(tuple, df.select("click_item", "purchase_item", F.col("weight").cast("double")).collect()))
-        for df in (matrix.whuom(counts, items), matrix.whuom_left(counts, items), matrix.utility_matrix(clicks, buys, items))
+        for df in built
     ]
     assert forms[0] == forms[1] == forms[2]
 

@@ -11,7 +11,17 @@ from pyspark.sql.window import Window as W
 from yieldlens.functions.columns import sequence_text
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators import patterns, sequences, skew
-from yieldlens.operators.skew import BROADCAST_ROWS, earlier_max, hot_keys, hot_spans, is_small, key_counts, ordered, semi_join, split_join
+from yieldlens.operators.skew import (
+    BROADCAST_ROWS,
+    earlier_max,
+    hot_keys,
+    hot_spans,
+    is_small,
+    key_counts,
+    ordered,
+    semi_join,
+    split_join,
+)
 
 
 
@@ -29,9 +39,18 @@ def rows(df):
 def skewed(spark):
     """A third of 900 rows belongs to key 7; the rest is spread thinly."""
     chance = random.Random(3)
-    data = [(7 if n % 3 == 0 else 1000 + n // 4, chance.randrange(400), n, chance.randrange(6), n % 11) for n in range(900)]
+    data = [
+        (7 if n % 3 == 0 else 1000 + n // 4, chance.randrange(400), n, chance.randrange(6), n % 11)
+        for n in range(900)
+    ]
     df = spark.createDataFrame(data, "session_id bigint, s bigint, event_id bigint, item_id bigint, u bigint")
-    return df.selectExpr("session_id", "timestamp_seconds(nullif(s, 200)) AS ts", "event_id", "item_id", "CAST(u AS DECIMAL(18,2)) AS utility")
+    return df.selectExpr(
+        "session_id",
+        "timestamp_seconds(nullif(s, 200)) AS ts",
+        "event_id",
+        "item_id",
+        "CAST(u AS DECIMAL(18,2)) AS utility",
+    )
 
 
 def test_only_large_keys_are_hot(skewed, monkeypatch):

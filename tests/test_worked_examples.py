@@ -59,7 +59,9 @@ def test_two_shards_see_half_the_sessions(tables, least, merge, expected):
 
 
 def test_weight_prefers_the_likely_item_to_the_dear_one(spark):
-    counts = spark.createDataFrame([(214536, 111222, 0.85), (214536, 999999, 0.10)], "click_item long, purchase_item long, cps double")
+    counts = spark.createDataFrame(
+        [(214536, 111222, 0.85), (214536, 999999, 0.10)], "click_item long, purchase_item long, cps double"
+    )
     items = spark.createDataFrame([(111222, 1000.0), (999999, 5000.0)], "item_id long, utility double")
     weights = matrix.whuom(counts, items)
     assert edges(weights, "weight") == {(214536, 111222): 850, (214536, 999999): 500}

@@ -146,8 +146,8 @@ def _extended(
 ) -> DataFrame:
     """Matches of all patterns longer by one item: in a later itemset, or in the last one.
 
-    ``more`` is the number of items that may still follow. Without a hot session one join by session does both, and what follows groups by session and
-    more, so the matches need not be shuffled again.
+    ``more`` is the number of items that may still follow. Without a hot session one join by session
+    does both, and what follows groups by session and more, so the matches need not be shuffled again.
     """
     pattern = _columns(length)
     serves = F.col("until").isNull() | (F.col("pos") <= F.col("until"))
