@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,7 +142,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mine_and_recommend"](spark, "/root/testdata/sf0.001")
 
 
+def _llm() -> ModuleType | None:
+    """The queries for language-model data, or None where that subpackage has been taken away."""
+    try:
+        return importlib.import_module("yieldlens.llm.queries")
+    except ModuleNotFoundError as error:
+        if error.name not in ("yieldlens.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
 def queries() -> dict[str, Query]:
+    own = _own_queries()
+    return own | llm.queries() if (llm := _llm()) else own
+
+
+def oracle_sql() -> dict[str, str]:
+    return ORACLE_SQL | llm.oracle_sql() if (llm := _llm()) else dict(ORACLE_SQL)
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         # Sources, cleaning, profile
         "load_clicks": _on_clicks(lambda c: _plain_time(tables.drop_incomplete(c, tables.CLICK_KEYS))),
@@ -218,7 +239,3 @@ def queries() -> dict[str, Query]:
         "expected_profit": _on_both(lambda c, p: _double(_expected_profit(c, p), "expected_profit")),
         "mine_and_recommend": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
