@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldlens.llm import packing, token_counts
+from yieldlens.llm import chat, packing, quality, token_counts
+from yieldlens.llm.oracles import ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(chat.format_branches(chat.conversation_messages(rows)))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality.quality_verdicts(_table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return verdicts.select("doc_id", *counts, "base_failed", "kept")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", length=1024, end_id=2)
 
@@ -24,8 +40,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op9_best_fit_packing, op10_token_counts)}
+    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
