@@ -99,7 +99,8 @@ class PieceCounter:
 
     def _learn(self, words: list[str]) -> None:
         """One library call for all words of the window that are new."""
-        new = [w for w in set(words).difference(self.known) if w and w[0] != self.MARK and w[-1] != self.MARK]
+        known, mark = self.known, self.MARK
+        new = [w for w in set(words) if w not in known and w and w[0] != mark and w[-1] != mark]
         if len(self.known) + len(new) > TABLE:
             self.known.clear()
             new = new[:TABLE]
