@@ -14,7 +14,7 @@ from yieldlens.llm import vocabulary
 
 PARTS = [
     "the", "The", "word", "naïve", "Straße", "été", "a×b", "x÷", "it's", "don't", "we'll", "'s", "s's'", "123", "4x5",
-    " ", "  ", "   ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "​", "▁", "▁▁",
+    "the.\nThe", "a\nb\nc", "\nx", " ", "  ", "   ", "\n", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "​", "▁", "▁▁",
     ".", ",", "...", "!!", "%%%", "_", "__", "-", "#", "<|endoftext|>", "<s>", "</s>", "<unk>", "<0x0A>", "日本語", "🙂", "́", "\x00",
 ]
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yieldlens.llm import chat, packing, quality, token_counts
+from yieldlens.llm import chat, packing, quality, secrets, token_counts, warc
 from yieldlens.llm.oracles import ORACLE_SQL
+from yieldlens.llm.storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,51 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages become old archives of both versions, those new ones, and these the rows."""
+    space = Workspace(spark, "archives")
+    html = F.encode(F.coalesce("html", F.lit("")), "utf-8")
+    # The old header line has its fields between blanks.
+    url = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), F.lit("about:blank"))
+    head = F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nX-Page-Id: "),
+        F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+        F.lit("\r\nContent-Length: "),
+        F.length(html).cast("string"),
+        F.lit("\r\n\r\n"),
+    )
+    pages = _table(spark, sf_dir, "pages").select(
+        F.when(url == "", "about:blank").otherwise(url).alias("url"),
+        F.lit("192.0.2.1").alias("ip"),
+        F.lit("20010203040506").alias("date"),
+        F.lit("text/html; charset=UTF-8").alias("mime"),
+        (F.pmod(F.xxhash64("page_id"), F.lit(2)) + 1).alias("version"),
+        F.concat(F.encode(head, "utf-8"), html).alias("block"),
+    )
+    page = F.regexp_extract("head", r"\r\nX-Page-Id: (-?[0-9]+)\r\n", 1).try_cast("long")
+    warc.write_arc(pages, f"{space.path}/arc")
+    warc.write_warc(warc.read_arc(spark, f"{space.path}/arc"), f"{space.path}/warc", order=page)
+    read = warc.read_warc(spark, f"{space.path}/warc").withColumn("page_id", page)
+    full = read.filter("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to"),
+        F.col("page_id").alias("full_page"),
+        F.col("payload_bytes").alias("full_bytes"),
+        F.col("payload_digest").alias("full_digest"),
+    )
+    again = F.col("record_type") == "revisit"
+    return read.join(full, "refers_to", "left").select(
+        "page_id",
+        F.when(again, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(again, F.col("full_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        F.when(again, F.col("full_page")).alias("refers_to"),
+    )
+
+
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", length=1024, end_id=2)
 
@@ -40,7 +87,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op9_best_fit_packing, op10_token_counts)}
+    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op5_arc_to_warc, op6_secret_scans, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
-TABLE = 400_000
+TABLE = 800_000
 WINDOW = 1 << 20
 
 
@@ -117,7 +118,7 @@ class ByteLevelEncoder:
 
     CUT = re.compile(r"(?<=\S)(?= \S)")
     # Latin letters without the two signs among them, and punctuation behind; an apostrophe may join letters.
-    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]?)([!-/:-@\[-`{-~]*)")
+    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)((?:[!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -134,12 +135,13 @@ class ByteLevelEncoder:
             and (split.get("type"), split.get("add_prefix_space"), split.get("use_regex")) == ("ByteLevel", False, True)
             and said["model"]["type"] == "BPE"
             and not any(said["model"].get(k) for k in ("dropout", "ignore_merges", "unk_token"))
-            and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] or t["content"].isalpha() for t in said["added_tokens"])
+            and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in said["added_tokens"])
+            # None of the added tokens may lie within a word as the pattern takes it.
+            and not any(self.WORD.fullmatch(f"a{t['content']}") for t in said["added_tokens"])
         )
         if self.splits:
             merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in said["model"]["merges"]]
             self.model = models.BPE(said["model"]["vocab"], merges, cache_capacity=0)
-            self.added = [t["content"] for t in said["added_tokens"]]
             self.bytes = _byte_letters()
             self.known, self.letters, self.others = _Memo(self._word), _Memo(self._letters), _Memo(self._whole)
 
@@ -152,7 +154,7 @@ class ByteLevelEncoder:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(self.bytes)
+        spelled = (word if word.isascii() else word.encode().decode("latin-1")).translate(self.bytes)
         return _packed([token.id for token in self.model.tokenize(spelled)])
 
     def _word(self, word: str) -> bytes | None:
@@ -160,10 +162,20 @@ class ByteLevelEncoder:
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         parts = self.WORD.fullmatch(word)
-        if parts is None or any(a in word for a in self.added):
+        if parts is None:
+            head, *lines = word.split("\n")
+            if lines and head and not any(not p or p[0].isspace() or p[-1].isspace() for p in (head, *lines)):
+                # A single line end between two other characters is a part of its own.
+                return self.known[head] + b"".join(self.others["\n"] + self._line(line) for line in lines)
             return self._whole(" " + word)
-        tail = parts[2] + parts[3]
-        return self.letters[" " + parts[1]] + (self.others[tail] if tail else b"")
+        letters, tail = parts.groups()
+        return self.letters[" " + letters] + self.others[tail] if tail else self.letters[" " + letters]
+
+    def _line(self, word: str) -> bytes:
+        parts = self.WORD.fullmatch(word)
+        if parts is None:
+            return self._whole(word)
+        return self.letters[parts[1]] + (self.others[parts[2]] if parts[2] else b"")
 
     def _window(self, text: str) -> bytes:
         first, *words = text.split(" ")
@@ -186,7 +198,7 @@ class ByteLevelEncoder:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> dict[int, str]:
