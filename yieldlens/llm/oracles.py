@@ -98,4 +98,44 @@ WITH {quality("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM verdicts
 """
 
-ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2}
+
+def components(table: str, width: int, per_cent: int) -> str:
+    """Common table expressions that end in ``alike``: doc_id, n_shingles and component_id for a table's documents."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM {table}
+),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + {width - 1}], ' ') FOR i IN range(1, len(w) - {width - 2})] END) AS g
+    FROM worded
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+    WHERE 100 * c >= {per_cent} * (s.n + t.n - c)
+),
+either AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(a, b) AS (
+    SELECT doc_id, doc_id FROM {table} UNION SELECT a, y FROM reached JOIN either ON x = b
+),
+alike AS (
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM {table} LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+)"""
+
+
+OP8 = f"""
+WITH RECURSIVE {components("documents", 3, 90)}
+SELECT doc_id, n_shingles, component_id FROM alike
+"""
+
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op8_jaccard_join": OP8}

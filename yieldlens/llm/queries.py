@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldlens.llm import chat, packing, quality, secrets, token_counts, warc
+from yieldlens.llm import chat, jaccard, packing, quality, secrets, token_counts, warc
 from yieldlens.llm.oracles import ORACLE_SQL
 from yieldlens.llm.storage import Workspace
 
@@ -78,6 +78,11 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.join_similar(_table(spark, sf_dir, "documents"), jaccard.Alike(width=3, per_cent=90))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", length=1024, end_id=2)
 
@@ -87,7 +92,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op5_arc_to_warc, op6_secret_scans, op9_best_fit_packing, op10_token_counts)}
+    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op5_arc_to_warc, op6_secret_scans, op8_jaccard_join, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
