@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldlens.llm import chat, jaccard, packing, quality, secrets, token_counts, warc
+from yieldlens.llm import chat, contamination, jaccard, packing, quality, secrets, token_counts, warc
 from yieldlens.llm.oracles import ORACLE_SQL
 from yieldlens.llm.storage import Workspace
 
@@ -33,6 +33,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return contamination.contaminated(documents, benchmark)
+
+
 def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages become old archives of both versions, those new ones, and these the rows."""
     space = Workspace(spark, "archives")
@@ -92,7 +97,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op5_arc_to_warc, op6_secret_scans, op8_jaccard_join, op9_best_fit_packing, op10_token_counts)}
+    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op3_decontamination, op5_arc_to_warc, op6_secret_scans, op8_jaccard_join, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldlens.llm.splice import spliced
 from yieldlens.llm.storage import Workspace
 from yieldlens.llm.token_counts import by_bytes
 
@@ -119,22 +120,9 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", key: str = "doc_id", text:
     while any(c in docs.columns for c in (blob, spans)):
         blob, spans = f"_{blob}", f"_{spans}"
     found = scan(docs, key=key, text=text).filter(F.size("findings") > 0).groupBy("blob").agg(F.first("findings").alias("findings"))
-    joined = docs.withColumn(blob, blob_id(F.col(text))).join(
-        found.select(F.col("blob").alias(blob), stretches(F.col("findings")).alias(spans)), blob, "left"
-    )
-    # What stands before each stretch, and the rest.
-    body, cut = F.col(text), F.col(spans)
-    before = F.transform(
-        cut,
-        lambda s, i: F.substring(
-            body,
-            (F.coalesce(F.get(cut, i - 1)["end"], F.lit(0)) + 1).cast("int"),
-            (s["start"] - F.coalesce(F.get(cut, i - 1)["end"], F.lit(0))).cast("int"),
-        ),
-    )
-    rest = F.substring(body, (F.element_at(cut, -1)["end"] + 1).cast("int"), F.length(body))
-    clean = F.concat(F.array_join(F.concat(before, F.array(rest)), mark))
-    return joined.withColumn(text, F.when(cut.isNull(), body).otherwise(clean)).select(*docs.columns)
+    cuts = F.transform(stretches(F.col("findings")), lambda s: F.struct(s["start"], s["end"], F.lit(mark).alias("put")))
+    joined = docs.withColumn(blob, blob_id(F.col(text))).join(found.select(F.col("blob").alias(blob), cuts.alias(spans)), blob, "left")
+    return joined.withColumn(text, spliced(F.col(text), F.col(spans))).select(*docs.columns)
 
 
 def stretches(spans: Column) -> Column:
