@@ -9,7 +9,6 @@ share at least the smaller of both, so that is what a candidate pair must share.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,10 +19,11 @@ from pyspark.sql import functions as F
 
 from yieldlens.llm.links import components
 from yieldlens.llm.shingles import set_id, shingle_sets
+from yieldlens.llm.sketch import chunks, total
 from yieldlens.llm.storage import Workspace
 
-# Counters of the frequency sketch, in chunks: 8 MB whatever the corpus, which is what is broadcast.
-CELLS, CHUNK = 1 << 21, 1 << 15
+# Counters of the frequency sketch: 16 MB whatever the corpus, which is what is broadcast.
+CELLS = 1 << 21
 # Longest extension of a prefix, and the costs it is weighed by: of a candidate by tokens of both sets, and
 # the partners that any token has besides those that the sketch shows.
 MOST_SHARED = 8
@@ -64,37 +64,13 @@ def summaries(docs: DataFrame, alike: Alike) -> DataFrame:
                 counts += np.bincount(np.concatenate(sets) & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
             columns = [keys, [len(s) for s in sets], [set_id(s) if len(s) else None for s in sets], [None] * len(sets), [None] * len(sets)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) if isinstance(c, list) else c for c, k in zip(columns, kinds, strict=True)], names=names)
-        for chunk in range(CELLS // CHUNK):
-            part = counts[chunk * CHUNK : (chunk + 1) * CHUNK]
-            if part.any():
-                row = [[None], [None], [None], [chunk], [zlib.compress(part.tobytes(), 1)]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=names)
+        for chunk, part in chunks(counts):
+            row = [[None], [None], [None], [chunk], [part]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=names)
 
     return docs.mapInArrow(summarise, "id bigint, n bigint, set_id binary, chunk int, counts binary")
 
 
-def frequencies(sketches: DataFrame) -> np.ndarray:
-    """The sum of all tasks' sketches. Chunks are added up in the tasks; the driver gets CELLS numbers."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, part in zip(*batch.to_pydict().values(), strict=True):
-                total = sums.setdefault(chunk, np.zeros(CHUNK, np.uint64))
-                total += np.frombuffer(zlib.decompress(part), np.uint32)
-        for chunk, total in sums.items():
-            most = np.minimum(total, 2**32 - 1).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([most.tobytes()], pa.binary())], names=["chunk", "counts"]
-            )
-
-    counts = np.zeros(CELLS, np.uint32)
-    dealt = sketches.select("chunk", "counts").repartition(CELLS // CHUNK, "chunk")
-    for row in dealt.mapInArrow(add, "chunk int, counts binary").collect():
-        counts[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.uint32)
-    return counts
-
-
 def shared_tokens(partners: np.ndarray, n: int, prefix: int, least: int) -> int:
     """The number l of tokens to share that costs least, given the partners each token of the order has.
 
@@ -134,7 +110,7 @@ def postings(docs: DataFrame, alike: Alike, counts: np.ndarray) -> DataFrame:
                 prefix = n - least + 1
                 # Sets are sorted by hash, so equal counts stay in the order of hashes.
                 order = np.argsort(often, kind="stable")[: prefix + MOST_SHARED - 1]
-                partners = np.maximum(often[order] - usual, 0) + STRAY
+                partners = np.maximum(often[order].astype(np.float64) - usual, 0) + STRAY
                 shared = shared_tokens(partners, n, prefix, least)
                 taken = found[order[: prefix + shared - 1]].view(np.int64)
                 tokens.append(taken)
@@ -227,7 +203,7 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     source = _ids(docs, key, text)
     seen = space.keep(summaries(source, alike), "summaries")
     rows = seen.filter("chunk IS NULL").select("id", "n", "set_id")
-    counts = frequencies(seen.filter("chunk IS NOT NULL"))
+    counts = total(seen.filter("chunk IS NOT NULL"), CELLS)
     classes = rows.filter("set_id IS NOT NULL AND id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("class_id"))
     members = space.keep(rows.join(classes, "set_id", "left").select("id", "n", "class_id"), "members")
     class_of = members.filter("class_id IS NOT NULL").select("id", "class_id").distinct()

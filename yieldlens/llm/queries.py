@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldlens.llm import chat, contamination, jaccard, packing, quality, secrets, token_counts, warc
+from yieldlens.llm import chat, contamination, jaccard, packing, quality, resampling, secrets, surrogates, token_counts, warc
 from yieldlens.llm.oracles import ORACLE_SQL
 from yieldlens.llm.storage import Workspace
 
+# A secret in use; here one that anybody may know, so that answers can be compared.
+SURROGATE_KEY = b"public key of the registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,6 +41,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(documents, benchmark)
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(documents, SURROGATE_KEY)
+
+
 def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages become old archives of both versions, those new ones, and these the rows."""
     space = Workspace(spark, "archives")
@@ -83,6 +91,13 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents labelled as good and not as toxic."""
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    target = labels.filter("quality = 1 AND toxic = 0")
+    return resampling.resampled(_table(spark, sf_dir, "documents"), target).withColumn("kept", F.lit(True))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.join_similar(_table(spark, sf_dir, "documents"), jaccard.Alike(width=3, per_cent=90))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -97,7 +112,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_formatting, op2_quality_rules, op3_decontamination, op5_arc_to_warc, op6_secret_scans, op8_jaccard_join, op9_best_fit_packing, op10_token_counts)}
+    registered = (
+        op1_chat_formatting,
+        op2_quality_rules,
+        op3_decontamination,
+        op4_surrogates,
+        op5_arc_to_warc,
+        op6_secret_scans,
+        op7_importance_resampling,
+        op8_jaccard_join,
+        op9_best_fit_packing,
+        op10_token_counts,
+    )
+    return {query.__name__: query for query in registered}
 
 
 def oracle_sql() -> dict[str, str]:

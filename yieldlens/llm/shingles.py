@@ -44,19 +44,32 @@ def _word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     return _mixed(np.add.reduceat(values, starts)), starts
 
 
-def _of_text(words: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct shingles of a text's word hashes; of fewer words than the width, the sequence as one."""
-    if not len(words):
-        return words
-    width = min(width, len(words))
+def grams(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all windows of ``width`` words, in order."""
+    if len(words) < width:
+        return np.empty(0, np.uint64)
     whole = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
         whole = _mixed(whole + words[i : len(words) - width + 1 + i])
-    return np.unique(whole)
+    return whole
+
+
+def _of_text(words: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct shingles of a text's word hashes; of fewer words than the width, the sequence as one."""
+    return np.unique(grams(words, min(width, len(words)))) if len(words) else words
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     """Keys (first column) and shingle sets of the texts (second column), slice by slice."""
+    for keys, texts in word_hashes(batches):
+        yield keys, [_of_text(words, width) for words in texts]
+
+
+def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """First column, and the hashes of each text's words in order (second column), slice by slice.
+
+    Words are what stands between ASCII white space, with A to Z as lower case.
+    """
     for whole in batches:
         for batch in by_bytes(whole, BATCH_BYTES):
             texts = batch.column(1).cast(pa.large_binary())
@@ -77,7 +90,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tupl
                 at = to
             words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
             bounds = np.searchsorted(np.concatenate(starts), ends) if starts else np.zeros(len(ends), np.int64)
-            yield batch.column(0), [_of_text(words[a:b], width) for a, b in zip(bounds, bounds[1:], strict=False)]
+            yield batch.column(0), [words[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 def set_id(shingles: np.ndarray) -> bytes:
