@@ -93,7 +93,8 @@ def branches(messages: DataFrame, best: int | None = None) -> tuple[DataFrame, D
     for k in range(len(tables) - 2, -1, -1):
         jump = tables[k].filter("up IS NOT NULL").select("node", F.col("up").alias("there"))
         step = path.join(jump, "node").select("leaf", (F.col("up") + 2**k).alias("up"), F.col("there").alias("node"))
-        path = path.unionByName(step)
+        # Stored, for the next round reads it twice.
+        path = space.keep(path.unionByName(step), f"path-{k}")
     return chosen, path
 
 
