@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yieldlens.llm.storage import Workspace
 from yieldlens.llm.token_counts import by_bytes
 
 # Errors allowed per hundred characters, and the shortest item, in normalised characters, that is looked for.
@@ -260,5 +261,7 @@ def _search_slice(patterns: Patterns, texts: list[str]) -> Iterator[tuple[int, i
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no passage of the benchmark. Rows that share a key stay or go together."""
-    held = contaminated(docs, benchmark, key, text).select(F.col(key).alias("_held")).distinct()
+    # Stored first: its size decides how it is joined.
+    space = Workspace(docs.sparkSession, "contamination")
+    held = space.keep(contaminated(docs, benchmark, key, text).select(F.col(key).alias("_held")).distinct(), "held")
     return docs.join(held, docs[key].eqNullSafe(F.col("_held")), "left_anti")

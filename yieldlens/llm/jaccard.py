@@ -182,7 +182,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, alike: Alike, space: Workspace,
     )
     union = F.size("tokens_x") + F.size("tokens_y") - F.col("common")
     linked = both.filter(100 * F.col("common") >= alike.per_cent * union)
-    return space.keep(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
+    links = space.keep(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
+    space.drop(f"{name}-pairs", f"{name}-sets")
+    return links
 
 
 def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,6 +215,7 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     met = prefixes.join(common.select("token"), "token", "left_semi").join(class_of, "id")
     met = met.groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"), F.min("shared").alias("shared"))
     met = space.keep(met, "met")
+    space.drop("summaries", "postings")
     # What stands before a class's first token that another class has, no other set holds at all.
     between = met.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     met = met.join(between.select("token"), "token", "left_semi")
@@ -244,3 +247,14 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
         "class_id",
         F.when(F.col("id").isNotNull(), component).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, alike: Alike = Alike(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of every component of ``join_similar`` the document with the smallest key, with all its columns.
+
+    Rows that share a key are one document. Documents with a null key or without words are alike to none and stay.
+    """
+    found = join_similar(docs, alike, key, text)
+    again = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_again")).distinct()
+    again = Workspace(docs.sparkSession, "copies").keep(again, "again")
+    return docs.join(again, docs[key] == F.col("_again"), "left_anti")

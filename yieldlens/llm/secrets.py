@@ -119,7 +119,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", key: str = "doc_id", text:
     blob, spans = "_blob", "_spans"
     while any(c in docs.columns for c in (blob, spans)):
         blob, spans = f"_{blob}", f"_{spans}"
-    found = scan(docs, key=key, text=text).filter(F.size("findings") > 0).groupBy("blob").agg(F.first("findings").alias("findings"))
+    scanned = scan(docs, key=key, text=text).filter(F.size("findings") > 0)
+    found = scanned.groupBy("blob").agg(F.first("findings").alias("findings"))
+    # Stored first: its size decides how it is joined.
+    found = Workspace(docs.sparkSession, "secrets").keep(found, "found")
     cuts = F.transform(stretches(F.col("findings")), lambda s: F.struct(s["start"], s["end"], F.lit(mark).alias("put")))
     joined = docs.withColumn(blob, blob_id(F.col(text))).join(found.select(F.col("blob").alias(blob), cuts.alias(spans)), blob, "left")
     return joined.withColumn(text, spliced(F.col(text), F.col(spans))).select(*docs.columns)

@@ -18,13 +18,22 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{use_checkpoints(spark)}/{name}-{uuid.uuid4().hex}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        path, system = self._place("")
         system.mkdirs(path)
         system.deleteOnExit(path)
 
+    def _place(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write the table once and return it as read from there."""
         target = f"{self.path}/{name}"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing still to be computed reads."""
+        for name in names:
+            path, system = self._place(name)
+            system.delete(path, True)
