@@ -6,7 +6,6 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
-from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,23 +141,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mine_and_recommend"](spark, "/root/testdata/sf0.001")
 
 
-def _llm() -> ModuleType | None:
-    """The queries for language-model data, or None where that subpackage has been taken away."""
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL for language-model data; none where that subpackage has been taken away."""
     try:
-        return importlib.import_module("yieldlens.llm.queries")
+        more = importlib.import_module("yieldlens.llm.queries")
+        corpus = importlib.import_module("corpus_pipeline")
     except ModuleNotFoundError as error:
         if error.name not in ("yieldlens.llm", "corpus_pipeline"):
             raise
-        return None
+        return {}, {}
+    sql = {} if corpus.ORACLE_SQL is None else {"pipeline": corpus.ORACLE_SQL}
+    return more.queries() | {"pipeline": corpus.run}, more.oracle_sql() | sql
 
 
 def queries() -> dict[str, Query]:
-    own = _own_queries()
-    return own | llm.queries() if (llm := _llm()) else own
+    return _own_queries() | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE_SQL | llm.oracle_sql() if (llm := _llm()) else dict(ORACLE_SQL)
+    return ORACLE_SQL | _llm()[1]
 
 
 def _own_queries() -> dict[str, Query]:
