@@ -60,6 +60,7 @@ def branches(messages: DataFrame, best: int | None = None) -> tuple[DataFrame, D
     (leaf, up, node), ``up`` being the number of replies from the node to the leaf. A cycle of replies fails.
     """
     space = Workspace(messages.sparkSession, "chat")
+    messages = messages.filter("node IS NOT NULL")
     parents = messages.select(F.col("node").alias("parent")).distinct().withColumn("known", F.lit(True))
     linked = messages.select("tree", "node", "parent", "score").join(parents, "parent", "left")
     nodes = space.keep(
