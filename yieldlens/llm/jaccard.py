@@ -16,13 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from yieldlens.llm.links import components
-from yieldlens.llm.shingles import set_id, shingle_sets
+from yieldlens.llm.shingles import set_id, shingle_set, shingle_sets, word_hashes
 from yieldlens.llm.sketch import chunks, total
 from yieldlens.llm.storage import Workspace
 
-# Counters of the frequency sketch: 16 MB whatever the corpus, which is what is broadcast.
+# Counters of the frequency sketch, for shingles and again for words: 32 MB whatever the corpus, which is what is broadcast.
 CELLS = 1 << 21
 # Longest extension of a prefix, and the costs it is weighed by: of a candidate by tokens of both sets, and
 # the partners that any token has besides those that the sketch shows.
@@ -56,12 +57,15 @@ def summaries(docs: DataFrame, alike: Alike) -> DataFrame:
     """Rows (id, n, set_id) of all documents, and rows (chunk, counts) of every task's frequency sketch."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(2 * CELLS, np.uint32)
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         names = ["id", "n", "set_id", "chunk", "counts"]
-        for keys, sets in shingle_sets(batches, alike.width):
-            if sets and sum(map(len, sets)):
-                counts += np.bincount(np.concatenate(sets) & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
+        for keys, words in word_hashes(batches):
+            sets = [shingle_set(w, alike.width) for w in words]
+            for at, hashes in ((0, sets), (CELLS, words)):
+                if hashes:
+                    found = np.bincount(np.concatenate(hashes) & np.uint64(CELLS - 1), minlength=CELLS)
+                    counts[at : at + CELLS] += found.astype(np.uint32)
             columns = [keys, [len(s) for s in sets], [set_id(s) if len(s) else None for s in sets], [None] * len(sets), [None] * len(sets)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) if isinstance(c, list) else c for c, k in zip(columns, kinds, strict=True)], names=names)
         for chunk, part in chunks(counts):
@@ -88,16 +92,18 @@ def shared_tokens(partners: np.ndarray, n: int, prefix: int, least: int) -> int:
 def postings(docs: DataFrame, alike: Alike, counts: np.ndarray) -> DataFrame:
     """The prefix of every document: ``token``, ``id``, ``n``, ``place`` in its order, ``shared`` (l).
 
-    Of equal sets within one task, only the first is given.
+    The order goes by what a shingle is estimated to occur: not more often than its rarest word, nor than
+    its own counter says. Of equal sets within one task, only the first is given.
     """
     spark = docs.sparkSession
-    sent, usual = spark.sparkContext.broadcast(counts), float(counts.mean())
+    sent, usual = spark.sparkContext.broadcast(counts), float(counts[:CELLS].mean())
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sent.value, set()
-        for keys, sets in shingle_sets(batches, alike.width):
+        for keys, texts in word_hashes(batches):
             tokens, ids, sizes, places, shares = [], [], [], [], []
-            for key, found in zip(keys.to_pylist(), sets, strict=True):
+            for key, words in zip(keys.to_pylist(), texts, strict=True):
+                found, at = shingle_set(words, alike.width, places=True)
                 name = set_id(found)
                 if not len(found) or key is None or name in seen:
                     continue
@@ -105,7 +111,10 @@ def postings(docs: DataFrame, alike: Alike, counts: np.ndarray) -> DataFrame:
                     seen.clear()
                 seen.add(name)
                 n = len(found)
-                often = counts[found & np.uint64(CELLS - 1)]
+                often = counts[words & np.uint64(CELLS - 1) | np.uint64(CELLS)]
+                width = min(alike.width, len(words))
+                rarest = np.lib.stride_tricks.sliding_window_view(often, width).min(1)[at]
+                often = np.minimum(counts[found & np.uint64(CELLS - 1)], rarest)
                 least = int(alike.least_overlap(n))
                 prefix = n - least + 1
                 # Sets are sorted by hash, so equal counts stay in the order of hashes.
@@ -143,31 +152,39 @@ def sets_of(docs: DataFrame, wanted: DataFrame, alike: Alike) -> DataFrame:
     return docs.join(wanted, "id", "left_semi").mapInArrow(whole, "id bigint, tokens array<bigint>")
 
 
-def _candidates(left: DataFrame, right: DataFrame, alike: Alike, same: Column) -> DataFrame:
-    """Pairs (x, y) of postings that share enough tokens and whose places leave room for enough more.
+def _candidates(left: DataFrame, right: DataFrame, alike: Alike, same: Column, all_shared: bool) -> DataFrame:
+    """Pairs (x, y), x the smaller, whose postings share enough tokens and leave room for enough more.
 
-    The tokens before the first shared one are in neither other set, which bounds the overlap.
+    What stands before a shared token in one set can only be in the other if it is shared there, too. So
+    ``lonely`` tokens, which no other set has, are lost to the overlap, and, if the postings hold
+    ``all_shared`` tokens of a pair, so are all others up to the last shared one.
     """
     a = left.select("token", *[F.col(c).alias(f"{c}_x") for c in left.columns if c != "token"])
     b = right.select("token", *[F.col(c).alias(f"{c}_y") for c in right.columns if c != "token"])
     x, y = (lambda c: F.col(f"{c}_x")), (lambda c: F.col(f"{c}_y"))
     need = alike.needed(x("n"), y("n"))
     room = F.least(x("place"), y("place")) + F.least(x("n") - x("place"), y("n") - y("place"))
-    likely = (F.least(x("n") - x("first"), y("n") - y("first")) >= need) & (room >= need) & ~same
-    # A pair may come from either side; its smaller key is x.
+    likely = (F.least(x("n") - x("lonely"), y("n") - y("lonely")) >= need) & (room >= need) & ~same
+    # A pair may come from either side.
     swap = x("id") > y("id")
     both = a.join(b, (a["token"] == b["token"]) & likely).select(
         *[F.when(swap, y(c)).otherwise(x(c)).alias(f"{c}_x") for c in ("id", "n", "place")],
         *[F.when(swap, x(c)).otherwise(y(c)).alias(f"{c}_y") for c in ("id", "n", "place")],
         F.least(x("shared"), y("shared")).alias("shared"),
     )
-    found = both.groupBy(F.col("id_x").alias("x"), F.col("id_y").alias("y")).agg(
+    pairs = both.groupBy(F.col("id_x").alias("x"), F.col("id_y").alias("y")).agg(
         F.count("*").alias("found"),
         F.min("shared").alias("shared"),
-        *[F.min(c).alias(c) for c in ("place_x", "place_y", "n_x", "n_y")],
+        *[f(c).alias(f"{n}_{c}") for c in ("place_x", "place_y") for n, f in (("first", F.min), ("last", F.max))],
+        *[F.min(c).alias(c) for c in ("n_x", "n_y")],
     )
-    left_over = F.least(x("n") - x("place"), y("n") - y("place"))
-    return found.filter((F.col("found") >= F.col("shared")) & (left_over >= alike.needed(x("n"), y("n")))).select("x", "y")
+
+    def most(side: str) -> Column:
+        lost = F.col(f"last_place_{side}") + 1 - F.col("found") if all_shared else F.col(f"first_place_{side}")
+        return F.col(f"n_{side}") - lost
+
+    enough = (F.col("found") >= F.col("shared")) & (F.least(most("x"), most("y")) >= alike.needed(x("n"), y("n")))
+    return pairs.filter(enough).select("x", "y")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, alike: Alike, space: Workspace, name: str) -> DataFrame:
@@ -205,9 +222,13 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     source = _ids(docs, key, text)
     seen = space.keep(summaries(source, alike), "summaries")
     rows = seen.filter("chunk IS NULL").select("id", "n", "set_id")
-    counts = total(seen.filter("chunk IS NOT NULL"), CELLS)
-    classes = rows.filter("set_id IS NOT NULL AND id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("class_id"))
-    members = space.keep(rows.join(classes, "set_id", "left").select("id", "n", "class_id"), "members")
+    counts = total(seen.filter("chunk IS NOT NULL"), 2 * CELLS)
+    sets = rows.filter("set_id IS NOT NULL AND id IS NOT NULL").groupBy("set_id")
+    classes = space.keep(sets.agg(F.min("id").alias("class_id"), F.count("*").alias("copies")).filter("copies > 1"), "classes")
+    alone = F.when(F.col("set_id").isNotNull(), F.col("id"))
+    # A row without key is in a class, too, but never the one that names it.
+    members = rows.join(classes, "set_id", "left").select("id", "n", F.coalesce("class_id", alone).alias("class_id"))
+    members = space.keep(members, "members")
     class_of = members.filter("class_id IS NOT NULL").select("id", "class_id").distinct()
 
     prefixes = space.keep(postings(source, alike, counts), "postings")
@@ -216,27 +237,28 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     met = met.groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"), F.min("shared").alias("shared"))
     met = space.keep(met, "met")
     space.drop("summaries", "postings")
-    # What stands before a class's first token that another class has, no other set holds at all.
     between = met.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     met = met.join(between.select("token"), "token", "left_semi")
-    first = met.groupBy("id", "n").agg(F.min("place").alias("first"))
-    possible = first.filter(F.col("first") <= F.col("n") - F.ceil(F.lit(alike.per_cent) * F.col("n") / 100))
-    met = space.keep(met.join(possible.select("id", "n", "first"), ["id", "n"]), "possible")
+    # Of the tokens before this one, those that no other set has; a prefix is a group of bounded size.
+    before = F.row_number().over(W.partitionBy("id", "n").orderBy("place")) - 1
+    met = met.withColumn("lonely", F.col("place") - before)
+    possible = F.col("n") - F.col("lonely") >= F.ceil(F.lit(alike.per_cent) * F.col("n") / 100)
+    met = space.keep(met.filter(possible), "possible")
 
-    centre = met.groupBy("token").agg(F.min(F.struct("first", "place", "id", "n", "shared")).alias("c")).select("token", "c.*")
+    centre = met.groupBy("token").agg(F.min(F.struct("lonely", "place", "id", "n", "shared")).alias("c")).select("token", "c.*")
     same = F.col("id_x") == F.col("id_y")
-    near = _verified(_candidates(met, centre, alike, same), source, alike, space, "near")
+    near = _verified(_candidates(met, centre, alike, same, False), source, alike, space, "near")
     joined = components(near, space, "near-components")
 
     in_component = met.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = in_component.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("first", "place", "id", "component")).alias("c")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("lonely", "place", "id", "component")).alias("c")
     ).filter("low < high")
     rest = space.keep(in_component.join(mixed.select("token", F.col("c.component").alias("main")), "token"), "rest")
     others = rest.filter("component != main").drop("main")
     # A pair with one side in the main component is found from the other side, one without from its smaller id.
     elsewhere = (F.col("component_x") == F.col("component_y")) | ((F.col("component_y") != F.col("main_y")) & (F.col("id_x") >= F.col("id_y")))
-    far = _verified(_candidates(others, rest, alike, elsewhere), source, alike, space, "far")
+    far = _verified(_candidates(others, rest, alike, elsewhere, True), source, alike, space, "far")
     linked = components(near.unionByName(far), space, "components").withColumnRenamed("node", "class_id")
 
     result = members.join(linked, "class_id", "left")

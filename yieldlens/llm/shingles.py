@@ -54,15 +54,19 @@ def grams(words: np.ndarray, width: int) -> np.ndarray:
     return whole
 
 
-def _of_text(words: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct shingles of a text's word hashes; of fewer words than the width, the sequence as one."""
-    return np.unique(grams(words, min(width, len(words)))) if len(words) else words
+def shingle_set(words: np.ndarray, width: int, places: bool = False):
+    """Sorted distinct shingles of a text's word hashes; of fewer words than the width, the sequence as one.
+
+    With ``places`` also where each shingle comes first.
+    """
+    found = grams(words, min(width, len(words))) if len(words) else words
+    return np.unique(found, return_index=True) if places else np.unique(found)
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     """Keys (first column) and shingle sets of the texts (second column), slice by slice."""
     for keys, texts in word_hashes(batches):
-        yield keys, [_of_text(words, width) for words in texts]
+        yield keys, [shingle_set(words, width) for words in texts]
 
 
 def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
