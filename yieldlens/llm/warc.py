@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yieldlens.llm.storage import Workspace
+
 BATCH_BYTES = 8 << 20
 MOST_RECORDS = 20_000
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "arc-record")
@@ -159,6 +161,8 @@ def write_warc(records: DataFrame, folder: str, order: Column, least_bytes: int
         .filter("n > 1")
         .select("payload_digest", "last")
     )
+    # Stored first: where few payloads have copies, no record needs to be shuffled to meet them.
+    known = Workspace(records.sparkSession, "copies").keep(known, "known")
     joined = records.join(known, "payload_digest", "left")
     again = F.col("last").isNotNull() & (F.col("payload_bytes") >= least_bytes) & F.col("http")
     again = again & (F.col("last.record_id") != F.col("record_id"))
