@@ -8,7 +8,9 @@ retried batch overwrites, so a failure at any point leaves neither gaps nor dupl
     <store>/clicks/day=YYYY-MM-DD/batch_id=N    the clicks of batch N
     <store>/answers/batch_id=N                  lists for the sessions touched by batch N
 
-With a time to live a batch looks into the days around its own clicks only, however old the stream.
+What a session is answered depends on its own clicks alone, however they were cut into batches.
+With a time to live a batch reads the days from its oldest click on, less that time, and those
+clicks that have no time.
 """
 
 from __future__ import annotations
@@ -27,9 +29,16 @@ STORED_CLICK = "session_id bigint, ts timestamp, item_id bigint, day date, batch
 UNDATED = date(1970, 1, 1)
 
 
+def within(clicks: DataFrame, ttl: timedelta) -> DataFrame:
+    """The clicks no older than ``ttl`` before their session's newest one, and those without a time."""
+    newest = clicks.groupBy("session_id").agg(F.max("ts").alias("newest"))
+    young = F.col("ts") >= F.col("newest") - F.lit(ttl)
+    return clicks.join(newest, "session_id").filter(F.col("ts").isNull() | young).drop("newest")
+
+
 @dataclass(frozen=True)
 class ClickScorer:
-    """``session_ttl`` limits a session to the clicks within this time of a batch's newest click.
+    """``session_ttl`` limits a session to the clicks within this time of its own newest click.
 
     ``matrix_rows`` is the size of the matrix; ``start`` counts it where it is not given.
     """
@@ -57,13 +66,17 @@ class ClickScorer:
                 {"day": F.coalesce(F.to_date("ts"), F.lit(UNDATED)), "batch_id": F.lit(batch_id)}
             )
             (
-                dated.write.mode("overwrite")
+                # Files are sorted by session, so that reading a few sessions skips row groups.
+                dated.repartition("day", F.pmod(F.xxhash64("session_id"), F.lit(16))).sortWithinPartitions("session_id")
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("day", "batch_id")
                 .parquet(f"{self.store}/clicks")
             )
             touched = batch.select("session_id").distinct()
             mine = self._history(batch, batch_id).join(touched, "session_id", "left_semi")
+            if self.session_ttl is not None:
+                mine = within(mine, self.session_ttl)
             lists = as_lists(recommend(session_items(mine, "click_item"), self.matrix, self.top_k, self.matrix_rows))
             # A touched session without a recommendation is stored too, so that no older list survives.
             touched.join(lists, "session_id", "left").write.mode("overwrite").parquet(
@@ -73,21 +86,22 @@ class ClickScorer:
             batch.unpersist()
 
     def _history(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        root = f"{self.store}/clicks"
-        reader = batch.sparkSession.read.schema(STORED_CLICK).option("basePath", root)
+        """Stored clicks, at least all that the touched sessions still need.
+
+        A session's newest click is not older than its oldest in the batch. So nothing it needs is older than
+        that less the time to live. For a session of which the batch has undated clicks only, nothing is known.
+        """
+        stored = batch.sparkSession.read.schema(STORED_CLICK).option("basePath", f"{self.store}/clicks")
+        clicks = stored.parquet(f"{self.store}/clicks").filter(F.col("batch_id") <= batch_id)
         if self.session_ttl is None:
-            return reader.parquet(root).filter(F.col("batch_id") <= batch_id)
-        newest = batch.agg(F.max("ts")).first()[0]
-        if newest is None:
-            return batch
-        first, last = newest - self.session_ttl, newest + self.session_ttl
-        # Only the folders of these days are listed and read; a day more on either side, as the
-        # session may count days in another time zone than this process.
-        days = [first.date() + timedelta(days=n) for n in range(-1, (last.date() - first.date()).days + 2)]
-        folders = ",".join(f"day={day.isoformat()}" for day in days)
-        return reader.parquet(f"{root}/{{{folders}}}").filter(
-            (F.col("batch_id") <= batch_id) & F.col("ts").between(first, last)
-        )
+            return clicks
+        oldest = batch.groupBy("session_id").agg(F.min("ts").alias("ts")).agg(
+            F.min("ts").alias("first"), F.max(F.col("ts").isNull()).alias("unknown")
+        ).select(F.to_date(F.col("first") - F.lit(self.session_ttl)).alias("day"), "unknown").first()
+        if oldest.unknown or oldest.day is None:
+            return clicks
+        # The days are folders; only these are listed and read.
+        return clicks.filter((F.col("day") >= F.lit(oldest.day)) | (F.col("day") == F.lit(UNDATED)))
 
 
 def latest_answers(spark: SparkSession, store: str) -> DataFrame:
