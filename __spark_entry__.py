@@ -27,10 +27,12 @@ ITEMS = MinUtility.of_share("0.01")
 SHARDED = MinUtility.of_share("0.003")
 LONGER = MinUtility.of_share("0.0003")
 ITEMSETS = MinUtility.of_share("0.004")
-ORDER_ITEMS = MinUtility.of_share("0.00005")
+ORDER_ITEMS = MinUtility.of_share("0.0006")
 SHARDS = 4
 TOP_K = 5
-FIRST_ROWS = 10_000
+FIRST_ROWS = 1_000
+# So few that sessions of the test tables continue over several rows.
+PART_ROWS = 2
 
 # Prices and quantities of the test tables are never negative; the operators check that.
 PIPELINE = pipeline.Settings(min_utility=ITEMS, top_k=3, nonnegative=True)
@@ -92,7 +94,7 @@ def _drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _purchase_sequences(purchases: DataFrame) -> DataFrame:
-    listed = sequences.purchase_sequences(purchases, src.EVENT_ORDER)
+    listed = sequences.purchase_sequences(purchases, src.EVENT_ORDER, PART_ROWS)
     entry = F.transform(
         "purchases", lambda p: F.concat_ws(":", p["item_id"].cast("string"), p["utility"].cast("string"))
     )
@@ -191,7 +193,7 @@ def _own_queries() -> dict[str, Query]:
         # Sequences
         "distinct_session_items": _on_clicks(mx.session_items),
         "click_sequences": _on_clicks(
-            lambda c: sequences.click_sequences(c, src.EVENT_ORDER).select(
+            lambda c: sequences.click_sequences(c, src.EVENT_ORDER, PART_ROWS).select(
                 "session_id",
                 "part",
                 F.array_join("items", ">").alias("items"),

@@ -96,6 +96,10 @@ _NEEDS = {
 }
 
 
+# Two events of a session to a part.
+_PARTED = "SELECT *, (row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) - 1) // 2 AS part FROM {}"
+
+
 def _needed(names: list[str], seen: list[str]) -> list[str]:
     for name in names:
         if name not in seen:
@@ -192,7 +196,7 @@ ORACLE_SQL = {
             SELECT least(20, greatest(1, ceil(CAST(price - lo AS DOUBLE) * 20 / CAST(hi - lo AS DOUBLE)))) AS bin
             FROM trimmed, ends""",
     ),
-    "limit_rows": _sql("clicks", "SELECT * FROM clicks ORDER BY session_id, ts, event_id LIMIT 10000"),
+    "limit_rows": _sql("clicks", "SELECT * FROM clicks ORDER BY session_id, ts, event_id LIMIT 1000"),
     "top_clicked_items": _sql(
         "clicks",
         "SELECT item_id, count(*) AS events FROM clicks GROUP BY item_id ORDER BY events DESC, item_id LIMIT 10",
@@ -227,16 +231,16 @@ ORACLE_SQL = {
     "distinct_session_items": _sql("clicks", "SELECT DISTINCT session_id, item_id FROM clicks"),
     "click_sequences": _sql(
         "clicks",
-        """SELECT session_id, CAST(0 AS BIGINT) AS part,
-                  string_agg(CAST(item_id AS VARCHAR), '>' ORDER BY ts, event_id) AS items,
+        """SELECT session_id, part, string_agg(CAST(item_id AS VARCHAR), '>' ORDER BY ts, event_id) AS items,
                   string_agg(CAST(item_id AS VARCHAR), '>' ORDER BY ts, event_id) AS sequence
-           FROM clicks GROUP BY session_id""",
+           FROM parts GROUP BY session_id, part""",
+        parts=_PARTED.format("clicks"),
     ),
     "purchase_sequences": _sql(
         "purchases",
-        """SELECT session_id, CAST(0 AS BIGINT) AS part,
-                  string_agg(item_id || ':' || utility, '>' ORDER BY ts, event_id) AS purchases
-           FROM purchases GROUP BY session_id""",
+        """SELECT session_id, part, string_agg(item_id || ':' || utility, '>' ORDER BY ts, event_id) AS purchases
+           FROM parts GROUP BY session_id, part""",
+        parts=_PARTED.format("purchases"),
     ),
     "prefixspan": _frequent("steps", 0.05),
     "prefixspan_orders": _frequent("states", 0.1),
@@ -266,7 +270,7 @@ ORACLE_SQL = {
         "lines",
         """SELECT item_id, CAST(utility AS DOUBLE) AS utility
            FROM (SELECT item_id, CAST(sum(utility) AS DECIMAL(18,2)) AS utility FROM lines GROUP BY item_id)
-           WHERE utility >= 0.00005 * (SELECT CAST(sum(utility) AS DECIMAL(18,2)) FROM lines)""",
+           WHERE utility >= 0.0006 * (SELECT CAST(sum(utility) AS DECIMAL(18,2)) FROM lines)""",
     ),
     "huspm_len2": _valuable("spent", "0.0003", range(2, 3), itemsets=False),
     "huspm_patterns": _valuable("spent", "0.0003", range(1, 4), itemsets=False),

@@ -5,6 +5,10 @@ from __future__ import annotations
 import datetime
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from yieldlens.__main__ import main
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.plans.checkpoints import use_checkpoints
@@ -58,6 +62,38 @@ def test_strict_casts(spark):
     assert tuple(typed[0])[2:] == (2, Decimal("1.50"), 3) and typed[1].price is None and typed[1].session_id is None
 
 
+def test_prices_are_exact_or_fail(spark, tmp_path):
+    lines = "1,2014-04-03T10:44:35Z,7,1.005,1000\n2,2014-04-03T10:44:35Z,7,0.004,1000\n3,2014-04-03T10:44:35Z,7,,1\n"
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            buys = tables.load_purchases(spark, write(tmp_path, f"{ansi}.dat", lines))
+            assert {r.session_id: r.utility for r in buys.collect()} == {1: 1005, 2: 4}
+            for bad in ("4,2014-04-03T10:44:35Z,7,0.0000001,1\n", "4,2014-04-03T10:44:35Z,7,1000000000000,1\n"):
+                with pytest.raises(PySparkException, match="price beyond"):
+                    tables.load_purchases(spark, write(tmp_path, f"bad-{ansi}.dat", bad)).collect()
+            huge = spark.createDataFrame([(Decimal(10) ** 34, 10**5)], "price decimal(38,2), quantity bigint")
+            with pytest.raises(PySparkException):
+                tables.with_utility(huge).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_purchases_of_a_typed_file(spark, tmp_path):
+    rows = spark.sql("SELECT 1L AS session_id, timestamp'2024-01-01 00:00:00' AS ts, 2L AS item_id, 1.5D AS price, 4L AS quantity, 9 AS more")
+    rows.write.parquet(str(tmp_path / "typed"))
+    found = tables.load_purchases(spark, str(tmp_path / "typed"), "parquet").collect()
+    assert [(r.session_id, r.price, r.utility, r.ts) for r in found] == [(1, Decimal("1.5"), 6, datetime.datetime(2024, 1, 1))]
+
+
+def test_files_of_a_matrix_hold_ranges(spark, tmp_path):
+    matrix = spark.range(4000).selectExpr("id % 200 AS click_item", "id AS purchase_item", "1.0D AS weight")
+    tables.save_matrix(matrix, str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m")).groupBy(F.input_file_name().alias("f"))
+    spans = sorted((r.low, r.high) for r in stored.agg(F.min("click_item").alias("low"), F.max("click_item").alias("high")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_first_rows_and_preview(spark):
     df = spark.range(100).selectExpr("100 - id AS k")
     assert sorted(r.k for r in tables.first_rows(df, ["k"], 3).collect()) == [1, 2, 3]

@@ -21,12 +21,15 @@ def db():
     return connection
 
 
+OWN = registry._own_queries()
+
+
 def test_every_query_has_its_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(OWN) == set(registry.ORACLE_SQL)
 
 
 @pytest.mark.parametrize("hot_floor", [skew.HOT_FLOOR, 1])
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_sql(spark, db, name, hot_floor, monkeypatch):
     """As it is, and with every key of more than one row taken for hot."""
     monkeypatch.setattr(skew, "HOT_FLOOR", hot_floor)

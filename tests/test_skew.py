@@ -118,6 +118,10 @@ def test_long_sessions_continue_over_parts(skewed, monkeypatch):
         assert len(r["items"]) <= 16
         joined.setdefault(r.session_id, []).extend(r["items"])
     assert joined == whole and parted.filter("part > 0").count() > 10
+    shape = sorted((r.session_id, r.part, len(r["items"])) for r in parted.collect())
+    monkeypatch.setattr(skew, "HOT_FLOOR", 10**9)
+    cold = sequences.click_sequences(skewed, part_rows=16).collect()
+    assert shape == sorted((r.session_id, r.part, len(r["items"])) for r in cold)
 
 
 def test_frequent_sequences_of_a_hot_session(skewed, monkeypatch):

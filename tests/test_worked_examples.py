@@ -5,6 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.ml.fpm import PrefixSpan
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -222,7 +223,8 @@ def test_equal_events_stay_apart(tables):
 def test_library_miner_agrees_with_the_distributed_one(tables):
     clicks = tables.clicks([(s, i, (s * i * 7) % 5) for s in range(1, 30) for i in range(1, 3 + s % 5)])
     ours = sequences.frequent_sequences(clicks, 0.1, 4)
-    theirs = sequences.run_prefixspan(sequences.click_sequences(clicks), 0.1, 4)
+    library = PrefixSpan(minSupport=0.1, maxPatternLength=4)
+    theirs = library.findFrequentSequentialPatterns(sequences.click_sequences(clicks).select("sequence"))
     shown = [
         {(r.s, r.freq) for r in df.select(sequence_text("sequence").alias("s"), F.col("freq")).collect()}
         for df in (ours, theirs)

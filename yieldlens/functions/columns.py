@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# A price as loaded: nothing finer is rounded, it fails.
+PRICE = "decimal(18,6)"
 
 # What the category field of a click means.
 OFFER_CODE = "S"
@@ -17,9 +19,22 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def exact_price(text: Column | str) -> Column:
+    """A price as an exact decimal; NULL where it is none. One that PRICE cannot hold fails rather than being rounded."""
+    full = _col(text).try_cast("decimal(38,18)")
+    price = full.try_cast(PRICE)
+    lossy = full.isNotNull() & (price.isNull() | (price != full))
+    return F.when(lossy, F.raise_error(F.concat(F.lit("price beyond "), F.lit(PRICE), F.lit(": "), _col(text).cast("string")))).otherwise(price)
+
+
 def utility(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
-    """Price times quantity, kept as an exact amount so that sums do not depend on row order."""
-    return (_col(price) * _col(quantity)).cast(MONEY)
+    """Price times quantity as an exact amount, so that sums do not depend on row order.
+
+    NULL only where one of both is. A product beyond the type fails, whatever the session's ANSI setting.
+    """
+    product = _col(price) * _col(quantity)
+    beyond = _col(price).isNotNull() & _col(quantity).isNotNull() & product.isNull()
+    return F.when(beyond, F.raise_error(F.lit("utility beyond its type"))).otherwise(product)
 
 
 def event_time(text: Column | str) -> Column:

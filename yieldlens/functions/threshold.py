@@ -7,6 +7,7 @@ from decimal import ROUND_FLOOR, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,12 @@ class MinUtility:
         """
         if self.share is None:
             return F.lit(self.amount)
-        return amounts.agg((F.sum(amount_column) * F.lit(self.share)).alias("min_utility")).scalar()
+        total, kind = F.sum(amount_column), amounts.schema[amount_column].dataType
+        if isinstance(kind, DecimalType):
+            # Room for the digits of the share behind those of the amounts, so that the product is exact.
+            narrow = total.cast(DecimalType(26, kind.scale))
+            total = F.when(total.isNotNull() & narrow.isNull(), F.raise_error(F.lit("total beyond its type"))).otherwise(narrow)
+        return amounts.agg((total * F.lit(self.share)).alias("min_utility")).scalar()
 
     @property
     def max_items(self) -> int | None:

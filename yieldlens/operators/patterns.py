@@ -20,7 +20,7 @@ from yieldlens.plans.checkpoints import use_checkpoints
 
 # One bit of a long per item.
 MAX_LENGTH = 60
-AMOUNT = "decimal(28,2)"
+AMOUNT = "decimal(38,6)"
 
 
 def _columns(length: int) -> list[str]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +15,6 @@ from yieldlens.plans.checkpoints import use_checkpoints
 # Loaded clicks and purchases have nothing finer than time to order them by; the item breaks ties.
 ORDER = ("ts", "item_id")
 PART_ROWS = 100_000
-# Fixed value: the library's limit on a projected database that one task mines.
-LOCAL_DATABASE = 32_000_000
 
 
 def _lists(rows: DataFrame, keys: list[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:
@@ -28,21 +25,17 @@ def _lists(rows: DataFrame, keys: list[str], order: Sequence[str], payload: Sequ
 def session_lists(
     events: DataFrame, order: Sequence[str], payload: Sequence[str], part_rows: int = PART_ROWS
 ) -> DataFrame:
-    """The events of a session in order, as an array of structs of the ``payload`` columns.
+    """The events of a session in order, as arrays of structs of the ``payload`` columns.
 
-    An ordinary session is one row with ``part`` 0. A hot session continues over several parts of
-    at most ``part_rows`` entries each, numbered in order, so that no array grows without bound.
-    The first ``order`` column is a timestamp. Events that agree on all of them follow by payload.
+    Part n of a session holds its events from n * ``part_rows`` on, at most that many. So no array grows
+    without bound, and what a session's rows are depends on its own events alone. The first ``order`` column
+    is a timestamp. Events that agree on all of them follow by payload.
     """
     columns = list(dict.fromkeys([*order, *payload]))
     events = events.select("session_id", *columns)
-    hot = hot_spans(events, "session_id", order[0])
-    listed = F.broadcast(hot.select("session_id"))
-    whole = _lists(events.join(listed, "session_id", "left_anti"), ["session_id"], order, payload)
-    placed = ordered(events.join(listed, "session_id", "left_semi"), "session_id", columns, hot)
+    placed = ordered(events, "session_id", columns, hot_spans(events, "session_id", order[0]))
     part = F.floor((F.col("pos") - 1) / F.lit(part_rows)).cast("bigint")
-    pieces = _lists(placed.withColumn("part", part), ["session_id", "part"], ["pos"], payload)
-    return whole.select("session_id", F.lit(0).cast("bigint").alias("part"), "entries").unionByName(pieces)
+    return _lists(placed.withColumn("part", part), ["session_id", "part"], ["pos"], payload)
 
 
 def click_sequences(
@@ -62,22 +55,6 @@ def purchase_sequences(
     return session_lists(purchases, order, ["item_id", "utility"], part_rows).withColumnRenamed("entries", "purchases")
 
 
-def run_prefixspan(
-    sequences: DataFrame, min_support: float = 0.1, max_pattern_length: int = 5, sequence_col: str = "sequence"
-) -> DataFrame:
-    """Frequent sequences by the PrefixSpan of Spark's machine learning library.
-
-    The library takes each sequence whole, in one row; ``frequent_sequences`` has no such need.
-    """
-    miner = PrefixSpan(
-        minSupport=min_support,
-        maxPatternLength=max_pattern_length,
-        maxLocalProjDBSize=LOCAL_DATABASE,
-        sequenceCol=sequence_col,
-    )
-    return miner.findFrequentSequentialPatterns(sequences)
-
-
 def frequent_sequences(
     events: DataFrame,
     min_support: float = 0.1,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -11,7 +9,8 @@ def use_checkpoints(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint`` usable and return its folder.
 
     The folder is the one the session names in spark.checkpoint.dir, which every executor can
-    reach. Only a single-machine session that names none gets a temporary one.
+    reach. A session that names none gets one beside its tables, in the warehouse, which its
+    executors reach as well; it is removed when the application ends.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -19,9 +18,11 @@ def use_checkpoints(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="checkpoints-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints/{context.applicationId}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(named)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from yieldlens.functions.columns import MONEY, event_time, utility
+from yieldlens.functions.columns import event_time, exact_price, utility
 
-# The time is read as text: an unreadable one must not cost the row.
+# The time is read as text, since an unreadable one must not cost the row, and the price, since none may be rounded.
 CLICK_FILE = "session_id bigint, ts string, item_id bigint, category string"
-PURCHASE_FILE = f"session_id bigint, ts string, item_id bigint, price {MONEY}, quantity bigint"
+PURCHASE_FILE = "session_id bigint, ts string, item_id bigint, price string, quantity bigint"
 MATRIX_FILE = "click_item bigint, purchase_item bigint, weight double"
 
 CLICK_KEYS = ["session_id", "item_id"]
@@ -27,15 +27,18 @@ PURCHASE_KEYS = ["session_id", "item_id", "utility"]
 
 
 def _read(reader: DataFrameReader | DataStreamReader, path: str, schema: str, fmt: str) -> DataFrame:
-    reader = reader.schema(schema)
     if fmt == "csv":
         # Fields that do not fit their type become NULL, which is also how a header line drops out.
-        return reader.csv(path, header=False, mode="PERMISSIVE")
+        return reader.schema(schema).csv(path, header=False, mode="PERMISSIVE")
+    if isinstance(reader, DataStreamReader):
+        return reader.schema(schema).format(fmt).load(path)
+    # Other formats know their types.
     return reader.format(fmt).load(path)
 
 
 def _timed(df: DataFrame) -> DataFrame:
-    return df.withColumn("ts", event_time("ts"))
+    """Times as timestamps, where the file has them as text."""
+    return df if dict(df.dtypes)["ts"].startswith("timestamp") else df.withColumn("ts", event_time("ts"))
 
 
 def with_utility(purchases: DataFrame) -> DataFrame:
@@ -63,16 +66,16 @@ def stream_clicks(spark: SparkSession, path: str, fmt: str = "csv", max_files: i
 
 def load_purchases(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Purchases of a headerless file with their utility, without rows that lack session, item or utility."""
-    return drop_incomplete(with_utility(_timed(_read(spark.read, path, PURCHASE_FILE, fmt))), PURCHASE_KEYS)
+    return drop_incomplete(with_utility(_timed(typed_purchases(_read(spark.read, path, PURCHASE_FILE, fmt)))), PURCHASE_KEYS)
 
 
 def typed_purchases(raw: DataFrame) -> DataFrame:
-    """Purchases from a table of any column types: strict casts, NULL where a value does not fit."""
+    """Purchases from a table of any column types: strict casts, NULL where a value is none of its type."""
     return raw.select(
         F.col("session_id").try_cast("bigint").alias("session_id"),
         F.col("ts"),
         F.col("item_id").try_cast("bigint").alias("item_id"),
-        F.col("price").try_cast(MONEY).alias("price"),
+        exact_price("price").alias("price"),
         F.col("quantity").try_cast("bigint").alias("quantity"),
     )
 
@@ -83,16 +86,19 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def first_rows(df: DataFrame, keys: list[str], rows: int | None) -> DataFrame:
-    """The first ``rows`` rows by ``keys``, or the whole table for None.
-
-    ``keys`` should identify a row, else the choice among equal ones is open.
-    """
-    return df if rows is None else df.orderBy(*keys).limit(rows)
+    """The first ``rows`` rows by ``keys``, then by all other columns, or the whole table for None."""
+    others = [c for c in df.columns if c not in keys]
+    return df if rows is None else df.orderBy(*keys, *others).limit(rows)
 
 
 def save_matrix(matrix: DataFrame, path: str) -> None:
-    """Store a matrix as Parquet, written by the executors, laid out for lookups by clicked item."""
-    matrix.sortWithinPartitions("click_item").write.mode("overwrite").parquet(path)
+    """Store a matrix as Parquet, written by the executors.
+
+    Files hold ranges of clicked items and are sorted by them, so that a lookup reads few files and few
+    of their row groups.
+    """
+    ranges = matrix.repartitionByRange("click_item", "purchase_item")
+    ranges.sortWithinPartitions("click_item", "purchase_item").write.mode("overwrite").parquet(path)
 
 
 def load_matrix(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
