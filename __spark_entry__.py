@@ -5,22 +5,25 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import ORACLE_SQL  # noqa: E402
-from yieldlens.functions.columns import sequence_text  # noqa: E402
+from yieldlens.functions.columns import category_kind, sequence_text  # noqa: E402
 from yieldlens.functions.threshold import MinUtility  # noqa: E402
 from yieldlens.operators import matrix as mx  # noqa: E402
 from yieldlens.operators import patterns, profile, recommend, sequences, utility  # noqa: E402
 from yieldlens.plans import pipeline  # noqa: E402
-from yieldlens.plans.checkpoints import stored  # noqa: E402
+from yieldlens.plans.checkpoints import stored, use_checkpoints  # noqa: E402
 from yieldlens.sources import adapters as src  # noqa: E402
 from yieldlens.sources import tables  # noqa: E402
+from yieldlens.streaming import scoring  # noqa: E402
 
 # Thresholds are shares of the total utility, so that they mean the same at every scale.
 ITEMS = MinUtility.of_share("0.01")
@@ -89,7 +92,7 @@ def _top(scores: DataFrame) -> DataFrame:
 
 
 def _drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
-    raw = src.event_rows_with_gaps(spark, sf)
+    raw = src.event_rows_with_gaps(spark, sf).drop("ts")
     return tables.drop_incomplete(raw, tables.CLICK_KEYS)
 
 
@@ -101,14 +104,67 @@ def _purchase_sequences(purchases: DataFrame) -> DataFrame:
     return listed.select("session_id", "part", F.array_join(entry, ">").alias("purchases"))
 
 
-def _recommend_lists(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
-    lists = recommend.as_lists(_top(_scores(clicks, purchases)))
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share."""
+    return f"{use_checkpoints(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _load_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written as the lines of a click file, some without session or item, and loaded from there."""
+    path = _folder(spark, "clicks")
+    raw = src.event_rows_with_gaps(spark, sf)
+    lines = raw.select("session_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "item_id", "category")
+    lines.write.csv(path, emptyValue="")
+    return _plain_time(tables.load_clicks(spark, path))
+
+
+def _load_purchases(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for purchases, at prices finer than a cent and in quantities of one to three."""
+    path = _folder(spark, "purchases")
+    lines = src.event_purchases(spark, sf).select(
+        "session_id",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+        "item_id",
+        (F.col("price") / 8).cast("decimal(18,5)"),
+        F.col("event_id") % 3 + 1,
+    )
+    lines.write.csv(path)
+    return _double(_plain_time(tables.load_purchases(spark, path)), "price", "utility")
+
+
+def _category_code() -> Column:
+    """Each kind of category in turn."""
+    turn = F.col("event_id") % 5
+    return F.when(turn == 0, "S").when(turn == 1, "0").when(turn == 2, F.col("item_id").cast("string")).when(turn == 3, "12")
+
+
+def _matrix_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = _folder(spark, "matrix")
+    tables.save_matrix(_matrix(src.event_clicks(spark, sf), src.event_purchases(spark, sf)), path)
+    return _double(tables.load_matrix(spark, path), "weight")
+
+
+def _stream_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks in three batches, not in order of time, with six hours to live; then every session's latest list."""
+    clicks = src.event_clicks(spark, sf)
+    matrix, rows = stored(_matrix(clicks, src.event_purchases(spark, sf)))
+    scorer = scoring.ClickScorer(matrix, _folder(spark, "stream"), TOP_K, rows, timedelta(hours=6))
+    for batch in range(3):
+        scorer.score_batch(clicks.filter(F.col("event_id") % 3 == batch), batch)
+    return _as_text(scoring.latest_answers(spark, scorer.store))
+
+
+def _as_text(lists: DataFrame) -> DataFrame:
     money = F.transform("scores", lambda s: s.cast("decimal(18,2)").cast("string"))
     return lists.select(
         "session_id", F.array_join("items", ">").alias("items"), F.array_join(money, ">").alias("scores")
     )
 
 
+def _recommend_lists(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
+    return _as_text(recommend.as_lists(_top(_scores(clicks, purchases))))
+
+
 def _recommend_click_only(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     matrix, rows = stored(_matrix(clicks, purchases))
     return recommend.recommend(recommend.click_only(clicks, purchases), matrix, TOP_K, rows)
@@ -167,10 +223,9 @@ def oracle_sql() -> dict[str, str]:
 def _own_queries() -> dict[str, Query]:
     return {
         # Sources, cleaning, profile
-        "load_clicks": _on_clicks(lambda c: _plain_time(tables.drop_incomplete(c, tables.CLICK_KEYS))),
-        "load_purchases": _on_purchases(
-            lambda p: _double(_plain_time(tables.drop_incomplete(p, tables.PURCHASE_KEYS)), "price", "utility")
-        ),
+        "load_clicks": _load_clicks,
+        "load_purchases": _load_purchases,
+        "category_kinds": _on_clicks(lambda c: c.select("event_id", category_kind(_category_code()).alias("kind"))),
         "drop_incomplete": _drop_incomplete,
         "purchase_utility": _on_orders(
             lambda o: _double(o.select("session_id", "item_id", "price", "quantity", "utility"), "price", "utility")
@@ -202,6 +257,9 @@ def _own_queries() -> dict[str, Query]:
         ),
         "purchase_sequences": _on_purchases(_purchase_sequences),
         "prefixspan": lambda spark, sf: _frequent(src.event_types(spark, sf), 0.05, 3, src.EVENT_ORDER),
+        "prefixspan_items": _on_clicks(
+            lambda c: _frequent(c.withColumn("item_id", F.col("item_id") % 10), 0.002, 3, src.EVENT_ORDER)
+        ),
         "prefixspan_orders": lambda spark, sf: _frequent(src.order_states(spark, sf), 0.1, 3, src.STATE_ORDER),
         # Utility mining
         "session_utility": _on_purchases(lambda p: _double(utility.session_utility(p), "utility")),
@@ -209,6 +267,9 @@ def _own_queries() -> dict[str, Query]:
         "swu": _on_purchases(lambda p: _double(utility.swu(p), "swu")),
         "promising_items": _on_purchases(lambda p: _double(utility.promising_items(p, ITEMS), "swu")),
         "huspm_items": _on_purchases(lambda p: _double(_items(p), "utility")),
+        "huspm_items_none": _on_purchases(
+            lambda p: _double(utility.high_utility_items(p, MinUtility.of_share("1")), "utility")
+        ),
         "huspm_sharded_max": _on_purchases(
             lambda p: _double(utility.high_utility_items_by_shard(p, SHARDED, SHARDS, "max"), "utility")
         ),
@@ -226,6 +287,7 @@ def _own_queries() -> dict[str, Query]:
         "cps": _on_both(mx.cps),
         "cps_probability": _on_both(lambda c, p: _rounded(mx.cps_probability(mx.cps(c, p), c), "probability")),
         "whuom": _on_both(lambda c, p: _double(_matrix(c, p), "weight")),
+        "matrix_roundtrip": _matrix_roundtrip,
         "whuom_left": _on_both(lambda c, p: _double(mx.whuom_left(mx.cps(c, p), _items(p)), "weight")),
         "whuom_log": _on_both(
             lambda c, p: _rounded(mx.whuom_log(mx.cps(c, p), _items(p), PIPELINE.max_items), "weight")
@@ -240,5 +302,6 @@ def _own_queries() -> dict[str, Query]:
         "recommend_holdout": _on_both(lambda c, p: _double(recommend.recommend_held_out(c, p, ITEMS), "score")),
         "recommend_click_only": _on_both(lambda c, p: _double(_recommend_click_only(c, p), "score")),
         "expected_profit": _on_both(lambda c, p: _double(_expected_profit(c, p), "expected_profit")),
+        "stream_scores": _stream_scores,
         "mine_and_recommend": _on_both(lambda c, p: _double(pipeline.mine_and_recommend(c, p, PIPELINE), "score")),
     }

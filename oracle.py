@@ -61,6 +61,10 @@ _PARTS = {
         SELECT session_id, item,
                row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) AS pos
         FROM typed""",
+    "tens": """
+        SELECT session_id, CAST(item_id % 10 AS VARCHAR) AS item,
+               row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id) AS pos
+        FROM clicks""",
     "states": """
         SELECT l_orderkey AS session_id, l_returnflag || l_linestatus AS item,
                row_number() OVER (PARTITION BY l_orderkey
@@ -91,6 +95,7 @@ _NEEDS = {
     "swu": ["weights"],
     "shards": ["weights", "total"],
     "steps": ["typed"],
+    "tens": ["clicks"],
     "spent": ["purchases"],
     "years": ["lines"],
 }
@@ -164,12 +169,21 @@ def _valuable(steps: str, share: str, lengths: range, itemsets: bool) -> str:
 _TOP = "SELECT session_id, rank, item_id, CAST(score AS DOUBLE) AS score FROM {0} WHERE rank <= {1}"
 
 ORACLE_SQL = {
-    "load_clicks": _sql("clicks", "SELECT * FROM clicks WHERE session_id IS NOT NULL AND item_id IS NOT NULL"),
+    "load_clicks": f"""
+        SELECT {_SESSION} AS session_id, date_trunc('millisecond', ts) AS ts, {_ITEM} AS item_id, event_type AS category
+        FROM events WHERE event_type NOT IN ('signup', 'error')""",
     "load_purchases": _sql(
         "purchases",
-        """SELECT session_id, ts, event_id, item_id, CAST(price AS DOUBLE) AS price, quantity,
-                  CAST(utility AS DOUBLE) AS utility
-           FROM purchases WHERE session_id IS NOT NULL AND item_id IS NOT NULL AND utility IS NOT NULL""",
+        """SELECT session_id, date_trunc('millisecond', ts) AS ts, item_id, CAST(price AS DOUBLE) / 8 AS price, quantity,
+                  CAST(CAST(CAST(price AS DOUBLE) / 8 AS DECIMAL(18,5)) * quantity AS DOUBLE) AS utility
+           FROM (SELECT * REPLACE (event_id % 3 + 1 AS quantity) FROM purchases)""",
+    ),
+    "category_kinds": _sql(
+        "clicks",
+        """SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'offer' WHEN 1 THEN 'missing' WHEN 3 THEN 'category'
+                  WHEN 2 THEN CASE WHEN item_id = 0 THEN 'missing' WHEN item_id BETWEEN 1 AND 12 THEN 'category' ELSE 'brand' END
+                  END AS kind
+           FROM clicks""",
     ),
     "drop_incomplete": f"""
         SELECT event_id, {_SESSION} AS session_id, {_ITEM} AS item_id, event_type AS category
@@ -243,6 +257,7 @@ ORACLE_SQL = {
         parts=_PARTED.format("purchases"),
     ),
     "prefixspan": _frequent("steps", 0.05),
+    "prefixspan_items": _frequent("tens", 0.002),
     "prefixspan_orders": _frequent("states", 0.1),
     "session_utility": _sql(
         "purchases", "SELECT session_id, CAST(sum(utility) AS DOUBLE) AS utility FROM purchases GROUP BY session_id"
@@ -253,6 +268,9 @@ ORACLE_SQL = {
         "swu total", "SELECT item_id, CAST(swu AS DOUBLE) AS swu FROM swu WHERE swu >= 0.01 * (SELECT u FROM total)"
     ),
     "huspm_items": _sql("high_items", "SELECT item_id, CAST(utility AS DOUBLE) AS utility FROM high_items"),
+    "huspm_items_none": _sql(
+        "items total", "SELECT item_id, CAST(utility AS DOUBLE) AS utility FROM items WHERE utility >= (SELECT u FROM total)"
+    ),
     "huspm_sharded_max": _sql(
         "shards", "SELECT item_id, CAST(max(utility) AS DOUBLE) AS utility FROM shards GROUP BY item_id"
     ),
@@ -280,6 +298,9 @@ ORACLE_SQL = {
         "chance", "SELECT click_item, purchase_item, cps, round(probability, 6) AS probability FROM chance"
     ),
     "whuom": _sql("matrix", "SELECT click_item, purchase_item, CAST(weight AS DOUBLE) AS weight FROM matrix"),
+    "matrix_roundtrip": _sql(
+        "matrix", "SELECT click_item, purchase_item, CAST(weight AS DOUBLE) AS weight FROM matrix"
+    ),
     "whuom_left": _sql(
         "cps high_items",
         """SELECT click_item, purchase_item, CAST(weight AS DOUBLE) AS weight
@@ -301,6 +322,20 @@ ORACLE_SQL = {
                   string_agg(CAST(CAST(score AS DECIMAL(18,2)) AS VARCHAR), '>' ORDER BY rank) AS scores
            FROM ranked WHERE rank <= 5 GROUP BY session_id""",
     ),
+    "stream_scores": _sql(
+        "clicks matrix",
+        """SELECT session_id, string_agg(CAST(item_id AS VARCHAR), '>' ORDER BY rank) AS items,
+                  string_agg(CAST(CAST(score AS DECIMAL(18,2)) AS VARCHAR), '>' ORDER BY rank) AS scores
+           FROM placed WHERE rank <= 5 GROUP BY session_id""",
+        young="""
+            SELECT DISTINCT session_id, item_id AS click_item
+            FROM (SELECT *, max(ts) OVER (PARTITION BY session_id) AS newest FROM clicks)
+            WHERE ts >= newest - INTERVAL 6 HOUR""",
+        placed="""
+            SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY score DESC, item_id) AS rank
+            FROM (SELECT session_id, purchase_item AS item_id, sum(weight) AS score
+                  FROM young JOIN matrix USING (click_item) GROUP BY ALL)""",
+    ),
     "recommend_unseen": _sql(
         "scores bought",
         _TOP.format("fresh", 5),

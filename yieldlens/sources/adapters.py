@@ -62,6 +62,7 @@ def event_rows_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return _events(spark, sf_dir).select(
         "event_id",
+        "ts",
         F.when(kind != "signup", F.col("session_id")).alias("session_id"),
         F.when(kind != "error", F.col("item_id")).alias("item_id"),
         kind.alias("category"),
