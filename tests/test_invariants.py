@@ -156,6 +156,21 @@ def test_quantile_interpolates(spark, values, fraction):
     assert got == pytest.approx(want, rel=1e-9)
 
 
+@pytest.mark.parametrize("fraction", ["0", "0.2", "0.5", "0.951", "1"])
+def test_quantile_in_rounds(spark, fraction, monkeypatch):
+    """Never more than a few values are put in order, also where they crowd together or lie far apart."""
+    monkeypatch.setattr(profile, "FEW", 10)
+    monkeypatch.setattr(profile, "BINS", 7)
+    choose = random.Random(1)
+    values = sorted([choose.random() for _ in range(300)] + [1e9 + choose.random() for _ in range(300)] + [5.0] * 40 + [-3.5])
+    df = spark.createDataFrame([(v,) for v in values], "price double")
+    got = profile.quantile(df, "price", fraction).first()[0]
+    place = (len(values) - 1) * float(fraction)
+    low = int(place + 1e-9)
+    assert got == pytest.approx(values[low] + (values[min(low + 1, len(values) - 1)] - values[low]) * (place - low), rel=1e-9)
+    assert profile.quantile(df.limit(0), "price", fraction).first()[0] is None
+
+
 def test_histogram_of_one_value_and_empty_bins(spark):
     same = spark.createDataFrame([(5,)] * 4, "v bigint").selectExpr("CAST(v AS DECIMAL(18,2)) AS price")
     bins = {r.bin: r["rows"] for r in profile.histogram(same, fraction=None).collect()}

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.columns import equal_width_bin
 
-SLICES = 64
+# Bins of a round of the search for a quantile, and the values that may be put in order in one place.
+BINS, FEW = 2048, 5000
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -44,44 +46,46 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def quantile_of_counts(counts: DataFrame, fraction: str) -> DataFrame:
-    """Exact quantile with linear interpolation, as one row with column ``quantile``.
+    """Exact quantile with linear interpolation, as one row with column ``quantile``; NULL without values.
 
-    ``counts`` has value and n. Values are cut into slices of about equal size, one small row per
-    slice tells which of them hold the wanted ranks, and only those are put in order.
+    ``counts`` has value and n. The histogram bin that holds the wanted rank is cut up again until it has so few
+    values that they can be put in order on the spot: never more than FEW, however many values there are. Each
+    round is one pass over the counts, which are computed here and now.
     """
-    # The cuts only balance the slices; any cuts give the same quantile, so a small sketch will do.
-    fractions = [i / SLICES for i in range(1, SLICES)]
-    cuts = counts.agg(F.percentile_approx("value", fractions, 10 * SLICES).alias("cuts")).scalar()
-    # Never NULL, which spares the join below a test that would move into the shared scan.
-    slice_of = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
-    sliced = counts.withColumn("cuts", cuts).withColumn("slice", slice_of).drop("cuts")
-
-    # At most SLICES rows from here on, so one task may order them.
-    ends = W.orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
-    slices = (
-        sliced.groupBy("slice").agg(F.sum("n").alias("in_slice"))
-        .withColumn("end", F.sum("in_slice").over(ends))
-        .withColumn("total", F.sum("in_slice").over(W.partitionBy()))
-        .withColumn("place", (F.col("total") - 1) * F.lit(Decimal(fraction)))
-        .withColumn("low", F.floor("place"))
-        .withColumn("high", F.ceil("place"))
-        .withColumn("start", F.col("end") - F.col("in_slice"))
-        .filter((F.col("start") <= F.col("high")) & (F.col("end") > F.col("low")))
-        .select("slice", "start", "place", "low", "high")
-    )
-    upto = W.partitionBy("slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = (
-        sliced.join(F.broadcast(slices), "slice")
-        .withColumn("last", F.col("start") + F.sum("n").over(upto) - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-    )
-
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(F.col("first"), F.col("last")), F.col("value")))
-
-    return ranked.agg(
-        at("low").alias("below"), at("high").alias("above"), F.max(F.col("place") - F.col("low")).alias("part")
-    ).select((F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("quantile"))
+    kind = counts.schema["value"].dataType
+    spans = (F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("rows"), F.count("*").alias("values"))
+    inside = counts.agg(*spans).first()
+    if not inside.rows:
+        return counts.sparkSession.range(1).select(F.lit(None).cast(kind).alias("quantile"))
+    place = (inside.rows - 1) * Decimal(fraction)
+    rank, before = int(place), 0
+    while inside.values > FEW:
+        first = float(inside.low)
+        width = (float(inside.high) - first) / BINS
+        if not width:
+            raise ValueError("values differ by less than a double can tell")
+        number = F.least(F.floor((F.col("value").cast("double") - F.lit(first)) / F.lit(width)), F.lit(BINS - 1))
+        bins = _between(counts, inside.low, inside.high, kind).groupBy(number.alias("bin")).agg(*spans).collect()
+        for inside in sorted(bins, key=lambda r: r.bin):
+            if before + inside.rows > rank:
+                break
+            before += inside.rows
+    ordered = sorted(_between(counts, inside.low, inside.high, kind).collect(), key=lambda r: r.value)
+    for at, row in enumerate(ordered):
+        if before + row.n > rank:
+            break
+        before += row.n
+    below = above = row.value
+    if rank + 1 >= before + row.n and place > rank:
+        # The next rank has the next value, which may lie beyond the last bin.
+        behind = counts.filter(F.col("value") > F.lit(below).cast(kind)).agg(F.min("value"))
+        above = ordered[at + 1].value if at + 1 < len(ordered) else behind.first()[0]
+    low, high = (F.lit(v).cast(kind) for v in (below, above))
+    return counts.sparkSession.range(1).select((low + (high - low) * F.lit(place - rank)).alias("quantile"))
+
+
+def _between(counts: DataFrame, low: object, high: object, kind: DataType) -> DataFrame:
+    return counts.filter(F.col("value").between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
 
 
 def quantile(df: DataFrame, column: str, fraction: str = "0.95") -> DataFrame:

@@ -93,29 +93,37 @@ def click_only(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     return session_items(clicks, "click_item").join(buyers, "session_id", "left_anti")
 
 
+def _without_own_fold(rows: DataFrame, keys: list[str], amount: Column, folds: int) -> DataFrame:
+    """Sums by ``keys``, as an array by fold: what all sessions but those of the fold add up to."""
+    own = F.pmod("session_id", F.lit(folds))
+    in_fold = [F.coalesce(F.sum(F.when(own == f, amount)), F.lit(0)).alias(f"f{f}") for f in range(folds)]
+    sums = rows.groupBy(*keys).agg(F.sum(amount).alias("all"), *in_fold)
+    return sums.select(*keys, F.array(*[F.col("all") - F.col(f"f{f}") for f in range(folds)]).alias("others"))
+
+
 def _held_out_matrix(clicked: DataFrame, purchases: DataFrame, share: MinUtility, folds: int) -> DataFrame:
-    """One matrix per fold, column ``model``, built from the sessions of all other folds."""
-    fold = F.pmod("session_id", F.lit(folds)).cast("int").alias("fold")
-    # A row of fold g takes part in the models of all folds but g.
-    models = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(folds - 1)), F.col("fold"))).alias("model")
-    items = (
-        purchases.groupBy(fold, "item_id").agg(F.sum("utility").alias("utility"))
-        .select(models, "item_id", "utility")
-        .groupBy("model", "item_id").agg(F.sum("utility").alias("utility"))
+    """One matrix per fold, column ``model``, built from the sessions of all other folds.
+
+    A model's count is the total less its own fold's, so pairs are shuffled once, and become one row per model
+    only after the items that no model wants have gone.
+    """
+    items = _without_own_fold(purchases, ["item_id"], F.col("utility"), folds).select(
+        F.col("item_id").alias("purchase_item"), F.posexplode("others").alias("model", "utility")
     )
     # One row per fold.
     totals = F.broadcast(items.groupBy("model").agg(F.sum("utility").alias("total")))
-    items = items.join(totals, "model").filter(
+    wanted = items.join(totals, "model").filter(
         (F.col("utility") > 0) & (F.col("utility") >= F.col("total") * F.lit(share.share))
-    ).select("model", F.col("item_id").alias("purchase_item"), "utility")
-    pairs = (
-        split_join(clicked, session_items(purchases, "purchase_item"), ["session_id"], ["click_item"])
-        .groupBy(fold, "click_item", "purchase_item").agg(F.count("*").alias("cps"))
-        .select(models, "click_item", "purchase_item", "cps")
-        .groupBy("model", "click_item", "purchase_item").agg(F.sum("cps").alias("cps"))
     )
-    return pairs.join(items, ["model", "purchase_item"]).select(
-        "model", "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight")
+    models = wanted.groupBy("purchase_item").agg(F.collect_list(F.struct("model", "utility")).alias("models"))
+    both = split_join(clicked, session_items(purchases, "purchase_item"), ["session_id"], ["click_item"])
+    pairs = _without_own_fold(both, ["click_item", "purchase_item"], F.lit(1), folds)
+    return (
+        pairs.join(models, "purchase_item")
+        .select("click_item", "purchase_item", "others", F.inline("models"))
+        .withColumn("cps", F.get("others", F.col("model")))
+        .filter("cps > 0")
+        .select("model", "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight"))
     )
 
 
@@ -124,9 +132,8 @@ def recommend_held_out(
 ) -> DataFrame:
     """Items for every session, from a matrix that was built without that session's fold.
 
-    A session is in fold ``session_id mod folds``. Counts and utilities are aggregated per fold
-    first, and only those aggregates are handed to the other folds' models; ``share`` must be a
-    relative threshold and applies to what each model has seen. The matrices are computed on call.
+    A session is in fold ``session_id mod folds``. ``share`` must be a relative threshold and applies to
+    what each model has seen. The matrices are computed on call.
     """
     if share.share is None:
         raise ValueError("held-out scoring needs a relative threshold")
