@@ -27,7 +27,8 @@ class Sampling:
     ``prior`` has, for n-grams of one word, two words and so on, the occurrences in the raw text that
     the target model is given beforehand in the raw text's proportions: buckets with few occurrences tell little.
     ``share`` of the rows is kept. ``weight`` times the mean log ratio of a document's n-grams is its log weight,
-    with ``damp`` n-grams of ratio one added so that short texts do not go to extremes.
+    with ``damp`` n-grams of ratio one added so that short texts do not go to extremes. The target model is
+    fitted on ``most_target`` documents at most, drawn evenly from the target; the raw one always on all.
     """
 
     share: float = 0.8
@@ -35,6 +36,7 @@ class Sampling:
     weight: float = 200.0
     damp: int = 20
     seed: int = 1
+    most_target: int = 50_000
 
 
 def _buckets(words: np.ndarray, order: int) -> np.ndarray:
@@ -129,8 +131,10 @@ def resampled(
     """
     space = Workspace(docs.sparkSession, "resampling")
     source = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    wanted = target.select(F.col(key).alias("id")).filter("id IS NOT NULL").distinct().withColumn("wanted", F.lit(True))
-    marked = source.join(wanted, "id", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+    wanted = target.select(F.col(key).alias("id")).filter("id IS NOT NULL").distinct()
+    # So few that they can be sent to the texts, whatever the corpus.
+    wanted = wanted.orderBy(F.xxhash64(F.lit(sampling.seed), "id"), "id").limit(sampling.most_target)
+    marked = source.join(F.broadcast(wanted.withColumn("wanted", F.lit(True))), "id", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
     weights = log_weights(source, log_ratios(marked, "wanted", sampling), sampling)
     scores = space.keep(weights.withColumn("score", F.col("log_weight") + gumbel(F.col("id"), sampling.seed)), "scores")
     n = scores.count()
