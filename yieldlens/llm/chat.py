@@ -39,13 +39,14 @@ def jumps(nodes: DataFrame, space: Workspace) -> list[DataFrame]:
             raise ValueError("replies form a cycle")
         low = found[-1]
         high = low.select(F.col("node").alias("up"), *[F.col(c).alias(f"high_{c}") for c in ("up", "score", "turns")])
-        next_ = low.join(high, "up", "left").select(
+        # What has come to its root stays as it is and is not joined again.
+        further = low.filter("up IS NOT NULL").join(high, "up").select(
             "node",
             F.col("high_up").alias("up"),
-            (F.col("score") + F.coalesce("high_score", F.lit(0.0))).alias("score"),
-            (F.col("turns") + F.coalesce("high_turns", F.lit(0))).alias("turns"),
+            (F.col("score") + F.col("high_score")).alias("score"),
+            (F.col("turns") + F.col("high_turns")).alias("turns"),
         )
-        found.append(space.keep(next_, f"jump-{len(found)}"))
+        found.append(space.keep(further.unionByName(low.filter("up IS NULL")), f"jump-{len(found)}"))
     return found
 
 
