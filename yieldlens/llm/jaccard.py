@@ -152,19 +152,36 @@ def sets_of(docs: DataFrame, wanted: DataFrame, alike: Alike) -> DataFrame:
     return docs.join(wanted, "id", "left_semi").mapInArrow(whole, "id bigint, tokens array<bigint>")
 
 
+def _narrowed(rows: DataFrame, kind: str, alike: Alike) -> DataFrame:
+    """The postings that can still be shared by a linked pair of different ``kind`` (id or component), with ``lonely``.
+
+    A token whose postings are all of one kind joins nothing. Those tokens of a set before this one count as
+    ``lonely``: no set of another kind that could be linked has them. A posting that too many lonely tokens
+    precede is dropped, which may leave other tokens to one kind.
+    """
+    mixed = rows.groupBy("token").agg(F.min(kind).alias("low"), F.max(kind).alias("high")).filter("low < high")
+    kept = rows.join(mixed.select("token"), "token", "left_semi")
+    # A prefix is a group of bounded size.
+    before = F.row_number().over(W.partitionBy("id", "n").orderBy("place")) - 1
+    left = F.col("n") - F.col("lonely")
+    return kept.withColumn("lonely", F.col("place") - before).filter(left >= F.ceil(F.lit(alike.per_cent) * F.col("n") / 100))
+
+
 def _candidates(left: DataFrame, right: DataFrame, alike: Alike, same: Column, all_shared: bool) -> DataFrame:
-    """Pairs (x, y), x the smaller, whose postings share enough tokens and leave room for enough more.
+    """Pairs (x, y), x the smaller, whose postings share tokens and leave room for enough more, with the tokens ``found``.
 
     What stands before a shared token in one set can only be in the other if it is shared there, too. So
-    ``lonely`` tokens, which no other set has, are lost to the overlap, and, if the postings hold
+    ``lonely`` tokens are lost to the overlap, and, if the postings hold
     ``all_shared`` tokens of a pair, so are all others up to the last shared one.
     """
     a = left.select("token", *[F.col(c).alias(f"{c}_x") for c in left.columns if c != "token"])
     b = right.select("token", *[F.col(c).alias(f"{c}_y") for c in right.columns if c != "token"])
     x, y = (lambda c: F.col(f"{c}_x")), (lambda c: F.col(f"{c}_y"))
     need = alike.needed(x("n"), y("n"))
-    room = F.least(x("place"), y("place")) + F.least(x("n") - x("place"), y("n") - y("place"))
-    likely = (F.least(x("n") - x("lonely"), y("n") - y("lonely")) >= need) & (room >= need) & ~same
+    room = F.least(x("place") - x("lonely"), y("place") - y("lonely")) + F.least(x("n") - x("place"), y("n") - y("place"))
+    # The first token that a linked pair shares stands so early that the rest of both suffices.
+    lost = "place" if all_shared else "lonely"
+    likely = (F.least(x("n") - x(lost), y("n") - y(lost)) >= need) & (room >= need) & ~same
     # A pair may come from either side.
     swap = x("id") > y("id")
     both = a.join(b, (a["token"] == b["token"]) & likely).select(
@@ -183,8 +200,16 @@ def _candidates(left: DataFrame, right: DataFrame, alike: Alike, same: Column, a
         lost = F.col(f"last_place_{side}") + 1 - F.col("found") if all_shared else F.col(f"first_place_{side}")
         return F.col(f"n_{side}") - lost
 
-    enough = (F.col("found") >= F.col("shared")) & (F.least(most("x"), most("y")) >= alike.needed(x("n"), y("n")))
-    return pairs.filter(enough).select("x", "y")
+    return pairs.filter(F.least(most("x"), most("y")) >= alike.needed(x("n"), y("n"))).select("x", "y", "found", "shared")
+
+
+def _shared_enough(pairs: DataFrame, postings_: DataFrame) -> DataFrame:
+    """The pairs whose whole prefixes share as many tokens as the shorter of both was made for."""
+    of = postings_.select("token", "id", "shared")
+    both = pairs.select("x", "y").join(of.select(F.col("id").alias("x"), "token", F.col("shared").alias("shared_x")), "x")
+    both = both.join(of.select(F.col("id").alias("y"), "token", F.col("shared").alias("shared_y")), ["y", "token"])
+    found = both.groupBy("x", "y").agg(F.count("*").alias("found"), F.min(F.least("shared_x", "shared_y")).alias("shared"))
+    return found.filter("found >= shared").select("x", "y")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, alike: Alike, space: Workspace, name: str) -> DataFrame:
@@ -237,28 +262,25 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     met = met.groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"), F.min("shared").alias("shared"))
     met = space.keep(met, "met")
     space.drop("summaries", "postings")
-    between = met.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    met = met.join(between.select("token"), "token", "left_semi")
-    # Of the tokens before this one, those that no other set has; a prefix is a group of bounded size.
-    before = F.row_number().over(W.partitionBy("id", "n").orderBy("place")) - 1
-    met = met.withColumn("lonely", F.col("place") - before)
-    possible = F.col("n") - F.col("lonely") >= F.ceil(F.lit(alike.per_cent) * F.col("n") / 100)
-    met = space.keep(met.filter(possible), "possible")
+    met = space.keep(_narrowed(_narrowed(met, "id", alike), "id", alike), "possible")
 
     centre = met.groupBy("token").agg(F.min(F.struct("lonely", "place", "id", "n", "shared")).alias("c")).select("token", "c.*")
     same = F.col("id_x") == F.col("id_y")
-    near = _verified(_candidates(met, centre, alike, same, False), source, alike, space, "near")
+    near = _candidates(met, centre, alike, same, False).filter("found >= shared").select("x", "y")
+    near = _verified(near, source, alike, space, "near")
     joined = components(near, space, "near-components")
 
     in_component = met.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = in_component.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("lonely", "place", "id", "component")).alias("c")
-    ).filter("low < high")
-    rest = space.keep(in_component.join(mixed.select("token", F.col("c.component").alias("main")), "token"), "rest")
+    apart = space.keep(_narrowed(_narrowed(in_component, "component", alike), "component", alike), "apart")
+    main = apart.groupBy("token").agg(F.min(F.struct("lonely", "place", "id", "component")).alias("c"))
+    rest = space.keep(apart.join(main.select("token", F.col("c.component").alias("main")), "token"), "rest")
     others = rest.filter("component != main").drop("main")
     # A pair with one side in the main component is found from the other side, one without from its smaller id.
     elsewhere = (F.col("component_x") == F.col("component_y")) | ((F.col("component_y") != F.col("main_y")) & (F.col("id_x") >= F.col("id_y")))
-    far = _verified(_candidates(others, rest, alike, elsewhere, True), source, alike, space, "far")
+    # Prefixes made for one token give every pair; those few that have room are then held to all their tokens.
+    first = F.col("place") <= F.col("n") - F.ceil(F.lit(alike.per_cent) * F.col("n") / 100)
+    far = _candidates(others.filter(first), rest.filter(first), alike, elsewhere, True)
+    far = _verified(_shared_enough(space.keep(far, "far-first"), rest), source, alike, space, "far")
     linked = components(near.unionByName(far), space, "components").withColumnRenamed("node", "class_id")
 
     result = members.join(linked, "class_id", "left")
