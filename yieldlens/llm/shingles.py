@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from yieldlens.llm.token_counts import by_bytes
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

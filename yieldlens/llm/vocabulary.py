@@ -14,7 +14,7 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
-TABLE = 800_000
+TABLE = 250_000
 WINDOW = 1 << 20
 
 
