@@ -92,3 +92,23 @@ def test_collisions_are_settled(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(sg, "MOST_TRIES", 2)
     with pytest.raises(ValueError, match="more entities"):
         sg.assigned(table, KEY, sg.Workspace(spark, "test"))
+
+
+def test_used_up_forms_grow(spark):
+    """One letter, forms of which every surrogate is an entity, and a network without a free address."""
+    short = [a + b for a in "bcdfghjklmnpqrstvwxyz" for b in "aeiou"]
+    names = [*"abcdefghijklmnopqrstuvwxyz", *short]
+    emails = [f"a@{a}.com" for a in short]
+    phones = [f"+1{n:04d}" for n in range(10_000)]
+    rows = [*(("name", n) for n in names), *(("email", e) for e in emails), *(("phone", p) for p in phones)]
+    addresses = spark.range(254 * 254).selectExpr("'ip' AS kind", "concat('192.168.', 1 + id div 254, '.', 1 + id % 254) AS entity")
+    entities = addresses.union(spark.createDataFrame(rows, "kind string, entity string"))
+    got = sg.assigned(entities, KEY, sg.Workspace(spark, "test")).collect()
+    real = {(r.kind, r.entity) for r in got}
+    made = {(r.kind, r.surrogate) for r in got}
+    assert len(got) == len(real) == len(made) == 254 * 254 + len(rows) and not real & made
+    assert sg.dressed("BO", "name", "fato") == "FATO" and sg.dressed("Bo", "name", "fato") == "Fato"
+    assert sg.dressed("+1 23-45", "phone", "+1678901") == "+1 67-8901"
+    for name in ("X", "J", "Bo"):
+        out = sg.replaced(spark.createDataFrame([(1, f"Mr {name} left")], "doc_id long, text string"), KEY).first().text
+        assert out.startswith("Mr ") and out.endswith(" left") and f" {name} " not in out

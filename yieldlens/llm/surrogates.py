@@ -46,7 +46,9 @@ KINDS = (
 MAYBE = rf"[0-9@]|({_TITLE})\.? "
 
 _MENTION = "blob string, start bigint, end bigint, kind string, entity string, written string"
-# A kind has far more surrogates of a form than this many tries could miss.
+# Proposals that keep the whole form, and then those that give up an ending or a network but not the length.
+FORM_TRIES, WIDE_TRIES = 4, 2
+# Every try after those adds a character, so no list of entities is long enough to get here.
 MOST_TRIES = 50
 
 
@@ -122,40 +124,65 @@ def luhn(digits: str) -> int:
     return sum(odd) + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])
 
 
+def _word(stream: Iterator[int], word: str, wide: bool, more: int) -> str:
+    """A word of a name with ``more`` letters added. Its last letter stays, as that often tells gender."""
+    if len(word) == 1:
+        return _like(word, stream) + _letters(stream, word, more)
+    last = _like(word[-1], stream) if wide else word[-1]
+    return "".join(_like(c, stream) for c in word[:-1]) + _letters(stream, word, more) + last
+
+
+def _letters(stream: Iterator[int], like: str, more: int) -> str:
+    """So many letters of the alphabets of a text, if those have enough to choose from."""
+    of = [c for c in like if c.isalpha() and len(_alphabet(c)) > 4] or ["a", "b"]
+    return "".join(_like(of[i % len(of)], stream) for i in range(more))
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
-    """A replacement for a canonical entity."""
+    """A replacement for a canonical entity.
+
+    The first attempts keep its form. There may be fewer surrogates of a form than entities, or none that is not an
+    entity itself, so later ones choose from more and more: every one is longer by a character than that before.
+    """
     stream = _stream(key, kind, entity, str(attempt))
+    wide, more = attempt >= FORM_TRIES, max(0, attempt + 1 - FORM_TRIES - WIDE_TRIES)
+    digits = lambda: "".join(_like("0", stream) for _ in range(more))
     if kind == "email":
         local, _, domain = entity.rpartition("@")
         *hosts, _, top = domain.split(".")
         # A domain that nobody can own; the hosts before it keep their form.
         hosts = ["".join(_like(c, stream) for c in h) for h in hosts]
-        return "".join(_like(c, stream) for c in local) + "@" + ".".join([*hosts, "example", top if top in ("com", "net", "org") else "com"])
+        made = "".join(_like(c, stream) for c in local) + _letters(stream, local, more)
+        return made + "@" + ".".join([*hosts, "example", top if top in ("com", "net", "org") else "com"])
     if kind == "ip":
-        first, second, *_ = entity.split(".")
+        first, second, *_ = octets = entity.split(".")
         kept = {"10": 1, "127": 1}.get(first, 2 if (first, second) in (("192", "168"), ("169", "254")) else 0)
-        return ".".join([*entity.split(".")[:kept], *(str(1 + _number(stream, 254)) for _ in range(4 - kept))])
+        if wide and kept == 2:
+            # The largest private network.
+            octets, kept = ["10"], 1
+        return ".".join([*octets[:kept], *(str(1 + _number(stream, 254)) for _ in range(4 - kept + more))])
     if kind == "account":
-        made = entity[0] + "".join(_like(c, stream) for c in entity[1:-1])
+        made = entity[0] + "".join(_like(c, stream) for c in entity[1:-1]) + digits()
         valid = (10 - luhn(made + "0") % 10) % 10
         last = valid if luhn(entity) % 10 == 0 else (valid + 1 + _number(stream, 9)) % 10
         return f"{made}{last}"
     if kind == "phone":
         kept = 2 if entity.startswith("+") else 0
-        return entity[:kept] + "".join(_like(c, stream) for c in entity[kept:])
+        return entity[:kept] + "".join(_like(c, stream) for c in entity[kept:]) + digits()
     if kind == "name":
-        # The last letter of a name often tells gender.
-        return " ".join("".join(_like(c, stream) for c in w[:-1]) + w[-1:] for w in entity.split(" "))
-    return "".join(_like(c, stream) for c in entity)
+        return " ".join(_word(stream, w, wide, more) for w in entity.split(" "))
+    return "".join(_like(c, stream) for c in entity) + digits()
 
 
 def dressed(written: str, kind: str, made: str) -> str:
-    """The surrogate in the form in which its entity was written."""
+    """The surrogate in the form in which its entity was written; what it is longer by comes last."""
     if kind in ("account", "phone", "number"):
         digits = iter(c for c in made if c.isdigit())
-        return "".join(next(digits) if c.isdigit() else c for c in written)
+        return "".join(next(digits) if c.isdigit() else c for c in written) + "".join(digits)
     if kind == "name":
-        return "".join(m.upper() if w.isupper() else m for w, m in zip(written, made, strict=False))
+        rest = made[len(written) :]
+        same = "".join(m.upper() if w.isupper() else m for w, m in zip(written, made, strict=False))
+        return same + (rest.upper() if len(written) > 1 and written.isupper() else rest)
     return made.upper() if written.isupper() else made
 
 
@@ -185,7 +212,7 @@ def assigned(entities: DataFrame, key: bytes, space: Workspace) -> DataFrame:
 
     Every round proposes a surrogate to each entity still without one. A proposal that is itself an entity, or
     that was given before, is refused; of equal proposals the least entity's holds. Refused entities try
-    again with the next number, until there are none.
+    again with the next number, until there are none: ``surrogate`` has more to choose from each time.
     """
     entities = space.keep(entities, "entities")
     real = entities.select("kind", F.col("entity").alias("surrogate"))
