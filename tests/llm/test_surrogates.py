@@ -112,3 +112,25 @@ def test_used_up_forms_grow(spark):
     for name in ("X", "J", "Bo"):
         out = sg.replaced(spark.createDataFrame([(1, f"Mr {name} left")], "doc_id long, text string"), KEY).first().text
         assert out.startswith("Mr ") and out.endswith(" left") and f" {name} " not in out
+
+
+def test_names_without_title(spark):
+    """All forms of a name that a title gives away are found in its text, and keep what they share."""
+    text = (
+        "Mrs. Anna Smith met Mr John Paul Smith, Mr. J. P. Smith and Ms O'Brien. Anna Smith left. Later Smith's friend, J. Smith, "
+        "SMITH and O’Brien said Mr. X. The smith from Smithfield paid Frau von Arnim-Berg; Arnim-Berg thanked Mr Smith. He left."
+    )
+    found = [text[a:b] for a, b, kind, _, _ in sg.mentions(text) if kind == "name"]
+    assert found == ["Anna Smith", "John Paul Smith", "J. P. Smith", "O'Brien", "Anna", "Smith", "Smith", "J. Smith", "SMITH", "O’Brien", "X", "von Arnim-Berg",
+                     "Arnim", "Berg", "Smith"]
+    rows = [(1, text), (2, "Mr Smith alone"), (3, "The Smith of no title, Anna"), (4, "Mr Smith " * 3000)]
+    out = {r.doc_id: r.text for r in sg.replaced(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    anna, john, paul = (sg.surrogate(KEY, "name", n).title() for n in ("anna", "john", "paul"))
+    smith = out[2].split()[1]
+    assert out[3] == rows[2][1] and out[4] == f"Mr {smith} " * 3000
+    assert out[1].startswith(f"Mrs. {anna} {smith} met Mr {john} {paul} {smith}, Mr. {john[0]}. {paul[0]}. {smith} and Ms ")
+    assert f". {anna} {smith} left. Later {smith}'s friend, {john[0]}. {smith}, {smith.upper()} and " in out[1]
+    assert "The smith from Smithfield paid Frau von " in out[1] and out[1].endswith(f" thanked Mr {smith}. He left.")
+    assert not re.search(r"Anna|Smith\b|SMITH|John|Paul|Brien|Arnim|Berg| X\.", out[1])
+    kept = [tuple(sg.surrogate(KEY, "name", f"{c}. smith")) for c in "bcdfghjklmnpqrstvwxyz"]
+    assert len(set(kept)) == 21
