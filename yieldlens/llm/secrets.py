@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -24,15 +25,27 @@ def _any_case(words: str) -> str:
 # Kind, pattern, group whose length counts, least length. Matches are leftmost, longest and do not overlap
 # within a kind; those too short are dropped afterwards. The first three kinds are the base.
 _KEYWORDS = _any_case("password|passwd|secret|token|api_?key")
+# A private key from its first line to the matching last one. Where that is missing or another key begins before it, to
+# the end of the lines that are base64, or armour headers, whatever quotes them; and of long runs within a line.
+_BREAK = r"(?:[\s\"'`>#*|,;+]|\\[nrt])"
+_ARMOUR = r"(?:Proc-Type|DEK-Info|Version|Comment|Hash|MessageID|Charset|Subject|X-[A-Za-z-]+): ?(?:(?!\\[nr])[^\r\n])*+"
+_ENDS = r"(?=[\s\"'`,;+\\]*(?:[\r\n]|\\[nr]|\Z)|[<\"'`])"
+_BODY = rf"(?:{_BREAK}*+(?:{_ARMOUR}|[A-Za-z0-9+/]{{16,}}+={{0,2}}|[A-Za-z0-9+/]++={{1,2}}|=[A-Za-z0-9+/]{{4}}(?![A-Za-z0-9+/])|(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]++{_ENDS}))*+"
+_PEM = (
+    r"----(?:-| )BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)(?:-| )----"
+    rf"(?:(?:(?!----[- ]BEGIN )[\s\S])*?----[- ]END \1[- ]----|{_BODY})"
+)
 RULES = (
     ("assign", re.compile(rf"({_KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 2, 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     # A run that is too short can not match with its least length either, so that may stand in the pattern.
     ("hex", re.compile(r"[0-9a-f]{24,}"), 0, 24),
-    ("pem", re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"), 0, 0),
+    ("pem", re.compile(_PEM), 0, 0),
     ("web", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"), 0, 0),
 )
 BASE = tuple(kind for kind, *_ in RULES[:3])
+# The ledger knows scans by the patterns, too: what other patterns found is scanned again.
+PATTERNS = hashlib.sha256(repr([(kind, p.pattern, group, least) for kind, p, group, least in RULES]).encode()).hexdigest()[:16]
 
 _FINDINGS = "blob string, findings array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -65,7 +78,7 @@ def scan(versions: DataFrame, ledger: str | None = None, key: str = "doc_id", te
 
     Equal contents are one blob, whichever version or path they come from. Only blobs that the ledger does
     not hold under the present rules are scanned; what was found, nothing included, is appended to it, and
-    then joined back to all versions. The ledger is a Parquet folder by rules version; without one, a
+    then joined back to all versions. The ledger is a Parquet folder by patterns and rules version; without one, a
     folder of this application's own is taken. Contents are combined before they are shuffled, so a
     blob with very many versions moves once per task at most.
 
@@ -74,7 +87,7 @@ def scan(versions: DataFrame, ledger: str | None = None, key: str = "doc_id", te
     """
     spark = versions.sparkSession
     ledger = ledger or f"{Workspace(spark, 'ledger').path}/ledger"
-    current = f"{ledger}/rules={RULES_VERSION}"
+    current = f"{ledger}/patterns=p{PATTERNS}/rules={RULES_VERSION}"
     addressed = versions.select(key, F.coalesce(text, F.lit("")).alias("_text")).withColumn("blob", blob_id(F.col("_text")))
     blobs = addressed.groupBy("blob").agg(F.first("_text").alias("text"))
     seen = _ledger(spark, current)
