@@ -71,3 +71,17 @@ def test_junk_goes_and_prose_stays(documents):
 def test_nothing(documents):
     assert ql.quality_verdicts(documents.limit(0)).count() == 0
     assert ql.good_documents(documents.limit(0)).count() == 0
+
+
+def test_rare_languages_are_judged(spark):
+    """What stands beside a language in others does not change its verdicts."""
+    words = "array_join(transform(sequence(1, {n}), i -> {word}), ' ')"
+    plain = words.format(n=60, word="translate(cast(id * 1000 + i * 7919 AS string), '0123456789', 'etaoinshrd')")
+    signs = words.format(n=55, word="concat('|#', cast(i AS string), '%$&*')")
+    rare = spark.range(20).selectExpr("id AS doc_id", f"CASE WHEN id = 0 THEN {signs} ELSE {plain} END AS text", "'qq' AS lang")
+    beside = spark.range(100, 160).selectExpr("id AS doc_id", f"{words.format(n=15000, word="concat('w', cast(id * 20000 + i AS string))")} AS text", "'en' AS lang")
+    size = lambda df: df.agg(F.sum(F.length(F.translate("text", " ", "")))).first()[0]
+    assert size(rare) < 0.001 * size(beside)
+    both = {r.doc_id: r.kept for r in ql.quality_verdicts(rare.union(beside)).filter("doc_id < 100").collect()}
+    alone = {r.doc_id: r.kept for r in ql.quality_verdicts(rare).collect()}
+    assert both == alone == {i: i != 0 for i in range(20)}

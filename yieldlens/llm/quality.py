@@ -36,7 +36,7 @@ class Rules:
     class_limit: tuple[float, float] = (0.22, 1.0)
     least_words_for_common: int = 100
     common_limit: tuple[float, float] = (0.13, 1.3)
-    # A reference needs this share of all its kind's characters; so there are at most 1000.
+    # Read by the SQL beside the query only, which does not judge languages of a smaller share of the characters.
     least_share: float = 0.001
 
 
@@ -121,10 +121,10 @@ def jensen_shannon(left: Column, right: Column) -> Column:
 def judged(docs: DataFrame, name: str, rules: Rules, lang: str = "lang") -> DataFrame:
     """Add ``base_failed``, ``class_distance``, ``common_distance`` and ``kept`` to ``features``' struct.
 
-    The references of a language are the summed histograms of all its documents that pass the base rules.
-    A distance is null, and not held against a document, where the document is too short, its
-    language is null or too rare for a reference, or no words are listed for it. ``docs`` is used twice
-    and should be stored.
+    The references of a language are the summed histograms of all its documents that pass the base rules,
+    however few: a verdict does not depend on documents in other languages. A distance is null, and not held
+    against a document, where the document is too short, its language is null, or no words are listed for
+    it. ``docs`` is used twice and should be stored.
     """
     f = F.col(name)
     failed = (f["n_words"] < rules.least_words) | (100 * f["n_repeat_words"] > rules.most_repeated * f["n_words"])
@@ -136,13 +136,14 @@ def judged(docs: DataFrame, name: str, rules: Rules, lang: str = "lang") -> Data
         F.array(*_sums(f["classes"], n_classes)).alias("classes"),
         F.array(*_sums(f["common"], n_words)).alias("common"),
     )
-    all_chars = passed.agg(F.sum(f["word_chars"]).alias("chars")).scalar()
-    references = sums.filter(F.col("chars") >= rules.least_share * all_chars).select(
+    references = sums.select(
         "_lang",
         _shares(F.col("classes"), F.col("chars")).alias("_classes"),
         F.when(_get(F.col("common"), F.lit(0)).isNotNull(), _shares(F.col("common"), F.col("words"))).alias("_common"),
     )
-    out = docs.join(F.broadcast(references), docs[lang] == F.col("_lang"), "left")
+    # Stored first: its size decides how it is joined.
+    references = Workspace(docs.sparkSession, "references").keep(references, "references")
+    out = docs.join(references, docs[lang] == F.col("_lang"), "left")
     of_classes = F.when(
         f["word_chars"] >= rules.least_chars_for_classes,
         jensen_shannon(_shares(f["classes"], f["word_chars"]), F.col("_classes")),
