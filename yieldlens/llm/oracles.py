@@ -138,4 +138,32 @@ WITH RECURSIVE {components("documents", 3, 90)}
 SELECT doc_id, n_shingles, component_id FROM alike
 """
 
-ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op8_jaccard_join": OP8}
+OP12 = f"""
+WITH RECURSIVE {components("documents", 2, 80)}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM alike
+"""
+
+OP13 = """
+WITH usable AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.id <> b.id WHERE a.id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+ORACLE_SQL = {"op12_minhash_duplicates": OP12, "op13_hard_negatives": OP13, "op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op8_jaccard_join": OP8}

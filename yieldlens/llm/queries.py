@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldlens.llm import chat, contamination, jaccard, packing, quality, resampling, secrets, surrogates, token_counts, warc
+from yieldlens.llm import (
+    alignment,
+    chat,
+    contamination,
+    jaccard,
+    minhash,
+    packing,
+    quality,
+    resampling,
+    rtree,
+    secrets,
+    surrogates,
+    token_counts,
+    warc,
+)
 from yieldlens.llm.oracles import ORACLE_SQL
 from yieldlens.llm.storage import Workspace
 
@@ -111,6 +125,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"groups_sha256": "if(groups = '', '', sha2(groups, 256))"}
+    return alignment.align(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model", carry=digest)
+
+
+def op12_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Bands(width=2, per_cent=80))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is wrong on purpose; vectors are taken in steps of 1/256."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    vectors = _table(spark, sf_dir, "embeddings").filter(finite).select("vec_id", wrong.alias("label"), steps.alias("vector"))
+    return rtree.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     registered = (
         op1_chat_formatting,
@@ -123,6 +156,9 @@ def queries() -> dict[str, Query]:
         op8_jaccard_join,
         op9_best_fit_packing,
         op10_token_counts,
+        op11_token_alignment,
+        op12_minhash_duplicates,
+        op13_hard_negatives,
     )
     return {query.__name__: query for query in registered}
 
