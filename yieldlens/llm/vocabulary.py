@@ -2,7 +2,8 @@
 
 Both encoders cut a text at spaces where no token can reach across, and remember what they found
 for a word. A word costs a dictionary lookup then, and no text is handed to a library in one piece
-unless it has no safe place to cut. ``TABLE`` bounds what is remembered per Python worker.
+unless it has no safe place to cut. ``TABLE`` bounds how many words of at most ``LONGEST`` characters a
+Python worker remembers.
 """
 
 from __future__ import annotations
@@ -11,10 +12,15 @@ import json
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
-TABLE = 250_000
+TABLE = 600_000
+LONGEST = 64
+# For what is of few kinds: punctuation, words at the start of a line or text.
+FEW = 10_000
 WINDOW = 1 << 20
 
 
@@ -28,18 +34,28 @@ def locate(name: str) -> str:
 
 
 class _Memo(dict):
-    """Remembers what ``find`` gives for a key; forgets everything when it has grown too large."""
+    """Remembers what ``find`` gives for a key, in two generations of ``size`` keys.
 
-    def __init__(self, find):
+    When the younger is full it becomes the older one; what the older one held and nobody asked for again is
+    forgotten. Long keys, which hardly come again, are not remembered, so bytes are bounded with the keys.
+    """
+
+    def __init__(self, find, size: int | None = None):
         super().__init__()
-        self.find = find
+        self.find, self.size, self.older = find, size or TABLE // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= TABLE:
-            self.clear()
-        value = self[key] = self.find(key)
+        value = self.older[key] if key in self.older else self.find(key)
+        if len(key) <= LONGEST:
+            self.make_room()
+            self[key] = value
         return value
 
+    def make_room(self, more: int = 1) -> None:
+        if len(self) + more > self.size:
+            self.older = dict(self)
+            self.clear()
+
 
 def windows(text: str, cut: re.Pattern, size: int = WINDOW) -> Iterator[str]:
     """The text in parts of about ``size`` characters, each next part starting at a match of ``cut``."""
@@ -101,11 +117,10 @@ class PieceCounter:
     def _learn(self, words: list[str]) -> None:
         """One library call for all words of the window that are new."""
         known, mark = self.known, self.MARK
-        new = [w for w in set(words) if w not in known and w and w[0] != mark and w[-1] != mark]
-        if len(self.known) + len(new) > TABLE:
-            self.known.clear()
-            new = new[:TABLE]
-        self.known.update(zip(new, map(len, self.model.encode(new, num_threads=1)), strict=True))
+        new = [w for w in set(words) if 0 < len(w) <= LONGEST and w not in known and w[0] != mark and w[-1] != mark]
+        new = [w for w in new if w not in known.older][: known.size]
+        known.make_room(len(new))
+        known.update(zip(new, map(len, self.model.encode(new, num_threads=1)), strict=True))
 
 
 class ByteLevelEncoder:
@@ -143,7 +158,8 @@ class ByteLevelEncoder:
             merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in said["model"]["merges"]]
             self.model = models.BPE(said["model"]["vocab"], merges, cache_capacity=0)
             self.bytes = _byte_letters()
-            self.known, self.letters, self.others = _Memo(self._word), _Memo(self._letters), _Memo(self._whole)
+            self.others, self.starts = _Memo(self._whole, FEW), _Memo(self._letters, FEW)
+            self.known = _Memo(self._word)
 
     def __call__(self, text: str) -> bytes:
         if not self.splits:
@@ -155,27 +171,26 @@ class ByteLevelEncoder:
 
     def _letters(self, word: str) -> bytes:
         spelled = (word if word.isascii() else word.encode().decode("latin-1")).translate(self.bytes)
-        return _packed([token.id for token in self.model.tokenize(spelled)])
+        return array("I", map(_ID, self.model.tokenize(spelled))).tobytes()
 
     def _word(self, word: str) -> bytes | None:
         """Ids of the word with a space before it; None where its spaces are no safe cuts."""
+        if parts := self.WORD.fullmatch(word):
+            letters, tail = parts.groups()
+            return self.known[letters] + self.others[tail] if tail else self._letters(" " + letters)
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        parts = self.WORD.fullmatch(word)
-        if parts is None:
-            head, *lines = word.split("\n")
-            if lines and head and not any(not p or p[0].isspace() or p[-1].isspace() for p in (head, *lines)):
-                # A single line end between two other characters is a part of its own.
-                return self.known[head] + b"".join(self.others["\n"] + self._line(line) for line in lines)
-            return self._whole(" " + word)
-        letters, tail = parts.groups()
-        return self.letters[" " + letters] + self.others[tail] if tail else self.letters[" " + letters]
+        head, *lines = word.split("\n")
+        if lines and head and not any(not p or p[0].isspace() or p[-1].isspace() for p in (head, *lines)):
+            # A single line end between two other characters is a part of its own.
+            return self.known[head] + b"".join(self.others["\n"] + self._line(line) for line in lines)
+        return self._whole(" " + word)
 
     def _line(self, word: str) -> bytes:
         parts = self.WORD.fullmatch(word)
         if parts is None:
             return self._whole(word)
-        return self.letters[parts[1]] + (self.others[parts[2]] if parts[2] else b"")
+        return self.starts[parts[1]] + (self.others[parts[2]] if parts[2] else b"")
 
     def _window(self, text: str) -> bytes:
         first, *words = text.split(" ")
@@ -183,10 +198,9 @@ class ByteLevelEncoder:
             return self._whole(text)
         last = words.pop()
         if not first[-1:].isspace() and last and not last[0].isspace():
-            head = self.others[first] if len(first) < 64 else self._whole(first)
             tail = self._whole(" " + last) if last[-1].isspace() else self.known[last]
             try:
-                return head + b"".join(map(self.known.__getitem__, words)) + tail
+                return self.others[first] + b"".join(map(self.known.__getitem__, words)) + tail
             except TypeError:
                 pass
         return b"".join(map(self._part, self.CUT.split(text)))
@@ -201,6 +215,9 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+_ID = attrgetter("id")
+
+
 def _byte_letters() -> dict[int, str]:
     """How byte-level models spell a byte: printable ones as themselves, the others from 256 on."""
     printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
