@@ -41,7 +41,8 @@ RULES = (
     # A run that is too short can not match with its least length either, so that may stand in the pattern.
     ("hex", re.compile(r"[0-9a-f]{24,}"), 0, 24),
     ("pem", re.compile(_PEM), 0, 0),
-    ("web", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"), 0, 0),
+    # What no dot follows matches, too, and is dropped: so no run is searched again from each of its places.
+    ("web", re.compile(r"eyJ[A-Za-z0-9_-]{8,}+(\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+)?"), 1, 1),
 )
 BASE = tuple(kind for kind, *_ in RULES[:3])
 # The ledger knows scans by the patterns, too: what other patterns found is scanned again.
