@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,10 +158,11 @@ def test_quantile_interpolates(spark, values, fraction):
 
 
 @pytest.mark.parametrize("fraction", ["0", "0.2", "0.5", "0.951", "1"])
-def test_quantile_in_rounds(spark, fraction, monkeypatch):
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_quantile_by_ranges(spark, fraction, accuracy, monkeypatch):
     """Never more than a few values are put in order, also where they crowd together or lie far apart."""
-    monkeypatch.setattr(profile, "FEW", 10)
-    monkeypatch.setattr(profile, "BINS", 7)
+    monkeypatch.setattr(profile, "FEW", 1)
+    monkeypatch.setattr(profile, "ACCURACY", accuracy)
     choose = random.Random(1)
     values = sorted([choose.random() for _ in range(300)] + [1e9 + choose.random() for _ in range(300)] + [5.0] * 40 + [-3.5])
     df = spark.createDataFrame([(v,) for v in values], "price double")
@@ -171,6 +173,39 @@ def test_quantile_in_rounds(spark, fraction, monkeypatch):
     assert profile.quantile(df.limit(0), "price", fraction).first()[0] is None
 
 
+@pytest.mark.parametrize("few", [1, 5000])
+@pytest.mark.parametrize("fraction", ["0", "0.5", "0.9", "0.999", "1"])
+def test_quantile_with_values_beyond_numbers(spark, fraction, few, monkeypatch):
+    """Infinities lie at the ends, NaN behind them, and nothing is divided by their distance."""
+    monkeypatch.setattr(profile, "FEW", few)
+    values = [float("-inf")] * 3 + [v / 8 for v in range(6000)] + [float("inf")] * 2 + [float("nan")] * 2
+    df = spark.createDataFrame([(v,) for v in reversed(values)], "price double").repartition(4)
+    began = time.monotonic()
+    got = profile.quantile(df, "price", fraction).first()[0]
+    place = (len(values) - 1) * float(fraction)
+    low, share = int(place), place - int(place)
+    want = values[low] if share < 1e-9 else values[low] + (values[low + 1] - values[low]) * share
+    assert got == pytest.approx(want, nan_ok=True) and time.monotonic() - began < 30
+
+
+def test_quantile_of_values_that_a_double_can_not_tell(spark):
+    df = spark.range(1000).selectExpr("CAST(id + 12345678901234567890123 AS DECIMAL(38,0)) AS price")
+    assert int(profile.quantile(df, "price", "1").first()[0]) == 12345678901234567890123 + 999
+    assert int(profile.quantile(df, "price", "0").first()[0]) == 12345678901234567890123
+
+
+def test_quantile_reads_its_input_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(3000).selectExpr("CAST(id AS DOUBLE) AS price").mapInArrow(count, "price double")
+    assert profile.quantile(df, "price", "0.5").first()[0] == 1499.5 and read.value == 6000
+
+
 def test_histogram_of_one_value_and_empty_bins(spark):
     same = spark.createDataFrame([(5,)] * 4, "v bigint").selectExpr("CAST(v AS DECIMAL(18,2)) AS price")
     bins = {r.bin: r["rows"] for r in profile.histogram(same, fraction=None).collect()}

@@ -18,7 +18,7 @@ def cps(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     clicked = session_items(clicks, "click_item")
     bought = session_items(purchases, "purchase_item")
     return (
-        split_join(clicked, bought, ["session_id"], ["click_item"])
+        split_join(clicked, bought, ["session_id"], ["click_item"], ["purchase_item"])
         .groupBy("click_item", "purchase_item")
         .agg(F.count("*").alias("cps"))
     )
@@ -58,7 +58,8 @@ def whuom(counts: DataFrame, items: DataFrame, max_items: int | None = None) ->
 def whuom_left(counts: DataFrame, items: DataFrame) -> DataFrame:
     """The same matrix in its outer form: items without a utility count as zero and drop out after."""
     sold = items.select(F.col("item_id").alias("purchase_item"), "utility")
-    filled = counts.join(sold, "purchase_item", "left").withColumn("utility", F.coalesce("utility", F.lit(0)))
+    joined = split_join(counts, sold, ["purchase_item"], ["click_item"], how="left")
+    filled = joined.withColumn("utility", F.coalesce("utility", F.lit(0)))
     return filled.select(
         "click_item", "purchase_item", (F.col("cps") * F.col("utility")).alias("weight")
     ).filter(F.col("weight") > 0)

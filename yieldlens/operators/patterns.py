@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import earlier_max, hot_spans, ordered, semi_join, split_join
+from yieldlens.operators.skew import earlier_max, hot_groups, ordered, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
@@ -69,7 +69,7 @@ def _pattern_events(
     if min_utility.share is not None:
         total = events.agg(F.sum("u")).first()[0] or 0
         min_utility = MinUtility.of_amount(total * min_utility.share)
-    hot = hot_spans(events, "session_id", order[0]).checkpoint()
+    hot = hot_groups(events, "session_id").checkpoint()
     split = not hot.isEmpty()
     spent = events.withColumnRenamed("u", "utility")
     promising = promising_items(spent, min_utility, hot=split).select("item_id").checkpoint()
@@ -158,10 +158,10 @@ def _extended(
     else:
         records = state.filter("record")
         useful = events if more else _latest_best(events)
-        joined = split_join(useful, records, ["session_id"], ["pos", "item_id"]).filter(later)
+        joined = split_join(useful, records, ["session_id"], ["pos", "item_id"], [*pattern, "since"]).filter(later)
         if not singletons:
             here = state.withColumn("pos", F.col("since"))
-            beside = split_join(here, events, ["session_id", "pos"], pattern).filter(wider)
+            beside = split_join(here, events, ["session_id", "pos"], pattern, ["item_id"]).filter(wider)
             joined = joined.unionByName(beside)
     opened = F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint"))
     return joined.select(

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DoubleType, FloatType
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.columns import equal_width_bin
+from yieldlens.plans.checkpoints import use_checkpoints
 
-# Bins of a round of the search for a quantile, and the values that may be put in order in one place.
-BINS, FEW = 2048, 5000
+# The sketch for a quantile errs by at most one in ACCURACY of all rows; the bracket leaves SLACK times as much on both
+# sides. FEW values may be put in order in one place.
+ACCURACY, SLACK, FEW = 10_000, 3, 5000
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -45,51 +48,90 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") > 0)
 
 
-def quantile_of_counts(counts: DataFrame, fraction: str) -> DataFrame:
-    """Exact quantile with linear interpolation, as one row with column ``quantile``; NULL without values.
-
-    ``counts`` has value and n. The histogram bin that holds the wanted rank is cut up again until it has so few
-    values that they can be put in order on the spot: never more than FEW, however many values there are. Each
-    round is one pass over the counts, which are computed here and now.
-    """
-    kind = counts.schema["value"].dataType
-    spans = (F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("rows"), F.count("*").alias("values"))
-    inside = counts.agg(*spans).first()
-    if not inside.rows:
-        return counts.sparkSession.range(1).select(F.lit(None).cast(kind).alias("quantile"))
-    place = (inside.rows - 1) * Decimal(fraction)
-    rank, before = int(place), 0
-    while inside.values > FEW:
-        first = float(inside.low)
-        width = (float(inside.high) - first) / BINS
-        if not width:
-            raise ValueError("values differ by less than a double can tell")
-        number = F.least(F.floor((F.col("value").cast("double") - F.lit(first)) / F.lit(width)), F.lit(BINS - 1))
-        bins = _between(counts, inside.low, inside.high, kind).groupBy(number.alias("bin")).agg(*spans).collect()
-        for inside in sorted(bins, key=lambda r: r.bin):
-            if before + inside.rows > rank:
-                break
-            before += inside.rows
-    ordered = sorted(_between(counts, inside.low, inside.high, kind).collect(), key=lambda r: r.value)
-    for at, row in enumerate(ordered):
-        if before + row.n > rank:
-            break
-        before += row.n
-    below = above = row.value
-    if rank + 1 >= before + row.n and place > rank:
-        # The next rank has the next value, which may lie beyond the last bin.
-        behind = counts.filter(F.col("value") > F.lit(below).cast(kind)).agg(F.min("value"))
-        above = ordered[at + 1].value if at + 1 < len(ordered) else behind.first()[0]
-    low, high = (F.lit(v).cast(kind) for v in (below, above))
-    return counts.sparkSession.range(1).select((low + (high - low) * F.lit(place - rank)).alias("quantile"))
+def _as_double(value: Column, kind: DataType) -> Column:
+    """A double that never falls where the value rises; NaN, the largest of all, counts as infinity."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(F.isnan(value), F.lit(math.inf)).otherwise(value.cast("double"))
+    return value.cast("double")
 
 
-def _between(counts: DataFrame, low: object, high: object, kind: DataType) -> DataFrame:
-    return counts.filter(F.col("value").between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+def _order(value: object) -> tuple[bool, object]:
+    nan = isinstance(value, float) and math.isnan(value)
+    return nan, 0 if nan else value
 
 
 def quantile(df: DataFrame, column: str, fraction: str = "0.95") -> DataFrame:
-    return quantile_of_counts(value_counts(df, column), fraction)
+    """Exact quantile with linear interpolation, as one row with column ``quantile``; NULL without values.
+
+    Two passes over the data, whatever they are. A mergeable sketch with a sure bound on the error of its ranks gives
+    two values that the wanted ranks lie between. The second pass counts what lies below and above, and how often each
+    value in between occurs; of those there are at most 2 * SLACK / ACCURACY of all rows. If they are FEW they are put in
+    order on the spot, else by ranges over many tasks. Values are in Spark's order, infinities and NaN last.
+    """
+    place_of = Decimal(fraction)
+    values = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("value"))
+    kind, spark = values.schema["value"].dataType, df.sparkSession
+    double = _as_double(F.col("value"), kind)
+    around = [float(min(1, max(0, place_of + step * SLACK / Decimal(ACCURACY)))) for step in (-1, 1)]
+    n, span = values.agg(F.count("*"), F.percentile_approx(double, around, ACCURACY)).first()
+    if not n:
+        return spark.range(1).select(F.lit(None).cast(kind).alias("quantile"))
+    zone = F.when(double < span[0], -1).when(double > span[1], 1).otherwise(0)
+    within = F.when(zone == 0, F.col("value"))
+    counts = values.groupBy(zone.alias("zone"), within.alias("inside")).agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    place = (n - 1) * place_of
+    rank = int(place)
+    if 2 * SLACK * n <= FEW * ACCURACY:
+        found = _at_ranks(counts.collect(), rank)
+    else:
+        use_checkpoints(spark)
+        found = _at_ranks(_near(counts.checkpoint(), rank), rank)
+    low, high = (F.lit(v).cast(kind) for v in found)
+    share = place - rank
+    # Between equal values nothing is to be computed, which infinities would not stand.
+    whole = not share or _order(found[0]) == _order(found[1])
+    return spark.range(1).select((low if whole else low + (high - low) * F.lit(share)).alias("quantile"))
+
+
+def _at_ranks(rows: list[Row], rank: int) -> tuple[object, object]:
+    """The values at ``rank`` and behind it, from rows (n, low, high) that do not overlap: a value, or what lies below or above."""
+    before, values = 0, []
+    for row in sorted(rows, key=lambda r: (r.zone, _order(r.low))):
+        # Of a stretch only the ends are known: its last value, and its first.
+        for at in (rank, rank + 1):
+            if before <= at < before + row.n:
+                if at != before and at != before + row.n - 1 and _order(row.low) != _order(row.high):
+                    raise AssertionError("the sketch's bound does not hold the rank")
+                values.append(row.low if at == before else row.high)
+        before += row.n
+    return values[0], values[-1]
+
+
+def _near(counts: DataFrame, rank: int) -> list[Row]:
+    """``counts`` with every stretch of values far from ``rank`` as one row: values are dealt by ranges and summed there."""
+    dealt = counts.repartitionByRange("zone", "inside").withColumn("part", F.spark_partition_id()).checkpoint()
+    sums = (F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    parts = dealt.groupBy("part", "zone").agg(*sums).collect()
+    before, near = 0, set()
+    for row in sorted(parts, key=lambda r: (r.zone, r.part)):
+        if before <= rank + 1 and rank < before + row.n:
+            near.add((row.part, row.zone))
+        before += row.n
+    found, ahead = [], 0
+    for row in sorted(parts, key=lambda r: (r.zone, r.part)):
+        if (row.part, row.zone) not in near or row.zone:
+            found.append(row)
+        else:
+            # One range, in order: only the rows at the ranks come back, the others as what is before and behind them.
+            here = dealt.filter((F.col("part") == row.part) & (F.col("zone") == row.zone))
+            until = F.sum("n").over(W.partitionBy("part").orderBy("inside")) + ahead
+            side = F.when(until <= rank, -1).when(until - F.col("n") > rank + 1, 1).otherwise(0)
+            marked = here.withColumn("until", until).withColumn("side", side)
+            found += marked.groupBy(F.lit(0).alias("zone"), "side", F.when(F.col("side") == 0, F.col("inside"))).agg(*sums).collect()
+        ahead += row.n
+    return found
 
 
 def trim_outliers(df: DataFrame, column: str = "price", fraction: str = "0.95") -> DataFrame:
@@ -102,7 +144,7 @@ def histogram(df: DataFrame, column: str = "price", bins: int = 20, fraction: st
     counts = value_counts(df, column)
     if fraction is not None:
         # Tied to the count, the condition stays above the shared scan.
-        below = F.col("value") < quantile_of_counts(counts, fraction).scalar()
+        below = F.col("value") < quantile(df, column, fraction).scalar()
         counts = counts.filter(F.when(F.col("n") > 0, below))
     low = counts.agg(F.min("value").alias("low")).scalar()
     high = counts.agg(F.max("value").alias("high")).scalar()

@@ -27,7 +27,7 @@ def _scored(
         partitions = int(clicks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         joined = clicks.repartition(partitions, "session_id").join(F.broadcast(edges), keys)
     else:
-        joined = split_join(clicks, edges, keys, ["session_id"])
+        joined = split_join(clicks, edges, keys, ["session_id"], ["purchase_item"])
     return joined.groupBy("session_id", F.col("purchase_item").alias("item_id")).agg(*aggregates)
 
 
@@ -90,7 +90,7 @@ def expected_profit(clicks: DataFrame, edges: DataFrame, top_k: int = 5, edge_ro
 def click_only(clicks: DataFrame, purchases: DataFrame) -> DataFrame:
     """The clicked items of sessions that bought nothing."""
     buyers = purchases.select("session_id").distinct()
-    return session_items(clicks, "click_item").join(buyers, "session_id", "left_anti")
+    return split_join(session_items(clicks, "click_item"), buyers, ["session_id"], ["click_item"], how="left_anti")
 
 
 def _without_own_fold(rows: DataFrame, keys: list[str], amount: Column, folds: int) -> DataFrame:
@@ -116,10 +116,10 @@ def _held_out_matrix(clicked: DataFrame, purchases: DataFrame, share: MinUtility
         (F.col("utility") > 0) & (F.col("utility") >= F.col("total") * F.lit(share.share))
     )
     models = wanted.groupBy("purchase_item").agg(F.collect_list(F.struct("model", "utility")).alias("models"))
-    both = split_join(clicked, session_items(purchases, "purchase_item"), ["session_id"], ["click_item"])
+    both = split_join(clicked, session_items(purchases, "purchase_item"), ["session_id"], ["click_item"], ["purchase_item"])
     pairs = _without_own_fold(both, ["click_item", "purchase_item"], F.lit(1), folds)
     return (
-        pairs.join(models, "purchase_item")
+        split_join(pairs, models, ["purchase_item"], ["click_item"])
         .select("click_item", "purchase_item", "others", F.inline("models"))
         .withColumn("cps", F.get("others", F.col("model")))
         .filter("cps > 0")

@@ -1,8 +1,9 @@
 """Joins, orderings and running values that stay balanced when one key holds much of the data.
 
 A key is *hot* when its rows exceed both HOT_FLOOR and HOT_SHARE of the table. Row counts add up to
-the size of the table, so fewer than 1 / HOT_SHARE keys can be hot however large the table is:
-that bound is what allows the lists of hot keys below to be broadcast.
+the size of the table, so fewer than 1 / HOT_SHARE keys can be hot, and the parts that hot keys are
+cut into are fewer than twice that, however large the table is: that bound is what allows the lists
+of hot keys and of their slices below to be broadcast.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from yieldlens.plans.checkpoints import use_checkpoints
+
 HOT_FLOOR = 100_000
-HOT_SHARE = 1e-6
-MAX_PARTS = 4_096
+HOT_SHARE = 1e-5
 # Broadcasts are used only for tables proven or counted to have no more rows than this.
 BROADCAST_ROWS = 1_000_000
+# Numbered copies of a row are made in two steps of at most so many.
+COPIES = 10_000
 
 
 def is_small(max_rows: int | None) -> bool:
@@ -37,33 +41,56 @@ def hot_keys(counts: DataFrame) -> DataFrame:
     ).scalar()
     return (
         counts.filter(F.col("hot_rows") > limit)
-        .withColumn("hot_parts", F.least(F.lit(MAX_PARTS), F.ceil(F.col("hot_rows") / limit)).cast("int"))
+        .withColumn("hot_parts", F.ceil(F.col("hot_rows") / limit).cast("int"))
         .drop("hot_rows")
     )
 
 
+def _salt(by: Sequence[str], parts: str) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(*by), F.col(parts)).cast("int"), F.lit(0))
+
+
+def _every(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))
+
+
 def split_join(
-    many: DataFrame,
-    few: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
+    right_by: Sequence[str] | None = None,
     counts: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner equi-join whose hot keys on the ``many`` side are spread over several tasks.
+    """Equi-join in which a key that is hot on either side is spread over a grid of tasks.
+
+    The left rows of a hot key are divided into rows of the grid by a hash of ``spread_by``, its right rows into columns
+    by a hash of ``right_by``, and each goes to every cell of its row or column. So no cell gets more than about the limit
+    from either side, and a row is copied only as often as the other side has limits full of rows. Every other key is
+    joined as it is. The result is that of a plain join.
 
-    The rows of a hot key are divided by a hash of ``spread_by``, and the matching rows of ``few``
-    repeated once per part; every other key is joined as it is. The result is that of a plain join.
-    ``counts`` are the key counts of ``many`` if the caller has them.
+    Without ``right_by`` no key has many rows on the right, which is then not counted; only so ``how`` may be an outer,
+    semi or anti join of the left. ``counts`` are the key counts of the left if the caller has them.
     """
-    counts = key_counts(many, keys) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts.select(*keys, "hot_rows")))
-    salted = many.join(hot, list(keys), "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("hot_parts")).cast("int"), F.lit(0))
-    )
-    copies = few.join(hot, list(keys), "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("hot_parts"), F.lit(1)) - 1))
-    )
-    return salted.drop("hot_parts").join(copies.drop("hot_parts"), [*keys, "salt"]).drop("salt")
+    if right_by is not None and how != "inner":
+        raise ValueError("a right side that is cut can only be joined inner")
+    keys = list(keys)
+    counts = key_counts(left, keys) if counts is None else counts
+    hot = hot_keys(counts.select(*keys, "hot_rows"))
+    if right_by is None:
+        hot = F.broadcast(hot)
+        salted = left.join(hot, keys, "left").withColumn("salt", _salt(spread_by, "hot_parts"))
+        copies = right.join(hot, keys, "left").withColumn("salt", _every("hot_parts"))
+        return salted.drop("hot_parts").join(copies.drop("hot_parts"), [*keys, "salt"], how).drop("salt")
+    sides = (hot, F.col("hot_parts"), F.lit(1)), (hot_keys(key_counts(right, keys)), F.lit(1), F.col("hot_parts"))
+    listed = [h.select(*keys, a.alias("hot_parts"), b.alias("hot_columns")) for h, a, b in sides]
+    grid = listed[0].unionAll(listed[1]).groupBy(*keys)
+    grid = F.broadcast(grid.agg(F.max("hot_parts").alias("hot_parts"), F.max("hot_columns").alias("hot_columns")))
+    across = left.join(grid, keys, "left").withColumn("salt", _salt(spread_by, "hot_parts")).withColumn("column", _every("hot_columns"))
+    down = right.join(grid, keys, "left").withColumn("column", _salt(right_by, "hot_columns")).withColumn("salt", _every("hot_parts"))
+    cells = across.drop("hot_parts", "hot_columns").join(down.drop("hot_parts", "hot_columns"), [*keys, "salt", "column"])
+    return cells.drop("salt", "column")
 
 
 def semi_join(
@@ -75,29 +102,32 @@ def semi_join(
     return split_join(rows, wanted, keys, spread_by)
 
 
-def hot_spans(df: DataFrame, key: str, time: str) -> DataFrame:
-    """The hot values of ``key`` with the first and last ``time`` of each, for ``ordered``."""
-    micros = F.unix_micros(time)
-    spans = key_counts(df, [key], F.min(micros).alias("hot_first"), F.max(micros).alias("hot_last"))
-    # True wherever there is a time at all. Both uses of the counts so need all columns and share them.
-    return hot_keys(spans.filter(F.col("hot_first") <= F.col("hot_last")))
+def hot_groups(df: DataFrame, key: str) -> DataFrame:
+    """The hot values of ``key`` with ``hot_parts``, for ``ordered``."""
+    return hot_keys(key_counts(df, [key]))
 
 
-def _with_blocks(df: DataFrame, key: str, time: str, hot: DataFrame | None) -> DataFrame:
-    """Add ``block``: NULL in ordinary groups, the number of the time slice in a hot group.
+def sliced(df: DataFrame, key: str, order: Sequence[str], hot: DataFrame) -> tuple[DataFrame, bool]:
+    """Add ``block``: NULL in ordinary groups, the number of the slice in a hot group. Also whether there is any.
 
-    Slices follow each other in time and rows of one instant share a slice. Rows without a time sort
-    first and have slice -1.
+    Slices follow each other in the whole order, not in time alone: by the ``order`` columns, then by all others, then by
+    a number for rows alike in everything. Spark's range bounds cut it at ranks, so a slice has about the rows of the
+    limit also where a group has a burst, one instant, or no times at all. Bounds come from samples; the slices are
+    therefore computed once and stored.
     """
-    if hot is None:
-        return df.withColumn("block", F.lit(None).cast("int"))
-    place = (F.unix_micros(time) - F.col("hot_first")).cast("double") / (F.col("hot_last") - F.col("hot_first") + 1)
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("block", F.floor(place * F.col("hot_parts")).cast("int"))
-        .withColumn("block", F.when(F.col("hot_parts").isNotNull(), F.coalesce("block", F.lit(-1))))
-        .drop("hot_first", "hot_last", "hot_parts")
-    )
+    parts = hot.agg(F.sum("hot_parts")).first()[0]
+    if not parts:
+        return df.withColumn("block", F.lit(None).cast("int")), False
+    use_checkpoints(df.sparkSession)
+    marked = df.join(F.broadcast(hot), key, "left")
+    rest = [c for c in df.columns if c != key and c not in order]
+    alike = marked.filter("hot_parts IS NOT NULL").groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    step = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES)))
+    numbers = F.sequence(F.col("step") * COPIES, F.least(F.col("step") * COPIES + COPIES, "copies") - 1)
+    numbered = alike.withColumn("step", step).withColumn("copy", F.explode(numbers))
+    ranged = numbered.repartitionByRange(parts, key, *order, *rest, "copy").select(*df.columns, F.spark_partition_id().alias("block"))
+    cold = marked.filter("hot_parts IS NULL").select(*df.columns, F.lit(None).cast("int").alias("block"))
+    return cold.unionAll(ranged.checkpoint()), True
 
 
 def ordered(
@@ -110,41 +140,29 @@ def ordered(
 ) -> DataFrame:
     """Add ``block`` and ``pos``, the place of a row in its group, and what lies behind it.
 
-    Rows follow each other by ``order``, whose first column is a timestamp. Every row has a place of
-    its own, or shares it with the rows that agree on the ``instant`` columns, a first part of the
-    order. Given an ``amount``, ``rest`` is its sum and ``peak`` its maximum over the rows behind, for
-    which the order has to be total; both are NULL for the last row. Hot groups, given by
-    ``hot_spans``, are worked slice by slice; what lies in other slices comes from one small row per
-    slice. ``hot`` is None where it is known that no group is hot.
+    Rows follow each other by ``order``. Every row has a place of its own, or shares it with the rows
+    that agree on the ``instant`` columns, a first part of the order. Given an ``amount``, ``rest`` is
+    its sum and ``peak`` its maximum over the rows behind, for which the order has to be total; both
+    are NULL for the last row. Hot groups, given by ``hot_groups``, are worked slice by slice (see
+    ``sliced``); what lies in other slices comes from one small row per slice. ``hot`` is None where it
+    is known that no group is hot; else it is computed here and now.
     """
-    rows = _with_blocks(df, key, order[0], hot)
-    part = W.partitionBy(key) if hot is None else W.partitionBy(key, "block")
+    order = list(order)
+    rows, split = (df.withColumn("block", F.lit(None).cast("int")), False) if hot is None else sliced(df, key, order, hot)
+    part = W.partitionBy(key, "block") if split else W.partitionBy(key)
     place = F.row_number().over(part.orderBy(*order)) if instant is None else F.rank().over(part.orderBy(*instant))
     placed = rows.withColumn("pos", place.cast("bigint"))
     if amount is not None:
         behind = part.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(W.unboundedPreceding, -1)
         placed = placed.withColumns({"rest": F.sum(amount).over(behind), "peak": F.max(amount).over(behind)})
-    if hot is None:
+    if not split:
         return placed
-    value = F.lit(0) if amount is None else F.col(amount)
-    slices = rows.filter(F.col("block").isNotNull()).groupBy(key, "block").agg(
-        F.count("*").alias("slice_rows"), F.sum(value).alias("slice_sum"), F.max(value).alias("slice_max")
-    )
-    along = W.partitionBy(key).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    back = W.partitionBy(key).orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
-    # At most hot_parts rows per hot key, and those sum up to less than 2 / HOT_SHARE.
-    outside = F.broadcast(
-        slices.select(
-            key,
-            "block",
-            F.sum("slice_rows").over(along).alias("rows_before"),
-            F.sum("slice_sum").over(back).alias("sum_after"),
-            F.max("slice_max").over(back).alias("max_after"),
-        )
-    )
-    placed = placed.join(outside, [key, "block"], "left").withColumn(
-        "pos", F.col("pos") + F.coalesce("rows_before", F.lit(0))
-    )
+    # Few enough to be broadcast: as many as there are slices.
+    outside = F.broadcast(_outside(placed.filter(F.col("block").isNotNull()), key, amount, instant))
+    before = F.coalesce("rows_before", F.lit(0)) + F.col("pos")
+    # What shares an instant with the slice before has the place where that instant began.
+    place = before if instant is None else F.when((F.col("pos") == 1) & F.col("first_place").isNotNull(), F.col("first_place")).otherwise(before)
+    placed = placed.join(outside, [key, "block"], "left").withColumn("pos", place)
     if amount is not None:
         both = F.coalesce("rest", F.lit(0)) + F.coalesce("sum_after", F.lit(0))
         placed = placed.withColumns(
@@ -153,7 +171,39 @@ def ordered(
                 "peak": F.greatest("peak", "max_after"),
             }
         )
-    return placed.drop("rows_before", "sum_after", "max_after")
+    return placed.drop("rows_before", "sum_after", "max_after", "first_place")
+
+
+def _outside(placed: DataFrame, key: str, amount: str | None, instant: Sequence[str] | None) -> DataFrame:
+    """For every slice what the others of its group add: rows before, sum and maximum after, the place of its first instant."""
+    value = F.lit(0) if amount is None else F.col(amount)
+    at = F.struct(*(instant or ["pos"]))
+    slices = placed.groupBy(key, "block").agg(
+        F.count("*").alias("slice_rows"),
+        F.sum(value).alias("slice_sum"),
+        F.max(value).alias("slice_max"),
+        F.min(at).alias("first_at"),
+        F.max(at).alias("last_at"),
+        F.max("pos").alias("last_pos"),
+    )
+    along = W.partitionBy(key).orderBy("block")
+    until = along.rowsBetween(W.unboundedPreceding, -1)
+    back = W.partitionBy(key).orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
+    known = slices.select(
+        key,
+        "block",
+        F.coalesce(F.sum("slice_rows").over(until), F.lit(0)).alias("rows_before"),
+        F.sum("slice_sum").over(back).alias("sum_after"),
+        F.max("slice_max").over(back).alias("max_after"),
+        "first_at",
+        "last_at",
+        "last_pos",
+    )
+    if instant is None:
+        return known.drop("first_at", "last_at", "last_pos")
+    # An instant that ends a slice begins in the first slice that it ends.
+    began = known.groupBy(key, F.col("last_at").alias("first_at")).agg(F.min(F.col("rows_before") + F.col("last_pos")).alias("first_place"))
+    return known.join(began, [key, "first_at"], "left").drop("first_at", "last_at", "last_pos")
 
 
 def earlier_max(rows: DataFrame, group: Sequence[str], order: str, value: str, split: bool) -> DataFrame:
