@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from yieldlens.functions.threshold import MinUtility
-from yieldlens.operators.skew import earlier_max, hot_groups, ordered, semi_join, split_join
+from yieldlens.operators.skew import earlier_max, hot_groups, is_hot, key_counts, ordered, semi_join, split_join
 from yieldlens.operators.utility import promising_items
 from yieldlens.plans.checkpoints import use_checkpoints
 
@@ -51,11 +51,19 @@ def _pattern_events(
 ) -> tuple[DataFrame, Column, bool]:
     """Purchases of promising items with their place and what the session still holds behind them.
 
-    Also the threshold as a number, and whether there is a hot session.
+    Also the threshold as a number, and whether there is a hot session. The items are found from the purchases
+    as they come; only what is left of these is brought into order and stored.
     """
     places = [c for c in (order if singletons else order[:1]) if c != "item_id"]
     amount = F.when(F.col("utility") < 0, F.raise_error(F.lit("negative utility"))).otherwise(F.col("utility"))
     purchases = purchases.select("session_id", "item_id", *places, amount.alias("u"))
+    sessions = key_counts(purchases, ["session_id"], F.sum("u").alias("total"))
+    rows, most, total = sessions.agg(F.sum("hot_rows"), F.max("hot_rows"), F.sum("total")).first()
+    if min_utility.share is not None:
+        min_utility = MinUtility.of_amount((total or 0) * min_utility.share)
+    spent = purchases.withColumnRenamed("u", "utility")
+    promising = promising_items(spent, min_utility, hot=is_hot(most, rows)).select("item_id").checkpoint()
+    purchases = semi_join(purchases, ["item_id"], promising, promising.count(), ["session_id", *places])
     if singletons:
         # Purchases alike in everything stay apart, as numbered copies.
         alike = purchases.groupBy("session_id", "item_id", *places, "u").agg(F.count("*").alias("copies"))
@@ -65,17 +73,10 @@ def _pattern_events(
         # Several purchases of an item in an itemset are one event.
         events = purchases.groupBy("session_id", "item_id", *places).agg(F.sum("u").alias("u"))
         total_order = [*places, "item_id"]
-    events = events.checkpoint()
-    if min_utility.share is not None:
-        total = events.agg(F.sum("u")).first()[0] or 0
-        min_utility = MinUtility.of_amount(total * min_utility.share)
     hot = hot_groups(events, "session_id").checkpoint()
     split = not hot.isEmpty()
-    spent = events.withColumnRenamed("u", "utility")
-    promising = promising_items(spent, min_utility, hot=split).select("item_id").checkpoint()
-    kept = semi_join(events, ["item_id"], promising, promising.count(), ["session_id", *places])
     instant = None if singletons else places
-    placed = ordered(kept, "session_id", total_order, hot if split else None, "u", instant).select(
+    placed = ordered(events, "session_id", total_order, hot if split else None, "u", instant).select(
         "session_id", "block", "pos", "item_id", "u", "rest", "peak"
     )
     return placed.checkpoint(), F.lit(min_utility.amount), split
@@ -124,7 +125,7 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
     group = [*pattern, "session_id"]
     whole = W.partitionBy(*group)
     marked = (
-        earlier_max(matches.drop("gain"), group, "pos", "best", split)
+        earlier_max(matches, group, "pos", "best", split)
         .withColumn("record", F.col("earlier").isNull() | (F.col("best") > F.col("earlier")))
         .drop("earlier", "block")
     )
@@ -141,13 +142,30 @@ def _state(matches: DataFrame, pattern: list[str], singletons: bool, split: bool
     return marked.withColumnRenamed("pos", "since")
 
 
+def _worthy(state: DataFrame, last: DataFrame, least: Column, pattern: list[str], singletons: bool, split: bool) -> DataFrame:
+    """Patterns with the next items that may pay: ``pattern`` and ``item_id``.
+
+    What a pattern and an item can lead to in a session is at most what the pattern can lead to there, and nothing where
+    the item does not occur from the first match on. Summed over sessions that bounds every pattern that goes on with the
+    item, before any of its matches is made: this joins a pattern's sessions with their distinct items only.
+    """
+    reach = state.groupBy(*pattern, "session_id").agg(
+        F.max(F.col("best") + F.col("gain")).alias("bound"), F.min("since").alias("first")
+    ).filter("bound IS NOT NULL")
+    both = split_join(reach, last, ["session_id"], pattern, ["item_id"]) if split else reach.join(last, "session_id")
+    here = F.col("last") > F.col("first") if singletons else F.col("last") >= F.col("first")
+    bounds = both.filter(here).groupBy(*pattern, "item_id").agg(F.sum("bound").alias("bound"))
+    return bounds.filter(F.col("bound") >= least).select(*pattern, "item_id")
+
+
 def _extended(
-    state: DataFrame, events: DataFrame, length: int, more: int, singletons: bool, split: bool
+    state: DataFrame, events: DataFrame, worthy: DataFrame, length: int, more: int, singletons: bool, split: bool
 ) -> DataFrame:
     """Matches of all patterns longer by one item: in a later itemset, or in the last one.
 
-    ``more`` is the number of items that may still follow. Without a hot session one join by session
-    does both, and what follows groups by session and more, so the matches need not be shuffled again.
+    ``more`` is the number of items that may still follow; only ``worthy`` pairs of pattern and item are made. Without
+    a hot session one join by session does both, and what follows groups by session and more, so the matches need not
+    be shuffled again.
     """
     pattern = _columns(length)
     serves = F.col("until").isNull() | (F.col("pos") <= F.col("until"))
@@ -163,6 +181,7 @@ def _extended(
             here = state.withColumn("pos", F.col("since"))
             beside = split_join(here, events, ["session_id", "pos"], pattern, ["item_id"]).filter(wider)
             joined = joined.unionByName(beside)
+    joined = semi_join(joined, [*pattern, "item_id"], worthy, worthy.count(), ["session_id", "pos"])
     opened = F.col("shape").bitwiseOR(F.lit(1 << length).cast("bigint"))
     return joined.select(
         F.when(F.col("pos") > F.col("since"), opened).otherwise(F.col("shape")).alias("shape"),
@@ -188,8 +207,9 @@ def high_utility_sequences(
     With ``singletons`` every purchase is an itemset of its own, ordered by the ``order`` columns and
     then by item; otherwise purchases at the same time, the first of them, form one itemset.
 
-    Patterns grow level by level. The matches of the longer patterns are first only aggregated, to
-    find which are valuable and which are worth extending: those whose bound reaches the threshold,
+    Patterns grow level by level. Which items a pattern may go on with is told by a bound that is summed
+    before any match of the longer pattern is made. Those matches are first only aggregated, to
+    find which patterns are valuable and which are worth extending: those whose bound reaches the threshold,
     which loses nothing. Only matches of the latter are stored, as a checkpoint, for the next level.
     The loop fetches row counts but no rows.
     """
@@ -207,6 +227,7 @@ def high_utility_sequences(
         F.col("u").cast(AMOUNT).alias("best"),
         _gain(max_length - 1).alias("gain"),
     )
+    last = events.groupBy("session_id", "item_id").agg(F.max("pos").alias("last")).checkpoint() if max_length > 1 else None
     found = []
     for length in range(1, max_length + 1):
         pattern = _columns(length)
@@ -217,7 +238,8 @@ def high_utility_sequences(
             break
         kept = semi_join(matches, pattern, live, size, ["session_id", "pos"])
         state = _state(kept, pattern, singletons, split).checkpoint()
-        matches = _extended(state, events, length, max_length - length - 1, singletons, split)
+        worthy = _worthy(state, last, least, pattern, singletons, split).checkpoint()
+        matches = _extended(state.drop("gain"), events, worthy, length, max_length - length - 1, singletons, split)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

@@ -8,6 +8,7 @@ of hot keys and of their slices below to be broadcast.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,11 @@ def hot_keys(counts: DataFrame) -> DataFrame:
     )
 
 
+def is_hot(rows: int | None, total: int | None) -> bool:
+    """Whether a key with so many rows of a table's total is hot."""
+    return (rows or 0) > max(HOT_FLOOR, math.ceil((total or 0) * HOT_SHARE))
+
+
 def _salt(by: Sequence[str], parts: str) -> Column:
     return F.coalesce(F.pmod(F.xxhash64(*by), F.col(parts)).cast("int"), F.lit(0))
 
