@@ -27,7 +27,8 @@ ERRORS_PER_CENT, LEAST_CHARS = 6, 20
 GRAM = 10
 # Items that one pass over the documents looks for: so many pieces (about 20 MB with their hashes).
 BLOCK_PIECES = 100_000
-SLICE_BYTES = 4 << 20
+# Work arrays are some 50 times as large.
+SLICE_BYTES = 512 << 10
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.full(256, 32, np.uint8)
@@ -65,12 +66,19 @@ def _grams(data: np.ndarray) -> np.ndarray:
     if len(data) < GRAM:
         return np.empty(0, np.uint64)
     power = lambda n: np.uint64(pow(int(_P), n, 1 << 64))
-    one = data.astype(np.uint64) + np.uint64(1)
-    two = one[:-1] + one[1:] * power(1)
-    four = two[:-2] + two[2:] * power(2)
-    eight = four[:-4] + four[4:] * power(4)
-    ten = eight[: len(data) - 9] + two[8 : len(data) - 1] * power(8)
-    return (ten ^ (ten >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    one = data.astype(np.uint64)
+    one += np.uint64(1)
+    two = one[1:] * power(1)
+    two += one[:-1]
+    four = two[2:] * power(2)
+    four += two[:-2]
+    eight = four[4:] * power(4)
+    eight += four[:-4]
+    ten = two[8 : len(data) - 1] * power(8)
+    ten += eight[: len(data) - 9]
+    ten ^= ten >> np.uint64(29)
+    ten *= np.uint64(0xBF58476D1CE4E5B9)
+    return ten
 
 
 def errors_allowed(chars: int) -> int:

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -30,7 +31,7 @@ CELLS = 1 << 21
 MOST_SHARED = 8
 VERIFY_COST, STRAY = 0.1, 0.05
 # Sets whose postings a task has seen are left out when they come again; as many are remembered.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 @dataclass(frozen=True)
@@ -89,14 +90,13 @@ def shared_tokens(partners: np.ndarray, n: int, prefix: int, least: int) -> int:
     return int(np.argmin(matches * (1 + VERIFY_COST * n / shared**2))) + 1
 
 
-def postings(docs: DataFrame, alike: Alike, counts: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, alike: Alike, sent: Broadcast) -> DataFrame:
     """The prefix of every document: ``token``, ``id``, ``n``, ``place`` in its order, ``shared`` (l).
 
     The order goes by what a shingle is estimated to occur: not more often than its rarest word, nor than
-    its own counter says. Of equal sets within one task, only the first is given.
+    its own counter says (``sent`` has the counters). Of equal sets within one task, only the first is given.
     """
-    spark = docs.sparkSession
-    sent, usual = spark.sparkContext.broadcast(counts), float(counts[:CELLS].mean())
+    usual = float(sent.value[:CELLS].mean())
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sent.value, set()
@@ -256,7 +256,9 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
     members = space.keep(members, "members")
     class_of = members.filter("class_id IS NOT NULL").select("id", "class_id").distinct()
 
-    prefixes = space.keep(postings(source, alike, counts), "postings")
+    sent = docs.sparkSession.sparkContext.broadcast(counts)
+    prefixes = space.keep(postings(source, alike, sent), "postings")
+    sent.destroy()
     common = prefixes.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     met = prefixes.join(common.select("token"), "token", "left_semi").join(class_of, "id")
     met = met.groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"), F.min("shared").alias("shared"))
