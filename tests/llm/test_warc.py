@@ -44,6 +44,10 @@ def test_broken_archives_fail(bad):
 def test_heads_and_dates():
     assert warc._http(ANSWER) == (True, ANSWER[: ANSWER.index(b"body")], b"body\x00\xff\n\n")
     assert warc._http(b"plain") == (False, b"", b"plain") and warc._http(b"HTTP/1.0 200 OK") == (True, b"HTTP/1.0 200 OK", b"")
+    # The head ends at the first blank line, whatever stands in the body.
+    assert warc._http(b"HTTP/1.0 200 OK\nA: b\n\nbody\r\n\r\nmore") == (True, b"HTTP/1.0 200 OK\nA: b\n\n", b"body\r\n\r\nmore")
+    times = {"200102030405": "2001-02-03T04:05:00Z", "20010203": "2001-02-03T00:00:00Z", "2001": "2001-01-01T00:00:00Z", "20011303040506": None, "2001020": None, "": None}
+    assert {d: warc._iso(d) for d in times} == {d: t or "1970-01-01T00:00:00Z" for d, t in times.items()}
     assert warc._iso("20010203040506") == "2001-02-03T04:05:06Z" and warc._iso("soon") == "1970-01-01T00:00:00Z"
 
 
@@ -71,6 +75,39 @@ def test_conversion(spark, tmp_path):
         assert all(r.declared_block_digest in (None, r.block_digest) for r in rows)
 
 
+def test_nulls_in_any_field(spark, tmp_path):
+    names = ("url", "ip", "date", "mime", "version", "block")
+    whole = ("http://a/", "1.2.3.4", "20010203040506", "text/plain", 1, bytearray(b"block"))
+    rows = [whole, *[tuple(None if i == k else v for i, v in enumerate(whole)) for k in range(6)]]
+    schema = ", ".join(f"{n} {k}" for n, k in zip(names, ("string", "string", "string", "string", "int", "binary"), strict=True))
+    warc.write_arc(spark.createDataFrame(rows, schema), str(tmp_path / "arc"))
+    read = warc.read_arc(spark, str(tmp_path / "arc"))
+    assert read.count() == 7 and read.filter("length(block) = 5").count() == 6
+    gone = read.limit(1)
+    for column in ("url", "ip", "date", "mime", "block", "head"):
+        gone = gone.unionByName(read.limit(1).withColumn(column, F.lit(None).cast(dict(read.dtypes)[column])))
+    warc.write_warc(gone, str(tmp_path / "warc"), F.lit(1))
+    assert warc.read_warc(spark, str(tmp_path / "warc")).count() == 7
+
+
+def test_all_pages_against_plain_python(spark):
+    import base64
+    import hashlib
+
+    from tests.conftest import SMALL
+    from yieldlens.llm.queries import op5_arc_to_warc
+
+    pages = [(r.page_id, (r.html or "").encode()) for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    last = {}
+    for page, payload in pages:
+        last[payload] = max(page, last.get(payload, page))
+    wanted = sorted(
+        (p, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), *(("response", -1) if last[b] == p else ("revisit", last[b]))) for p, b in pages
+    )
+    got = sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, -1 if r.refers_to is None else r.refers_to) for r in op5_arc_to_warc(spark, SMALL).collect())
+    assert got == wanted
+
+
 def test_pages_with_nulls_copies_and_odd_addresses(spark, tmp_path):
     from yieldlens.llm.queries import op5_arc_to_warc
 

@@ -10,6 +10,7 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
@@ -23,6 +24,8 @@ from yieldlens.llm.storage import Workspace
 BATCH_BYTES = 8 << 20
 MOST_RECORDS = 20_000
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "arc-record")
+# Ends an HTTP head, whichever line ends the server used.
+_BLANK_LINE = re.compile(rb"\r?\n\r?\n")
 
 # Fields of a record's header line by the version that the archive's first record names.
 ARC_FIELDS = {
@@ -91,17 +94,21 @@ def _http(block: bytes) -> tuple[bool, bytes, bytes]:
     """Whether the block is an HTTP answer, its head with the blank line, and its payload."""
     if not block.startswith(b"HTTP/"):
         return False, b"", block
-    for blank in (b"\r\n\r\n", b"\n\n"):
-        end = block.find(blank)
-        if end >= 0:
-            return True, block[: end + len(blank)], block[end + len(blank) :]
-    return True, block, b""
+    end = _BLANK_LINE.search(block)
+    return True, block[: end.end()] if end else block, block[end.end() :] if end else b""
 
 
 def _iso(date: str) -> str:
-    """Fourteen digits as the time that WARC writes; what cannot be read becomes the epoch."""
+    """The digits of a date, from the year to the second, as the time that WARC writes.
+
+    What is left out at the end is the first month or day, or zero; what cannot be read becomes the epoch.
+    """
+    digits = date[:14]
+    if not re.fullmatch(r"[0-9]{4}(?:[0-9]{2}){0,5}", digits):
+        return "1970-01-01T00:00:00Z"
     try:
-        return datetime.strptime(date[:14], "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+        full = digits + "00000101000000"[len(digits) :]
+        return datetime.strptime(full, "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     except ValueError:
         return "1970-01-01T00:00:00Z"
 
@@ -151,7 +158,11 @@ def write_warc(records: DataFrame, folder: str, order: Column, least_bytes: int
     Of records whose payloads are equal and have at least ``least_bytes``, the one that comes last by
     ``order`` (null first; then by identifier) is a response, the others are revisits that refer to it and
     keep only their HTTP head. All smaller ones are responses. Records without an HTTP head are resources.
+
+    A null url, ip or type gives no such line, a null date the epoch, a null block or head an empty one; repeated rows give
+    a record each; no records give an empty folder.
     """
+    records = records.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("block", b""), ("head", ""), ("date", "1970-01-01T00:00:00Z"))})
     records = records.withColumn("_order", order)
     named = F.struct("_order", "record_id", "url", "date")
     known = (
@@ -170,7 +181,7 @@ def write_warc(records: DataFrame, folder: str, order: Column, least_bytes: int
     block = F.when(again, head).otherwise(F.col("block"))
 
     def line(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
+        return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
     lines = [
         F.lit("WARC/1.1\r\n"),
@@ -207,8 +218,12 @@ def write_arc(pages: DataFrame, folder: str) -> None:
     """Write old archives: ``url``, ``ip``, ``date`` (14 digits), ``mime``, ``version`` (1 or 2) and ``block`` of each record.
 
     Every record carries the archive's description before it, as an archive of one; readers take any
-    number of such archives one after the other.
+    number of such archives one after the other. The old format has no way to leave a field out: a null url or
+    type becomes ``-``, a null ip ``0.0.0.0``, a null date the epoch, a null version 1, a null block an empty one.
+    Repeated rows give a record each; no pages give an empty folder.
     """
+    absent = (("url", "-"), ("ip", "0.0.0.0"), ("date", "19700101000000"), ("mime", "-"), ("version", 1), ("block", b""))
+    pages = pages.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in absent})
     said = F.when(
         F.col("version") == 1, F.lit("1 0 pages\nURL IP-address Archive-date Content-type Archive-length\n")
     ).otherwise(
