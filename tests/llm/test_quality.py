@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from yieldlens.llm import oracles
 from yieldlens.llm import quality as ql
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,6 +76,30 @@ def test_nothing(documents):
     assert ql.good_documents(documents.limit(0)).count() == 0
 
 
+def test_code_and_sql_have_one_rule(spark):
+    """Rare languages, other scripts, and documents of 50 to 99 words."""
+    choose = random.Random(4)
+
+    def prose(n, letters):
+        return " ".join("".join(choose.choice(letters) for _ in range(choose.randint(2, 9))) for _ in range(n))
+
+    latin, greek = "etaoinshrdlucmfw", "αβγδεζηθικλμνξοπ"
+    junk = " ".join(f"|{i}#%&$*" for i in range(80))
+    common = " ".join(f"the of and to a in is that it {prose(9, latin)}" for _ in range(4))
+    rows = [(i, f"{common} {prose(n, latin)}", "en") for i, n in enumerate(range(10, 60))]
+    # Alone, the junk of a rare language would be its measure.
+    rows += [(100, prose(70, latin), "zz"), (101, junk * 20, "zz"), (102, prose(60, greek), "el"), (103, junk, "el"), (104, prose(60, latin), None)]
+    rows += [(200 + i, prose(60 + i, latin), "en") for i in range(3)] + [(300 + i, f"| {i} " * 3 + prose(60, "0123456789|"), "en") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    mine = {r.doc_id: r.kept for r in ql.quality_verdicts(df).collect()}
+    db = duckdb.connect()
+    db.register("made", df.toPandas())
+    theirs = dict(db.execute(f"WITH {oracles.quality('made')} SELECT doc_id, kept FROM verdicts").fetchall())
+    assert mine == theirs
+    assert mine[100] and not mine[101] and mine[102] and not mine[103] and mine[104]
+    assert all(mine[i] for i in range(50)) and not any(mine[300 + i] for i in range(3))
+
+
 def test_rare_languages_are_judged(spark):
     """What stands beside a language in others does not change its verdicts."""
     words = "array_join(transform(sequence(1, {n}), i -> {word}), ' ')"

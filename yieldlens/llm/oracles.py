@@ -73,23 +73,34 @@ bins AS (
     FROM counts
 ),
 pooled AS (
-    SELECT lang, sum(word_chars) AS chars, sum(n_words) AS words,
+    SELECT lang, count(*) AS documents, sum(word_chars) AS chars, sum(n_words) AS words,
         [{", ".join(f"sum(classes[{i}])" for i in range(1, 7))}] AS classes,
         [{", ".join(f"sum(common[{i}])" for i in range(1, 13))}] AS common
     FROM bins WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang
 ),
 refs AS (
-    SELECT lang, [c / chars FOR c IN classes] AS ref_classes,
+    SELECT lang, documents >= {_R.least_documents} AS enough, [c / chars FOR c IN classes] AS ref_classes,
         CASE WHEN common[1] IS NOT NULL THEN [c / words FOR c IN list_append(common, words - list_sum(common))] END AS ref_common
-    FROM pooled WHERE chars >= {_R.least_share} * (SELECT sum(chars) FROM pooled)
+    FROM pooled
+),
+every AS (
+    SELECT [sum(classes[1] + classes[2] + classes[6]) / sum(chars), sum(classes[3]) / sum(chars),
+        sum(classes[4]) / sum(chars), sum(classes[5]) / sum(chars)] AS ref_every
+    FROM pooled
+),
+scripts AS (
+    SELECT *, [class_shares[1] + class_shares[2] + class_shares[6], class_shares[3], class_shares[4], class_shares[5]] AS script_shares
+    FROM bins
 ),
 verdicts AS (
-    SELECT bins.*, NOT base_failed
-        AND coalesce(word_chars < {_R.least_chars_for_classes} OR {_jensen_shannon("class_shares", "ref_classes")}
+    SELECT scripts.*, NOT base_failed
+        AND coalesce(word_chars < {_R.least_chars_for_classes} OR CASE
+                WHEN enough THEN {_jensen_shannon("class_shares", "ref_classes")}
+                WHEN NOT enough THEN {_jensen_shannon("script_shares", "ref_every")} END
             <= {_R.class_limit[0]} + {_R.class_limit[1]} / sqrt(n_words), true)
-        AND coalesce(n_words < {_R.least_words_for_common} OR {_jensen_shannon("common_shares", "ref_common")}
+        AND coalesce(NOT enough OR n_words < {_R.least_words_for_common} OR {_jensen_shannon("common_shares", "ref_common")}
             <= {_R.common_limit[0]} + {_R.common_limit[1]} / sqrt(n_words), true) AS kept
-    FROM bins LEFT JOIN refs USING (lang)
+    FROM scripts LEFT JOIN refs USING (lang) CROSS JOIN every
 )"""
 
 

@@ -34,10 +34,10 @@ class Rules:
     most_repeated: int = 50  # per cent of the words
     least_chars_for_classes: int = 200
     class_limit: tuple[float, float] = (0.22, 1.0)
-    least_words_for_common: int = 100
+    least_words_for_common: int = 50
     common_limit: tuple[float, float] = (0.13, 1.3)
-    # Read by the SQL beside the query only, which does not judge languages of a smaller share of the characters.
-    least_share: float = 0.001
+    # A language with fewer documents that pass the base rules has no reference of its own.
+    least_documents: int = 10
 
 
 def _get(array: Column, index: Column) -> Column:
@@ -111,6 +111,12 @@ def _shares(counts: Column, total: Column) -> Column:
     return F.transform(F.concat(counts.cast("array<long>"), F.array(total - known)), lambda c: F.try_divide(c, total))
 
 
+def _any_script(classes: Column) -> list[Column]:
+    """Letters with all that is not ASCII, digits, symbols, other punctuation."""
+    small, large, digits, symbols, marks, others = (_get(classes, F.lit(i)) for i in range(len(CLASSES) + 1))
+    return [small + large + others, digits, symbols, marks]
+
+
 def jensen_shannon(left: Column, right: Column) -> Column:
     """Jensen-Shannon distance of two arrays of shares: 0 if equal, 1 if nothing is shared."""
     part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
@@ -121,35 +127,39 @@ def jensen_shannon(left: Column, right: Column) -> Column:
 def judged(docs: DataFrame, name: str, rules: Rules, lang: str = "lang") -> DataFrame:
     """Add ``base_failed``, ``class_distance``, ``common_distance`` and ``kept`` to ``features``' struct.
 
-    The references of a language are the summed histograms of all its documents that pass the base rules,
-    however few: a verdict does not depend on documents in other languages. A distance is null, and not held
-    against a document, where the document is too short, its language is null, or no words are listed for
-    it. ``docs`` is used twice and should be stored.
+    The references of a language are the summed histograms of all its documents that pass the base rules. Of fewer
+    than ``least_documents`` one could set the measure for the others, so those are held against all languages
+    together, by what every script has: letters (any that are not ASCII among them), digits, symbols, punctuation. A
+    distance is null, and not held against a document, where the document is too short, its language is null, or,
+    for words, none are listed for it or it has no reference. ``docs`` is used twice and should be stored.
     """
     f = F.col(name)
     failed = (f["n_words"] < rules.least_words) | (100 * f["n_repeat_words"] > rules.most_repeated * f["n_words"])
     n_classes, n_words = len(CLASSES) + 1, len(COMMON_WORDS["en"])
     passed = docs.filter(~failed & F.col(lang).isNotNull())
     sums = passed.groupBy(F.col(lang).alias("_lang")).agg(
+        F.count("*").alias("documents"),
         F.sum(f["word_chars"]).alias("chars"),
         F.sum(f["n_words"]).alias("words"),
         F.array(*_sums(f["classes"], n_classes)).alias("classes"),
         F.array(*_sums(f["common"], n_words)).alias("common"),
     )
+    sums = Workspace(docs.sparkSession, "references").keep(sums, "sums")
+    every = [F.sum(c) for c in _any_script(F.col("classes"))]
+    # Four numbers.
+    pooled = F.array(*[F.lit(share).cast("double") for share in sums.agg(*[F.try_divide(c, F.sum("chars")) for c in every]).first()])
     references = sums.select(
         "_lang",
+        (F.col("documents") >= rules.least_documents).alias("_enough"),
         _shares(F.col("classes"), F.col("chars")).alias("_classes"),
         F.when(_get(F.col("common"), F.lit(0)).isNotNull(), _shares(F.col("common"), F.col("words"))).alias("_common"),
     )
-    # Stored first: its size decides how it is joined.
-    references = Workspace(docs.sparkSession, "references").keep(references, "references")
     out = docs.join(references, docs[lang] == F.col("_lang"), "left")
-    of_classes = F.when(
-        f["word_chars"] >= rules.least_chars_for_classes,
-        jensen_shannon(_shares(f["classes"], f["word_chars"]), F.col("_classes")),
-    )
+    shares = _shares(f["classes"], f["word_chars"])
+    to_own, to_all = jensen_shannon(shares, F.col("_classes")), jensen_shannon(F.array(*_any_script(shares)), pooled)
+    of_classes = F.when(f["word_chars"] >= rules.least_chars_for_classes, F.when(F.col("_enough"), to_own).when(~F.col("_enough"), to_all))
     of_words = F.when(
-        f["n_words"] >= rules.least_words_for_common,
+        F.col("_enough") & (f["n_words"] >= rules.least_words_for_common),
         jensen_shannon(_shares(f["common"], f["n_words"]), F.col("_common")),
     )
     chance = F.try_divide(F.lit(1.0), F.sqrt(f["n_words"].cast("double")))
@@ -160,7 +170,7 @@ def judged(docs: DataFrame, name: str, rules: Rules, lang: str = "lang") -> Data
     )
     added = {"base_failed": failed, "class_distance": of_classes, "common_distance": of_words, "kept": verdict}
     return out.withColumn(name, F.struct(F.col(f"{name}.*"), *[c.alias(n) for n, c in added.items()])).drop(
-        "_lang", "_classes", "_common"
+        "_lang", "_enough", "_classes", "_common"
     )
 
 
