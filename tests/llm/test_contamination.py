@@ -102,3 +102,14 @@ def test_grams_tell_places():
     data = np.frombuffer(b"abcdefghijklabcdefghij", np.uint8)
     grams = c._grams(data)
     assert len(grams) == len(data) - c.GRAM + 1 and grams[0] == grams[12] and len(set(grams.tolist())) == len(grams) - 1
+
+
+def test_rows_are_judged_by_their_own_text(spark, cases):
+    """Keys that are null or shared, and columns called like the operator's own."""
+    items, _ = cases
+    bad = items[0][1]
+    rows = [(None, bad), (None, "a clean text"), (None, None), (5, bad), (5, "another clean text"), (6, "clean"), (6, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _held", "2 AS _hash", "3 AS hash", "4 AS key")
+    kept = c.clean_documents(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted((k or 0, t or "") for k, t in rows if t != bad)

@@ -125,3 +125,14 @@ def test_components(spark, seed):
     nodes = {n for p in pairs if p[0] != p[1] for n in p}
     assert {r.node: r.component for r in got.collect()} | {n: n for n in nodes - {r.node for r in got.collect()}} == closure(nodes, [p for p in pairs if p[0] != p[1]])
     assert links.components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "test")).select(F.count("*")).first()[0] == 0
+
+
+def test_repeated_rows_are_one_document(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(3, words, 1), (3, words, 1), (3, words, 2), (4, words, 1), (5, "other words " * 3, 1), (None, words, 1), (None, words, 1), (None, "x", 1), (9, "", 1), (9, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _again int")
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r["_again"]) for r in kept.collect())
+    assert got == sorted([(3, words, 1), (5, "other words " * 3, 1), (0, words, 1), (0, "x", 1), (9, "", 1)])
+    assert jaccard.one_of_each(docs.limit(0)).count() == 0

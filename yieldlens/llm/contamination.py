@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yieldlens.llm.storage import Workspace
+from yieldlens.llm.storage import Workspace, unused
 from yieldlens.llm.token_counts import by_bytes
 
 # Errors allowed per hundred characters, and the shortest item, in normalised characters, that is looked for.
@@ -268,8 +268,17 @@ def _search_slice(patterns: Patterns, texts: list[str]) -> Iterator[tuple[int, i
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no passage of the benchmark. Rows that share a key stay or go together."""
+    """The documents that hold no passage of the benchmark, with all their columns.
+
+    Every row is judged by its own text, also where rows share a key or have none: what is joined back is the key with a
+    hash of the text. Null and empty texts hold no passage and stay; repeated rows stay or go together; without
+    documents there are none, and without items all stay.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    asked = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(body).alias("hash")).alias("row"), body.alias("body"))
+    found = contaminated(asked, benchmark, "row", "body")
+    named, hashed = unused("_held", docs.columns), unused("_hash", docs.columns)
     # Stored first: its size decides how it is joined.
     space = Workspace(docs.sparkSession, "contamination")
-    held = space.keep(contaminated(docs, benchmark, key, text).select(F.col(key).alias("_held")).distinct(), "held")
-    return docs.join(held, docs[key].eqNullSafe(F.col("_held")), "left_anti")
+    held = space.keep(found.select(F.col("row.key").alias(named), F.col("row.hash").alias(hashed)).distinct(), "held")
+    return docs.join(held, docs[key].eqNullSafe(F.col(named)) & (F.xxhash64(body) == F.col(hashed)), "left_anti")

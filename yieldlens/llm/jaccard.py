@@ -22,7 +22,7 @@ from pyspark.sql.window import Window as W
 from yieldlens.llm.links import components
 from yieldlens.llm.shingles import set_id, shingle_set, shingle_sets, word_hashes
 from yieldlens.llm.sketch import chunks, total
-from yieldlens.llm.storage import Workspace
+from yieldlens.llm.storage import Workspace, unused
 
 # Counters of the frequency sketch, for shingles and again for words: 32 MB whatever the corpus, which is what is broadcast.
 CELLS = 1 << 21
@@ -298,9 +298,23 @@ def join_similar(docs: DataFrame, alike: Alike, key: str = "doc_id", text: str =
 def one_of_each(docs: DataFrame, alike: Alike = Alike(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Of every component of ``join_similar`` the document with the smallest key, with all its columns.
 
-    Rows that share a key are one document. Documents with a null key or without words are alike to none and stay.
+    Rows that share a key are one document: of those that stay, the least by all columns is the one. So is the least of
+    rows without key that have the same text. All else without key, and documents without words, are alike to none
+    and stay. No documents give none.
     """
-    found = join_similar(docs, alike, key, text)
-    again = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_again")).distinct()
-    again = Workspace(docs.sparkSession, "copies").keep(again, "again")
-    return docs.join(again, docs[key] == F.col("_again"), "left_anti")
+    found, space = join_similar(docs, alike, key, text), Workspace(docs.sparkSession, "copies")
+    name, mark, row = (unused(n, docs.columns) for n in ("_again", "_mark", "_row"))
+    again = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias(name)).distinct()
+    kept = docs.join(space.keep(again, "again"), docs[key] == F.col(name), "left_anti")
+    # A row's identity among those that may be one document; only rows that share it are brought together.
+    same = F.when(F.col(key).isNull(), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).otherwise(F.xxhash64(F.col(key), F.lit(1)))
+    shared = docs.groupBy(same.alias(mark)).agg(F.count("*").alias(name)).filter(F.col(name) > 1).select(mark)
+    shared = space.keep(shared, "shared")
+    if shared.isEmpty():
+        return kept
+    marked = kept.withColumn(mark, same)
+    alone = marked.join(shared, mark, "left_anti").select(*docs.columns)
+    identity = [F.col(mark), F.col(key), F.when(F.col(key).isNull(), F.col(text))]
+    first = marked.join(shared, mark, "left_semi").groupBy(*[c.alias(f"{mark}{i}") for i, c in enumerate(identity)])
+    first = first.agg(F.min(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
+    return alone.unionByName(first)

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from yieldlens.plans.checkpoints import use_checkpoints
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column, in any case, is called that."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Workspace:
     """A folder of its own under spark.checkpoint.dir; removed when the Spark application ends.
 
