@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from yieldlens.__main__ import main
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.plans.checkpoints import use_checkpoints
+from yieldlens.plans import pipeline
 from yieldlens.plans.pipeline import Settings, mine_and_recommend, run_batch, serve, stage_counts
 from yieldlens.sources import tables
 
@@ -113,12 +114,32 @@ def test_matrix_survives_storage(spark, tmp_path):
     assert [tuple(r) for r in tables.load_matrix(spark, path, "csv").collect()] == [(1, 2, 3.5)]
 
 
-def test_batch_job(spark, tmp_path):
+def test_batch_job(spark, tmp_path, monkeypatch):
     clicks = write(tmp_path, "clicks.dat", CLICKS)
     buys = write(tmp_path, "buys.dat", PURCHASES)
     settings = Settings(MinUtility.of_amount(1000), top_k=3)
     out = str(tmp_path / "out")
-    run_batch(spark, clicks, buys, out, settings)
+    read, plain = spark.sparkContext.accumulator(0), {n: getattr(pipeline, n) for n in ("load_clicks", "load_purchases")}
+
+    def counted_as_read(name):
+        def load(*args):
+            df = plain[name](*args)
+
+            def count(batches):
+                for batch in batches:
+                    read.add(batch.num_rows)
+                    yield batch
+
+            return df.mapInArrow(count, df.schema)
+
+        return load
+
+    for name in plain:
+        monkeypatch.setattr(pipeline, name, counted_as_read(name))
+    stages = run_batch(spark, clicks, buys, out, settings)
+    monkeypatch.undo()
+    # Three clicks and two purchases are complete; no line is parsed twice.
+    assert read.value == 5
     assert [tuple(r) for r in spark.read.parquet(f"{out}/items").collect()] == [(70, Decimal("4588.00"))]
     lists = {r.session_id: r["items"] for r in spark.read.parquet(f"{out}/recommendations").collect()}
     assert lists == {1: [70], 5: [70]}
@@ -131,9 +152,9 @@ def test_batch_job(spark, tmp_path):
     run_batch(spark, clicks, buys, str(tmp_path / "capped"), settings, rows=1)
     assert spark.read.parquet(f"{tmp_path}/capped/recommendations").count() == 1
     counted = stage_counts(tables.load_clicks(spark, clicks), tables.load_purchases(spark, buys), settings)
-    assert {r.stage: r["rows"] for r in counted.collect()} == {
-        "clicks": 3, "purchases": 2, "items": 1, "pairs": 3, "weights": 2
-    }
+    expected = {"clicks": 3, "purchases": 2, "items": 1, "pairs": 3, "weights": 2}
+    assert {r.stage: r["rows"] for r in counted.collect()} == expected
+    assert stages == expected | {"recommendations": 2}
 
 
 def test_command_line(spark, tmp_path):

@@ -39,7 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
     if args.command == "mine":
         least = MinUtility.of_share(args.min_share) if args.min_share else MinUtility.of_amount(args.min_utility)
         settings = Settings(least, args.top_k, args.nonnegative)
-        run_batch(spark, args.clicks, args.purchases, args.out, settings, args.format, args.rows)
+        for stage, rows in run_batch(spark, args.clicks, args.purchases, args.out, settings, args.format, args.rows).items():
+            print(f"{stage}: {rows} rows")
     else:
         clicks = load_clicks(spark, args.clicks, args.format)
         serve(spark, args.matrix, clicks, args.top_k).write.mode("overwrite").parquet(args.out)

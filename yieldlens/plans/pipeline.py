@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from yieldlens.functions.threshold import MinUtility
 from yieldlens.operators.matrix import cps, session_items, utility_matrix, whuom
@@ -72,20 +73,32 @@ def run_batch(
     settings: Settings = Settings(),
     fmt: str = "csv",
     rows: int | None = None,
-) -> None:
-    """The whole job from files to files: ``items``, ``matrix`` and ``recommendations`` under ``out_dir``.
+) -> dict[str, int]:
+    """The whole job from files to files: how many rows each stage has, as ``stage_counts`` names them, and the lists.
 
-    Each result is written once and read back by the step that needs it, so nothing is computed
-    twice and a lost executor costs only its own tasks. ``rows`` keeps the first rows of each input.
+    Under ``out_dir`` are the cleaned ``clicks`` and ``purchases``, ``items``, ``pairs``, ``matrix`` and
+    ``recommendations``. Each is written once, its rows counted as they pass, and read back by the steps that need it: the
+    inputs are read and parsed once, nothing is computed twice, and a lost executor costs only its own tasks. ``rows``
+    keeps the first rows of each input.
     """
-    clicks = first_rows(load_clicks(spark, click_path, fmt), ["session_id", "ts", "item_id"], rows)
+    counts: dict[str, int] = {}
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        seen = Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        counts[name] = seen.get["rows"]
+        return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
+
+    clicks = kept(first_rows(load_clicks(spark, click_path, fmt), ["session_id", "ts", "item_id"], rows), "clicks")
     purchases = first_rows(load_purchases(spark, purchase_path, fmt), ["session_id", "ts", "item_id", "price"], rows)
-    mined_items(purchases, settings).write.mode("overwrite").parquet(f"{out_dir}/items")
-    items = spark.read.parquet(f"{out_dir}/items")
-    save_matrix(utility_matrix(clicks, purchases, items, items.count()), f"{out_dir}/matrix")
-    serve(spark, f"{out_dir}/matrix", clicks, settings.top_k).write.mode("overwrite").parquet(
-        f"{out_dir}/recommendations"
-    )
+    purchases = kept(purchases, "purchases")
+    items = kept(mined_items(purchases, settings), "items")
+    pairs = kept(cps(clicks, purchases), "pairs")
+    save_matrix(whuom(pairs, items, counts["items"]), f"{out_dir}/matrix")
+    # Stored rows are counted from the files' footers.
+    counts["weights"] = load_matrix(spark, f"{out_dir}/matrix").count()
+    kept(serve(spark, f"{out_dir}/matrix", clicks, settings.top_k), "recommendations")
+    return counts
 
 
 def serve(spark: SparkSession, matrix_path: str, clicks: DataFrame, top_k: int = 5) -> DataFrame:
