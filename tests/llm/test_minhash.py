@@ -56,7 +56,9 @@ def test_documents(documents, width, per_cent):
     check(documents.withColumnsRenamed({"lang": "bucket", "source": "component"}), width, per_cent)
 
 
-def test_groups_of_near_copies_and_chains(spark):
+@pytest.mark.parametrize("cell", [2_000, 7])
+def test_groups_of_near_copies_and_chains(spark, cell, monkeypatch):
+    monkeypatch.setattr(minhash, "CELL", cell)
     draw = random.Random(3)
     words = [f"w{i}" for i in range(400)]
     base = [draw.choice(words) for _ in range(120)]
@@ -98,6 +100,19 @@ def test_coordinates_agree_as_often_as_sets_are_alike():
         assert abs(np.mean(agree) - share) < 0.02
 
 
+def test_sketches_agree_enough():
+    bands = Bands()
+    assert 340 < minhash.least_agreeing(bands) < 0.71 * 504
+    draw = np.random.Generator(np.random.PCG64(7))
+    least = 504
+    for _ in range(300):
+        both = draw.integers(0, 2**63, 250, np.uint64)
+        a, b = (minhash.signature(s, bands).astype(np.uint8) for s in (both[:225], np.append(both[:200], both[225:])))
+        least = min(least, int((a == b).sum()))
+    # 200 of 250 in common.
+    assert least >= minhash.least_agreeing(bands) + 10
+
+
 def test_two_permutations_give_every_coordinate():
     bands = Bands(rows=2, bands=5, places=6)
     first, second = minhash.permutations(bands)

@@ -39,8 +39,8 @@ BLOCK_BYTES = 4 << 20
 WORDS = 400_000
 
 _MARK = "▁"
-# White space other than blanks, or the mark that stands for a blank.
-_ODD = re.compile(rf"[^\S ]|{_MARK}")
+# Two blanks, a blank at the end or beside other white space, or the mark that stands for a blank.
+_ODD = re.compile(rf" (?:\s|\Z)|[^\S ](?: |\Z)|{_MARK}")
 
 
 def refined(cuts: Sequence[int], pieces: Sequence[bytes], data: bytes) -> list[int] | None:
@@ -73,6 +73,8 @@ class Spans:
 class TokenizersSide:
     """Spans by a file of the tokenizers library, for a text that begins with a blank. Special strings are plain text."""
 
+    in_characters = True
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -111,6 +113,8 @@ class TokenizersSide:
 class SentencepieceSide:
     """Spans by a sentencepiece model, which puts a blank before a text itself."""
 
+    in_characters = False
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -156,6 +160,14 @@ def _in_bytes(text: str, places: list[int]) -> list[int]:
     return [ends[p] for p in places]
 
 
+def _many_in_bytes(texts: list[str], places: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """Places in characters of each text as places in the bytes of all texts."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    ends = np.append(0, np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)))
+    lengths = np.array([len(t) for t in texts])
+    return ends[(np.cumsum(lengths) - lengths)[text_of] + places]
+
+
 @lru_cache(maxsize=4)
 def side(name: str) -> TokenizersSide | SentencepieceSide:
     return (SentencepieceSide if name.endswith(".model") else TokenizersSide)(locate(name))
@@ -198,10 +210,10 @@ def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def aligned_plain(
-    data: list[bytes], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], ids_b: int, numbers: tuple[np.ndarray, np.ndarray]
+    sizes: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], ids_b: int, numbers: tuple[np.ndarray, np.ndarray]
 ) -> list[Aligned]:
-    """``aligned`` for many texts at once: ids and ends of both sides, the ends counted through all texts."""
-    bounds = np.cumsum([len(d) for d in data])
+    """``aligned`` for many texts of so many bytes at once: ids and ends of both sides, the ends counted through all texts."""
+    bounds = np.cumsum(sizes)
     every, common = np.union1d(a[1], b[1]), np.intersect1d(a[1], b[1], assume_unique=True)
     links = a[0][np.searchsorted(a[1], every)] * ids_b + b[0][np.searchsorted(b[1], every)]
     # Tokens by group, those of A first.
@@ -272,10 +284,7 @@ class Aligner:
             memo.make_room(len(new))
             for at in range(0, len(new), 2000):
                 some = new[at : at + 2000]
-                plain = [w for w in some if w.isascii()]
-                memo.update(zip(plain, self._plain([before + w for w in plain], not before), strict=True))
-                odd = [w for w in some if not w.isascii()]
-                memo.update(zip(odd, self._whole([before + w for w in odd], not before), strict=True))
+                memo.update(zip(some, self._plain([before + w for w in some], not before), strict=True))
 
     def __call__(self, text: str) -> Aligned | None:
         """None for an empty text, and where either side's tokens do not decode to the text with its blank."""
@@ -292,20 +301,41 @@ class Aligner:
         return _joined(done)
 
     def _plain(self, texts: list[str], bare: bool) -> list[Aligned | None]:
-        """``_whole`` for ASCII texts: a character is a byte, so the libraries' cuts are those of the tokens, if these decode to the texts."""
+        """``_whole`` for many texts: where both libraries' cuts are those of the decoded tokens, all are aligned at once."""
         if not texts:
             return []
         data = [t.encode() for t in texts]
-        starts, whole, found = np.cumsum([0, *map(len, data)]), b"".join(data), []
-        for s, sizes in zip((self.a, self.b), self.sizes, strict=True):
+        sizes, found = np.array([len(d) for d in data]), []
+        good = sizes > 0
+        for s, widths in zip((self.a, self.b), self.sizes, strict=True):
             coarse = s.coarse(texts, bare)
-            ids = np.fromiter(chain.from_iterable(i for i, _ in coarse), np.int64)
-            ends = np.fromiter(chain.from_iterable(e for _, e in coarse), np.int64)
-            ends += np.repeat(starts[:-1], [len(i) for i, _ in coarse])
-            if not np.array_equal(ends, np.cumsum(sizes[ids])) or b"".join(map(s.pieces.__getitem__, ids.tolist())) != whole:
+            counts = np.array([len(i) for i, _ in coarse])
+            text_of = np.repeat(np.arange(len(texts)), counts)
+            ids = np.fromiter(chain.from_iterable(i for i, _ in coarse), np.int64, len(text_of))
+            cuts = np.fromiter(chain.from_iterable(e for _, e in coarse), np.int64, len(text_of))
+            if s.in_characters:
+                cuts = _many_in_bytes(texts, cuts, text_of) - (np.cumsum(sizes) - sizes)[text_of]
+            ends = np.append(0, np.cumsum(widths[ids]))
+            before = ends[np.cumsum(counts) - counts]
+            ends = ends[1:] - before[text_of]
+            good &= (np.bincount(text_of, ends != cuts, len(texts)) == 0) & (np.bincount(text_of, widths[ids], len(texts)) == sizes)
+            found.append((ids, ends, text_of))
+        starts = np.cumsum(np.where(good, sizes, 0)) - np.where(good, sizes, 0)
+        sides, whole = [], b"".join(d for d, g in zip(data, good.tolist(), strict=True) if g)
+        for (ids, ends, text_of), s in zip(found, (self.a, self.b), strict=True):
+            at = good[text_of]
+            sides.append((ids[at], ends[at] + starts[text_of[at]]))
+            if b"".join(map(s.pieces.__getitem__, ids[at].tolist())) != whole:
                 return self._whole(texts, bare)
-            found.append((ids, ends))
-        return aligned_plain(data, *found, self.ids_b, self.numbers)
+        out: list[Aligned | None] = [None] * len(texts)
+        places = np.flatnonzero(good).tolist()
+        if places:
+            for place, one in zip(places, aligned_plain(sizes[good], *sides, self.ids_b, self.numbers), strict=True):
+                out[place] = one
+        odd = np.flatnonzero(~good).tolist()
+        for place, one in zip(odd, self._whole([texts[i] for i in odd], bare), strict=True):
+            out[place] = one
+        return out
 
     def _whole(self, texts: list[str], bare: bool) -> list[Aligned | None]:
         both = zip(self.a.spans(texts, bare), self.b.spans(texts, bare), strict=True)
@@ -314,7 +344,7 @@ class Aligner:
     def _window(self, text: str) -> Aligned | None:
         """The text begins with a blank."""
         words = text[1:].split(" ")
-        if all(words) and not (_ODD.search(text) and any(w[0].isspace() or w[-1].isspace() or _MARK in (w[0], w[-1]) for w in words)):
+        if not _ODD.search(text):
             found = list(map(self.words.__getitem__, words))
         else:
             found = self._whole(self.CUT.split(text), False)
@@ -324,8 +354,10 @@ class Aligner:
         """What stands behind a blank, up to the next."""
         parts = self.WORD.fullmatch(word) if self.parts else None
         if parts:
-            both = [self.words[parts[1]], self.bare[parts[2]]]
-            return None if None in both else _joined(both)
+            a, b = self.words[parts[1]], self.bare[parts[2]]
+            if a is None or b is None:
+                return None
+            return Aligned(a.n_a + b.n_a, a.n_b + b.n_b, a.n_groups + b.n_groups, f"{a.groups};{b.groups}", a.links + b.links)
         head, *lines = word.split("\n")
         if not lines or not head or not all(lines) or any(p[0].isspace() or p[-1].isspace() or _MARK in p for p in (head, *lines)):
             return self._whole([" " + word], False)[0]

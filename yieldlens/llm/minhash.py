@@ -23,8 +23,10 @@ from yieldlens.llm.storage import Workspace
 
 # Sets whose buckets a task has given are left out when they come again; as many are remembered.
 REMEMBERED = 50_000
-# Rounds in which every bucket compares its members with one of them; the pairs left after that are all compared.
-ROUNDS = 2
+# Rows of a bucket that meet in one place; a larger bucket is dealt over a grid of such cells.
+CELL = 2_000
+# Sketches may agree in so many standard deviations fewer coordinates than a pair that is just alike enough does.
+DEVIATIONS = 6
 # Shingles whose ranks are looked up at once.
 CHUNK = 512
 
@@ -109,6 +111,77 @@ def _met(rows: DataFrame, kind: str) -> DataFrame:
     return rows.join(shared.filter("low < high").select("bucket", "members"), "bucket")
 
 
+def sketches(docs: DataFrame, bands: Bands) -> DataFrame:
+    """``id`` and ``sketch`` of ``docs`` (id, text): the low byte of every coordinate of the signature."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, sets in shingle_sets(batches, bands.width):
+            # The low byte of a rank tells as little as possible of the least ranks' size.
+            found = [signature(s, bands).astype(np.uint8).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.binary())], names=["id", "sketch"])
+
+    return docs.mapInArrow(sketch, "id bigint, sketch binary")
+
+
+def least_agreeing(bands: Bands) -> int:
+    """Coordinates in which two sets that are just alike enough agree, less some standard deviations."""
+    n, share = bands.rows * bands.bands, bands.per_cent / 100
+    return int(n * share - DEVIATIONS * (n * share * (1 - share)) ** 0.5)
+
+
+def _agreeing(rows: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (a, b) of one bucket, of different component and fitting size, whose sketches agree as alike sets' do.
+
+    ``rows`` have bucket, members, id, low, high, component and sketch. The pairs of a bucket are told apart in
+    place and only those few leave; a large bucket is a grid of cells, so no task gets more than twice CELL rows of it.
+    """
+    parts = F.ceil(F.col("members") / F.lit(CELL)).cast("int")
+    own = rows.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    cells = own.withColumn("cell", F.struct("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    dealt = cells.select(F.xxhash64("cell").alias("cell"), "bucket", "own", (F.col("own") != F.col("other")).alias("across"), "id", "low", "high", "component", "sketch")
+    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "bucket")
+    least, per_cent = least_agreeing(bands), bands.per_cent
+
+    def pairs_of(table: pa.Table) -> Iterator[np.ndarray]:
+        ids, low, high, component, own = (table[c].to_numpy() for c in ("id", "low", "high", "component", "own"))
+        matrix = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        across = table["across"][0].as_py()
+        for i in range(len(ids) - 1):
+            behind = slice(i + 1, None)
+            fits = (component[behind] != component[i]) & (100 * high[behind] >= per_cent * low[i]) & (100 * high[i] >= per_cent * low[behind])
+            if across:
+                fits &= own[behind] != own[i]
+            at = np.flatnonzero(fits) + i + 1
+            if len(at):
+                at = at[(matrix[at] == matrix[i]).sum(1) >= least]
+                yield np.column_stack([np.minimum(ids[at], ids[i]), np.maximum(ids[at], ids[i])])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emitted(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            both = [p for p in pairs_of(pa.Table.from_batches(kept)) if len(p)]
+            if both:
+                both = np.unique(np.concatenate(both), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            names = np.column_stack([batch["cell"].to_numpy(), batch["bucket"].to_numpy()])
+            edges = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
+            for x, y in zip(edges, edges[1:], strict=False):
+                part = batch.slice(x, y - x)
+                if not part.num_rows:
+                    continue
+                same = kept and kept[0]["cell"][0] == part["cell"][0] and kept[0]["bucket"][0] == part["bucket"][0]
+                if kept and not same:
+                    yield from emitted(kept)
+                    kept = []
+                kept.append(part)
+        if kept:
+            yield from emitted(kept)
+
+    return dealt.mapInArrow(found, "a bigint, b bigint").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, bands: Bands, space: Workspace, name: str) -> DataFrame:
     """Of the pairs (a, b) those whose whole sets are alike. Texts are read again; only sets that are needed move."""
 
@@ -142,10 +215,11 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id"
     followed, and each gets a row. A null key links with nothing, its component is null and it is kept. Other columns
     are not read; no documents give no rows.
 
-    Only one document of a class has buckets. In a few rounds every bucket compares its members with the one that meets
-    most others; groups of near copies are joined by that without being paired among themselves. What is left are
-    members of a bucket whose components still differ: those are compared pair by pair, so no link is lost that way.
-    Sets that differ too much in size are not compared.
+    Only one document of a class has buckets. Each is first compared with one other only, of those that lead its buckets
+    the one that meets most others; groups of near copies are joined by that without being paired among themselves.
+    What is left are members of a bucket whose components still differ. Of those, pairs whose sizes and sketches can
+    be those of alike sets are compared, too: a link that shares a bucket is lost with the probability of
+    DEVIATIONS standard deviations, one in a thousand million.
     """
     space = Workspace(docs.sparkSession, "minhash")
     source = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
@@ -173,23 +247,20 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id"
     def fit(x: str, y: str) -> Column:
         return (100 * F.col(f"{x}high") >= bands.per_cent * F.col(f"{y}low")) & (100 * F.col(f"{y}high") >= bands.per_cent * F.col(f"{x}low"))
 
-    left, links = rows.withColumn("component", F.col("id")), space.keep(several, "several")
-    for round_ in range(ROUNDS):
-        heaviest = F.max_by(F.struct("id", "low", "high", "component"), F.struct("weight", -F.col("id")))
-        centre = left.groupBy("bucket").agg(heaviest.alias("c")).select("bucket", *[F.col(f"c.{c}").alias(f"c_{c}") for c in ("id", "low", "high", "component")])
-        met = left.join(centre, "bucket")
-        near = met.filter((F.col("component") != F.col("c_component")) & fit("", "c_"))
-        found = _verified(near.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct(), source, bands, space, f"round-{round_}")
-        links = links.unionByName(found)
-        component = components(links, space, f"components-{round_}").withColumnRenamed("component", "joined")
-        # The centre has met all others of its bucket.
-        others = met.filter("id != c_id").select("bucket", "id", "low", "high", "weight")
-        others = others.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("joined", "id")).drop("joined")
-        left = space.keep(_met(others, "component").drop("members"), f"left-{round_}")
-    y = left.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("id", "low", "high", "component")])
-    apart = left.join(y, (left["bucket"] == y["bucket"]) & (left["id"] < y["y_id"]) & (left["component"] != y["y_component"]) & fit("", "y_"))
-    found = _verified(apart.select(F.col("id").alias("a"), F.col("y_id").alias("b")).distinct(), source, bands, space, "rest")
-    linked = components(links.unionByName(found), space, "components").withColumnRenamed("node", "class_id")
+    led = rows.groupBy("bucket").agg(F.max(F.struct("weight", -F.col("id"), "id", "low", "high")).alias("c"))
+    leaders = led.select("bucket", *[F.col(f"c.{c}").alias(f"c_{c}") for c in ("weight", "id", "low", "high")])
+    near = rows.join(leaders, "bucket").filter((F.col("id") != F.col("c_id")) & fit("", "c_"))
+    chosen = near.groupBy("id").agg(F.max(F.struct("c_weight", -F.col("c_id"), "c_id")).alias("c"))
+    pairs = chosen.select(F.least("id", "c.c_id").alias("a"), F.greatest("id", "c.c_id").alias("b")).distinct()
+    links = space.keep(several, "several").unionByName(_verified(pairs, source, bands, space, "near"))
+    component = components(links, space, "near-components").withColumnRenamed("component", "joined").withColumnRenamed("node", "id")
+    apart = rows.join(component, "id", "left").withColumn("component", F.coalesce("joined", "id")).drop("joined", "weight")
+    apart = space.keep(_met(apart, "component"), "apart")
+    drawn = source.join(apart.select("id").distinct(), "id", "left_semi")
+    far = _agreeing(apart.join(sketches(drawn, bands), "id"), bands)
+    links = links.unionByName(_verified(far, source, bands, space, "far"))
+    linked = components(links, space, "components").withColumnRenamed("node", "class_id")
+    space.drop("apart", "weighted")
 
     result = members.join(linked, "class_id", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class_id", "id"))
