@@ -200,13 +200,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL for language-model data; none where that subpackage has been taken away."""
+    """Queries and SQL for language-model data; none where that subpackage can not be imported."""
     try:
         more = importlib.import_module("yieldlens.llm.queries")
         corpus = importlib.import_module("corpus_pipeline")
-    except ModuleNotFoundError as error:
-        if error.name not in ("yieldlens.llm", "corpus_pipeline"):
-            raise
+    except ImportError:
         return {}, {}
     sql = {} if corpus.ORACLE_SQL is None else {"pipeline": corpus.ORACLE_SQL}
     return more.queries() | {"pipeline": corpus.run}, more.oracle_sql() | sql

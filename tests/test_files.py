@@ -157,6 +157,18 @@ def test_batch_job(spark, tmp_path, monkeypatch):
     assert stages == expected | {"recommendations": 2}
 
 
+@pytest.mark.parametrize("rows", [1, 7, 499, 500, 900, 2000])
+def test_many_first_rows_by_ranges(spark, rows, monkeypatch):
+    """Beyond a few rows no task gets them all; ties go by all columns, and repeated rows count each."""
+    df = spark.range(1000).selectExpr("id % 13 AS place", "id % 400 AS part", "CAST(id % 3 AS STRING) AS name").repartition(7)
+    plain = df.orderBy("place", "part", "name").limit(rows).collect()
+    monkeypatch.setattr(tables, "FEW_ROWS", 0)
+    got = tables.first_rows(df, ["place"], rows)
+    assert got.columns == df.columns and sorted(got.collect()) == sorted(plain)
+    if rows == 900:
+        assert got.rdd.getNumPartitions() > 1
+
+
 def test_command_line(spark, tmp_path):
     clicks = write(tmp_path, "clicks.dat", CLICKS)
     buys = write(tmp_path, "buys.dat", PURCHASES)

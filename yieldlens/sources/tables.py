@@ -14,14 +14,19 @@ from operator import and_
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.window import Window as W
 
 from yieldlens.functions.columns import event_time, exact_price, utility
+from yieldlens.plans.checkpoints import use_checkpoints
 
 # The time is read as text, since an unreadable one must not cost the row, and the price, since none may be rounded.
 CLICK_FILE = "session_id bigint, ts string, item_id bigint, category string"
 PURCHASE_FILE = "session_id bigint, ts string, item_id bigint, price string, quantity bigint"
 MATRIX_FILE = "click_item bigint, purchase_item bigint, weight double"
 
+# So many first rows may come to one task.
+FEW_ROWS = 100_000
+
 CLICK_KEYS = ["session_id", "item_id"]
 PURCHASE_KEYS = ["session_id", "item_id", "utility"]
 
@@ -86,9 +91,31 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def first_rows(df: DataFrame, keys: list[str], rows: int | None) -> DataFrame:
-    """The first ``rows`` rows by ``keys``, then by all other columns, or the whole table for None."""
-    others = [c for c in df.columns if c not in keys]
-    return df if rows is None else df.orderBy(*keys, *others).limit(rows)
+    """The first ``rows`` rows by ``keys``, then by all other columns, or the whole table for None.
+
+    A few rows are the best of each task's best. More would not fit one task: then the table is dealt by ranges of
+    the whole order, the ranges are counted, and only within the range that holds the last row are rows told apart.
+    """
+    if rows is None:
+        return df
+    order = [*keys, *(c for c in df.columns if c not in keys)]
+    if rows <= FEW_ROWS:
+        return df.orderBy(*order).limit(rows)
+    use_checkpoints(df.sparkSession)
+    part = "part"
+    while part in df.columns:
+        part = f"_{part}"
+    dealt = df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()).checkpoint()
+    left, last = rows, -1
+    # One number per range.
+    for range_, n in sorted(tuple(r) for r in dealt.groupBy(part).count().collect()):
+        last = range_
+        if n >= left:
+            break
+        left -= n
+    place = F.row_number().over(W.partitionBy(part).orderBy(*order))
+    within = dealt.filter(F.col(part) == last).withColumn("place", place).filter(F.col("place") <= left)
+    return dealt.filter(F.col(part) < last).select(*df.columns).unionAll(within.select(*df.columns))
 
 
 def save_matrix(matrix: DataFrame, path: str) -> None:
