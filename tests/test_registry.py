@@ -28,10 +28,10 @@ def test_every_query_has_its_sql():
     assert set(OWN) == set(registry.ORACLE_SQL)
 
 
-@pytest.mark.parametrize("hot_floor", [skew.HOT_FLOOR, 1])
+@pytest.mark.parametrize("hot_floor", [skew.HOT_FLOOR, 30])
 @pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_sql(spark, db, name, hot_floor, monkeypatch):
-    """As it is, and with every key of more than one row taken for hot."""
+    """As it is, and with every key of more than thirty rows taken for hot."""
     monkeypatch.setattr(skew, "HOT_FLOOR", hot_floor)
     df = registry.queries()[name](spark, SMALL)
     mine, theirs = plain(df.toPandas()), plain(db.execute(registry.oracle_sql()[name]).df())

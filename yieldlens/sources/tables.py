@@ -102,9 +102,9 @@ def first_rows(df: DataFrame, keys: list[str], rows: int | None) -> DataFrame:
     if rows <= FEW_ROWS:
         return df.orderBy(*order).limit(rows)
     use_checkpoints(df.sparkSession)
-    part = "part"
-    while part in df.columns:
-        part = f"_{part}"
+    part, place = "part", "place"
+    while {part, place} & set(df.columns):
+        part, place = f"_{part}", f"_{place}"
     dealt = df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()).checkpoint()
     left, last = rows, -1
     # One number per range.
@@ -113,8 +113,8 @@ def first_rows(df: DataFrame, keys: list[str], rows: int | None) -> DataFrame:
         if n >= left:
             break
         left -= n
-    place = F.row_number().over(W.partitionBy(part).orderBy(*order))
-    within = dealt.filter(F.col(part) == last).withColumn("place", place).filter(F.col("place") <= left)
+    number = F.row_number().over(W.partitionBy(part).orderBy(*order))
+    within = dealt.filter(F.col(part) == last).withColumn(place, number).filter(F.col(place) <= left)
     return dealt.filter(F.col(part) < last).select(*df.columns).unionAll(within.select(*df.columns))
 
 
