@@ -168,3 +168,25 @@ def test_spans_are_given(spark, libraries):
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert alignment.align(empty, LEFT, RIGHT).collect() == []
+
+
+def test_words_of_the_older_generation_are_not_asked_for_again(monkeypatch):
+    words = ["".join(random.Random(i).choices("abcdefgh", k=9)) for i in range(115)]
+    find = alignment.Aligner(LEFT, RIGHT)
+    find.words.size = 60
+    find.learn([" ".join(words[:50])])
+    find.learn([" ".join(words[50:80])])
+    text = " ".join(words[:20] + words[80:])
+    wanted = alignment.Aligner(LEFT, RIGHT)(text)
+    find.learn([text])
+    monkeypatch.setattr(find, "_whole", None)
+    assert find(text) == wanted
+
+
+def test_no_spans_are_asked_for_where_the_tokens_decode_to_the_text(monkeypatch):
+    text = "plain words, é naïve\nlines\n\nand more 日本"
+    parts, find = [" " + w for w in text.split(" ")], alignment.Aligner(LEFT, RIGHT)
+    wanted = find._whole(parts, False)
+    for side in (find.a, find.b):
+        monkeypatch.setattr(side, "coarse", None)
+    assert find._plain(parts, False) == wanted

@@ -73,8 +73,6 @@ class Spans:
 class TokenizersSide:
     """Spans by a file of the tokenizers library, for a text that begins with a blank. Special strings are plain text."""
 
-    in_characters = True
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -90,13 +88,24 @@ class TokenizersSide:
             raise ValueError("tokens that are no plain bytes can not be aligned")
         # Byte-level models without normaliser: a blank between two other characters opens a new part.
         self.splits = said.get("normalizer") is None and not split.get("add_prefix_space") and bool(split.get("use_regex"))
-        letters = {letter: byte for byte, letter in vocabulary._byte_letters().items()}
+        added = [t["content"] for t in said.get("added_tokens", [])]
+        self.plain = self.splits and said["model"]["type"] == "BPE" and not any(t.strip().isalpha() for t in added)
+        spelled_as = vocabulary._byte_letters()
+        letters, self.blank = {letter: byte for byte, letter in spelled_as.items()}, spelled_as[ord(" ")]
         self.pieces = [b""] * self.tokenizer.get_vocab_size()
         for piece, id_ in self.tokenizer.get_vocab().items():
             # An added token stands for itself; none is ever found in a text.
             spelled = all(c in letters for c in piece)
             self.pieces[id_] = bytes(letters[c] for c in piece) if spelled else piece.encode()
 
+    def ids(self, texts: list[str], bare: bool) -> list[list[int]]:
+        """Ids alone, without asking for spans."""
+        plain = [self.plain and not bare and text.isascii() and text[:1] == " " and text[1:].isalpha() for text in texts]
+        rest = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        # A blank and letters are one part of the library's splitting pattern: they go straight to its model.
+        tokens = self.tokenizer.model.tokenize
+        return [[x.id for x in tokens(self.blank + t[1:])] if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
+
     def coarse(self, texts: list[str], bare: bool) -> list[tuple[list[int], list[int]]]:
         """Ids and the characters behind them. ``bare`` texts stand behind a line end, others have their blank."""
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -113,8 +122,6 @@ class TokenizersSide:
 class SentencepieceSide:
     """Spans by a sentencepiece model, which puts a blank before a text itself."""
 
-    in_characters = False
-
     def __init__(self, path: str):
         import sentencepiece
 
@@ -133,6 +140,12 @@ class SentencepieceSide:
         # What comes before the tokens of a text that stands behind a line end.
         self.line = self.model.encode("\n")
 
+    def ids(self, texts: list[str], bare: bool) -> list[list[int]]:
+        """Ids alone, without asking for spans; of a ``bare`` text without those of the line end."""
+        asked = ["\n" + text for text in texts] if bare else [text[1:] for text in texts]
+        found = self.model.encode(asked, out_type=int, num_threads=1)
+        return [f[len(self.line) :] for f in found] if bare else found
+
     def coarse(self, texts: list[str], bare: bool) -> list[tuple[list[int], list[int]]]:
         """Ids and the bytes behind them; of a ``bare`` text without those of the line end."""
         asked = ["\n" + text for text in texts] if bare else [text[1:] for text in texts]
@@ -160,14 +173,6 @@ def _in_bytes(text: str, places: list[int]) -> list[int]:
     return [ends[p] for p in places]
 
 
-def _many_in_bytes(texts: list[str], places: np.ndarray, text_of: np.ndarray) -> np.ndarray:
-    """Places in characters of each text as places in the bytes of all texts."""
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    ends = np.append(0, np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)))
-    lengths = np.array([len(t) for t in texts])
-    return ends[(np.cumsum(lengths) - lengths)[text_of] + places]
-
-
 @lru_cache(maxsize=4)
 def side(name: str) -> TokenizersSide | SentencepieceSide:
     return (SentencepieceSide if name.endswith(".model") else TokenizersSide)(locate(name))
@@ -183,7 +188,11 @@ class Aligned(NamedTuple):
     links: bytes
 
 
-def aligned(a: Spans, b: Spans, ids_b: int) -> Aligned:
+# The fields of an Aligned. What is remembered are plain tuples, which Python's collector does not go through again and again.
+Part = tuple[int, int, int, str, bytes]
+
+
+def aligned(a: Spans, b: Spans, ids_b: int) -> Part:
     """Between one end of either side and the next lies one token of each: a link.
 
     It is written as id of A times ``ids_b`` plus id of B.
@@ -198,7 +207,7 @@ def aligned(a: Spans, b: Spans, ids_b: int) -> Aligned:
         if end_a == end_b:
             groups.append(",".join(map(str, a.ids[first_a:i])) + "|" + ",".join(map(str, b.ids[first_b:j])))
             first_a, first_b = i, j
-    return Aligned(len(a.ids), len(b.ids), len(groups), ";".join(groups), np.array(links, np.int64).tobytes())
+    return len(a.ids), len(b.ids), len(groups), ";".join(groups), np.array(links, np.int64).tobytes()
 
 
 def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +220,7 @@ def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def aligned_plain(
     sizes: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], ids_b: int, numbers: tuple[np.ndarray, np.ndarray]
-) -> list[Aligned]:
+) -> list[Part]:
     """``aligned`` for many texts of so many bytes at once: ids and ends of both sides, the ends counted through all texts."""
     bounds = np.cumsum(sizes)
     every, common = np.union1d(a[1], b[1]), np.intersect1d(a[1], b[1], assume_unique=True)
@@ -232,16 +241,16 @@ def aligned_plain(
     packed, places = links.tobytes(), (8 * (np.searchsorted(every, bounds) + 1)).tolist()
     texts = texts.tolist()
     return [
-        Aligned(n_a, n_b, n_groups, text[t:u - 1], packed[x:y])
+        (n_a, n_b, n_groups, text[t:u - 1], packed[x:y])
         for n_a, n_b, n_groups, t, u, x, y in zip(*columns, [0, *texts[:-1]], texts, [0, *places[:-1]], places, strict=True)
     ]
 
 
-def _joined(parts: list[Aligned]) -> Aligned:
+def _joined(parts: list[Part]) -> Part:
     if len(parts) == 1:
         return parts[0]
     n_a, n_b, n_groups, groups, links = zip(*parts, strict=True)
-    return Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+    return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)
 
 
 class Aligner:
@@ -271,15 +280,27 @@ class Aligner:
         if not self.splits:
             return
         words, bare = set(), set()
+        known = self.words
         for word in set().union(*(t.split(" ") for t in texts)):
-            if word not in self.words and word not in self.words.older:
-                head, *lines = word.split("\n")
-                for known, part in ((words, head), *((bare, line) for line in lines)):
-                    parts = self.WORD.fullmatch(part) if self.parts else None
-                    known.add(parts[1] if parts else part)
-                    if parts:
-                        bare.add(parts[2])
+            if word in known:
+                continue
+            if word in known.older:
+                # Asked for again: brought over before room for new words is made.
+                known[word]
+                continue
+            if word.isalpha() or self._odd(word):
+                words.add(word)
+                continue
+            head, *lines = word.split("\n")
+            for new, part in ((words, head), *((bare, line) for line in lines)):
+                parts = self.WORD.fullmatch(part) if self.parts else None
+                new.add(parts[1] if parts else part)
+                if parts:
+                    bare.add(parts[2])
         for memo, new, before in ((self.words, words, " "), (self.bare, bare, "")):
+            for word in new:
+                if word in memo.older:
+                    memo[word]
             new = [w for w in new if 0 < len(w) <= vocabulary.LONGEST and w not in memo and w not in memo.older][: memo.size]
             memo.make_room(len(new))
             for at in range(0, len(new), 2000):
@@ -291,43 +312,39 @@ class Aligner:
         if not text:
             return None
         if not self.splits:
-            return self._whole([" " + text], False)[0]
+            found = self._whole([" " + text], False)[0]
+            return None if found is None else Aligned(*found)
         done = []
         for part in windows(" " + text, self.CUT):
             found = self._window(part)
             if found is None:
                 return None
             done.append(found)
-        return _joined(done)
+        return Aligned(*_joined(done))
 
-    def _plain(self, texts: list[str], bare: bool) -> list[Aligned | None]:
-        """``_whole`` for many texts: where both libraries' cuts are those of the decoded tokens, all are aligned at once."""
+    def _plain(self, texts: list[str], bare: bool) -> list[Part | None]:
+        """``_whole`` for many texts: where both sides' tokens decode to the text, all are aligned at once.
+
+        There the decoded bytes tell every end, whatever the libraries' spans say, so these are not asked for.
+        """
         if not texts:
             return []
         data = [t.encode() for t in texts]
         sizes, found = np.array([len(d) for d in data]), []
         good = sizes > 0
         for s, widths in zip((self.a, self.b), self.sizes, strict=True):
-            coarse = s.coarse(texts, bare)
-            counts = np.array([len(i) for i, _ in coarse])
-            text_of = np.repeat(np.arange(len(texts)), counts)
-            ids = np.fromiter(chain.from_iterable(i for i, _ in coarse), np.int64, len(text_of))
-            cuts = np.fromiter(chain.from_iterable(e for _, e in coarse), np.int64, len(text_of))
-            if s.in_characters:
-                cuts = _many_in_bytes(texts, cuts, text_of) - (np.cumsum(sizes) - sizes)[text_of]
-            ends = np.append(0, np.cumsum(widths[ids]))
-            before = ends[np.cumsum(counts) - counts]
-            ends = ends[1:] - before[text_of]
-            good &= (np.bincount(text_of, ends != cuts, len(texts)) == 0) & (np.bincount(text_of, widths[ids], len(texts)) == sizes)
-            found.append((ids, ends, text_of))
-        starts = np.cumsum(np.where(good, sizes, 0)) - np.where(good, sizes, 0)
+            listed = s.ids(texts, bare)
+            text_of = np.repeat(np.arange(len(texts)), [len(i) for i in listed])
+            ids = np.fromiter(chain.from_iterable(listed), np.int64, len(text_of))
+            good &= np.bincount(text_of, widths[ids], len(texts)) == sizes
+            found.append((ids, text_of))
         sides, whole = [], b"".join(d for d, g in zip(data, good.tolist(), strict=True) if g)
-        for (ids, ends, text_of), s in zip(found, (self.a, self.b), strict=True):
-            at = good[text_of]
-            sides.append((ids[at], ends[at] + starts[text_of[at]]))
-            if b"".join(map(s.pieces.__getitem__, ids[at].tolist())) != whole:
+        for (ids, text_of), s, widths in zip(found, (self.a, self.b), self.sizes, strict=True):
+            ids = ids[good[text_of]]
+            sides.append((ids, np.cumsum(widths[ids])))
+            if b"".join(map(s.pieces.__getitem__, ids.tolist())) != whole:
                 return self._whole(texts, bare)
-        out: list[Aligned | None] = [None] * len(texts)
+        out: list[Part | None] = [None] * len(texts)
         places = np.flatnonzero(good).tolist()
         if places:
             for place, one in zip(places, aligned_plain(sizes[good], *sides, self.ids_b, self.numbers), strict=True):
@@ -337,11 +354,13 @@ class Aligner:
             out[place] = one
         return out
 
-    def _whole(self, texts: list[str], bare: bool) -> list[Aligned | None]:
+    def _whole(self, texts: list[str], bare: bool) -> list[Part | None]:
+        if not texts:
+            return []
         both = zip(self.a.spans(texts, bare), self.b.spans(texts, bare), strict=True)
         return [None if x is None or y is None else aligned(x, y, self.ids_b) for x, y in both]
 
-    def _window(self, text: str) -> Aligned | None:
+    def _window(self, text: str) -> Part | None:
         """The text begins with a blank."""
         words = text[1:].split(" ")
         if not _ODD.search(text):
@@ -350,16 +369,22 @@ class Aligner:
             found = self._whole(self.CUT.split(text), False)
         return None if None in found else _joined(found)
 
-    def _word(self, word: str) -> Aligned | None:
+    @staticmethod
+    def _odd(word: str) -> bool:
+        """Whether there are lines that can not be taken one by one: an empty one, or white space or the mark at their ends."""
+        parts = word.split("\n")
+        return len(parts) > 1 and not all(p and not p[0].isspace() and not p[-1].isspace() and _MARK not in p for p in parts)
+
+    def _word(self, word: str) -> Part | None:
         """What stands behind a blank, up to the next."""
         parts = self.WORD.fullmatch(word) if self.parts else None
         if parts:
             a, b = self.words[parts[1]], self.bare[parts[2]]
             if a is None or b is None:
                 return None
-            return Aligned(a.n_a + b.n_a, a.n_b + b.n_b, a.n_groups + b.n_groups, f"{a.groups};{b.groups}", a.links + b.links)
+            return a[0] + b[0], a[1] + b[1], a[2] + b[2], f"{a[3]};{b[3]}", a[4] + b[4]
         head, *lines = word.split("\n")
-        if not lines or not head or not all(lines) or any(p[0].isspace() or p[-1].isspace() or _MARK in p for p in (head, *lines)):
+        if not lines or self._odd(word):
             return self._whole([" " + word], False)[0]
         # A single line end between two other characters is a token of its own on both sides.
         found = [self.words[head]]
