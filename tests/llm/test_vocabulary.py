@@ -61,3 +61,13 @@ def test_memory_is_bounded(monkeypatch):
     count, library = vocabulary.PieceCounter(path), sentencepiece.SentencePieceProcessor(model_file=path)
     text = " ".join(f"w{i}" for i in range(200))
     assert count([text, text]) == [len(library.encode(text))] * 2 and len(count.known) + len(count.known.older) <= 10
+
+
+def test_plain_letters_go_straight_to_the_model(monkeypatch):
+    encode = vocabulary.ByteLevelEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "Some plain words and Some more of them"
+    wanted = encode.tokenizer.encode(text, add_special_tokens=False).ids
+    encode.known["Some"], encode.others["Some"]
+    # What spells words by the table of bytes is for other letters.
+    monkeypatch.setattr(encode, "_letters", None)
+    assert list(struct.unpack(f"<{len(wanted)}I", encode(text))) == wanted

@@ -45,9 +45,12 @@ class _Memo(dict):
         self.find, self.size, self.older = find, size or TABLE // 2, {}
 
     def __missing__(self, key):
-        value = self.older[key] if key in self.older else self.find(key)
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.find(key)
         if len(key) <= LONGEST:
-            self.make_room()
+            if len(self) >= self.size:
+                self.make_room()
             self[key] = value
         return value
 
@@ -158,6 +161,7 @@ class ByteLevelEncoder:
             merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in said["model"]["merges"]]
             self.model = models.BPE(said["model"]["vocab"], merges, cache_capacity=0)
             self.bytes = _byte_letters()
+            self.space = self.bytes[ord(" ")]
             self.others, self.starts = _Memo(self._whole, FEW), _Memo(self._letters, FEW)
             self.known = _Memo(self._word)
 
@@ -175,6 +179,9 @@ class ByteLevelEncoder:
 
     def _word(self, word: str) -> bytes | None:
         """Ids of the word with a space before it; None where its spaces are no safe cuts."""
+        if word.isascii() and word.isalpha():
+            # Letters spell themselves, and the space has the one spelling.
+            return array("I", map(_ID, self.model.tokenize(self.space + word))).tobytes()
         if parts := self.WORD.fullmatch(word):
             letters, tail = parts.groups()
             return self.known[letters] + self.others[tail] if tail else self._letters(" " + letters)
