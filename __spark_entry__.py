@@ -295,7 +295,7 @@ def _own_queries() -> dict[str, Query]:
         "recommend_topk": _on_both(lambda c, p: _double(_top(_scores(c, p)), "score")),
         "recommend_lists": _on_both(_recommend_lists),
         "recommend_unseen": _on_both(
-            lambda c, p: _double(_top(recommend.without_bought(_scores(c, p), p)), "score")
+            lambda c, p: _double(recommend.top_unseen(_scores(c, p), p, TOP_K), "score")
         ),
         "recommend_holdout": _on_both(lambda c, p: _double(recommend.recommend_held_out(c, p, ITEMS), "score")),
         "recommend_click_only": _on_both(lambda c, p: _double(_recommend_click_only(c, p), "score")),

@@ -219,3 +219,24 @@ def test_popularity_takes_whole_items(tables):
     clicks = tables.clicks([(s, s, item) for item, n in enumerate([6, 2, 2, 1, 1]) for s in range(n)])
     row = profile.popularity_share(clicks, "0.4").first()
     assert (row["items"], row.top_items, row.events, row.top_events) == (5, 2, 12, 8)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_top_unseen_is_the_top_of_what_was_not_bought(spark, tables, seed):
+    draw = random.Random(seed)
+    rows = [(s, i, float(draw.randint(1, 4))) for s in range(12) for i in range(draw.randint(0, 15))]
+    scores = spark.createDataFrame([*rows, (None, 1, 2.0), (None, 2, 3.0)], "session_id bigint, item_id bigint, score double")
+    buys = tables.purchases([(s, 1, draw.randint(0, 20), 1) for s in range(2, 14) for _ in range(draw.randint(0, 12))])
+    wanted = recommend.top_items(recommend.without_bought(scores, buys), 3)
+    assert sorted(map(str, recommend.top_unseen(scores, buys, 3).collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_top_unseen_shuffles_few_scores_again(spark, tables):
+    scores = spark.range(40_000).selectExpr("id % 20 AS session_id", "id AS item_id", "CAST(id AS DOUBLE) AS score")
+    scores = scores.repartition(4, "session_id")
+    found = recommend.top_unseen(scores, tables.purchases([(1, 1, 39_981, 1)]), 2)
+    assert {r.item_id for r in found.collect() if r.session_id == 1} == {39_961, 39_941}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Ranked before anything of the scores is dealt by session and item.
+    dealt = plan.index("hashpartitioning(session_id#", plan.index("LeftAnti")) if "Exchange hashpartitioning(session_id" in plan else plan.index("LeftAnti")
+    assert "(rank#" in plan[dealt:]

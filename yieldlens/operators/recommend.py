@@ -56,6 +56,19 @@ def top_items(scores: DataFrame, top_k: int = 5) -> DataFrame:
     )
 
 
+def top_unseen(scores: DataFrame, purchases: DataFrame, top_k: int = 5) -> DataFrame:
+    """``top_items`` of ``without_bought``: the ``top_k`` highest scores of each session among items it has not bought.
+
+    Of a session's best ``top_k`` and as many more as it has bought, at most those can be bought. So that many are
+    ranked where the scores lie, by session, and only they are shuffled again to be held against the purchases.
+    """
+    counts = session_items(purchases).groupBy("session_id").agg(F.count("*").alias("bought"))
+    best = W.partitionBy("session_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+    ranked = scores.withColumn("rank", F.row_number().over(best)).join(counts, "session_id", "left")
+    enough = ranked.filter(F.col("rank") <= F.lit(top_k) + F.coalesce("bought", F.lit(0)))
+    return top_items(without_bought(enough.select("session_id", "item_id", "score"), purchases), top_k)
+
+
 def as_lists(ranked: DataFrame) -> DataFrame:
     """One row per session with its items and scores, best first. A list has at most top_k entries."""
     entries = F.array_sort(F.collect_list(F.struct("rank", "item_id", "score")))
