@@ -6,9 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from yieldlens.llm import minhash
+from yieldlens.llm.links import of_keys
 from yieldlens.llm.minhash import Bands
 
 
@@ -126,3 +128,25 @@ def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id int, text string")
     found = minhash.near_duplicates(empty)
     assert found.collect() == [] and dict(found.dtypes)["component_id"] == "int"
+
+
+def test_rows_of_keys_are_found_where_they_lie(spark):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in [*range(-500, 500), 7, 7, None]], "id bigint, text string")
+    wanted = spark.createDataFrame([(i,) for i in [*range(-499, 500, 13), 10**12]], "id bigint")
+    found = sorted(r.id for r in of_keys(rows, "id", wanted).collect())
+    assert found == sorted([*range(-499, 500, 13)] + [7] * 2 * (7 in range(-499, 500, 13)))
+    assert of_keys(rows, "id", wanted.limit(0)).count() == 0
+
+
+def test_pairs_of_a_group_grow_no_faster_than_the_group(spark):
+    """Near copies that no link joins: each has other words in its own places of one text, so sketches agree and no sets are alike enough."""
+    bands, pairs = Bands(width=2), []
+    words = [f"w{i}" for i in range(1_300)]
+    for size in (20, 60):
+        draw = random.Random(size)
+        texts = [" ".join(w if draw.random() > 0.038 else f"x{k}-{i}" for i, w in enumerate(words)) for k in range(size)]
+        sets_ = [minhash.shingle_set(next(minhash.word_hashes(iter([pa.RecordBatch.from_arrays([pa.array([0]), pa.array([t])], names=["id", "text"])])))[1][0], 2) for t in texts]
+        rows = [(1, size, k, len(s), len(s), k, minhash.signature(s, bands).astype(np.uint8).tobytes()) for k, s in enumerate(sets_)]
+        schema = "bucket bigint, members bigint, id bigint, low bigint, high bigint, component bigint, sketch binary"
+        pairs.append(minhash._agreeing(spark.createDataFrame([(*r[:6], bytearray(r[6])) for r in rows], schema), bands).count())
+    assert 10 < pairs[0] < 20 and 30 < pairs[1] < 60

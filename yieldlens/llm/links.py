@@ -1,4 +1,4 @@
-"""Connected components of a table of links."""
+"""Connected components of a table of links, and the rows of the documents they name."""
 
 from __future__ import annotations
 
@@ -8,6 +8,24 @@ from pyspark.sql import functions as F
 from yieldlens.llm.storage import Workspace
 
 
+# Bits that tell which keys are wanted: 16 MB whatever the corpus, which is what is broadcast.
+SLOTS = 1 << 27
+
+
+def of_keys(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among those of ``wanted``, without moving the others.
+
+    A bit per slot of the keys' hash tells most others where they lie; only what has its bit is joined.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits")
+    bitmaps = F.broadcast(wanted.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(bits))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    likely = rows.join(bitmaps, F.bitmap_bucket_number(slot) == F.col("_bucket")).filter(F.getbit(byte, (place % 8).cast("int")) == 1)
+    return likely.select(*rows.columns).join(wanted.select(key), key, "left_semi")
+
+
 def components(links: DataFrame, space: Workspace, name: str = "links") -> DataFrame:
     """``node`` and ``component``, the smallest node that links lead to, for every node of a link (a, b).
 

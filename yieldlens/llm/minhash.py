@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yieldlens.llm.links import components
+from yieldlens.llm.links import components, of_keys
 from yieldlens.llm.shingles import set_id, shingle_set, shingle_sets, word_hashes
 from yieldlens.llm.storage import Workspace
 
@@ -25,6 +25,8 @@ from yieldlens.llm.storage import Workspace
 REMEMBERED = 50_000
 # Rows of a bucket that meet in one place; a larger bucket is dealt over a grid of such cells.
 CELL = 2_000
+# Shingles of the sets that meet in one place.
+CELL_SHINGLES = 4_000_000
 # Sketches may agree in so many standard deviations fewer coordinates than a pair that is just alike enough does.
 DEVIATIONS = 6
 # Shingles whose ranks are looked up at once.
@@ -129,61 +131,131 @@ def least_agreeing(bands: Bands) -> int:
     return int(n * share - DEVIATIONS * (n * share * (1 - share)) ** 0.5)
 
 
+def _cells(rows: DataFrame, name: str, parts: Column) -> DataFrame:
+    """Rows of every ``name`` as a grid of ``parts`` by ``parts``: each comes to the cells of its ``own`` part with every other.
+
+    Cells of two parts, marked ``across``, hold the rows of both. What comes together is sorted by ``cell`` and ``name``.
+    """
+    own = rows.withColumn("parts", parts.cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = F.xxhash64(name, F.least("own", "other"), F.greatest("own", "other"))
+    dealt = other.select(cell.alias("cell"), (F.col("own") != F.col("other")).alias("across"), "own", *rows.columns)
+    return dealt.repartition("cell").sortWithinPartitions("cell", name)
+
+
+def _each_cell(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
+    """The rows of every cell of ``_cells``, one after another."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        names = np.column_stack([batch["cell"].to_numpy(), batch[name].to_numpy()])
+        edges = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
+        for x, y in zip(edges, edges[1:], strict=False):
+            part = batch.slice(x, y - x)
+            if not part.num_rows:
+                continue
+            if kept and not (kept[0]["cell"][0] == part["cell"][0] and kept[0][name][0] == part[name][0]):
+                yield pa.Table.from_batches(kept)
+                kept = []
+            kept.append(part)
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def _sketch_matrix(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+
+
+def _pairs(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Pairs of ids, the smaller first."""
+    if found:
+        both = np.sort(np.array(found, np.int64), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+
 def _agreeing(rows: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs (a, b) of one bucket, of different component and fitting size, whose sketches agree as alike sets' do.
+    """Pairs (a, b) that join what may be linked: rows of one bucket, of different component and fitting size, whose
+    sketches agree as alike sets' do.
 
-    ``rows`` have bucket, members, id, low, high, component and sketch. The pairs of a bucket are told apart in
-    place and only those few leave; a large bucket is a grid of cells, so no task gets more than twice CELL rows of it.
+    ``rows`` have bucket, members, id, low, high, component and sketch. A cell gives no pair of rows that its pairs before
+    have joined already, so it has fewer pairs than rows, however many agree.
     """
-    parts = F.ceil(F.col("members") / F.lit(CELL)).cast("int")
-    own = rows.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cells = own.withColumn("cell", F.struct("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
-    dealt = cells.select(F.xxhash64("cell").alias("cell"), "bucket", "own", (F.col("own") != F.col("other")).alias("across"), "id", "low", "high", "component", "sketch")
-    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "bucket")
+    dealt = _cells(rows, "bucket", F.ceil(F.col("members") / F.lit(CELL)))
     least, per_cent = least_agreeing(bands), bands.per_cent
 
-    def pairs_of(table: pa.Table) -> Iterator[np.ndarray]:
+    def joined(table: pa.Table) -> Iterator[tuple[int, int]]:
         ids, low, high, component, own = (table[c].to_numpy() for c in ("id", "low", "high", "component", "own"))
-        matrix = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        across = table["across"][0].as_py()
+        matrix, across, group = _sketch_matrix(table), table["across"][0].as_py(), np.arange(table.num_rows)
         for i in range(len(ids) - 1):
             behind = slice(i + 1, None)
             fits = (component[behind] != component[i]) & (100 * high[behind] >= per_cent * low[i]) & (100 * high[i] >= per_cent * low[behind])
+            fits &= group[behind] != group[i]
             if across:
                 fits &= own[behind] != own[i]
             at = np.flatnonzero(fits) + i + 1
             if len(at):
                 at = at[(matrix[at] == matrix[i]).sum(1) >= least]
-                yield np.column_stack([np.minimum(ids[at], ids[i]), np.maximum(ids[at], ids[i])])
+                joins, first = np.unique(group[at], return_index=True)
+                yield from ((ids[i], ids[j]) for j in at[first])
+                group[np.isin(group, joins)] = group[i]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emitted(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            both = [p for p in pairs_of(pa.Table.from_batches(kept)) if len(p)]
-            if both:
-                both = np.unique(np.concatenate(both), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-        kept: list[pa.RecordBatch] = []
-        for batch in batches:
-            names = np.column_stack([batch["cell"].to_numpy(), batch["bucket"].to_numpy()])
-            edges = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
-            for x, y in zip(edges, edges[1:], strict=False):
-                part = batch.slice(x, y - x)
-                if not part.num_rows:
-                    continue
-                same = kept and kept[0]["cell"][0] == part["cell"][0] and kept[0]["bucket"][0] == part["bucket"][0]
-                if kept and not same:
-                    yield from emitted(kept)
-                    kept = []
-                kept.append(part)
-        if kept:
-            yield from emitted(kept)
+        for table in _each_cell(batches, "bucket"):
+            yield from _pairs(list(joined(table)))
 
     return dealt.mapInArrow(found, "a bigint, b bigint").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, bands: Bands, space: Workspace, name: str) -> DataFrame:
-    """Of the pairs (a, b) those whose whole sets are alike. Texts are read again; only sets that are needed move."""
+def _linked(rows: DataFrame, docs: DataFrame, bands: Bands, space: Workspace) -> DataFrame:
+    """Links (a, b) of whole sets between different components, as many as join all that are linked.
+
+    ``rows`` are those of ``_agreeing``. What their pairs join is one cluster; all its documents meet, each with its set
+    once, or on a grid of cells where a cluster is large. There all those whose sketches agree are compared in
+    place by whole sets, unless links before have joined them already.
+    """
+    clusters = components(_agreeing(rows, bands), space, "clusters")
+    about = rows.groupBy("id").agg(F.first("component").alias("component"), F.max("high").alias("high"))
+    about = space.keep(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")).join(about, "id"), "clustered")
+    # Cells by rows and by shingles.
+    large = F.greatest(F.ceil(F.count("*") / F.lit(CELL)), F.ceil(F.sum("high") / F.lit(CELL_SHINGLES)))
+    sizes = about.groupBy("cluster").agg(large.alias("cells"))
+    sets = space.keep(_sets(of_keys(docs, "id", about), bands, sketched=True), "clustered-sets")
+    whole = sets.join(about.drop("high").join(sizes, "cluster"), "id")
+    dealt = _cells(whole, "cluster", F.col("cells"))
+    least, per_cent = least_agreeing(bands), bands.per_cent
+
+    def joined(table: pa.Table) -> Iterator[tuple[int, int]]:
+        ids, own = table["id"].to_numpy(), table["own"].to_numpy()
+        _, group = np.unique(table["component"].to_numpy(), return_inverse=True)
+        matrix, across = _sketch_matrix(table), table["across"][0].as_py()
+        tokens = table["tokens"].combine_chunks()
+        values, ends = tokens.flatten().to_numpy(), np.append(0, np.cumsum(tokens.value_lengths().to_numpy()))
+        sets = [values[x:y] for x, y in zip(ends, ends[1:], strict=False)]
+        n = np.diff(ends)
+        for i in range(len(ids) - 1):
+            behind = slice(i + 1, None)
+            fits = (group[behind] != group[i]) & (100 * n[behind] >= per_cent * n[i]) & (100 * n[i] >= per_cent * n[behind])
+            if across:
+                fits &= own[behind] != own[i]
+            at = np.flatnonzero(fits) + i + 1
+            if not len(at):
+                continue
+            for j in at[(matrix[at] == matrix[i]).sum(1) >= least].tolist():
+                if group[j] == group[i]:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= per_cent * (n[i] + n[j] - common):
+                    yield ids[i], ids[j]
+                    group[group == group[j]] = group[i]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _each_cell(batches, "cluster"):
+            yield from _pairs(list(joined(table)))
+
+    return space.keep(dealt.mapInArrow(found, "a bigint, b bigint").distinct(), "far-links")
+
+
+def _sets(docs: DataFrame, bands: Bands, sketched: bool = False) -> DataFrame:
+    """``id`` and ``tokens``, the whole set, of ``docs`` (id, text) with words; ``sketched`` adds ``sketch``."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, sets in shingle_sets(batches, bands.width):
@@ -191,13 +263,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, bands: Bands, space: Workspace,
                 part = sets[at : at + 500]
                 ends = pa.array(np.cumsum([0, *map(len, part)]), pa.int32())
                 arrays = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(part).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([keys.slice(at, 500), arrays], names=["id", "tokens"])
+                columns = {"id": keys.slice(at, 500), "tokens": arrays}
+                if sketched:
+                    columns["sketch"] = pa.array([signature(s, bands).astype(np.uint8).tobytes() for s in part], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
+
+    return docs.mapInArrow(whole, "id bigint, tokens array<bigint>" + ", sketch binary" * sketched).filter(F.size("tokens") > 0)
 
+
+def _verified(pairs: DataFrame, docs: DataFrame, bands: Bands, space: Workspace, name: str) -> DataFrame:
+    """Of the pairs (a, b) those whose whole sets are alike. Texts are read again; only sets that are needed move."""
     pairs = space.keep(pairs, f"{name}-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # Rows that share an id count as one document: their tokens are put together.
-    sets = docs.join(wanted, "id", "left_semi").mapInArrow(whole, "id bigint, tokens array<bigint>")
-    sets = space.keep(sets, f"{name}-sets")
+    sets = space.keep(_sets(of_keys(docs, "id", wanted), bands), f"{name}-sets")
     side = lambda s: sets.select(F.col("id").alias(s), F.col("tokens").alias(f"tokens_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")))
     union = F.size("tokens_a") + F.size("tokens_b") - F.col("common")
@@ -217,9 +296,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id"
 
     Only one document of a class has buckets. Each is first compared with one other only, of those that lead its buckets
     the one that meets most others; groups of near copies are joined by that without being paired among themselves.
-    What is left are members of a bucket whose components still differ. Of those, pairs whose sizes and sketches can
-    be those of alike sets are compared, too: a link that shares a bucket is lost with the probability of
-    DEVIATIONS standard deviations, one in a thousand million.
+    What is left are members of a bucket whose components still differ. Of those, what pairs with fitting sizes and sketches
+    join is one cluster, within which such pairs are compared in place: a link that shares a bucket is lost with the
+    probability of DEVIATIONS standard deviations, one in a thousand million.
     """
     space = Workspace(docs.sparkSession, "minhash")
     source = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
@@ -256,9 +335,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id"
     component = components(links, space, "near-components").withColumnRenamed("component", "joined").withColumnRenamed("node", "id")
     apart = rows.join(component, "id", "left").withColumn("component", F.coalesce("joined", "id")).drop("joined", "weight")
     apart = space.keep(_met(apart, "component"), "apart")
-    drawn = source.join(apart.select("id").distinct(), "id", "left_semi")
-    far = _agreeing(apart.join(sketches(drawn, bands), "id"), bands)
-    links = links.unionByName(_verified(far, source, bands, space, "far"))
+    drawn = of_keys(source, "id", apart.select("id").distinct())
+    far = space.keep(apart.join(sketches(drawn, bands), "id"), "far")
+    links = links.unionByName(_linked(far, source, bands, space))
     linked = components(links, space, "components").withColumnRenamed("node", "class_id")
     space.drop("apart", "weighted")
 
