@@ -23,7 +23,8 @@ def of_keys(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     place = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
     likely = rows.join(bitmaps, F.bitmap_bucket_number(slot) == F.col("_bucket")).filter(F.getbit(byte, (place % 8).cast("int")) == 1)
-    return likely.select(*rows.columns).join(wanted.select(key), key, "left_semi")
+    # Spark would push a semi join down to all rows.
+    return likely.select(*rows.columns).join(wanted.select(key).distinct(), key).select(*rows.columns)
 
 
 def components(links: DataFrame, space: Workspace, name: str = "links") -> DataFrame:
