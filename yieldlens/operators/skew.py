@@ -52,6 +52,11 @@ def is_hot(rows: int | None, total: int | None) -> bool:
     return (rows or 0) > max(HOT_FLOOR, math.ceil((total or 0) * HOT_SHARE))
 
 
+def never_hot(rows: int | None) -> bool:
+    """Whether a key with so many rows is hot in no table at all."""
+    return (rows or 0) <= HOT_FLOOR
+
+
 def _salt(by: Sequence[str], parts: str) -> Column:
     return F.coalesce(F.pmod(F.xxhash64(*by), F.col(parts)).cast("int"), F.lit(0))
 
