@@ -150,3 +150,11 @@ def test_pairs_of_a_group_grow_no_faster_than_the_group(spark):
         schema = "bucket bigint, members bigint, id bigint, low bigint, high bigint, component bigint, sketch binary"
         pairs.append(minhash._agreeing(spark.createDataFrame([(*r[:6], bytearray(r[6])) for r in rows], schema), bands).count())
     assert 10 < pairs[0] < 20 and 30 < pairs[1] < 60
+
+
+def test_rows_of_a_bucket_move_once(spark):
+    rows = spark.createDataFrame([(7, 1, 3), (7, 2, 4), (7, 2, 5), (8, 1, 3), (9, 4, 1), (9, 4, 2)], "bucket bigint, id bigint, n bigint")
+    met = minhash._met(rows, "id")
+    assert sorted(tuple(r) for r in met.select("bucket", "id", "n", "members").collect()) == [(7, 1, 3, 3), (7, 2, 4, 3), (7, 2, 5, 3)]
+    plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from yieldlens.llm.links import components, of_keys
 from yieldlens.llm.shingles import set_id, shingle_set, shingle_sets, word_hashes
@@ -108,9 +109,13 @@ def summaries(docs: DataFrame, bands: Bands) -> DataFrame:
 
 
 def _met(rows: DataFrame, kind: str) -> DataFrame:
-    """The rows of buckets that hold more than one ``kind``, with ``members``, how many rows the bucket has."""
-    shared = rows.groupBy("bucket").agg(F.min(kind).alias("low"), F.max(kind).alias("high"), F.count("*").alias("members"))
-    return rows.join(shared.filter("low < high").select("bucket", "members"), "bucket")
+    """The rows of buckets that hold more than one ``kind``, with ``members``, how many rows the bucket has.
+
+    Rows move once, to their bucket, whatever their number.
+    """
+    bucket = W.partitionBy("bucket")
+    told = {"lowest": F.min(kind).over(bucket), "highest": F.max(kind).over(bucket), "members": F.count("*").over(bucket)}
+    return rows.withColumns(told).filter("lowest < highest").drop("lowest", "highest")
 
 
 def sketches(docs: DataFrame, bands: Bands) -> DataFrame:
@@ -307,7 +312,7 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id"
     classes = space.keep(named.agg(F.min("id").alias("class_id"), F.count("*").alias("copies")).filter("copies > 1"), "classes")
     alone = F.when(F.col("set_id").isNotNull(), F.col("id"))
     # A row without key is in a class, too, but never the one that names it.
-    joined = seen.join(classes.select("set_id", "class_id"), "set_id", "left").withColumn("class_id", F.coalesce("class_id", alone))
+    joined = seen.join(classes.select("set_id", "class_id").hint("merge"), "set_id", "left").withColumn("class_id", F.coalesce("class_id", alone))
     members = space.keep(joined.select("id", "n", "class_id"), "members")
     # Different sets under one key are one document.
     own = members.filter("class_id IS NOT NULL").select("id", "class_id")
